@@ -230,3 +230,278 @@ def statements() -> dict[str, str]:
         "oee": OEE,
         "fact_production": FACT_PRODUCTION,
     }
+
+
+# ── lake dimensions ──────────────────────────────────────────────────────────
+
+DIM_MACHINE = f"""
+SELECT machine_id, line_id, plant_id,
+  'Machine-' || machine_id AS machine_name, 'Line-' || line_id AS line_name,
+  'Plant 001' AS plant_name, 'CNC' AS machine_type, true AS is_active
+FROM (
+  SELECT machine_id, line_id, plant_id,
+    row_number() OVER (PARTITION BY machine_id ORDER BY line_id ASC NULLS LAST, plant_id ASC NULLS LAST) AS rn__
+  FROM ({CLEAN_PRODUCTION}) c
+) r WHERE rn__ = 1
+"""
+
+DIM_SHIFT = f"""
+SELECT shift_id,
+  CASE WHEN shift_id = 'S1' THEN 'Morning (06:00–14:00)'
+       WHEN shift_id = 'S2' THEN 'Afternoon (14:00–22:00)'
+       WHEN shift_id = 'S3' THEN 'Night (22:00–06:00)'
+       ELSE 'Unknown' END AS shift_name,
+  CASE WHEN shift_id = 'S1' THEN '06:00' WHEN shift_id = 'S2' THEN '14:00' ELSE '22:00' END AS shift_start,
+  8 AS shift_hours
+FROM (SELECT DISTINCT shift_id FROM ({CLEAN_PRODUCTION}) c) d
+"""
+
+DIM_PRODUCT = f"""
+SELECT product_id, 'Product-' || product_id AS product_name, 'General' AS product_family, 'PCS' AS unit_of_measure
+FROM (SELECT DISTINCT product_id FROM ({CLEAN_PRODUCTION}) c) d
+"""
+
+DIM_DATE = f"""
+SELECT date_key,
+  cast(year(date_key) AS int) AS year, cast(quarter(date_key) AS int) AS quarter,
+  cast(month(date_key) AS int) AS month, monthname(date_key) AS month_name,
+  cast(weekofyear(date_key) AS int) AS week, cast(dayofweek(date_key) + 1 AS int) AS day_of_week,
+  dayname(date_key) AS day_name, coalesce(dayofweek(date_key) IN (0, 6), false) AS is_weekend
+FROM (SELECT DISTINCT production_date AS date_key FROM ({CLEAN_PRODUCTION}) c) d
+"""
+
+# ── warehouse (fresh load) ───────────────────────────────────────────────────
+
+WH_DIM_MACHINE = f"""
+SELECT cast(row_number() OVER (ORDER BY machine_id) AS int) AS machine_key, machine_id, machine_name, machine_type,
+  is_active, line_id, line_name, plant_id, plant_name, cast(NULL AS varchar) AS plant_location
+FROM ({DIM_MACHINE}) m
+"""
+
+WH_DIM_SHIFT = """
+SELECT cast(shift_key AS int) AS shift_key, shift_id, shift_name, shift_start, cast(shift_hours AS smallint) AS shift_hours
+FROM (VALUES
+  (1, 'S1', 'Morning (06:00–14:00)', '06:00', 8),
+  (2, 'S2', 'Afternoon (14:00–22:00)', '14:00', 8),
+  (3, 'S3', 'Night (22:00–06:00)', '22:00', 8)
+) AS t(shift_key, shift_id, shift_name, shift_start, shift_hours)
+"""
+
+WH_DIM_PRODUCT = f"""
+SELECT cast(row_number() OVER (ORDER BY product_id) AS int) AS product_key, product_id, product_name,
+  product_family, unit_of_measure
+FROM ({DIM_PRODUCT}) p WHERE product_id IS NOT NULL
+"""
+
+WH_DIM_DATE = f"""
+SELECT date_key, cast(year AS smallint) AS year, cast(quarter AS smallint) AS quarter,
+  cast(month AS smallint) AS month, month_name, cast(week AS smallint) AS week,
+  cast(day_of_week AS smallint) AS day_of_week, day_name, is_weekend
+FROM ({DIM_DATE}) d WHERE date_key IS NOT NULL
+"""
+
+_MINUTES = ["planned_runtime_min", "actual_runtime_min", "total_downtime_min", "planned_downtime_min",
+            "unplanned_downtime_min"]
+_PERCENT = ["first_pass_yield", "availability", "performance", "quality_rate", "oee_pct"]
+_INTS = ["planned_qty", "actual_qty", "good_qty", "total_inspected_qty", "total_defect_qty"]
+
+
+def _conformed(c: str) -> str:
+    if c in _MINUTES:
+        return f"try_cast({round2(c)} AS decimal(10,2))"
+    if c in _PERCENT:
+        return f"try_cast({round2(c)} AS decimal(6,2))"
+    if c == "downtime_events":
+        return f"try_cast({c} AS smallint)"
+    return f"try_cast({c} AS int)"
+
+
+_MEASURES = _INTS[:3] + _MINUTES + ["downtime_events"] + _INTS[3:] + _PERCENT
+_OVERFLOW = " OR ".join(f"({c} IS NOT NULL AND {_conformed(c)} IS NULL)" for c in _MEASURES)
+
+RESOLVED_FACT = f"""
+SELECT production_id, machine_id, shift_id, product_id, production_date, date_key,
+  machine_key, shift_key, product_key,
+  {', '.join(f'{_conformed(c)} AS {c}' for c in _MEASURES)},
+  CASE WHEN production_id IS NULL THEN 'null production_id'
+       WHEN date_key IS NULL THEN 'null or invalid production_date'
+       WHEN machine_key IS NULL THEN 'unknown machine_id'
+       WHEN shift_key IS NULL THEN 'unknown shift_id'
+       WHEN product_key IS NULL THEN 'unknown product_id'
+       WHEN {_OVERFLOW} THEN 'measure out of warehouse range' END AS reject_reason
+FROM (
+  SELECT f.*, f.production_date AS date_key, m.machine_key, s.shift_key, p.product_key
+  FROM ({FACT_PRODUCTION}) f
+  LEFT JOIN ({WH_DIM_MACHINE}) m ON f.machine_id = m.machine_id
+  LEFT JOIN ({WH_DIM_SHIFT}) s ON f.shift_id = s.shift_id
+  LEFT JOIN ({WH_DIM_PRODUCT}) p ON f.product_id = p.product_id
+) j
+"""
+
+LOAD_FACT_FK_LOOKUP = f"""
+SELECT production_id, date_key, machine_key, shift_key, product_key FROM ({RESOLVED_FACT}) r
+WHERE reject_reason IS NULL
+"""
+
+LOAD_FACT_REJECTS = f"""
+SELECT production_id, machine_id, shift_id, product_id, production_date, reject_reason FROM ({RESOLVED_FACT}) r
+WHERE reject_reason IS NOT NULL
+"""
+
+LOAD_FACT_CONFORM = f"""
+SELECT production_id, {', '.join(_MINUTES)}, downtime_events, {', '.join(_PERCENT)} FROM ({RESOLVED_FACT}) r
+WHERE reject_reason IS NULL
+"""
+
+WH_FACT = f"""
+SELECT cast(row_number() OVER (ORDER BY production_id) AS bigint) AS production_sk, production_id, date_key,
+  machine_key, shift_key, product_key, planned_qty, actual_qty, good_qty,
+  {', '.join(_MINUTES)}, downtime_events, total_inspected_qty, total_defect_qty, {', '.join(_PERCENT)}
+FROM ({RESOLVED_FACT}) r WHERE reject_reason IS NULL
+"""
+
+LOAD_SURROGATE_KEYS = f"SELECT production_sk, production_id FROM ({WH_FACT}) f"
+
+LOAD_VERIFICATION = f"""
+SELECT table_name, row_count FROM (
+  SELECT 'fact_production' AS table_name, count(*) AS row_count FROM ({WH_FACT}) a
+  UNION ALL SELECT 'dim_machine', count(*) FROM ({WH_DIM_MACHINE}) b
+  UNION ALL SELECT 'dim_date', count(*) FROM ({WH_DIM_DATE}) c
+  UNION ALL SELECT 'dim_shift', count(*) FROM ({WH_DIM_SHIFT}) d
+  UNION ALL SELECT 'dim_product', count(*) FROM ({WH_DIM_PRODUCT}) e
+) u ORDER BY table_name
+"""
+
+
+def _dsum(c: str) -> str:
+    return f"cast(sum({c}) AS double)"
+
+
+def _isum(c: str) -> str:
+    return f"cast(sum({c}) AS bigint)"
+
+
+VW_DAILY_OEE = f"""
+SELECT f.date_key, d.year, d.month, d.month_name, d.week, d.day_name, d.is_weekend,
+  m.plant_name, m.line_name, m.machine_id, m.machine_name, m.machine_type, s.shift_name,
+  {avg_exact('f.availability')} AS avg_availability_pct,
+  {avg_exact('f.performance')} AS avg_performance_pct,
+  {avg_exact('f.quality_rate')} AS avg_quality_rate_pct,
+  {avg_exact('f.oee_pct')} AS avg_oee_pct,
+  {_dsum('f.planned_runtime_min')} AS total_planned_runtime_min,
+  {_dsum('f.actual_runtime_min')} AS total_actual_runtime_min,
+  {_dsum('f.total_downtime_min')} AS total_downtime_min,
+  {_dsum('f.unplanned_downtime_min')} AS total_unplanned_downtime_min,
+  {_dsum('f.planned_downtime_min')} AS total_planned_downtime_min,
+  {_isum('f.downtime_events')} AS total_downtime_events,
+  {_isum('f.planned_qty')} AS total_planned_qty,
+  {_isum('f.actual_qty')} AS total_actual_qty,
+  {_isum('f.good_qty')} AS total_good_qty,
+  {_isum('f.total_inspected_qty')} AS total_inspected_qty,
+  {_isum('f.total_defect_qty')} AS total_defects,
+  {avg_exact('f.first_pass_yield')} AS avg_first_pass_yield_pct
+FROM ({WH_FACT}) f
+JOIN ({WH_DIM_DATE}) d ON f.date_key = d.date_key
+JOIN ({WH_DIM_MACHINE}) m ON f.machine_key = m.machine_key
+JOIN ({WH_DIM_SHIFT}) s ON f.shift_key = s.shift_key
+GROUP BY f.date_key, d.year, d.month, d.month_name, d.week, d.day_name, d.is_weekend,
+  m.plant_name, m.line_name, m.machine_id, m.machine_name, m.machine_type, s.shift_name
+"""
+
+VW_MONTHLY_SUMMARY = f"""
+SELECT *, {round2('cast(total_actual_qty AS double) * 100.0 / nullif(cast(total_planned_qty AS double), 0)')} AS attainment_pct
+FROM (
+  SELECT d.year, d.month, d.month_name, m.line_name, m.machine_name, p.product_name, p.product_family,
+    {_isum('f.planned_qty')} AS total_planned_qty,
+    {_isum('f.actual_qty')} AS total_actual_qty,
+    {_isum('f.good_qty')} AS total_good_qty,
+    {_isum('f.total_defect_qty')} AS total_defects,
+    {avg_exact('f.first_pass_yield')} AS avg_first_pass_yield_pct,
+    {avg_exact('f.oee_pct')} AS avg_oee_pct,
+    {_dsum('f.unplanned_downtime_min')} AS total_unplanned_downtime_min
+  FROM ({WH_FACT}) f
+  JOIN ({WH_DIM_DATE}) d ON f.date_key = d.date_key
+  JOIN ({WH_DIM_MACHINE}) m ON f.machine_key = m.machine_key
+  JOIN ({WH_DIM_PRODUCT}) p ON f.product_key = p.product_key
+  GROUP BY d.year, d.month, d.month_name, m.line_name, m.machine_name, p.product_name, p.product_family
+) g
+"""
+
+VW_DOWNTIME_PARETO = f"""
+WITH pm AS (
+  SELECT m.machine_name, m.line_name, sum(f.unplanned_downtime_min) AS minutes,
+    {_isum('f.downtime_events')} AS total_events
+  FROM ({WH_FACT}) f JOIN ({WH_DIM_MACHINE}) m ON f.machine_key = m.machine_key
+  GROUP BY m.machine_name, m.line_name
+), c AS (
+  SELECT *,
+    sum(minutes) OVER (ORDER BY minutes DESC, machine_name ASC NULLS LAST, line_name ASC NULLS LAST
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+    sum(minutes) OVER () AS total
+  FROM pm
+)
+SELECT machine_name, line_name, cast(minutes AS double) AS total_unplanned_min, total_events,
+  {round2('cast(minutes AS double) * 100.0 / nullif(cast(total AS double), 0.0)')} AS pct_of_total,
+  {round2('cast(cum AS double) * 100.0 / nullif(cast(total AS double), 0.0)')} AS cumulative_pct
+FROM c ORDER BY minutes DESC, machine_name ASC NULLS LAST, line_name ASC NULLS LAST
+"""
+
+VW_SHIFT_PERFORMANCE = f"""
+SELECT s.shift_name, m.line_name, m.machine_name,
+  count(*) AS shift_count,
+  {avg_exact('f.oee_pct')} AS avg_oee_pct,
+  {avg_exact('f.availability')} AS avg_availability_pct,
+  {avg_exact('f.performance')} AS avg_performance_pct,
+  {avg_exact('f.quality_rate')} AS avg_quality_rate_pct,
+  {_isum('f.actual_qty')} AS total_actual_qty,
+  {_isum('f.total_defect_qty')} AS total_defects,
+  {_dsum('f.unplanned_downtime_min')} AS total_unplanned_downtime_min
+FROM ({WH_FACT}) f
+JOIN ({WH_DIM_SHIFT}) s ON f.shift_key = s.shift_key
+JOIN ({WH_DIM_MACHINE}) m ON f.machine_key = m.machine_key
+GROUP BY s.shift_name, m.line_name, m.machine_name
+"""
+
+DRILLDOWN = f"""
+SELECT m.plant_id, m.line_id, m.machine_id,
+  cast(grouping(m.plant_id, m.line_id, m.machine_id) AS int) AS grouping_level,
+  CASE grouping(m.plant_id, m.line_id, m.machine_id) WHEN 0 THEN 'machine' WHEN 1 THEN 'line'
+       WHEN 3 THEN 'plant' ELSE 'all' END AS drill_level,
+  count(*) AS run_count,
+  {avg_exact('f.oee_pct')} AS avg_oee_pct,
+  {avg_exact('f.availability')} AS avg_availability_pct,
+  {avg_exact('f.performance')} AS avg_performance_pct,
+  {avg_exact('f.quality_rate')} AS avg_quality_rate_pct,
+  {_isum('f.actual_qty')} AS total_actual_qty,
+  {_isum('f.good_qty')} AS total_good_qty,
+  {_isum('f.total_defect_qty')} AS total_defects,
+  {_dsum('f.unplanned_downtime_min')} AS total_unplanned_downtime_min
+FROM ({WH_FACT}) f JOIN ({WH_DIM_MACHINE}) m ON f.machine_key = m.machine_key
+GROUP BY ROLLUP (m.plant_id, m.line_id, m.machine_id)
+"""
+
+_CORE = statements
+
+
+def statements() -> dict[str, str]:  # noqa: F811
+    return {
+        **_CORE(),
+        "dim_machine": DIM_MACHINE,
+        "dim_shift": DIM_SHIFT,
+        "dim_product": DIM_PRODUCT,
+        "dim_date": DIM_DATE,
+        "load_upsert_dim_machine": WH_DIM_MACHINE,
+        "load_dim_product": WH_DIM_PRODUCT,
+        "load_dim_date": WH_DIM_DATE,
+        "load_fact_fk_lookup": LOAD_FACT_FK_LOOKUP,
+        "load_fact_rejects": LOAD_FACT_REJECTS,
+        "load_fact_conform": LOAD_FACT_CONFORM,
+        "load_upsert_fact": WH_FACT,
+        "load_surrogate_keys": LOAD_SURROGATE_KEYS,
+        "load_verification": LOAD_VERIFICATION,
+        "vw_daily_oee": VW_DAILY_OEE,
+        "vw_monthly_summary": VW_MONTHLY_SUMMARY,
+        "vw_downtime_pareto": VW_DOWNTIME_PARETO,
+        "vw_shift_performance": VW_SHIFT_PERFORMANCE,
+        "drilldown_plant_line_machine": DRILLDOWN,
+    }

@@ -81,7 +81,7 @@ def q_fact_production(spark, sf_dir):
     return lake_fact(spark, sf_dir)
 
 
-def queries() -> dict[str, Query]:
+def _core_queries() -> dict[str, Query]:
     return {
         "dedup_production": q_dedup_production,
         "dedup_downtime": q_dedup_downtime,
@@ -95,3 +95,148 @@ def queries() -> dict[str, Query]:
         "oee": q_oee,
         "fact_production": q_fact_production,
     }
+
+
+# ── dimensions, warehouse, views ─────────────────────────────────────────────
+
+from shopfloor.operators import dims as _dims  # noqa: E402
+from shopfloor.operators import views as _views  # noqa: E402
+from shopfloor.operators import warehouse as _wh  # noqa: E402
+
+TIMESTAMP_COLS = {"created_at", "updated_at", "loaded_at", "last_loaded"}
+
+
+def _no_clock(df: DataFrame) -> DataFrame:
+    """Drop load-time columns (wall clock) from a registered result."""
+    return df.select(*[c for c in df.columns if c not in TIMESTAMP_COLS])
+
+
+def lake_dims(spark, sf_dir) -> dict[str, DataFrame]:
+    return _dims.all_dims(cleaned(spark, sf_dir)["production"])
+
+
+def warehouse_dims(spark, sf_dir) -> dict[str, DataFrame]:
+    d = lake_dims(spark, sf_dir)
+    return {
+        "dim_machine": _wh.upsert_dim_machine(d["dim_machine"]),
+        "dim_shift": _wh.seed_dim_shift(spark),
+        "dim_product": _wh.insert_dim_product(d["dim_product"]),
+        "dim_date": _wh.insert_dim_date(d["dim_date"]),
+    }
+
+
+def resolved_fact(spark, sf_dir, wh_dims=None) -> DataFrame:
+    wh_dims = wh_dims or warehouse_dims(spark, sf_dir)
+    return _wh.resolve_fact(lake_fact(spark, sf_dir), wh_dims["dim_machine"], wh_dims["dim_shift"],
+                            wh_dims["dim_product"])
+
+
+def warehouse(spark, sf_dir) -> dict[str, DataFrame]:
+    """A fresh warehouse loaded from one lake snapshot."""
+    wh_dims = warehouse_dims(spark, sf_dir)
+    stage = lake_fact(spark, sf_dir)
+    resolved = _wh.resolve_fact(stage, wh_dims["dim_machine"], wh_dims["dim_shift"], wh_dims["dim_product"])
+    return {**wh_dims, "fact_production": _wh.upsert_fact(resolved, stage)}
+
+
+def q_dim_machine(spark, sf_dir):
+    return lake_dims(spark, sf_dir)["dim_machine"]
+
+
+def q_dim_shift(spark, sf_dir):
+    return lake_dims(spark, sf_dir)["dim_shift"]
+
+
+def q_dim_product(spark, sf_dir):
+    return lake_dims(spark, sf_dir)["dim_product"]
+
+
+def q_dim_date(spark, sf_dir):
+    return lake_dims(spark, sf_dir)["dim_date"]
+
+
+def q_load_upsert_dim_machine(spark, sf_dir):
+    return _no_clock(warehouse_dims(spark, sf_dir)["dim_machine"])
+
+
+def q_load_dim_product(spark, sf_dir):
+    return warehouse_dims(spark, sf_dir)["dim_product"]
+
+
+def q_load_dim_date(spark, sf_dir):
+    return warehouse_dims(spark, sf_dir)["dim_date"]
+
+
+def q_load_fact_fk_lookup(spark, sf_dir):
+    r = resolved_fact(spark, sf_dir).filter("reject_reason IS NULL")
+    return r.select("production_id", "date_key", "machine_key", "shift_key", "product_key")
+
+
+def q_load_fact_rejects(spark, sf_dir):
+    return _wh.fact_rejects(resolved_fact(spark, sf_dir))
+
+
+def q_load_fact_conform(spark, sf_dir):
+    r = resolved_fact(spark, sf_dir).filter("reject_reason IS NULL")
+    return r.select("production_id", *_wh.MINUTE_COLS, "downtime_events", *_wh.PERCENT_COLS)
+
+
+def q_load_upsert_fact(spark, sf_dir):
+    return _no_clock(warehouse(spark, sf_dir)["fact_production"])
+
+
+def q_load_surrogate_keys(spark, sf_dir):
+    return warehouse(spark, sf_dir)["fact_production"].select("production_sk", "production_id")
+
+
+def q_load_verification(spark, sf_dir):
+    return _no_clock(_wh.load_verification(warehouse(spark, sf_dir)))
+
+
+def q_vw_daily_oee(spark, sf_dir):
+    w = warehouse(spark, sf_dir)
+    return _views.daily_oee(w["fact_production"], w["dim_date"], w["dim_machine"], w["dim_shift"])
+
+
+def q_vw_monthly_summary(spark, sf_dir):
+    w = warehouse(spark, sf_dir)
+    return _views.monthly_summary(w["fact_production"], w["dim_date"], w["dim_machine"], w["dim_product"])
+
+
+def q_vw_downtime_pareto(spark, sf_dir):
+    w = warehouse(spark, sf_dir)
+    return _views.downtime_pareto(w["fact_production"], w["dim_machine"])
+
+
+def q_vw_shift_performance(spark, sf_dir):
+    w = warehouse(spark, sf_dir)
+    return _views.shift_performance(w["fact_production"], w["dim_shift"], w["dim_machine"])
+
+
+def q_drilldown_plant_line_machine(spark, sf_dir):
+    w = warehouse(spark, sf_dir)
+    return _views.drilldown(w["fact_production"], w["dim_machine"])
+
+
+def queries() -> dict[str, Query]:
+    return {
+        **_core_queries(),
+        "dim_machine": q_dim_machine,
+        "dim_shift": q_dim_shift,
+        "dim_product": q_dim_product,
+        "dim_date": q_dim_date,
+        "load_upsert_dim_machine": q_load_upsert_dim_machine,
+        "load_dim_product": q_load_dim_product,
+        "load_dim_date": q_load_dim_date,
+        "load_fact_fk_lookup": q_load_fact_fk_lookup,
+        "load_fact_rejects": q_load_fact_rejects,
+        "load_fact_conform": q_load_fact_conform,
+        "load_upsert_fact": q_load_upsert_fact,
+        "load_surrogate_keys": q_load_surrogate_keys,
+        "load_verification": q_load_verification,
+        "vw_daily_oee": q_vw_daily_oee,
+        "vw_monthly_summary": q_vw_monthly_summary,
+        "vw_downtime_pareto": q_vw_downtime_pareto,
+        "vw_shift_performance": q_vw_shift_performance,
+        "drilldown_plant_line_machine": q_drilldown_plant_line_machine,
+    }
