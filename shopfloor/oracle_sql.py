@@ -505,3 +505,185 @@ def statements() -> dict[str, str]:  # noqa: F811
         "vw_shift_performance": VW_SHIFT_PERFORMANCE,
         "drilldown_plant_line_machine": DRILLDOWN,
     }
+
+
+# ── data-quality suites ──────────────────────────────────────────────────────
+
+
+def _check(seq: int, table: str, src: str, name: str, col: str | None, sev: str, failed: str,
+           kind: str = "count", threshold: float | None = None, msg: str = "") -> str:
+    col_sql = f"'{col}'" if col is not None else "cast(NULL AS varchar)"
+    thr = f"cast({threshold!r} AS double)" if threshold is not None else "cast(NULL AS double)"
+    if kind == "not_empty":
+        failed = "CASE WHEN count(*) = 0 THEN 1 ELSE 0 END"
+    passed = f"ratio <= {thr}" if kind == "ratio" else "failed_count = 0"
+    return f"""
+SELECT {seq} AS check_seq, '{table}' AS table_name, '{name}' AS check_name, {col_sql} AS column_name,
+  '{sev}' AS severity, failed_count, total_count, ratio, {thr} AS threshold, passed,
+  CASE WHEN NOT passed THEN {msg} END AS message
+FROM (
+  SELECT *, {passed} AS passed FROM (
+    SELECT *, CASE WHEN total_count > 0 THEN cast(failed_count AS double) / cast(total_count AS double)
+                   ELSE 0.0 END AS ratio
+    FROM (SELECT cast({failed} AS bigint) AS failed_count, cast(count(*) AS bigint) AS total_count FROM ({src}) s) a
+  ) b
+) c
+"""
+
+
+def _n(x: str = "failed_count") -> str:
+    return f"format('{{:,}}', {x})"
+
+
+def _p(x: str = "ratio") -> str:
+    return f"format('{{:.1f}}', {x} * 100.0) || '%'"
+
+
+def _txt(*parts: str) -> str:
+    return " || ".join(parts)
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def c_not_empty(seq, table, src):
+    return _check(seq, table, src, "not_empty", None, "critical", "0", "not_empty",
+                  msg=_q(f"[{table}] DataFrame is empty."))
+
+
+def c_null_key(seq, table, src, col):
+    return _check(seq, table, src, "null_keys", col, "critical", f"count(*) FILTER (WHERE {col} IS NULL)",
+                  msg=_txt(_q(f"[{table}] Column '{col}' has "), _n(), _q(" NULL values (key column).")))
+
+
+def _distinct(src, keys):
+    return f"(SELECT count(*) FROM (SELECT DISTINCT {', '.join(keys)} FROM ({src}) d) dd)"
+
+
+def c_duplicates(seq, table, src, keys):
+    keys_txt = "[" + ", ".join(f"'{k}'" for k in keys) + "]"
+    return _check(seq, table, src, "duplicates", ",".join(keys), "critical",
+                  f"count(*) - {_distinct(src, keys)}",
+                  msg=_txt(_q(f"[{table}] "), _n(), _q(f" duplicate rows on keys {keys_txt}.")))
+
+
+def c_duplicate_ratio(seq, table, src, keys, threshold):
+    keys_txt = "[" + ", ".join(f"'{k}'" for k in keys) + "]"
+    return _check(seq, table, src, "duplicate_ratio", ",".join(keys), "warning",
+                  f"count(*) - {_distinct(src, keys)}", "ratio", threshold,
+                  msg=_txt(_q(f"[{table}] duplicate ratio "), _p(),
+                           _q(f" on keys {keys_txt} exceeds threshold {threshold * 100:.1f}%.")))
+
+
+def c_date_format(seq, table, src, col):
+    bad = f"{parse_date(f'cast({col} AS varchar)')} IS NULL AND {col} IS NOT NULL"
+    return _check(seq, table, src, "date_format", col, "critical", f"count(*) FILTER (WHERE {bad})",
+                  msg=_txt(_q(f"[{table}] Column '{col}' has "), _n(),
+                           _q(" rows with invalid date format (expected yyyy-MM-dd).")))
+
+
+def c_value_range(seq, table, src, col, lo=0, hi=None):
+    cond = f"{col} < {lo}" + (f" OR {col} > {hi}" if hi is not None else "")
+    desc = f">= {lo}" + (f" and <= {hi}" if hi else "")
+    return _check(seq, table, src, "value_range", col, "warning", f"count(*) FILTER (WHERE {cond})",
+                  msg=_txt(_q(f"[{table}] Column '{col}' has "), _n(),
+                           _q(f" rows outside expected range ({desc}).")))
+
+
+def c_null_ratio(seq, table, src, col, threshold):
+    return _check(seq, table, src, "null_ratio", col, "warning", f"count(*) FILTER (WHERE {col} IS NULL)",
+                  "ratio", threshold,
+                  msg=_txt(_q(f"[{table}] Column '{col}' NULL ratio "), _p(),
+                           _q(f" exceeds threshold {threshold * 100:.1f}%.")))
+
+
+def c_oee(seq, table, src, col):
+    return _check(seq, table, src, "oee_bounds", col, "warning",
+                  f"count(*) FILTER (WHERE {col} < 0 OR {col} > 100)",
+                  msg=_txt(_q(f"[{table}] OEE metric '{col}' has "), _n(), _q(" rows outside [0, 100].")))
+
+
+def _union(parts: list[str]) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+def suite_production(src=RAW_PRODUCTION, t="production"):
+    return _union([
+        c_not_empty(1, t, src),
+        c_null_key(2, t, src, "production_id"), c_null_key(3, t, src, "machine_id"),
+        c_null_key(4, t, src, "production_date"),
+        c_duplicates(5, t, src, ["production_id"]),
+        c_date_format(6, t, src, "production_date"),
+        c_value_range(7, t, src, "planned_qty"), c_value_range(8, t, src, "actual_qty"),
+        c_value_range(9, t, src, "good_qty"),
+        c_null_ratio(10, t, src, "shift_id", 0.01),
+    ])
+
+
+def suite_downtime(src=RAW_DOWNTIME, t="downtime"):
+    return _union([
+        c_not_empty(1, t, src),
+        c_null_key(2, t, src, "downtime_id"), c_null_key(3, t, src, "machine_id"),
+        c_duplicates(4, t, src, ["downtime_id"]),
+        c_date_format(5, t, src, "production_date"),
+        c_value_range(6, t, src, "downtime_minutes", 0, 1440),
+        c_null_ratio(7, t, src, "downtime_reason", 0.1),
+    ])
+
+
+def suite_quality(src=RAW_QUALITY, t="quality"):
+    return _union([
+        c_not_empty(1, t, src),
+        c_null_key(2, t, src, "inspection_id"), c_null_key(3, t, src, "machine_id"),
+        c_duplicates(4, t, src, ["inspection_id"]),
+        c_date_format(5, t, src, "production_date"),
+        c_value_range(6, t, src, "defect_qty"), c_value_range(7, t, src, "inspected_qty"),
+    ])
+
+
+def suite_fact(src=FACT_PRODUCTION, t="fact_production"):
+    return _union([
+        c_not_empty(1, t, src),
+        c_null_key(2, t, src, "production_id"), c_null_key(3, t, src, "machine_id"),
+        c_null_key(4, t, src, "production_date"),
+        c_duplicates(5, t, src, ["production_id"]),
+        c_oee(6, t, src, "availability"), c_oee(7, t, src, "performance"),
+        c_oee(8, t, src, "quality_rate"), c_oee(9, t, src, "oee_pct"),
+        c_value_range(10, t, src, "oee_pct", 0, 100),
+    ])
+
+
+DQ_SUMMARY = f"""
+SELECT table_name, check_seq, check_name, column_name, severity, failed_count, message,
+  CASE WHEN severity = 'critical' THEN 'raise' ELSE 'log' END AS action
+FROM (
+  {suite_production()}
+  UNION ALL {suite_downtime()}
+  UNION ALL {suite_quality()}
+  UNION ALL {suite_fact()}
+) r WHERE NOT passed
+"""
+
+_CORE2 = statements
+
+
+def statements() -> dict[str, str]:  # noqa: F811
+    return {
+        **_CORE2(),
+        "dq_suite_production": suite_production(),
+        "dq_suite_downtime": suite_downtime(),
+        "dq_suite_quality": suite_quality(),
+        "dq_suite_fact": suite_fact(),
+        "dq_not_empty": c_not_empty(1, "fact_production", FACT_PRODUCTION),
+        "dq_null_keys": _union([c_null_key(i + 1, "fact_production", FACT_PRODUCTION, c)
+                                for i, c in enumerate(["production_id", "machine_id", "production_date"])]),
+        "dq_duplicates": c_duplicates(1, "production", RAW_PRODUCTION, ["production_id"]),
+        "dq_date_format": c_date_format(1, "production", RAW_PRODUCTION, "production_date"),
+        "dq_value_range": c_value_range(1, "downtime", RAW_DOWNTIME, "downtime_minutes", 0, 1440),
+        "dq_null_ratio": c_null_ratio(1, "downtime", RAW_DOWNTIME, "downtime_reason", 0.1),
+        "dq_oee_bounds": _union([c_oee(i + 1, "fact_production", FACT_PRODUCTION, c)
+                                 for i, c in enumerate(["availability", "performance", "quality_rate", "oee_pct"])]),
+        "dq_duplicate_ratio": c_duplicate_ratio(1, "production", RAW_PRODUCTION, ["production_id"], 0.01),
+        "dq_summary": DQ_SUMMARY,
+    }

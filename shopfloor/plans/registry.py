@@ -240,3 +240,89 @@ def queries() -> dict[str, Query]:
         "vw_shift_performance": q_vw_shift_performance,
         "drilldown_plant_line_machine": q_drilldown_plant_line_machine,
     }
+
+
+# ── data quality ─────────────────────────────────────────────────────────────
+
+from shopfloor.operators import quality as _dq  # noqa: E402
+
+
+def q_dq_suite_production(spark, sf_dir):
+    return _dq.run_suite(raw(spark, sf_dir)["production"], "production", _dq.production_suite())
+
+
+def q_dq_suite_downtime(spark, sf_dir):
+    return _dq.run_suite(raw(spark, sf_dir)["downtime"], "downtime", _dq.downtime_suite())
+
+
+def q_dq_suite_quality(spark, sf_dir):
+    return _dq.run_suite(raw(spark, sf_dir)["quality"], "quality", _dq.quality_suite())
+
+
+def q_dq_suite_fact(spark, sf_dir):
+    f = lake_fact(spark, sf_dir)
+    return _dq.run_suite(f, "fact_production", _dq.fact_suite(f.columns))
+
+
+def q_dq_not_empty(spark, sf_dir):
+    return _dq.run_suite(lake_fact(spark, sf_dir), "fact_production", [_dq.not_empty()])
+
+
+def q_dq_null_keys(spark, sf_dir):
+    keys = ["production_id", "machine_id", "production_date"]
+    return _dq.run_suite(lake_fact(spark, sf_dir), "fact_production", _dq.null_keys(keys))
+
+
+def q_dq_duplicates(spark, sf_dir):
+    return _dq.run_suite(raw(spark, sf_dir)["production"], "production", [_dq.duplicates(["production_id"])])
+
+
+def q_dq_date_format(spark, sf_dir):
+    return _dq.run_suite(raw(spark, sf_dir)["production"], "production", [_dq.date_format("production_date")])
+
+
+def q_dq_value_range(spark, sf_dir):
+    check = _dq.value_range("downtime_minutes", min_val=0, max_val=1440)
+    return _dq.run_suite(raw(spark, sf_dir)["downtime"], "downtime", [check])
+
+
+def q_dq_null_ratio(spark, sf_dir):
+    check = _dq.null_ratio("downtime_reason", threshold=0.10)
+    return _dq.run_suite(raw(spark, sf_dir)["downtime"], "downtime", [check])
+
+
+def q_dq_oee_bounds(spark, sf_dir):
+    f = lake_fact(spark, sf_dir)
+    return _dq.run_suite(f, "fact_production", _dq.oee_bounds(f.columns))
+
+
+def q_dq_duplicate_ratio(spark, sf_dir):
+    check = _dq.duplicate_ratio(["production_id"], threshold=_dq.DEV.max_duplicate_ratio)
+    return _dq.run_suite(raw(spark, sf_dir)["production"], "production", [check])
+
+
+def q_dq_summary(spark, sf_dir):
+    tables = {**raw(spark, sf_dir), "fact_production": lake_fact(spark, sf_dir)}
+    return _dq.summary(_dq.run_suites(tables))
+
+
+_WAREHOUSE_QUERIES = queries
+
+
+def queries() -> dict[str, Query]:  # noqa: F811
+    return {
+        **_WAREHOUSE_QUERIES(),
+        "dq_suite_production": q_dq_suite_production,
+        "dq_suite_downtime": q_dq_suite_downtime,
+        "dq_suite_quality": q_dq_suite_quality,
+        "dq_suite_fact": q_dq_suite_fact,
+        "dq_not_empty": q_dq_not_empty,
+        "dq_null_keys": q_dq_null_keys,
+        "dq_duplicates": q_dq_duplicates,
+        "dq_date_format": q_dq_date_format,
+        "dq_value_range": q_dq_value_range,
+        "dq_null_ratio": q_dq_null_ratio,
+        "dq_oee_bounds": q_dq_oee_bounds,
+        "dq_duplicate_ratio": q_dq_duplicate_ratio,
+        "dq_summary": q_dq_summary,
+    }
