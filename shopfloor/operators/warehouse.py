@@ -50,8 +50,10 @@ def _now(load_ts: Column | None) -> Column:
     return (load_ts if load_ts is not None else F.current_timestamp()).cast("timestamp")
 
 
-def _next_key(target: DataFrame, key: str) -> int:
-    """Largest surrogate key in use (0 for an empty table) — a one-row aggregate."""
+def _next_key(target: DataFrame | None, key: str) -> int:
+    """Largest surrogate key in use (0 for no table) — a one-row aggregate."""
+    if target is None:
+        return 0
     value = target.agg(F.max(key)).first()[0]
     return int(value or 0)
 
@@ -66,6 +68,7 @@ def _conform(df: DataFrame, schema) -> DataFrame:
 def upsert_dim_machine(stage: DataFrame, target: DataFrame | None = None, load_ts: Column | None = None) -> DataFrame:
     """Stage (lake dim_machine) replaces matching members; keys and created_at survive."""
     spark = stage.sparkSession
+    start = _next_key(target, "machine_key")
     target = target if target is not None else empty(spark, "dim_machine")
     now = _now(load_ts)
     staged = stage.select(
@@ -77,7 +80,7 @@ def upsert_dim_machine(stage: DataFrame, target: DataFrame | None = None, load_t
     matched = staged.join(target.select("machine_id", "machine_key", "created_at"), "machine_id", "inner")
     matched = matched.withColumn("updated_at", now)
     new = staged.join(target.select("machine_id"), "machine_id", "left_anti")
-    new = dense_key(new, "machine_key", "machine_id", start=_next_key(target, "machine_key"), key_type="int")
+    new = dense_key(new, "machine_key", "machine_id", start=start, key_type="int")
     new = new.withColumn("created_at", now).withColumn("updated_at", now)
     result = kept.unionByName(_conform(matched, schemas.DIM_MACHINE)).unionByName(_conform(new, schemas.DIM_MACHINE))
     return _conform(result, schemas.DIM_MACHINE)
@@ -85,6 +88,7 @@ def upsert_dim_machine(stage: DataFrame, target: DataFrame | None = None, load_t
 
 def seed_dim_shift(spark: SparkSession, target: DataFrame | None = None) -> DataFrame:
     """Insert the seeded shifts that are not present yet (anti-join on shift_id)."""
+    start = _next_key(target, "shift_key")
     target = target if target is not None else empty(spark, "dim_shift")
     seed = spark.createDataFrame(
         [(i, *row) for i, row in enumerate(SHIFT_SEED)],
@@ -94,7 +98,6 @@ def seed_dim_shift(spark: SparkSession, target: DataFrame | None = None) -> Data
     # The seed is three rows: the ordering window runs over those only.
     from pyspark.sql import Window
 
-    start = _next_key(target, "shift_key")
     new = new.withColumn("shift_key", F.lit(start) + F.row_number().over(Window.orderBy("seq")))
     return _conform(target.unionByName(_conform(new, schemas.DIM_SHIFT)), schemas.DIM_SHIFT)
 
@@ -102,12 +105,13 @@ def seed_dim_shift(spark: SparkSession, target: DataFrame | None = None) -> Data
 def insert_dim_product(stage: DataFrame, target: DataFrame | None = None) -> DataFrame:
     """Append members whose product_id is not present; keys continue after the largest."""
     spark = stage.sparkSession
+    start = _next_key(target, "product_key")
     target = target if target is not None else empty(spark, "dim_product")
     staged = stage.select("product_id", "product_name", "product_family", "unit_of_measure").filter(
         F.col("product_id").isNotNull()
     )
     new = staged.join(target.select("product_id"), "product_id", "left_anti")
-    new = dense_key(new, "product_key", "product_id", start=_next_key(target, "product_key"), key_type="int")
+    new = dense_key(new, "product_key", "product_id", start=start, key_type="int")
     return _conform(target.unionByName(_conform(new, schemas.DIM_PRODUCT)), schemas.DIM_PRODUCT)
 
 
@@ -210,11 +214,12 @@ def upsert_fact(
     production_id order.
     """
     spark = resolved.sparkSession
+    start = _next_key(target, "production_sk")
     target = target if target is not None else empty(spark, "fact_production")
     kept = target.join(stage.select("production_id").filter(F.col("production_id").isNotNull()),
                        "production_id", "left_anti")
     loadable = resolved.filter(F.col("reject_reason").isNull())
-    keyed = dense_key(loadable, "production_sk", "production_id", start=_next_key(target, "production_sk"))
+    keyed = dense_key(loadable, "production_sk", "production_id", start=start)
     new = _conform(keyed.withColumn("loaded_at", _now(load_ts)), schemas.FACT_PRODUCTION)
     return kept.unionByName(new)
 

@@ -687,3 +687,41 @@ def statements() -> dict[str, str]:  # noqa: F811
         "dq_duplicate_ratio": c_duplicate_ratio(1, "production", RAW_PRODUCTION, ["production_id"], 0.01),
         "dq_summary": DQ_SUMMARY,
     }
+
+
+# ── scans, sinks, catalog, layout, streaming (identity of their source) ──────
+
+_WH_FACT_NO_CLOCK = WH_FACT
+
+_CORE3 = statements
+
+
+def statements() -> dict[str, str]:  # noqa: F811
+    return {
+        **_CORE3(),
+        "scan_csv_production": RAW_PRODUCTION,
+        "scan_csv_downtime": RAW_DOWNTIME,
+        "scan_csv_quality": RAW_QUALITY,
+        "scan_json_production": RAW_PRODUCTION,
+        "sink_parquet": RAW_PRODUCTION,
+        "sink_fact_partitioned": FACT_PRODUCTION,
+        "fact_rowcount": f"SELECT count(*) AS fact_rows FROM ({FACT_PRODUCTION}) f",
+        "sink_dims": f"""
+SELECT 'dim_machine' AS table_name, count(*) AS row_count FROM ({DIM_MACHINE}) a
+UNION ALL SELECT 'dim_shift', count(*) FROM ({DIM_SHIFT}) b
+UNION ALL SELECT 'dim_product', count(*) FROM ({DIM_PRODUCT}) c
+UNION ALL SELECT 'dim_date', count(*) FROM ({DIM_DATE}) d
+""",
+        "load_copy_parquet": f"""
+SELECT machine_id, machine_name, machine_type, is_active, line_id, line_name, plant_id, plant_name,
+  cast(NULL AS varchar) AS plant_location
+FROM ({DIM_MACHINE}) m
+""",
+        "catalog_register_raw": RAW_PRODUCTION,
+        "catalog_register_fact": FACT_PRODUCTION,
+        "catalog_star_schema": WH_DIM_DATE,
+        "layout_fact_sorted": _WH_FACT_NO_CLOCK,
+        "maint_compact": _WH_FACT_NO_CLOCK,
+        "maint_analyze": f"SELECT 'fact_production' AS table_name, count(*) AS row_count FROM ({WH_FACT}) f",
+        "stream_raw_to_parquet": RAW_PRODUCTION,
+    }

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopfloor.operators import aggregate, clean, fact
 from shopfloor.sources import testdata
@@ -102,6 +103,8 @@ def _core_queries() -> dict[str, Query]:
 from shopfloor.operators import dims as _dims  # noqa: E402
 from shopfloor.operators import views as _views  # noqa: E402
 from shopfloor.operators import warehouse as _wh  # noqa: E402
+from shopfloor.plans import etl as _etl  # noqa: E402
+from shopfloor.plans import load as _load  # noqa: E402
 
 TIMESTAMP_COLS = {"created_at", "updated_at", "loaded_at", "last_loaded"}
 
@@ -115,8 +118,20 @@ def lake_dims(spark, sf_dir) -> dict[str, DataFrame]:
     return _dims.all_dims(cleaned(spark, sf_dir)["production"])
 
 
+def materialized_lake(spark, sf_dir) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Lake fact checkpointed once, dimensions derived from it (as the batch plan does)."""
+    f = _etl.materialize(lake_fact(spark, sf_dir))
+    return f, _dims.all_dims(f)
+
+
+def warehouse(spark, sf_dir) -> dict[str, DataFrame]:
+    """A fresh warehouse loaded from one lake snapshot (plus ``rejects``)."""
+    f, d = materialized_lake(spark, sf_dir)
+    return _load.load(spark, f, d)
+
+
 def warehouse_dims(spark, sf_dir) -> dict[str, DataFrame]:
-    d = lake_dims(spark, sf_dir)
+    _, d = materialized_lake(spark, sf_dir)
     return {
         "dim_machine": _wh.upsert_dim_machine(d["dim_machine"]),
         "dim_shift": _wh.seed_dim_shift(spark),
@@ -125,18 +140,11 @@ def warehouse_dims(spark, sf_dir) -> dict[str, DataFrame]:
     }
 
 
-def resolved_fact(spark, sf_dir, wh_dims=None) -> DataFrame:
-    wh_dims = wh_dims or warehouse_dims(spark, sf_dir)
-    return _wh.resolve_fact(lake_fact(spark, sf_dir), wh_dims["dim_machine"], wh_dims["dim_shift"],
-                            wh_dims["dim_product"])
-
-
-def warehouse(spark, sf_dir) -> dict[str, DataFrame]:
-    """A fresh warehouse loaded from one lake snapshot."""
-    wh_dims = warehouse_dims(spark, sf_dir)
-    stage = lake_fact(spark, sf_dir)
-    resolved = _wh.resolve_fact(stage, wh_dims["dim_machine"], wh_dims["dim_shift"], wh_dims["dim_product"])
-    return {**wh_dims, "fact_production": _wh.upsert_fact(resolved, stage)}
+def resolved_fact(spark, sf_dir) -> DataFrame:
+    f, d = materialized_lake(spark, sf_dir)
+    m = _wh.upsert_dim_machine(d["dim_machine"])
+    p = _wh.insert_dim_product(d["dim_product"])
+    return _wh.resolve_fact(f, m, _wh.seed_dim_shift(spark), p)
 
 
 def q_dim_machine(spark, sf_dir):
@@ -173,7 +181,7 @@ def q_load_fact_fk_lookup(spark, sf_dir):
 
 
 def q_load_fact_rejects(spark, sf_dir):
-    return _wh.fact_rejects(resolved_fact(spark, sf_dir))
+    return warehouse(spark, sf_dir)["rejects"]
 
 
 def q_load_fact_conform(spark, sf_dir):
@@ -190,7 +198,8 @@ def q_load_surrogate_keys(spark, sf_dir):
 
 
 def q_load_verification(spark, sf_dir):
-    return _no_clock(_wh.load_verification(warehouse(spark, sf_dir)))
+    w = warehouse(spark, sf_dir)
+    return _no_clock(_wh.load_verification({k: v for k, v in w.items() if k != "rejects"}))
 
 
 def q_vw_daily_oee(spark, sf_dir):
@@ -326,3 +335,179 @@ def queries() -> dict[str, Query]:  # noqa: F811
         "dq_duplicate_ratio": q_dq_duplicate_ratio,
         "dq_summary": q_dq_summary,
     }
+
+
+# ── scans, sinks, catalog, layout, streaming ─────────────────────────────────
+# Each writes data derived from the test tables into a fresh folder under the
+# shared checkpoint directory and reads it back through the operator.
+
+from shopfloor import schemas as _schemas  # noqa: E402
+from shopfloor.operators import layout as _layout  # noqa: E402
+from shopfloor.sources import catalog as _catalog  # noqa: E402
+from shopfloor.sources import raw as _raw  # noqa: E402
+from shopfloor.sources import sinks as _sinks  # noqa: E402
+from shopfloor.streaming import ingest as _ingest  # noqa: E402
+
+
+def _write_raw_text(spark, sf_dir, fmt: str) -> str:
+    base = _sinks.scratch_folder(spark, f"raw-{fmt}")
+    for name, df in raw(spark, sf_dir).items():
+        writer = df.write.mode("overwrite")
+        if fmt == "csv":
+            writer.option("header", "true").option("nullValue", "").csv(f"{base}/{name}")
+        else:
+            writer.json(f"{base}/{name}")
+    return base
+
+
+def q_scan_csv_production(spark, sf_dir):
+    base = _write_raw_text(spark, sf_dir, "csv")
+    return _raw.read_production(spark, f"{base}/production")
+
+
+def q_scan_csv_downtime(spark, sf_dir):
+    base = _write_raw_text(spark, sf_dir, "csv")
+    return _raw.read_downtime(spark, f"{base}/downtime")
+
+
+def q_scan_csv_quality(spark, sf_dir):
+    base = _write_raw_text(spark, sf_dir, "csv")
+    return _raw.read_quality(spark, f"{base}/quality")
+
+
+def q_scan_json_production(spark, sf_dir):
+    base = _write_raw_text(spark, sf_dir, "json")
+    return _raw.read_production(spark, f"{base}/production", fmt="json")
+
+
+def q_sink_parquet(spark, sf_dir):
+    path = _sinks.scratch_folder(spark, "sink-parquet")
+    _sinks.write_parquet(raw(spark, sf_dir)["production"], path)
+    return spark.read.parquet(path)
+
+
+def q_sink_fact_partitioned(spark, sf_dir):
+    path = _sinks.scratch_folder(spark, "sink-fact")
+    _sinks.write_fact(lake_fact(spark, sf_dir), path)
+    return spark.read.parquet(path).select(*_schemas.FACT_COLUMNS)
+
+
+def q_fact_rowcount(spark, sf_dir):
+    path = _sinks.scratch_folder(spark, "sink-fact-count")
+    rows = _sinks.write_fact(lake_fact(spark, sf_dir), path)
+    return spark.createDataFrame([(rows,)], "fact_rows long")
+
+
+def q_sink_dims(spark, sf_dir):
+    base = _sinks.scratch_folder(spark, "sink-dims")
+    _sinks.write_dims(lake_dims(spark, sf_dir), base)
+    parts = [spark.read.parquet(f"{base}/{n}").agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
+             for n in ["dim_machine", "dim_shift", "dim_product", "dim_date"]]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_load_copy_parquet(spark, sf_dir):
+    """Parquet → staging by column name; columns the files lack come back NULL."""
+    base = _sinks.scratch_folder(spark, "copy")
+    _sinks.write_dims({"dim_machine": lake_dims(spark, sf_dir)["dim_machine"]}, base)
+    files = spark.read.parquet(f"{base}/dim_machine")
+    staging = _schemas.DIM_MACHINE
+    cols = ["machine_id", "machine_name", "machine_type", "is_active", "line_id", "line_name",
+            "plant_id", "plant_name", "plant_location"]
+    present = set(files.columns)
+    return files.select(*[
+        (F.col(c) if c in present else F.lit(None)).cast(staging[c].dataType).alias(c) for c in cols
+    ])
+
+
+def _fresh_db(prefix: str) -> str:
+    import uuid
+
+    return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+def q_catalog_register_raw(spark, sf_dir):
+    base = _write_raw_text(spark, sf_dir, "csv")
+    db = _fresh_db("shopfloor_raw")
+    tables = _catalog.register_raw(spark, db, base)
+    return spark.table(tables[0])
+
+
+def q_catalog_register_fact(spark, sf_dir):
+    path = _sinks.scratch_folder(spark, "catalog-fact")
+    _sinks.write_fact(lake_fact(spark, sf_dir), path)
+    table = _catalog.register_fact(spark, _fresh_db("shopfloor_processed"), path)
+    return spark.table(table).select(*_schemas.FACT_COLUMNS)
+
+
+def q_catalog_star_schema(spark, sf_dir):
+    db = _fresh_db("shopfloor_wh")
+    _catalog.create_star_schema(spark, db, _sinks.scratch_folder(spark, "star"))
+    _catalog.create_star_schema(spark, db)  # idempotent second run
+    warehouse_dims(spark, sf_dir)["dim_date"].write.insertInto(f"{db}.dim_date")
+    return spark.table(f"{db}.dim_date")
+
+
+def q_catalog_schema_drift(spark, sf_dir):
+    """Declared raw production schema vs the schema of the written lake fact."""
+    path = _sinks.scratch_folder(spark, "drift")
+    _sinks.write_fact(lake_fact(spark, sf_dir), path)
+    return _catalog.schema_drift(spark, _schemas.PRODUCTION, spark.read.parquet(path).schema)
+
+
+def q_layout_fact_sorted(spark, sf_dir):
+    return _no_clock(_layout.sorted_fact(warehouse(spark, sf_dir)["fact_production"]))
+
+
+def q_maint_compact(spark, sf_dir):
+    base = _sinks.scratch_folder(spark, "wh")
+    _load.publish(spark, base, "fact_production", warehouse(spark, sf_dir)["fact_production"], sort=False)
+    _load.compact(spark, base)
+    return _no_clock(spark.read.parquet(_load.current_snapshot(spark, base, "fact_production")))
+
+
+def q_maint_analyze(spark, sf_dir):
+    base = _sinks.scratch_folder(spark, "wh-analyze")
+    snap = _load.publish(spark, base, "fact_production", warehouse(spark, sf_dir)["fact_production"])
+    db = _fresh_db("shopfloor_stats")
+    _catalog.ensure_database(spark, db)
+    spark.catalog.createTable(f"{db}.fact_production", path=snap, source="parquet")
+    return _layout.analyze(spark, f"{db}.fact_production").select("table_name", "row_count")
+
+
+def q_stream_raw_to_parquet(spark, sf_dir):
+    base = _write_raw_text(spark, sf_dir, "csv")
+    out = _sinks.scratch_folder(spark, "raw-parquet")
+    ckpt = _sinks.scratch_folder(spark, "raw-stream-ckpt")
+    q = _ingest.start_ingest(spark, f"{base}/production", f"{out}/production", f"{ckpt}/production", "production")
+    q.awaitTermination()
+    return _ingest.read_parquet_copy(spark, f"{out}/production", "production")
+
+
+_LOGIC_QUERIES = queries
+
+
+def queries() -> dict[str, Query]:  # noqa: F811
+    return {
+        **_LOGIC_QUERIES(),
+        "scan_csv_production": q_scan_csv_production,
+        "scan_csv_downtime": q_scan_csv_downtime,
+        "scan_csv_quality": q_scan_csv_quality,
+        "scan_json_production": q_scan_json_production,
+        "sink_parquet": q_sink_parquet,
+        "sink_fact_partitioned": q_sink_fact_partitioned,
+        "fact_rowcount": q_fact_rowcount,
+        "sink_dims": q_sink_dims,
+        "load_copy_parquet": q_load_copy_parquet,
+        "catalog_register_raw": q_catalog_register_raw,
+        "catalog_register_fact": q_catalog_register_fact,
+        "catalog_star_schema": q_catalog_star_schema,
+        "catalog_schema_drift": q_catalog_schema_drift,
+        "layout_fact_sorted": q_layout_fact_sorted,
+        "maint_compact": q_maint_compact,
+        "maint_analyze": q_maint_analyze,
+        "stream_raw_to_parquet": q_stream_raw_to_parquet,
+    }
