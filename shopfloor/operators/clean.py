@@ -4,17 +4,17 @@ Order of steps, per table: key filter → NaN normalisation → dedup by id →
 parse / clamp / decode.  Filtering before dedup means a valid copy of an id
 is never lost to a twin with a NULL key.
 
-Dedup keeps, per id, the smallest row under the total order "every other
+Dedup keeps, per id, the first row under the total order "every other
 column ascending, NULLs last" — the same survivor on every run, retry and
-partitioning.  It is an aggregation (``min`` of a struct), not a window: the
-partial aggregate collapses duplicates map-side before the shuffle, so an id
-carrying a third of all rows sends one row per map task, not all of them,
-to a single reducer.
+partitioning.  It is written as ``row_number() = 1`` over that order; Spark
+plans it with a partial ``WindowGroupLimit`` *before* the shuffle, so every
+map task already keeps one row per id and an id carrying a third of all
+rows sends one row per map task, not all of them, to a single reducer.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -22,13 +22,10 @@ from shopfloor.functions import clamp_negative, nan_to_null, parse_date
 
 
 def dedup_by_key(df: DataFrame, key: str) -> DataFrame:
-    """One row per ``key``: the minimum of the other columns (ascending, NULLs last)."""
-    others = [c for c in df.columns if c != key]
-    # (is_null, value) pairs: false < true puts NULLs last; equal flags on
-    # NULL compare equal, so the order is total on the remaining columns.
-    order = F.struct(*[F.struct(F.col(c).isNull().alias("n"), F.col(c).alias("v")).alias(c) for c in others])
-    survivors = df.groupBy(key).agg(F.min(order).alias("_row"))
-    return survivors.select(*[F.col(key) if c == key else F.col("_row")[c]["v"].alias(c) for c in df.columns])
+    """One row per ``key``: the first by the other columns (ascending, NULLs last)."""
+    order = [F.col(c).asc_nulls_last() for c in df.columns if c != key]
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    return df.withColumn("_rn", rank).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def normalize_nan(df: DataFrame) -> DataFrame:

@@ -303,13 +303,15 @@ def summary(results: DataFrame) -> DataFrame:
 def enforce(results: DataFrame, gate: set[str] | None = None) -> list[str]:
     """Log warnings; raise for failed critical checks.
 
-    ``gate`` restricts which critical checks raise (by check name); ``None``
-    raises on every failed critical check.  Returns the warning messages.
+    ``gate`` restricts which critical checks raise: entries are a check name
+    (``"duplicates"``) or ``"check:column"`` (``"null_keys:machine_id"``);
+    ``None`` raises on every failed critical check.  Returns the warning messages.
     """
     failed = summary(results).orderBy("table_name", "check_seq").collect()  # one row per failed check
     warnings, errors = [], []
     for r in failed:
-        if r["severity"] == CRITICAL and (gate is None or r["check_name"] in gate):
+        gated = gate is None or r["check_name"] in gate or f"{r['check_name']}:{r['column_name']}" in gate
+        if r["severity"] == CRITICAL and gated:
             errors.append(r["message"])
         else:
             warnings.append(r["message"])

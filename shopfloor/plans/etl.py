@@ -28,7 +28,10 @@ from shopfloor.sources import raw as raw_sources
 from shopfloor.sources import sinks
 
 # Critical fact checks that stop a run by default; "strict" raises on all.
-DEFAULT_GATE = {"not_empty", "null_keys", "duplicates"}
+# Runs with an unparseable date stay in the lake (NULL date) and are split
+# off as rejects by the warehouse load, so a NULL production_date does not
+# stop the job by default.
+DEFAULT_GATE = {"not_empty", "null_keys:production_id", "null_keys:machine_id", "duplicates"}
 
 
 @dataclass

@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from shopfloor.operators import layout
 from shopfloor.operators import warehouse as wh
-from shopfloor.plans.etl import materialize
 
 TABLES = ["dim_date", "dim_machine", "dim_shift", "dim_product", "fact_production"]
 POINTER = "_current"
@@ -38,7 +37,9 @@ def load(
     dim_shift = wh.seed_dim_shift(spark, cur.get("dim_shift"))
     dim_product = wh.insert_dim_product(lake_dims["dim_product"], cur.get("dim_product"))
     dim_date = wh.insert_dim_date(lake_dims["dim_date"], cur.get("dim_date"))
-    resolved = materialize(wh.resolve_fact(lake_fact, dim_machine, dim_shift, dim_product))
+    # Not materialised: the loadable rows are checkpointed once by the key
+    # assignment, and rejects re-derive from the (materialised) lake fact.
+    resolved = wh.resolve_fact(lake_fact, dim_machine, dim_shift, dim_product)
     fact = wh.upsert_fact(resolved, lake_fact, cur.get("fact_production"), load_ts)
     return {
         "dim_date": dim_date,

@@ -24,7 +24,22 @@ BAD_DATE_TEXT = "bad-date"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A Parquet file with a single row group is read by one task, which would
+    then also run all per-row work before the first shuffle.  Large inputs
+    (many files / row groups) already have enough splits and pass unchanged,
+    so no shuffle is added at scale.  Column pruning and filters still push
+    below the repartition into the scan.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
 
 
 def _s(col: Column) -> Column:
