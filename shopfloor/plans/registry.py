@@ -11,8 +11,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopfloor import schemas as _schemas
 from shopfloor.operators import aggregate, clean, fact
+from shopfloor.operators import dims as _dims
+from shopfloor.operators import layout as _layout
+from shopfloor.operators import quality as _dq
+from shopfloor.operators import views as _views
+from shopfloor.operators import warehouse as _wh
+from shopfloor.plans import etl as _etl
+from shopfloor.plans import load as _load
+from shopfloor.sources import catalog as _catalog
+from shopfloor.sources import raw as _raw
+from shopfloor.sources import sinks as _sinks
 from shopfloor.sources import testdata
+from shopfloor.streaming import ingest as _ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,29 +94,8 @@ def q_fact_production(spark, sf_dir):
     return lake_fact(spark, sf_dir)
 
 
-def _core_queries() -> dict[str, Query]:
-    return {
-        "dedup_production": q_dedup_production,
-        "dedup_downtime": q_dedup_downtime,
-        "dedup_quality": q_dedup_quality,
-        "clean_production": q_clean_production,
-        "clean_downtime": q_clean_downtime,
-        "clean_quality": q_clean_quality,
-        "agg_downtime": q_agg_downtime,
-        "agg_quality": q_agg_quality,
-        "fact_join": q_fact_join,
-        "oee": q_oee,
-        "fact_production": q_fact_production,
-    }
-
-
 # ── dimensions, warehouse, views ─────────────────────────────────────────────
 
-from shopfloor.operators import dims as _dims  # noqa: E402
-from shopfloor.operators import views as _views  # noqa: E402
-from shopfloor.operators import warehouse as _wh  # noqa: E402
-from shopfloor.plans import etl as _etl  # noqa: E402
-from shopfloor.plans import load as _load  # noqa: E402
 
 TIMESTAMP_COLS = {"created_at", "updated_at", "loaded_at", "last_loaded"}
 
@@ -227,34 +218,8 @@ def q_drilldown_plant_line_machine(spark, sf_dir):
     return _views.drilldown(w["fact_production"], w["dim_machine"])
 
 
-def queries() -> dict[str, Query]:
-    return {
-        **_core_queries(),
-        "dim_machine": q_dim_machine,
-        "dim_shift": q_dim_shift,
-        "dim_product": q_dim_product,
-        "dim_date": q_dim_date,
-        "load_upsert_dim_machine": q_load_upsert_dim_machine,
-        "load_dim_product": q_load_dim_product,
-        "load_dim_date": q_load_dim_date,
-        "load_fact_fk_lookup": q_load_fact_fk_lookup,
-        "load_fact_rejects": q_load_fact_rejects,
-        "load_fact_conform": q_load_fact_conform,
-        "load_upsert_fact": q_load_upsert_fact,
-        "load_surrogate_keys": q_load_surrogate_keys,
-        "load_verification": q_load_verification,
-        "vw_daily_oee": q_vw_daily_oee,
-        "vw_monthly_summary": q_vw_monthly_summary,
-        "vw_downtime_pareto": q_vw_downtime_pareto,
-        "vw_shift_performance": q_vw_shift_performance,
-        "drilldown_plant_line_machine": q_drilldown_plant_line_machine,
-    }
-
-
 # ── data quality ─────────────────────────────────────────────────────────────
 
-from shopfloor.operators import quality as _dq  # noqa: E402
-
 
 def q_dq_suite_production(spark, sf_dir):
     return _dq.run_suite(raw(spark, sf_dir)["production"], "production", _dq.production_suite())
@@ -315,39 +280,10 @@ def q_dq_summary(spark, sf_dir):
     return _dq.summary(_dq.run_suites(tables))
 
 
-_WAREHOUSE_QUERIES = queries
-
-
-def queries() -> dict[str, Query]:  # noqa: F811
-    return {
-        **_WAREHOUSE_QUERIES(),
-        "dq_suite_production": q_dq_suite_production,
-        "dq_suite_downtime": q_dq_suite_downtime,
-        "dq_suite_quality": q_dq_suite_quality,
-        "dq_suite_fact": q_dq_suite_fact,
-        "dq_not_empty": q_dq_not_empty,
-        "dq_null_keys": q_dq_null_keys,
-        "dq_duplicates": q_dq_duplicates,
-        "dq_date_format": q_dq_date_format,
-        "dq_value_range": q_dq_value_range,
-        "dq_null_ratio": q_dq_null_ratio,
-        "dq_oee_bounds": q_dq_oee_bounds,
-        "dq_duplicate_ratio": q_dq_duplicate_ratio,
-        "dq_summary": q_dq_summary,
-    }
-
-
 # ── scans, sinks, catalog, layout, streaming ─────────────────────────────────
 # Each writes data derived from the test tables into a fresh folder under the
 # shared checkpoint directory and reads it back through the operator.
 
-from shopfloor import schemas as _schemas  # noqa: E402
-from shopfloor.operators import layout as _layout  # noqa: E402
-from shopfloor.sources import catalog as _catalog  # noqa: E402
-from shopfloor.sources import raw as _raw  # noqa: E402
-from shopfloor.sources import sinks as _sinks  # noqa: E402
-from shopfloor.streaming import ingest as _ingest  # noqa: E402
-
 
 def _write_raw_text(spark, sf_dir, fmt: str) -> str:
     base = _sinks.scratch_folder(spark, f"raw-{fmt}")
@@ -487,12 +423,51 @@ def q_stream_raw_to_parquet(spark, sf_dir):
     return _ingest.read_parquet_copy(spark, f"{out}/production", "production")
 
 
-_LOGIC_QUERIES = queries
-
-
-def queries() -> dict[str, Query]:  # noqa: F811
+def queries() -> dict[str, Query]:
+    """Registered queries, in build order (lake → warehouse → views → quality → I/O)."""
     return {
-        **_LOGIC_QUERIES(),
+        "dedup_production": q_dedup_production,
+        "dedup_downtime": q_dedup_downtime,
+        "dedup_quality": q_dedup_quality,
+        "clean_production": q_clean_production,
+        "clean_downtime": q_clean_downtime,
+        "clean_quality": q_clean_quality,
+        "agg_downtime": q_agg_downtime,
+        "agg_quality": q_agg_quality,
+        "fact_join": q_fact_join,
+        "oee": q_oee,
+        "fact_production": q_fact_production,
+        "dim_machine": q_dim_machine,
+        "dim_shift": q_dim_shift,
+        "dim_product": q_dim_product,
+        "dim_date": q_dim_date,
+        "load_upsert_dim_machine": q_load_upsert_dim_machine,
+        "load_dim_product": q_load_dim_product,
+        "load_dim_date": q_load_dim_date,
+        "load_fact_fk_lookup": q_load_fact_fk_lookup,
+        "load_fact_rejects": q_load_fact_rejects,
+        "load_fact_conform": q_load_fact_conform,
+        "load_upsert_fact": q_load_upsert_fact,
+        "load_surrogate_keys": q_load_surrogate_keys,
+        "load_verification": q_load_verification,
+        "vw_daily_oee": q_vw_daily_oee,
+        "vw_monthly_summary": q_vw_monthly_summary,
+        "vw_downtime_pareto": q_vw_downtime_pareto,
+        "vw_shift_performance": q_vw_shift_performance,
+        "drilldown_plant_line_machine": q_drilldown_plant_line_machine,
+        "dq_suite_production": q_dq_suite_production,
+        "dq_suite_downtime": q_dq_suite_downtime,
+        "dq_suite_quality": q_dq_suite_quality,
+        "dq_suite_fact": q_dq_suite_fact,
+        "dq_not_empty": q_dq_not_empty,
+        "dq_null_keys": q_dq_null_keys,
+        "dq_duplicates": q_dq_duplicates,
+        "dq_date_format": q_dq_date_format,
+        "dq_value_range": q_dq_value_range,
+        "dq_null_ratio": q_dq_null_ratio,
+        "dq_oee_bounds": q_dq_oee_bounds,
+        "dq_duplicate_ratio": q_dq_duplicate_ratio,
+        "dq_summary": q_dq_summary,
         "scan_csv_production": q_scan_csv_production,
         "scan_csv_downtime": q_scan_csv_downtime,
         "scan_csv_quality": q_scan_csv_quality,

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import contextlib
+import io
+
 import pytest
 
 from shopfloor import schemas
@@ -62,8 +65,11 @@ def test_partitioned_fact_sink_and_pruning(spark, production_df, downtime_df, qu
     assert sinks.write_fact(f, path) == 4
     df = sinks.read_fact(spark, path, "2024-01-16", "2024-01-31")
     assert df.count() == 2
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "year" in plan
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    scan = [line for line in buf.getvalue().splitlines() if "FileScan parquet" in line][0]
+    assert "PartitionFilters: [" in scan and "year" in scan.split("PartitionFilters:")[1]
     table = catalog.register_fact(spark, "sf_test_processed", path)
     assert spark.table(table).count() == 4
 
