@@ -6,7 +6,10 @@
 * ``sum_exact``: a double SUM depends on the order partial sums are combined
   in, i.e. on partitioning.  Summing ``decimal(28,10)`` is exact and therefore
   identical for every partitioning and retry.
-* ``avg_exact``: AVG of decimals rounded to 6 places, returned as double.
+* ``avg_exact``: AVG of a DECIMAL column rounded half-up to 6 places, as
+  double.  Written as SUM / COUNT in decimal arithmetic: Spark's optimizer
+  evaluates ``avg`` of a small-precision decimal as a floating-point mean of
+  unscaled values, which rounds exact ties (e.g. 94.2276875) the wrong way.
 """
 
 from __future__ import annotations
@@ -32,8 +35,12 @@ def sum_exact(col: Column) -> Column:
 
 
 def avg_exact(col: Column, scale: int = 6) -> Column:
-    """AVG rounded to ``scale`` places via decimal arithmetic, double out (NULLs skipped)."""
-    return F.round(F.avg(col).try_cast(EXACT), scale).cast("double")
+    """Mean of a DECIMAL column (NULLs skipped), half-up to ``scale`` places, double out.
+
+    SUM of a decimal is exact, and decimal division keeps 20+ fractional
+    digits, so the final rounding sees the true mean; NULL when no values.
+    """
+    return F.round(F.try_divide(F.sum(col), F.count(col)), scale).cast("double")
 
 
 def clamp_negative(col: Column) -> Column:

@@ -19,7 +19,7 @@ Behaviour relative to a plain delete + insert:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shopfloor import schemas
@@ -96,8 +96,6 @@ def seed_dim_shift(spark: SparkSession, target: DataFrame | None = None) -> Data
     )
     new = seed.join(target.select("shift_id"), "shift_id", "left_anti")
     # The seed is three rows: the ordering window runs over those only.
-    from pyspark.sql import Window
-
     new = new.withColumn("shift_key", F.lit(start) + F.row_number().over(Window.orderBy("seq")))
     return _conform(target.unionByName(_conform(new, schemas.DIM_SHIFT)), schemas.DIM_SHIFT)
 

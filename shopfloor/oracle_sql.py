@@ -26,7 +26,16 @@ def sum_exact(x: str) -> str:
 
 
 def avg_exact(x: str) -> str:
-    return f"cast(round(try_cast(avg({x}) AS decimal(38,10)), 6) AS double)"
+    """Mean of a DECIMAL(p,2) column, half-up to 6 places, in integer arithmetic.
+
+    mean × 10^6 = S / N with S = sum in hundredths × 10^4; half-up of a
+    non-negative S / N is (2S + N) // (2N).  (avg() and decimal division both
+    return DOUBLE here, which misplaces exact ties.)
+    """
+    s = f"cast(sum({x}) * 100 AS hugeint)"
+    n = f"count({x})"
+    q = f"sign({s}) * ((2 * abs({s}) * 10000 + {n}) // (2 * {n}))"
+    return f"CASE WHEN {n} = 0 THEN NULL ELSE cast({q} AS double) / 1000000.0 END"
 
 
 def parse_date(c: str) -> str:
