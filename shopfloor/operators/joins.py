@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 1_000_000
 
 
+def is_bounded(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after checking ``df`` has at most ``max_rows`` rows.
 
@@ -17,5 +22,13 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> D
     returned unhinted and the planner falls back to a shuffle join (which AQE
     may still convert using measured sizes).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if is_bounded(df, max_rows) else df
+
+
+# A dimension written as one file: up to this many members.
+SINGLE_FILE_ROWS = 1_000_000
+
+
+def single_file_if_bounded(df: DataFrame, max_rows: int = SINGLE_FILE_ROWS) -> DataFrame:
+    """``coalesce(1)`` for a checked-small table (one file); larger tables keep their partitioning."""
+    return df.coalesce(1) if is_bounded(df, max_rows) else df

@@ -18,6 +18,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from shopfloor.operators import layout
+from shopfloor.operators.joins import single_file_if_bounded
 from shopfloor.operators import warehouse as wh
 
 TABLES = ["dim_date", "dim_machine", "dim_shift", "dim_product", "fact_production"]
@@ -80,10 +81,10 @@ def read_current(spark: SparkSession, base: str) -> dict[str, DataFrame] | None:
 def publish(spark: SparkSession, base: str, table: str, df: DataFrame, sort: bool = True) -> str:
     """Write ``df`` to a new snapshot folder, then switch the table pointer to it."""
     snap = f"{base.rstrip('/')}/{table}/v-{uuid.uuid4().hex[:12]}"
-    if table == "fact_production" and sort:
-        out = layout.sorted_fact(df)
+    if table == "fact_production":
+        out = layout.sorted_fact(df) if sort else df
     else:
-        out = df.coalesce(1)
+        out = single_file_if_bounded(df)
     out.write.mode("errorifexists").parquet(snap)
     spark.createDataFrame([(snap,)], "path string").coalesce(1).write.mode("overwrite").text(
         _pointer_path(base, table)

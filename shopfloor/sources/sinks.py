@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from shopfloor.operators.joins import single_file_if_bounded
 from shopfloor.session import scratch_path
 
 FACT_PARTITIONS = ["year", "month"]
@@ -52,10 +53,9 @@ def write_fact(fact: DataFrame, path: str, incremental: bool = False, num_partit
 
 
 def write_dims(dims: dict[str, DataFrame], base: str) -> None:
+    """One file per dimension when its member count is checked small, else as partitioned."""
     for name, df in dims.items():
-        # Dimensions hold one row per member (machines, shifts, products,
-        # dates): one file each.
-        write_parquet(df.coalesce(1), f"{base.rstrip('/')}/{name}")
+        write_parquet(single_file_if_bounded(df), f"{base.rstrip('/')}/{name}")
 
 
 def read_fact(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
