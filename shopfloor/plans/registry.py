@@ -122,7 +122,8 @@ def warehouse(spark, sf_dir) -> dict[str, DataFrame]:
 
 
 def warehouse_dims(spark, sf_dir) -> dict[str, DataFrame]:
-    _, d = materialized_lake(spark, sf_dir)
+    """Warehouse dimensions of a fresh load; only the small dimensions are materialised."""
+    d = lake_dims(spark, sf_dir)
     return {
         "dim_machine": _wh.upsert_dim_machine(d["dim_machine"]),
         "dim_shift": _wh.seed_dim_shift(spark),
