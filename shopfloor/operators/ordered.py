@@ -16,6 +16,7 @@ No step holds more than one range partition in a task, whatever the table size.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,10 +32,19 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
 
 
 def sorted_checkpoint(df: DataFrame, order: list[Column], num_partitions: int | None = None) -> DataFrame:
-    """Range-partitioned, sorted and materialised copy of ``df`` (stable partition ids)."""
+    """Range-partitioned, sorted and materialised copy of ``df`` (stable partition ids).
+
+    Range partitioning samples its input in a separate job before the
+    shuffle; the input is cached for the duration so its lineage runs once
+    (a lost cached block is recomputed from the deterministic lineage).
+    """
     checkpoint_dir(df.sparkSession)
     n = _partitions(df, num_partitions)
-    return df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return src.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    finally:
+        src.unpersist()
 
 
 def _offsets(per_partition: list[tuple[int, object]], zero) -> tuple[list, int]:

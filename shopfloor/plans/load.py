@@ -16,6 +16,8 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shopfloor.operators import layout
 from shopfloor.operators.joins import single_file_if_bounded
@@ -25,6 +27,22 @@ TABLES = ["dim_date", "dim_machine", "dim_shift", "dim_product", "fact_productio
 POINTER = "_current"
 
 
+def stage_from_parquet(spark: SparkSession, path: str, schema: StructType,
+                       columns: list[str] | None = None) -> DataFrame:
+    """Bulk-load Parquet into a staging shape, binding columns **by name**.
+
+    ``columns`` (default: all of ``schema``) are taken from the files and cast
+    to the staging types; a column the files do not have comes back NULL.
+    Only the listed columns are read (pruned scan).
+    """
+    files = spark.read.parquet(path)
+    present = set(files.columns)
+    wanted = columns or [f.name for f in schema.fields]
+    return files.select(*[
+        (F.col(c) if c in present else F.lit(None)).cast(schema[c].dataType).alias(c) for c in wanted
+    ])
+
+
 def load(
     spark: SparkSession,
     lake_fact: DataFrame,

@@ -33,13 +33,19 @@ def raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return testdata.raw_tables(spark, sf_dir)
 
 
+def raw_one(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return testdata.raw_table(spark, sf_dir, name)
+
+
+_CLEAN = {"production": clean.clean_production, "downtime": clean.clean_downtime, "quality": clean.clean_quality}
+
+
+def cleaned_one(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return _CLEAN[name](raw_one(spark, sf_dir, name))
+
+
 def cleaned(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    r = raw(spark, sf_dir)
-    return {
-        "production": clean.clean_production(r["production"]),
-        "downtime": clean.clean_downtime(r["downtime"]),
-        "quality": clean.clean_quality(r["quality"]),
-    }
+    return {name: cleaned_one(spark, sf_dir, name) for name in _CLEAN}
 
 
 def lake_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,35 +56,35 @@ def lake_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_dedup_production(spark, sf_dir):
-    return clean.dedup_production(raw(spark, sf_dir)["production"])
+    return clean.dedup_production(raw_one(spark, sf_dir, "production"))
 
 
 def q_dedup_downtime(spark, sf_dir):
-    return clean.dedup_downtime(raw(spark, sf_dir)["downtime"])
+    return clean.dedup_downtime(raw_one(spark, sf_dir, "downtime"))
 
 
 def q_dedup_quality(spark, sf_dir):
-    return clean.dedup_quality(raw(spark, sf_dir)["quality"])
+    return clean.dedup_quality(raw_one(spark, sf_dir, "quality"))
 
 
 def q_clean_production(spark, sf_dir):
-    return cleaned(spark, sf_dir)["production"]
+    return cleaned_one(spark, sf_dir, "production")
 
 
 def q_clean_downtime(spark, sf_dir):
-    return cleaned(spark, sf_dir)["downtime"]
+    return cleaned_one(spark, sf_dir, "downtime")
 
 
 def q_clean_quality(spark, sf_dir):
-    return cleaned(spark, sf_dir)["quality"]
+    return cleaned_one(spark, sf_dir, "quality")
 
 
 def q_agg_downtime(spark, sf_dir):
-    return aggregate.agg_downtime(cleaned(spark, sf_dir)["downtime"])
+    return aggregate.agg_downtime(cleaned_one(spark, sf_dir, "downtime"))
 
 
 def q_agg_quality(spark, sf_dir):
-    return aggregate.agg_quality(cleaned(spark, sf_dir)["quality"])
+    return aggregate.agg_quality(cleaned_one(spark, sf_dir, "quality"))
 
 
 def q_fact_join(spark, sf_dir):
@@ -106,7 +112,7 @@ def _no_clock(df: DataFrame) -> DataFrame:
 
 
 def lake_dims(spark, sf_dir) -> dict[str, DataFrame]:
-    return _dims.all_dims(cleaned(spark, sf_dir)["production"])
+    return _dims.all_dims(cleaned_one(spark, sf_dir, "production"))
 
 
 def materialized_lake(spark, sf_dir) -> tuple[DataFrame, dict[str, DataFrame]]:
@@ -121,17 +127,6 @@ def warehouse(spark, sf_dir) -> dict[str, DataFrame]:
     return _load.load(spark, f, d)
 
 
-def warehouse_dims(spark, sf_dir) -> dict[str, DataFrame]:
-    """Warehouse dimensions of a fresh load; only the small dimensions are materialised."""
-    d = lake_dims(spark, sf_dir)
-    return {
-        "dim_machine": _wh.upsert_dim_machine(d["dim_machine"]),
-        "dim_shift": _wh.seed_dim_shift(spark),
-        "dim_product": _wh.insert_dim_product(d["dim_product"]),
-        "dim_date": _wh.insert_dim_date(d["dim_date"]),
-    }
-
-
 def resolved_fact(spark, sf_dir) -> DataFrame:
     f, d = materialized_lake(spark, sf_dir)
     m = _wh.upsert_dim_machine(d["dim_machine"])
@@ -156,15 +151,15 @@ def q_dim_date(spark, sf_dir):
 
 
 def q_load_upsert_dim_machine(spark, sf_dir):
-    return _no_clock(warehouse_dims(spark, sf_dir)["dim_machine"])
+    return _no_clock(_wh.upsert_dim_machine(lake_dims(spark, sf_dir)["dim_machine"]))
 
 
 def q_load_dim_product(spark, sf_dir):
-    return warehouse_dims(spark, sf_dir)["dim_product"]
+    return _wh.insert_dim_product(lake_dims(spark, sf_dir)["dim_product"])
 
 
 def q_load_dim_date(spark, sf_dir):
-    return warehouse_dims(spark, sf_dir)["dim_date"]
+    return _wh.insert_dim_date(lake_dims(spark, sf_dir)["dim_date"])
 
 
 def q_load_fact_fk_lookup(spark, sf_dir):
@@ -223,15 +218,15 @@ def q_drilldown_plant_line_machine(spark, sf_dir):
 
 
 def q_dq_suite_production(spark, sf_dir):
-    return _dq.run_suite(raw(spark, sf_dir)["production"], "production", _dq.production_suite())
+    return _dq.run_suite(raw_one(spark, sf_dir, "production"), "production", _dq.production_suite())
 
 
 def q_dq_suite_downtime(spark, sf_dir):
-    return _dq.run_suite(raw(spark, sf_dir)["downtime"], "downtime", _dq.downtime_suite())
+    return _dq.run_suite(raw_one(spark, sf_dir, "downtime"), "downtime", _dq.downtime_suite())
 
 
 def q_dq_suite_quality(spark, sf_dir):
-    return _dq.run_suite(raw(spark, sf_dir)["quality"], "quality", _dq.quality_suite())
+    return _dq.run_suite(raw_one(spark, sf_dir, "quality"), "quality", _dq.quality_suite())
 
 
 def q_dq_suite_fact(spark, sf_dir):
@@ -249,21 +244,21 @@ def q_dq_null_keys(spark, sf_dir):
 
 
 def q_dq_duplicates(spark, sf_dir):
-    return _dq.run_suite(raw(spark, sf_dir)["production"], "production", [_dq.duplicates(["production_id"])])
+    return _dq.run_suite(raw_one(spark, sf_dir, "production"), "production", [_dq.duplicates(["production_id"])])
 
 
 def q_dq_date_format(spark, sf_dir):
-    return _dq.run_suite(raw(spark, sf_dir)["production"], "production", [_dq.date_format("production_date")])
+    return _dq.run_suite(raw_one(spark, sf_dir, "production"), "production", [_dq.date_format("production_date")])
 
 
 def q_dq_value_range(spark, sf_dir):
     check = _dq.value_range("downtime_minutes", min_val=0, max_val=1440)
-    return _dq.run_suite(raw(spark, sf_dir)["downtime"], "downtime", [check])
+    return _dq.run_suite(raw_one(spark, sf_dir, "downtime"), "downtime", [check])
 
 
 def q_dq_null_ratio(spark, sf_dir):
     check = _dq.null_ratio("downtime_reason", threshold=0.10)
-    return _dq.run_suite(raw(spark, sf_dir)["downtime"], "downtime", [check])
+    return _dq.run_suite(raw_one(spark, sf_dir, "downtime"), "downtime", [check])
 
 
 def q_dq_oee_bounds(spark, sf_dir):
@@ -273,7 +268,7 @@ def q_dq_oee_bounds(spark, sf_dir):
 
 def q_dq_duplicate_ratio(spark, sf_dir):
     check = _dq.duplicate_ratio(["production_id"], threshold=_dq.DEV.max_duplicate_ratio)
-    return _dq.run_suite(raw(spark, sf_dir)["production"], "production", [check])
+    return _dq.run_suite(raw_one(spark, sf_dir, "production"), "production", [check])
 
 
 def q_dq_summary(spark, sf_dir):
@@ -286,9 +281,10 @@ def q_dq_summary(spark, sf_dir):
 # shared checkpoint directory and reads it back through the operator.
 
 
-def _write_raw_text(spark, sf_dir, fmt: str) -> str:
+def _write_raw_text(spark, sf_dir, fmt: str, tables: tuple[str, ...] = ("production", "downtime", "quality")) -> str:
     base = _sinks.scratch_folder(spark, f"raw-{fmt}")
-    for name, df in raw(spark, sf_dir).items():
+    for name in tables:
+        df = raw_one(spark, sf_dir, name)
         writer = df.write.mode("overwrite")
         if fmt == "csv":
             writer.option("header", "true").option("nullValue", "").csv(f"{base}/{name}")
@@ -298,28 +294,28 @@ def _write_raw_text(spark, sf_dir, fmt: str) -> str:
 
 
 def q_scan_csv_production(spark, sf_dir):
-    base = _write_raw_text(spark, sf_dir, "csv")
+    base = _write_raw_text(spark, sf_dir, "csv", ("production",))
     return _raw.read_production(spark, f"{base}/production")
 
 
 def q_scan_csv_downtime(spark, sf_dir):
-    base = _write_raw_text(spark, sf_dir, "csv")
+    base = _write_raw_text(spark, sf_dir, "csv", ("downtime",))
     return _raw.read_downtime(spark, f"{base}/downtime")
 
 
 def q_scan_csv_quality(spark, sf_dir):
-    base = _write_raw_text(spark, sf_dir, "csv")
+    base = _write_raw_text(spark, sf_dir, "csv", ("quality",))
     return _raw.read_quality(spark, f"{base}/quality")
 
 
 def q_scan_json_production(spark, sf_dir):
-    base = _write_raw_text(spark, sf_dir, "json")
+    base = _write_raw_text(spark, sf_dir, "json", ("production",))
     return _raw.read_production(spark, f"{base}/production", fmt="json")
 
 
 def q_sink_parquet(spark, sf_dir):
     path = _sinks.scratch_folder(spark, "sink-parquet")
-    _sinks.write_parquet(raw(spark, sf_dir)["production"], path)
+    _sinks.write_parquet(raw_one(spark, sf_dir, "production"), path)
     return spark.read.parquet(path)
 
 
@@ -347,17 +343,12 @@ def q_sink_dims(spark, sf_dir):
 
 
 def q_load_copy_parquet(spark, sf_dir):
-    """Parquet → staging by column name; columns the files lack come back NULL."""
+    """Parquet → staging dim_machine by column name; plant_location is not in the files → NULL."""
     base = _sinks.scratch_folder(spark, "copy")
     _sinks.write_dims({"dim_machine": lake_dims(spark, sf_dir)["dim_machine"]}, base)
-    files = spark.read.parquet(f"{base}/dim_machine")
-    staging = _schemas.DIM_MACHINE
     cols = ["machine_id", "machine_name", "machine_type", "is_active", "line_id", "line_name",
             "plant_id", "plant_name", "plant_location"]
-    present = set(files.columns)
-    return files.select(*[
-        (F.col(c) if c in present else F.lit(None)).cast(staging[c].dataType).alias(c) for c in cols
-    ])
+    return _load.stage_from_parquet(spark, f"{base}/dim_machine", _schemas.DIM_MACHINE, cols)
 
 
 def _fresh_db(prefix: str) -> str:
@@ -384,7 +375,7 @@ def q_catalog_star_schema(spark, sf_dir):
     db = _fresh_db("shopfloor_wh")
     _catalog.create_star_schema(spark, db, _sinks.scratch_folder(spark, "star"))
     _catalog.create_star_schema(spark, db)  # idempotent second run
-    warehouse_dims(spark, sf_dir)["dim_date"].write.insertInto(f"{db}.dim_date")
+    _wh.insert_dim_date(lake_dims(spark, sf_dir)["dim_date"]).write.insertInto(f"{db}.dim_date")
     return spark.table(f"{db}.dim_date")
 
 
@@ -416,7 +407,7 @@ def q_maint_analyze(spark, sf_dir):
 
 
 def q_stream_raw_to_parquet(spark, sf_dir):
-    base = _write_raw_text(spark, sf_dir, "csv")
+    base = _write_raw_text(spark, sf_dir, "csv", ("production",))
     out = _sinks.scratch_folder(spark, "raw-parquet")
     ckpt = _sinks.scratch_folder(spark, "raw-stream-ckpt")
     q = _ingest.start_ingest(spark, f"{base}/production", f"{out}/production", f"{ckpt}/production", "production")

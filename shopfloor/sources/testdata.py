@@ -118,14 +118,17 @@ def raw_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_MAPPINGS = {"production": raw_production, "downtime": raw_downtime, "quality": raw_quality}
+
+
+def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One raw table, cast to its declared raw schema."""
+    return conform(_MAPPINGS[name](spark, sf_dir), schemas.RAW_SCHEMAS[name])
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The three raw tables, cast to the declared raw schemas."""
-    frames = {
-        "production": raw_production(spark, sf_dir),
-        "downtime": raw_downtime(spark, sf_dir),
-        "quality": raw_quality(spark, sf_dir),
-    }
-    return {name: conform(df, schemas.RAW_SCHEMAS[name]) for name, df in frames.items()}
+    return {name: raw_table(spark, sf_dir, name) for name in _MAPPINGS}
 
 
 def conform(df: DataFrame, schema) -> DataFrame:
