@@ -72,3 +72,16 @@ def test_incremental_fact_write_replaces_only_given_months(spark, raw_zone):
     sinks.write_fact(other_month, path, incremental=True)
     got = sorted(r.production_id for r in spark.read.parquet(path).collect())
     assert got == ["P001", "P002", "P003", "P004", "P100"]  # January kept, February added
+
+
+def test_job_reads_the_streamed_parquet_copy(spark, raw_zone):
+    from shopfloor.streaming import ingest
+
+    ingest.ingest_available(spark, str(raw_zone / "raw"), str(raw_zone / "raw_pq"), str(raw_zone / "ckpt"))
+    from_csv = etl.run(spark, str(raw_zone / "raw"), str(raw_zone / "p_csv"))
+    from_pq = etl.run(spark, str(raw_zone / "raw_pq"), str(raw_zone / "p_pq"), fmt="parquet")
+    assert from_csv["fact_rows"] == from_pq["fact_rows"] == 4
+    cols = [c for c in schemas.FACT_COLUMNS]
+    a = sorted(map(tuple, spark.read.parquet(str(raw_zone / "p_csv" / "fact_production")).select(*cols).collect()))
+    b = sorted(map(tuple, spark.read.parquet(str(raw_zone / "p_pq" / "fact_production")).select(*cols).collect()))
+    assert a == b
