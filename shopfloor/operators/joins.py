@@ -11,16 +11,22 @@ MAX_BROADCAST_ROWS = 1_000_000
 
 
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    An exact count: every task counts its own rows and sends one number to the
+    final aggregate.  ``limit(n + 1).count()`` is not used because it plans a
+    single-partition exchange under the global limit, so up to ``n + 1`` rows
+    from *every* partition would meet in one task.  Callers pass dimensions,
+    whose size is a business cardinality, so the exact pass is cheap.
+    """
+    return df.count() <= max_rows
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after checking ``df`` has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows.  Beyond the bound the side is
-    returned unhinted and the planner falls back to a shuffle join (which AQE
-    may still convert using measured sizes).
+    Beyond the bound the side is returned unhinted and the planner falls back
+    to a shuffle join (which AQE may still convert using measured sizes).
     """
     return F.broadcast(df) if is_bounded(df, max_rows) else df
 

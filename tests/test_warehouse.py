@@ -92,3 +92,21 @@ def test_snapshot_publish_and_compact(spark, production_df, downtime_df, quality
     assert spark.read.parquet(second).count() == spark.read.parquet(first).count() == 4
     ver = {r.table_name: r.row_count for r in wh.load_verification(load.read_current(spark, base)).collect()}
     assert ver == {"dim_date": 3, "dim_machine": 3, "dim_product": 2, "dim_shift": 3, "fact_production": 4}
+
+
+def test_bound_check_is_exact_and_distributed(spark):
+    from shopfloor.operators import joins
+
+    df = spark.range(0, 1000, numPartitions=4)
+    assert joins.is_bounded(df, 1000)
+    assert not joins.is_bounded(df, 999)
+    assert joins.is_bounded(df.filter("id < 0"), 0)
+    # Hinted only when bounded; the hint shows up as a broadcast in the join plan.
+    other = spark.range(0, 1000, numPartitions=4).withColumnRenamed("id", "k")
+    hinted = other.join(joins.broadcast_if_bounded(df, 1000), F.col("k") == F.col("id"))
+    assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+    assert joins.broadcast_if_bounded(df, 10) is df
+    # The check's count is partial per task + final: only one number per task
+    # moves, no limit pulls rows into a single partition.
+    plan = df.groupBy().count()._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan and "Limit" not in plan
