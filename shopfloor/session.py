@@ -22,7 +22,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -30,14 +29,24 @@ DEFAULT_CONF = {
 
 
 def build_session(
-    master: str = "local[*]",
-    shuffle_partitions: int = 8,
+    master: str | None = None,
+    shuffle_partitions: int | None = None,
     app_name: str = "shopfloor",
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """Session with :data:`DEFAULT_CONF`.
+
+    ``master`` and ``shuffle_partitions`` are set only when given (tests and the
+    bench pin them for local mode); otherwise the cluster's submit settings
+    apply, so a cluster job is never pinned to one machine or a handful of
+    shuffle partitions.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -24,9 +24,9 @@ FACT_PARTITIONS = ["year", "month"]
 def write_parquet(df: DataFrame, path: str, partition_cols: list[str] | None = None,
                   mode: str = "overwrite", dynamic: bool = False) -> None:
     """Overwrite (or append) ``df`` at ``path``; ``dynamic`` replaces only the partitions written."""
-    writer = df.write.mode(mode)
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
+    # Always explicit: a session-wide "dynamic" default would otherwise turn a
+    # full overwrite into a partial one and leave stale partitions behind.
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.parquet(path)

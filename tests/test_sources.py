@@ -93,3 +93,19 @@ def test_stream_ingest_is_incremental(spark, tmp_path):
     ingest.start_ingest(spark, str(src), out, ck, "downtime").awaitTermination()
     got = sorted(r.downtime_id for r in ingest.read_parquet_copy(spark, out, "downtime").collect())
     assert got == ["D1", "D2"]  # each file once
+
+
+def test_full_overwrite_drops_stale_partitions(spark, tmp_path):
+    out = str(tmp_path / "ow")
+    old = spark.createDataFrame([(1, 2024, 1), (2, 2024, 2)], "id int, year int, month int")
+    new = spark.createDataFrame([(3, 2024, 3)], "id int, year int, month int")
+    # Even with a session-wide dynamic default, a full overwrite replaces the folder.
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        sinks.write_parquet(old, out, ["year", "month"])
+        sinks.write_parquet(new, out, ["year", "month"])
+        assert sorted(r.id for r in spark.read.parquet(out).collect()) == [3]
+        sinks.write_parquet(old, out, ["year", "month"], dynamic=True)
+        assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1, 2, 3]
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
