@@ -25,10 +25,21 @@ from shopfloor.session import checkpoint_dir
 ROW_INDEX_BITS = 33  # monotonically_increasing_id = partition_id << 33 | row index
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
+# Rows per range partition when the count is derived from the data.
+ROWS_PER_PARTITION = 2_000_000
+
+
+def _partitions(df: DataFrame, num_partitions: int | None, rows: int) -> int:
+    """Explicit count, else enough partitions for ``rows``, at most the shuffle setting.
+
+    An explicit partition count is not coalesced by AQE, so sizing it from the
+    row count keeps a few thousand new dimension members from being spread
+    over a cluster-sized number of near-empty partitions and checkpoint files.
+    """
     if num_partitions:
         return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(configured, -(-rows // ROWS_PER_PARTITION)))
 
 
 def sorted_checkpoint(df: DataFrame, order: list[Column], num_partitions: int | None = None) -> DataFrame:
@@ -36,12 +47,14 @@ def sorted_checkpoint(df: DataFrame, order: list[Column], num_partitions: int |
 
     Range partitioning samples its input in a separate job before the
     shuffle; the input is cached for the duration so its lineage runs once
-    (a lost cached block is recomputed from the deterministic lineage).
+    (a lost cached block is recomputed from the deterministic lineage).  The
+    partition count follows the row count (see :func:`_partitions`).
     """
     checkpoint_dir(df.sparkSession)
-    n = _partitions(df, num_partitions)
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        # Counting fills the cache that the range sampling and the shuffle read.
+        n = _partitions(df, num_partitions, src.count())
         return src.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
     finally:
         src.unpersist()

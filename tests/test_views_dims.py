@@ -83,3 +83,14 @@ def test_running_sum_matches_brute_force(spark):
         acc += Decimal(str(round(m, 2)))
         expected[i] = acc
     assert {r.downtime_id: r.cum for r in out} == expected
+
+
+def test_range_partition_count_follows_rows(spark):
+    from shopfloor.operators import ordered
+
+    df = spark.range(1)
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert ordered._partitions(df, None, 0) == 1
+    assert ordered._partitions(df, None, 1_000) == 1
+    assert ordered._partitions(df, None, 10 * ordered.ROWS_PER_PARTITION) == min(configured, 10)
+    assert ordered._partitions(df, 7, 1) == 7
