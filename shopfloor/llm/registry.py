@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from shopfloor.llm import minhash, statements
+from shopfloor.llm import chat, classifier, langid, minhash, mixing, quality_rules, statements, tokens
 
 
 def queries() -> dict:
     return {
         "op1_minhash_dedup": minhash.op1_minhash_dedup,
+        "op3_quality_rules": quality_rules.op3_quality_rules,
+        "op4_mix_sources": mixing.op4_mix_sources,
+        "op5_token_counts": tokens.op5_token_counts,
+        "op6_quality_classifier": classifier.op6_quality_classifier,
+        "op8_language_id": langid.op8_language_id,
+        "op9_chat_format": chat.op9_chat_format,
     }
 
 

@@ -33,6 +33,98 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component AS component_id, d.do
 FROM documents d LEFT JOIN n USING (doc_id) JOIN component c ON c.id = d.doc_id
 """
 
+OP3 = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+  FROM t),
+m AS (
+  SELECT doc_id, text, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(ls) - len(list_distinct(ls)) AS n_dup_lines, len(ls) AS n_lines, ws
+  FROM w),
+win AS (
+  SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i,
+         unnest(list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' '))) AS g
+  FROM m WHERE len(ws) >= 3),
+again AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+covered AS (
+  SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, i + k AS p FROM again, range(3) r(k)) GROUP BY doc_id),
+b AS (
+  SELECT m.*, coalesce(c.n, 0) AS n_repeat_words,
+         n_words < 50 OR 100 * coalesce(c.n, 0) > 50 * n_words AS base_failed
+  FROM m LEFT JOIN covered c USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed
+  AND NOT n_symbols > 0.1::DOUBLE * n_words
+  AND NOT word_chars < 2 * n_words AND NOT word_chars > 15 * n_words
+  AND NOT length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) > 0.3::DOUBLE * word_chars
+  AND NOT length(text) - length(regexp_replace(text, '[0-9]', '', 'g')) > 0.3::DOUBLE * word_chars
+  AND NOT length(text) - length(regexp_replace(text, '[!?]', '', 'g')) > 0.5::DOUBLE * n_words
+  AND NOT 2 * n_dup_lines > n_lines AS kept
+FROM b
+"""
+
+OP4 = r"""
+WITH RECURSIVE z AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS draw
+  FROM documents),
+src AS (
+  SELECT source, sum(size) AS source_size,
+         [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+  FROM z GROUP BY source),
+fill(step, level, done) AS (
+  SELECT 0, 0.0::DOUBLE, false
+  UNION ALL
+  SELECT step + 1, greatest(level, coalesce(new, level)), coalesce(new, level) <= level
+  FROM (
+    SELECT f.step, f.level,
+      (SELECT (1.5::DOUBLE * sum(source_size) - sum(CASE WHEN weight * f.level >= 2.0::DOUBLE * source_size
+                                                      THEN 2.0::DOUBLE * source_size ELSE 0.0 END))
+              / nullif(sum(CASE WHEN weight * f.level >= 2.0::DOUBLE * source_size THEN 0.0::DOUBLE ELSE weight END), 0)
+       FROM src) AS new
+    FROM fill f WHERE NOT f.done)),
+lam AS (SELECT max(level) AS level FROM fill),
+aim AS (SELECT source, source_size, least(weight * level, 2.0::DOUBLE * source_size) AS target FROM src, lam),
+a AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::INT ELSE 0 END AS whole FROM aim),
+p AS (
+  SELECT z.doc_id, z.size, a.source_size::BIGINT AS source_size, a.target, a.whole, a.target - a.whole * a.source_size AS rest,
+         sum(z.size) OVER (PARTITION BY z.source ORDER BY draw, z.doc_id, z.size
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - z.size AS at
+  FROM z JOIN a ON z.source IS NOT DISTINCT FROM a.source),
+c AS (
+  SELECT *, CASE WHEN whole >= 2 THEN 2 ELSE whole + (2 * at + size <= 2 * rest)::INT END AS copies FROM p)
+SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken, copies FROM c
+"""
+
+OP9 = r"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+c AS (
+  SELECT conv_id, bool_or(regexp_matches(text, '<\\*\|') OR regexp_matches(role, '<\\*\|') OR contains(role, chr(10))) AS escaped
+  FROM r GROUP BY conv_id),
+t AS (
+  SELECT r.*, c.escaped,
+    CASE WHEN escaped THEN regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') ELSE text END AS out_text,
+    CASE WHEN escaped THEN replace(regexp_replace(role, '<(\\*)\|', '<\\\1|', 'g'), chr(10), '<|n|>') ELSE role END AS out_role
+  FROM r JOIN c ON r.conv_id IS NOT DISTINCT FROM c.conv_id)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length('<|im_start|>' || out_role || chr(10) || out_text || '<|im_end|>' || chr(10)))::BIGINT AS formatted_chars,
+  any_value(escaped) AS escaped, true AS exact
+FROM t GROUP BY conv_id
+"""
+
 SQL = {
     "op1_minhash_dedup": OP1,
+    "op3_quality_rules": OP3,
+    "op4_mix_sources": OP4,
+    "op9_chat_format": OP9,
 }
