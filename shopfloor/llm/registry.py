@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shopfloor.llm import chat, classifier, langid, minhash, mixing, quality_rules, statements, tokens
+from shopfloor.llm import chat, classifier, langid, minhash, mixing, packing, quality_rules, statements, tokens
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op4_mix_sources": mixing.op4_mix_sources,
         "op5_token_counts": tokens.op5_token_counts,
         "op6_quality_classifier": classifier.op6_quality_classifier,
+        "op7_pack_sequences": packing.op7_pack_sequences,
         "op8_language_id": langid.op8_language_id,
         "op9_chat_format": chat.op9_chat_format,
     }

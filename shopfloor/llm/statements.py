@@ -93,10 +93,10 @@ a AS (
 p AS (
   SELECT z.doc_id, z.size, a.source_size::BIGINT AS source_size, a.target, a.whole, a.target - a.whole * a.source_size AS rest,
          sum(z.size) OVER (PARTITION BY z.source ORDER BY draw, z.doc_id, z.size
-                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - z.size AS at
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - z.size AS ahead
   FROM z JOIN a ON z.source IS NOT DISTINCT FROM a.source),
 c AS (
-  SELECT *, CASE WHEN whole >= 2 THEN 2 ELSE whole + (2 * at + size <= 2 * rest)::INT END AS copies FROM p)
+  SELECT *, CASE WHEN whole >= 2 THEN 2 ELSE whole + (2 * ahead + size <= 2 * rest)::INT END AS copies FROM p)
 SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken, copies FROM c
 """
 
