@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
-from shopfloor.llm import chat, classifier, langid, minhash, mixing, packing, quality_rules, statements, tokens
+from shopfloor.llm import (
+    chat,
+    classifier,
+    embedding,
+    langid,
+    minhash,
+    mixing,
+    packing,
+    quality_rules,
+    sharding,
+    statements,
+    tokens,
+)
 
 
 def queries() -> dict:
     return {
         "op1_minhash_dedup": minhash.op1_minhash_dedup,
+        "op2_embedding_dedup": embedding.op2_embedding_dedup,
         "op3_quality_rules": quality_rules.op3_quality_rules,
         "op4_mix_sources": mixing.op4_mix_sources,
         "op5_token_counts": tokens.op5_token_counts,
@@ -15,6 +28,7 @@ def queries() -> dict:
         "op7_pack_sequences": packing.op7_pack_sequences,
         "op8_language_id": langid.op8_language_id,
         "op9_chat_format": chat.op9_chat_format,
+        "op10_shard_documents": sharding.op10_shard_documents,
     }
 
 
