@@ -8,29 +8,27 @@ every candidate is confirmed on the two full shingle sets.
 
 Nothing is capped.  Documents with equal sets are one class before any bucket
 is built, so copies never meet in pairs.  A star loses links between two of its
-leaves; therefore buckets whose members are still in different components go
-through further rounds in which more members (twice as many per round, in a
-hash order) act as centres, until every pair of a bucket is tested or already
-in one component.
+leaves; :mod:`buckets` therefore goes on with buckets whose members are still in
+different components, until every pair of a bucket is confirmed, refused by a
+proven bound on its overlap, or already in one component.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm.common import Scratch, table, text_chunks, uniform
-from shopfloor.llm.graph import connected_components
+from shopfloor.llm.buckets import bucket_components, bucket_members
+from shopfloor.llm.common import Scratch, table, text_chunks
 from shopfloor.llm.wordhash import U, mix, shingles
 
 SHINGLE = 5
 SIMILARITY = 75  # per cent
 BANDS, ROWS = 32, 4  # a pair at 0.75 shares no bucket with a chance of 5e-6
-FIRST_CENTRES = 8
 
 
 def signatures(sets: np.ndarray, doc: np.ndarray, n_docs: int, bins: int) -> np.ndarray:
@@ -115,65 +113,65 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = linkable.select("id", "k1", "k2", "n", "bands").join(
         classes.select(F.col("rep").alias("id"), "k1", "k2"), ["id", "k1", "k2"]).dropDuplicates(["id", "k1", "k2"])
     keyed = reps.select(F.col("id").alias("rep"), "n", F.explode("bands").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("_last"),
-                                       F.count("*").alias("size"))
-    buckets = scratch.save(buckets.where("hub < _last").drop("_last"), "buckets")
-    members = scratch.save(keyed.join(buckets, "key").select("key", "rep", "n", "hub", "size"), "members")
+    members = bucket_members(scratch, keyed)
     ids = members.select(F.col("rep").alias("id")).distinct()
     full = scratch.save(texts.join(ids, "id").mapInArrow(_sets(shingle), "rep long, s array<long>")
                         .where(F.size("s") > 0), "sets")
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        """Candidates (a, b) whose full sets are similar enough."""
+    def compared(pairs: DataFrame) -> DataFrame:
+        """Both set sizes together and the shingles in common of pairs (a, b)."""
         at_b = pairs.join(full.select(F.col("rep").alias("b"), F.col("s").alias("sb")), "b")
         both = at_b.join(full.select(F.col("rep").alias("a"), F.col("s").alias("sa")), "a")
-        shared = both.select("a", "b", (F.size("sa") + F.size("sb")).alias("sum"),
-                             F.size(F.array_intersect("sa", "sb")).alias("both"))
-        return shared.where(F.lit(100).cast("long") * F.col("both") >= F.lit(similarity) * (F.col("sum") - F.col("both"))
-                            ).select("a", "b")
-
-    def plausible(na: str, nb: str):
-        return F.lit(100) * F.least(na, nb) >= F.lit(similarity) * F.greatest(na, nb)
-
-    hubs = members.where("rep = hub").select("key", F.col("n").alias("hub_n"))
-    star = (members.where("rep > hub").join(hubs, "key").where(plausible("n", "hub_n"))
-            .select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
-    links = [scratch.save(confirmed(star), "links")]
-    labels = connected_components(scratch, links[0])
-
-    window = 0
-    while True:
-        # Buckets still split between components; centres of this round by their place in a hash order.
-        named = (members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-                 .withColumn("c", F.coalesce("component", "rep")).drop("component"))
-        named = scratch.save(named.withColumn("u", uniform("rep") * F.col("size")), "named")
-        low, high = FIRST_CENTRES * (2 ** window - 1), FIRST_CENTRES * (2 ** (window + 1) - 1)
-        split = named.where(F.col("size") > low).groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"))
-        rest = scratch.save(named.join(split.where("c0 < c1").select("key"), "key"), "split")
-        centres = rest.where((F.col("u") >= low) & (F.col("u") < high)).select(
-            "key", F.col("rep").alias("x"), F.col("n").alias("xn"), F.col("c").alias("xc"), F.col("u").alias("xu"))
-        others = rest.where(F.col("u") >= low).select("key", "rep", "n", "c", "u")
-        tested = ((F.col("u") >= high) | (F.col("rep") < F.col("x"))) & (F.col("c") != F.col("xc"))
-        pairs = (centres.join(others, "key").where(tested & plausible("n", "xn"))
-                 .select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct())
-        if not rest.limit(1).count():
-            scratch.drop(named, rest)
-            break
-        more = scratch.save(confirmed(pairs), "links")
-        links.append(more)
-        scratch.drop(named, rest)
-        if more.limit(1).count():
-            union = links[0]
-            for x in links[1:]:
-                union = union.unionByName(x)
-            scratch.drop(labels)
-            labels = connected_components(scratch, union)
-        window += 1
+        return both.select("a", "b", (F.size("sa") + F.size("sb")).cast("long").alias("sum"),
+                           F.size(F.array_intersect("sa", "sb")).cast("long").alias("both"))
+
+    def similar(shared: Column, total: Column) -> Column:
+        return F.lit(100) * shared >= F.lit(similarity) * (total - shared)
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        return compared(pairs).where(similar(F.col("both"), F.col("sum"))).select("a", "b")
+
+    def sizes_fit() -> Column:
+        return F.lit(100) * F.least("n", "x_n") >= F.lit(similarity) * F.greatest("n", "x_n")
+
+    def refine(rest: DataFrame) -> tuple[DataFrame, list[str], Callable[[], Column], DataFrame]:
+        """Upper bounds of the overlap, from shingles that no other open set has and from the overlap with a hub.
+
+        A set's shingles are ``lone`` where no other set of an open bucket has
+        them.  Each bucket's hub, the set with the smallest share of those, is
+        compared with all members; then two members can share at most the
+        smaller part inside the hub plus the smaller shared part outside it.
+        """
+        some = full.join(rest.select("rep").distinct(), "rep")
+        lone = (some.select("rep", F.explode("s").alias("x")).groupBy("x")
+                .agg(F.count("*").alias("c"), F.min("rep").alias("rep")).where("c = 1")
+                .groupBy("rep").agg(F.count("*").alias("lone")))
+        many = some.groupBy("rep").agg((F.count("*") > 1).alias("many"))  # ids with several texts are never refused
+        known = scratch.save(many.join(lone, "rep", "left").select("rep", "many", F.coalesce("lone", F.lit(0)).alias("lone")),
+                             "lone")
+        members = scratch.save(rest.drop("c").join(known, "rep"), "members")
+        hubs = members.groupBy("key").agg(F.min(F.struct((F.col("lone") / F.col("n")).alias("share"), "rep")).alias("h"))
+        with_hub = scratch.save(members.join(hubs.select("key", F.col("h.rep").alias("hub")), "key"), "hubs")
+        named = with_hub.withColumn("a", F.least("rep", "hub")).withColumn("b", F.greatest("rep", "hub"))
+        counted = scratch.save(compared(named.where("a < b").select("a", "b").distinct()), "counted")
+        at_hub = counted.groupBy("a", "b").agg(F.max("both").alias("in_hub"))
+        out = named.join(at_hub, ["a", "b"], "left").withColumn("in_hub", F.coalesce("in_hub", "n"))
+
+        def possible() -> Column:
+            most = F.least("in_hub", "x_in_hub") + F.least(
+                F.col("n") - F.col("lone") - F.col("in_hub"), F.col("x_n") - F.col("x_lone") - F.col("x_in_hub"))
+            return F.col("many") | F.col("x_many") | (sizes_fit() & similar(most, F.col("n") + F.col("x_n")))
+
+        return (scratch.save(out.select("key", "rep", "size", "n", "lone", "many", "in_hub"), "members"),
+                ["n", "lone", "many", "in_hub"], possible,
+                counted.where(similar(F.col("both"), F.col("sum"))).select("a", "b"))
+
+    labels = bucket_components(scratch, members, ["n"], sizes_fit, confirmed, refine)
 
     named = (classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
              .select("k1", "k2", F.coalesce("component", "rep").alias("component")))
     named = scratch.save(named, "components")
-    scratch.drop(full, members, buckets, classes, labels, *links)
+    scratch.drop(full, members, classes, labels)
     linked = linkable.select("id", "n", "k1", "k2").join(named, ["k1", "k2"]).select("id", "n", "component")
     alone = sketch.where("n = 0 OR id IS NULL").select(
         "id", "n", F.when(F.col("id").isNotNull(), F.col("id")).alias("component"))
