@@ -106,11 +106,16 @@ RULES = [
 
 
 def prepare(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id, text, words, lines`` (lines with a word); a null text is an empty one."""
+    """``id, text, words, lines`` (lines with a word); a null text is an empty one.
+
+    The arrays come out of a generator of one row: neither a filter nor a
+    projection above can then be rewritten to split the text again per word.
+    """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).alias("id"), text.alias("text")).select(
-        "id", "text", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("words"),
+    parts = F.struct(
+        F.col("text"), F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("words"),
         F.filter(F.split("text", "\n", -1), lambda x: F.btrim(x, F.lit(SPACES)) != "").alias("lines"))
+    return docs.select(F.col(id_col).alias("id"), text.alias("text")).select("id", F.inline(F.array(parts)))
 
 
 def order_rules(prepared: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
