@@ -235,3 +235,21 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = train(docs, remainder("doc_id", 4) != 2)
     return identify(docs, model).select(F.col("id").alias("doc_id"), (remainder("id", 4) == 2).alias("held_out"),
                                         "lang_pred", "score")
+
+
+def _keeper(model: Model, text_col: str, least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score_all = _scorer(model)
+        for batch in batches:
+            at = batch.schema.get_field_index(text_col)
+            pair = pa.RecordBatch.from_arrays([pa.array(np.arange(batch.num_rows)), batch.column(at)], names=["id", "text"])
+            for found in score_all([pair]):
+                good = [i for i, lang, p in zip(*(c.to_pylist() for c in found.columns))
+                        if lang != UNDETERMINED and p >= least]
+                yield batch.take(pa.array(good, pa.int64()))
+    return run
+
+
+def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.0) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a language with at least the given score."""
+    return docs.mapInArrow(_keeper(model, text_col, least), docs.schema)

@@ -49,7 +49,7 @@ def targets(scratch: Scratch, sized: DataFrame, weights=WEIGHTS, share=SHARE, ma
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights=WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
-    """``id, size, source_size, target, copies, taken`` for every row of ``docs``.
+    """``id, source, size, source_size, target, copies, taken`` for every row of ``docs``.
 
     ``copies`` is how often the mix holds the document, ``taken`` its words
     there.  Sizes are words; a null text has none.  A null source is a source;
@@ -84,7 +84,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         "at", F.col("start") + F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     copies = F.col("whole") + F.when(2 * F.col("at") + F.col("size") <= 2 * F.col("rest"), 1).otherwise(0)
     copies = F.when(F.col("whole") >= max_epochs, F.lit(max_epochs)).otherwise(copies)
-    return placed.select("id", "size", "source_size", "target", copies.cast("int").alias("copies"),
+    return placed.select("id", F.when(~F.col("s_null"), F.col("s")).alias("source"), "size", "source_size", "target",
+                         copies.cast("int").alias("copies"),
                          (copies * F.col("size")).cast("long").alias("taken"))
 
 
