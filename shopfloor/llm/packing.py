@@ -107,7 +107,7 @@ def plan(counts: dict[int, int], tiers: tuple[int, ...] = TIERS) -> list[tuple[t
     """Patterns ``(lengths, context size, how many)`` that use every piece of ``counts`` exactly once."""
     top = tiers[-1]
     left = {n: c for n, c in counts.items() if c > 0}
-    lower = list(range(top + 1))  # lower[n]: the longest length <= n that may have pieces left
+    lower = list(range(top + 1))  # lower[n]: no length above it and up to n has pieces left
 
     def longest(n: int) -> int:
         path = []
@@ -122,23 +122,26 @@ def plan(counts: dict[int, int], tiers: tuple[int, ...] = TIERS) -> list[tuple[t
     for size in reversed(tiers):
         floor = max([t for t in tiers if t < size], default=0)
         for n in range(size, floor, -1):
-            work = [((n,), size, left.pop(n))] if left.get(n) else []
-            while work:
-                made, room, times = work.pop()
-                gap = room - sum(made)
-                fit = longest(gap) if gap else 0
-                if not gap:
-                    out.append((made, room, times))
-                elif fit:
-                    used = min(times, left[fit])
-                    left[fit] -= used
-                    work.append((made + (fit,), room, used))
-                    if used < times:
-                        work.append((made, room, times - used))
-                elif room < top:
-                    work.append((made, min(t for t in tiers if t > room), times))
-                else:
-                    out.append((made, room, times))
+            while left.get(n):
+                made, room = {n: 1}, size
+                left[n] -= 1
+                gap = room - n
+                while gap or room < top:
+                    fit = longest(gap) if gap else 0
+                    if fit:
+                        made[fit] = made.get(fit, 0) + 1
+                        left[fit] -= 1
+                        gap -= fit
+                    elif gap and room < top:
+                        larger = min(t for t in tiers if t > room)
+                        gap, room = gap + larger - room, larger
+                    else:
+                        break
+                # Every further window of this make-up at once, until one of its lengths runs out.
+                more = min(left[k] // v for k, v in made.items())
+                for k, v in made.items():
+                    left[k] -= more * v
+                out.append((tuple(k for k, v in sorted(made.items(), reverse=True) for _ in range(v)), room, 1 + more))
     return out
 
 
