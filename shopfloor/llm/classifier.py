@@ -27,7 +27,7 @@ FIT_ROWS = 2000
 WIDTH, STRIDE = 8, 4
 PLACES = 64  # windows in a chunk
 FILTERS, DEPTH = 24, 4
-EPOCHS, BATCH, RATE, SEED = 14, 32, 0.01, 7
+STEPS, BATCH, RATE, SEED = 900, 32, 0.01, 7  # batches learned from, whatever the number of rows
 
 Model = dict[str, np.ndarray]
 
@@ -116,14 +116,14 @@ def gradients(model: Model, symbols: np.ndarray, first: np.ndarray, y: np.ndarra
     return g
 
 
-def fit(rows: list[tuple[str, int]], epochs: int = EPOCHS, seed: int = SEED) -> Model:
+def fit(rows: list[tuple[str, int]], steps: int = STEPS, seed: int = SEED) -> Model:
     """A model from (text, label) rows; without rows, one that gives 0.5."""
     model = initial(seed)
     rng = np.random.default_rng(seed)
     rows = [(np.frombuffer(t.encode(), np.uint8), y) for t, y in rows]
     m = {k: np.zeros_like(v, dtype=np.float64) for k, v in model.items()}
     s = {k: np.zeros_like(v, dtype=np.float64) for k, v in model.items()}
-    step = 0
+    step, epochs = 0, -(-steps // max(1, -(-len(rows) // BATCH)))
     for epoch in range(epochs):
         order = rng.permutation(len(rows))
         for at in range(0, len(rows), BATCH):
