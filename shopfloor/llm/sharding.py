@@ -38,9 +38,11 @@ def propagate(scratch: Scratch, linked: DataFrame, shards: int, capacity: float,
         best = held.groupBy("group").agg(
             F.max(F.struct("bytes", (-F.col("shard")).alias("s"))).alias("most"),
             F.max(F.when(F.col("shard").isin(free), F.struct("bytes", (-F.col("shard")).alias("s")))).alias("open"))
-        best = best.select("group", (-F.col("most.s")).alias("home"), (-F.col("open.s")).alias("target"))
-        wish = held.join(best, "group").where(
-            F.col("target").isNotNull() & (F.col("shard") != F.col("home")) & (F.col("shard") != F.col("target")))
+        best = best.select("group", (-F.col("most.s")).alias("home"), (-F.col("open.s")).alias("target"),
+                           F.col("open.bytes").alias("there"))
+        wish = held.join(best, "group").where(  # smaller parts move to larger ones, never the other way
+            F.col("target").isNotNull() & (F.col("shard") != F.col("home")) & (F.col("shard") != F.col("target"))
+            & (F.col("bytes") <= F.col("there")))
         wish = scratch.save(wish.groupBy("group", "target").agg(
             F.sum("bytes").alias("moving"), F.collect_set("shard").alias("from")), "wishes")
         wanted = {r["target"]: r["b"] for r in wish.groupBy("target").agg(F.sum("moving").alias("b")).collect()}
