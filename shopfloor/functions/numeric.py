@@ -24,14 +24,23 @@ SUM_INPUT = "decimal(28,10)"
 def round2(col: Column) -> Column:
     """Round half-up to 2 decimals on the decimal value of ``col``; double out.
 
-    Values beyond decimal(38,10) (or NaN) become NULL instead of failing the job.
+    NaN becomes NULL.  Infinity and values beyond decimal(38,10) are rounded as
+    doubles; they stay visible and never turn into NULL.
     """
-    return F.round(col.try_cast(EXACT), 2).cast("double")
+    value = col.cast("double")
+    exact = col.try_cast(EXACT)
+    return F.when(exact.isNull() & ~F.isnan(value), F.round(value, 2)).otherwise(F.round(exact, 2).cast("double"))
 
 
 def sum_exact(col: Column) -> Column:
-    """Order-independent SUM of a double column (exact to 10 places)."""
-    return F.sum(col.try_cast(SUM_INPUT)).cast("double")
+    """Order-independent SUM of a double column (exact to 10 places).
+
+    If any value does not fit the exact type (Infinity, NaN, 1e18 and more), the
+    plain double sum of all values is returned, so that none is left out.
+    """
+    exact = col.try_cast(SUM_INPUT)
+    unfit = F.max(F.when(col.isNotNull() & exact.isNull(), F.lit(True)))
+    return F.when(unfit.isNull(), F.sum(exact).cast("double")).otherwise(F.sum(col.cast("double")))
 
 
 def avg_exact(col: Column, scale: int = 6) -> Column:

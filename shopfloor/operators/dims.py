@@ -1,8 +1,8 @@
 """Lake dimensions derived from cleaned production runs.
 
-Every dimension is a ``distinct`` / per-key ``min`` — partial aggregation on
-each map task keeps the shuffle at (members × tasks) rows however large the
-production table is.
+Every dimension starts with a ``distinct`` of its columns: partial aggregation
+on each map task keeps the shuffle at (members × tasks) rows however large the
+production table is.  Ranking (dim_machine) runs on the distinct rows only.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ SHIFT_HOURS = 8
 
 def dim_machine(production: DataFrame) -> DataFrame:
     """One row per machine; line and plant from its smallest (line_id, plant_id)."""
-    members = dedup_by_key(production.select("machine_id", "line_id", "plant_id"), "machine_id")
+    members = dedup_by_key(production.select("machine_id", "line_id", "plant_id").distinct(), "machine_id")
     return (
         members.withColumn("machine_name", F.concat(F.lit(MACHINE_NAME_PREFIX), F.col("machine_id")))
         .withColumn("line_name", F.concat(F.lit(LINE_NAME_PREFIX), F.col("line_id")))

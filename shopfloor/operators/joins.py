@@ -1,40 +1,17 @@
-"""Join helpers."""
+"""Sizing of written tables.
+
+Join strategies are left to adaptive execution, which broadcasts a side only
+from its measured size in bytes.  File counts follow the data as well:
+:func:`rebalanced` lets adaptive execution cut or merge the partitions in front
+of a write to the advisory size, so a small dimension becomes one file and a
+hot month many, without a row-count switch and without a single task.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# A dimension lookup side is (natural id, surrogate key): ~50 bytes a row,
-# so the bound keeps a broadcast under ~50 MB per executor.
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    An exact count: every task counts its own rows and sends one number to the
-    final aggregate.  ``limit(n + 1).count()`` is not used because it plans a
-    single-partition exchange under the global limit, so up to ``n + 1`` rows
-    from *every* partition would meet in one task.  Callers pass dimensions,
-    whose size is a business cardinality, so the exact pass is cheap.
-    """
-    return df.count() <= max_rows
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after checking ``df`` has at most ``max_rows`` rows.
-
-    Beyond the bound the side is returned unhinted and the planner falls back
-    to a shuffle join (which AQE may still convert using measured sizes).
-    """
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
-
-
-# A dimension written as one file: up to this many members.
-SINGLE_FILE_ROWS = 1_000_000
 
 
-def single_file_if_bounded(df: DataFrame, max_rows: int = SINGLE_FILE_ROWS) -> DataFrame:
-    """``coalesce(1)`` for a checked-small table (one file); larger tables keep their partitioning."""
-    return df.coalesce(1) if is_bounded(df, max_rows) else df
+def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
+    """Partitions of the advisory size, rows of equal ``columns`` together where that fits."""
+    return df.hint("rebalance", *columns)

@@ -1,11 +1,10 @@
 """Physical layout and maintenance of warehouse tables.
 
-* ``sorted_fact``: range-partition by (date_key, machine_key, shift_key,
-  production_sk) and sort by (date_key, machine_key, shift_key) — files cover
-  disjoint key ranges, so Parquet min/max statistics skip row groups for
-  date / machine predicates (the role a sort key plays in a columnar
-  warehouse).  The unique production_sk ends the range key so that one
-  (date, machine) holding a third of all rows is still cut into many files.
+* ``sorted_fact``: rebalance by month (adaptive execution cuts a hot month into
+  many partitions and merges small ones, by bytes) and sort each partition by
+  (date_key, machine_key, shift_key), so Parquet min/max statistics skip row
+  groups for date / machine predicates, the role a sort key plays in a
+  columnar warehouse.
 * ``compact``: rewrite a table with that layout into a new snapshot.
 * ``analyze``: catalog statistics for the cost-based optimizer.
 """
@@ -15,12 +14,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopfloor.operators.joins import rebalanced
+
 FACT_SORT = ["date_key", "machine_key", "shift_key"]
 
 
-def sorted_fact(fact: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    n = num_partitions or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return fact.repartitionByRange(n, *FACT_SORT, "production_sk").sortWithinPartitions(*FACT_SORT)
+def with_month(fact: DataFrame) -> DataFrame:
+    """The fact plus ``month_key`` (yyyymm of date_key), its partition column in the warehouse."""
+    return fact.withColumn("month_key", F.year("date_key") * 100 + F.month("date_key"))
+
+
+def sorted_fact(fact: DataFrame) -> DataFrame:
+    return rebalanced(with_month(fact), "month_key").sortWithinPartitions("month_key", *FACT_SORT)
 
 
 def analyze(spark: SparkSession, table: str, columns: list[str] | None = None) -> DataFrame:

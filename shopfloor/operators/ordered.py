@@ -7,9 +7,9 @@
    the cluster's shared checkpoint folder, which fixes partition ids and row
    positions for every later job and every retry after an executor loss;
 2. one tiny aggregate per partition (count or sum) — as many rows as there
-   are partitions, the only thing that reaches the driver;
-3. prefix sums of those per-partition totals become per-partition offsets,
-   applied inside each partition.
+   are partitions, one for two million rows of data;
+3. prefix sums of those per-partition totals become per-partition offsets, a
+   table that is joined to the rows by partition number.
 
 No step holds more than one range partition in a task, whatever the table size.
 """
@@ -29,17 +29,13 @@ ROW_INDEX_BITS = 33  # monotonically_increasing_id = partition_id << 33 | row in
 ROWS_PER_PARTITION = 2_000_000
 
 
-def _partitions(df: DataFrame, num_partitions: int | None, rows: int) -> int:
-    """Explicit count, else enough partitions for ``rows``, at most the shuffle setting.
+def _partitions(num_partitions: int | None, rows: int) -> int:
+    """Explicit count, else as many partitions as ``rows`` need, however many that is.
 
-    An explicit partition count is not coalesced by AQE, so sizing it from the
-    row count keeps a few thousand new dimension members from being spread
-    over a cluster-sized number of near-empty partitions and checkpoint files.
+    An explicit partition count is neither split nor merged by AQE, so it has
+    to follow the row count: a task sorts about ROWS_PER_PARTITION rows at any size.
     """
-    if num_partitions:
-        return num_partitions
-    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(configured, -(-rows // ROWS_PER_PARTITION)))
+    return num_partitions or max(1, -(-rows // ROWS_PER_PARTITION))
 
 
 def sorted_checkpoint(df: DataFrame, order: list[Column], num_partitions: int | None = None) -> DataFrame:
@@ -54,32 +50,16 @@ def sorted_checkpoint(df: DataFrame, order: list[Column], num_partitions: int |
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # Counting fills the cache that the range sampling and the shuffle read.
-        n = _partitions(df, num_partitions, src.count())
+        n = _partitions(num_partitions, src.count())
         return src.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
     finally:
         src.unpersist()
 
 
-def _offsets(per_partition: list[tuple[int, object]], zero) -> tuple[list, int]:
-    """Exclusive prefix sums indexed by partition id."""
-    if not per_partition:
-        return [], 0
-    width = max(pid for pid, _ in per_partition) + 1
-    totals = [zero] * width
-    for pid, value in per_partition:
-        totals[pid] = value if value is not None else zero
-    offsets, acc = [], zero
-    for value in totals:
-        offsets.append(acc)
-        acc = acc + value
-    return offsets, width
-
-
-def _offset_column(offsets: list, cast: str) -> Column:
-    if not offsets:
-        return F.lit(0).cast(cast)
-    arr = F.array(*[F.lit(o).cast(cast) for o in offsets])
-    return F.element_at(arr, F.spark_partition_id() + 1)
+def _offsets(totals: DataFrame, value: str) -> DataFrame:
+    """``(_pid, _before)``: the total of all partitions in front; one row per partition, hence broadcast."""
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    return F.broadcast(totals.select("_pid", F.coalesce(F.sum(value).over(before), F.lit(0)).alias("_before")))
 
 
 def dense_key(
@@ -92,11 +72,13 @@ def dense_key(
 ) -> DataFrame:
     """Add ``key_col`` = start + rank of ``order_col`` (ascending, values unique) over ``df``."""
     staged = sorted_checkpoint(df, [F.col(order_col).asc_nulls_first()], num_partitions)
-    counts = staged.groupBy(F.spark_partition_id().alias("pid")).count().collect()
-    offsets, _ = _offsets([(r["pid"], r["count"]) for r in counts], 0)
-    local = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), ROW_INDEX_BITS)
-    key = F.lit(start).cast("long") + _offset_column(offsets, "long") + local + 1
-    return staged.withColumn(key_col, key.cast(key_type))
+    pid = F.spark_partition_id()
+    staged = staged.withColumns({
+        "_pid": pid, "_row": F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), ROW_INDEX_BITS)})
+    counts = staged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    key = F.lit(start).cast("long") + F.col("_before") + F.col("_row") + 1
+    return staged.join(_offsets(counts, "_n"), "_pid").withColumn(key_col, key.cast(key_type)).drop(
+        "_pid", "_row", "_before")
 
 
 def running_sum(
@@ -113,12 +95,8 @@ def running_sum(
     """
     staged = sorted_checkpoint(df.withColumn("_v", F.col(value_col).cast(value_type)), order, num_partitions)
     staged = staged.withColumn("_pid", F.spark_partition_id())
-    totals = staged.groupBy("_pid").agg(F.sum("_v").alias("s")).collect()
-    from decimal import Decimal
-
-    offsets, _ = _offsets([(r["_pid"], r["s"]) for r in totals], Decimal(0))
-    offset_by_pid = F.array(*[F.lit(o).cast(value_type) for o in offsets]) if offsets else None
+    totals = staged.groupBy("_pid").agg(F.sum("_v").alias("_s"))
     within = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = F.sum("_v").over(within)
-    offset = F.element_at(offset_by_pid, F.col("_pid") + 1) if offset_by_pid is not None else F.lit(0)
-    return staged.withColumn(out_col, (offset + local).cast(value_type)).drop("_v", "_pid")
+    summed = staged.withColumn("_sum", F.sum("_v").over(within)).join(_offsets(totals, "_s"), "_pid")
+    return summed.withColumn(out_col, (F.col("_before") + F.col("_sum")).cast(value_type)).drop(
+        "_v", "_pid", "_sum", "_before")

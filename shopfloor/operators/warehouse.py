@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 
 from shopfloor import schemas
 from shopfloor.functions import round2
-from shopfloor.operators.joins import broadcast_if_bounded
 from shopfloor.operators.ordered import dense_key
 
 # The seeded shift members, in insertion order.
@@ -59,7 +58,14 @@ def _next_key(target: DataFrame | None, key: str) -> int:
 
 
 def _conform(df: DataFrame, schema) -> DataFrame:
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    """Warehouse types; a value that does not fit stops the load (facts were conformed or rejected before)."""
+    def fitted(name, dtype):
+        value, cast = F.col(name), F.col(name).try_cast(dtype)
+        if df.schema[name].dataType == dtype:
+            return value
+        text = F.concat(F.lit(f"{name}: value does not fit {dtype.simpleString()}: "), value.cast("string"))
+        return F.when(value.isNotNull() & cast.isNull(), F.raise_error(text).cast(dtype)).otherwise(cast)
+    return df.select(*[fitted(f.name, f.dataType).alias(f.name) for f in schema.fields])
 
 
 # ── dimensions ───────────────────────────────────────────────────────────────
@@ -166,17 +172,15 @@ def resolve_fact(
     dim_machine: DataFrame,
     dim_shift: DataFrame,
     dim_product: DataFrame,
-    bounded_broadcast: bool = True,
 ) -> DataFrame:
     """Natural ids → surrogate keys (left joins) plus a ``reject_reason`` column.
 
     Rows with ``reject_reason IS NULL`` are exactly the rows the inner-join
-    insert loads; the others are the rejects.  Dimension lookups are
-    broadcast only after their row count is checked.
+    insert loads; the others are the rejects.  Adaptive execution broadcasts
+    a dimension if its measured bytes allow.
     """
     def lookup(dim: DataFrame, nat: str, key: str) -> DataFrame:
-        side = dim.select(nat, key)
-        return broadcast_if_bounded(side) if bounded_broadcast else side
+        return dim.select(nat, key)
 
     resolved = (
         stage.withColumn("date_key", F.col("production_date"))
@@ -204,15 +208,18 @@ def upsert_fact(
     stage: DataFrame,
     target: DataFrame | None = None,
     load_ts: Column | None = None,
+    start: int | None = None,
 ) -> DataFrame:
     """Replace facts whose production_id is staged; insert the loadable staged rows.
 
+    ``start`` is the largest key in use where ``target`` is only a part of the table.
+
     Every staged id removes its old row (also when the new version is
     rejected); new rows get production_sk after the largest key in use, in
     production_id order.
     """
     spark = resolved.sparkSession
-    start = _next_key(target, "production_sk")
+    start = _next_key(target, "production_sk") if start is None else start
     target = target if target is not None else empty(spark, "fact_production")
     kept = target.join(stage.select("production_id").filter(F.col("production_id").isNotNull()),
                        "production_id", "left_anti")

@@ -55,13 +55,13 @@ def clamp0(c: str) -> str:
 RAW_PRODUCTION = """
 SELECT
   concat('P', cast(l_orderkey AS string), '-', cast(l_linenumber AS string)) AS production_id,
-  concat('PLT', cast(l_suppkey % 5 % 2 AS string)) AS plant_id,
-  concat('L', cast(l_suppkey % 5 AS string)) AS line_id,
-  concat('M', cast(l_suppkey % 20 AS string)) AS machine_id,
+  concat('PLT', cast(l_suppkey // 40 AS string)) AS plant_id,
+  concat('L', cast(l_suppkey // 8 AS string)) AS line_id,
+  concat('M', cast(l_suppkey AS string)) AS machine_id,
   concat('S', cast(l_linenumber % 4 AS string)) AS shift_id,
-  concat('PRD', cast(l_partkey % 40 AS string)) AS product_id,
+  concat('PRD', cast(l_partkey AS string)) AS product_id,
   CASE WHEN l_orderkey % 97 = 0 THEN 'bad-date'
-       ELSE cast(date '2024-01-01' + cast(l_orderkey % 30 AS int) AS string) END AS production_date,
+       ELSE cast(cast(l_shipdate AS date) AS string) END AS production_date,
   CASE WHEN l_partkey % 53 = 0 THEN 0 ELSE cast(l_quantity AS int) * 10 END AS planned_qty,
   CASE WHEN l_partkey % 59 = 0 THEN -5
        ELSE cast(l_quantity AS int) * 10 + 3 - cast(round(l_discount * 100) AS int) END AS actual_qty,
@@ -75,8 +75,8 @@ FROM lineitem
 RAW_DOWNTIME = """
 SELECT
   concat('D', cast(event_id AS string)) AS downtime_id,
-  concat('M', cast(user_id % 20 AS string)) AS machine_id,
-  cast(cast(ts AS date) AS string) AS production_date,
+  concat('M', cast(user_id AS string)) AS machine_id,
+  cast(cast(ts AS date) - cast(event_id % 2500 + 8100 AS int) AS string) AS production_date,
   CASE WHEN extract(hour FROM ts) >= 6 AND extract(hour FROM ts) < 14 THEN 'S1'
        WHEN extract(hour FROM ts) >= 14 AND extract(hour FROM ts) < 22 THEN 'S2'
        ELSE 'S3' END AS shift_id,
@@ -89,16 +89,15 @@ FROM events
 RAW_QUALITY = """
 SELECT
   concat('Q', cast(l_orderkey AS string), '-', cast(l_linenumber AS string)) AS inspection_id,
-  concat('M', cast(l_suppkey % 20 AS string)) AS machine_id,
-  concat('PRD', cast(l_partkey % 40 AS string)) AS product_id,
+  concat('M', cast(l_suppkey AS string)) AS machine_id,
+  concat('PRD', cast(l_partkey AS string)) AS product_id,
   CASE WHEN l_orderkey % 97 = 0 THEN 'bad-date'
-       ELSE cast(date '2024-01-01' + cast(l_orderkey % 30 AS int) AS string) END AS production_date,
+       ELSE cast(cast(l_shipdate AS date) AS string) END AS production_date,
   concat('S', cast(l_linenumber % 4 AS string)) AS shift_id,
   CASE WHEN l_partkey % 71 = 0 THEN 0 ELSE cast(l_quantity AS int) END AS inspected_qty,
   CASE WHEN l_partkey % 73 = 0 THEN NULL ELSE cast(round(l_tax * 100) AS int) * 3 END AS defect_qty,
   l_linestatus AS defect_category
 FROM lineitem
-WHERE l_returnflag = 'R'
 """
 
 PRODUCTION_COLS = [

@@ -1,14 +1,18 @@
 """Warehouse load: processed zone → star schema snapshots.
 
-Each load produces the next version of every warehouse table from the
-current version and the lake (see ``operators.warehouse``), writes it into a
-new snapshot folder and then moves the table's pointer to it.  Readers
-resolve the pointer, so they see either the old or the new version — never a
-half-deleted table — and an executor lost during the write only costs a retry
-of the unfinished snapshot.
-
-Layout: the fact snapshot is range-partitioned by (date_key, machine_key) and
-sorted by (date_key, machine_key, shift_key); dimensions are single files.
+Data folders are immutable.  A load writes every new folder first and then one
+manifest that lists the folders of all tables; the newest complete manifest is
+the warehouse.  Nothing is ever overwritten: a crash at any point leaves the
+previous manifest in force, and readers see all tables of one load or all of
+another, never a mix.  A missing manifest folder means a new warehouse; an
+unreadable or incomplete manifest is an error and never an empty warehouse.
+
+The fact is kept by month.  A load rewrites only the months that its rows change
+and carries the folders of all other months over.  Rows that cannot be loaded
+are published with the load's id.
+
+Manifest rows: ``(table, part, path)``; ``part`` is the month (yyyymm) of a fact
+folder, the load id of a rejects folder, and null for a dimension.
 """
 
 from __future__ import annotations
@@ -19,12 +23,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from shopfloor import schemas
 from shopfloor.operators import layout
-from shopfloor.operators.joins import single_file_if_bounded
 from shopfloor.operators import warehouse as wh
+from shopfloor.operators.joins import rebalanced
+from shopfloor.sources import sinks
 
-TABLES = ["dim_date", "dim_machine", "dim_shift", "dim_product", "fact_production"]
-POINTER = "_current"
+DIMS = ["dim_date", "dim_machine", "dim_shift", "dim_product"]
+TABLES = [*DIMS, "fact_production"]
+FACT, REJECTS = "fact_production", "rejects"
+MANIFESTS = "_manifests"
+MANIFEST_SCHEMA = "table string, part string, path string"
+REJECTS_SCHEMA = ("load_id string, production_id string, machine_id string, shift_id string, product_id string, "
+                  "production_date date, reject_reason string")
 
 
 def stage_from_parquet(spark: SparkSession, path: str, schema: StructType,
@@ -70,67 +81,156 @@ def load(
     }
 
 
-# ── snapshots ────────────────────────────────────────────────────────────────
+# ── manifests ────────────────────────────────────────────────────────────────
 
 
-def _pointer_path(base: str, table: str) -> str:
-    return f"{base.rstrip('/')}/{table}/{POINTER}"
+def _list(spark: SparkSession, path: str) -> list[str] | None:
+    """Names in a folder, or None if there is no such folder; any other problem is raised."""
+    if not sinks.exists(spark, path):
+        return None
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in fs.listStatus(target))
+
+
+def manifests(spark: SparkSession, base: str) -> list[str]:
+    """Complete manifests, oldest first."""
+    folder = f"{base.rstrip('/')}/{MANIFESTS}"
+    return [f"{folder}/{name}" for name in _list(spark, folder) or []
+            if "_SUCCESS" in (_list(spark, f"{folder}/{name}") or [])]
 
 
-def current_snapshot(spark: SparkSession, base: str, table: str) -> str | None:
-    """Folder of the table's current snapshot, or None if never published."""
-    try:
-        row = spark.read.text(_pointer_path(base, table)).first()
-    except Exception:  # noqa: BLE001 - no pointer yet
+def read_manifest(spark: SparkSession, base: str) -> list[tuple] | None:
+    """Rows of the newest manifest, or None for a new warehouse."""
+    found = manifests(spark, base)
+    if not found:
         return None
-    return row[0] if row else None
+    rows = [tuple(r) for r in spark.read.schema(MANIFEST_SCHEMA).json(found[-1]).collect()]
+    missing = set(DIMS) - {r[0] for r in rows}
+    if missing:
+        raise RuntimeError(f"manifest {found[-1]} does not list {sorted(missing)}")
+    gone = [path for _, _, path in rows if not sinks.exists(spark, path)]
+    if gone:
+        raise RuntimeError(f"manifest {found[-1]} lists folders that do not exist: {gone[:5]}")
+    return rows
+
+
+def write_manifest(spark: SparkSession, base: str, rows: list[tuple]) -> str:
+    """Publish the rows as the newest manifest (a new folder, complete once it holds _SUCCESS)."""
+    last = [int(name.split("-")[0]) for name in _list(spark, f"{base.rstrip('/')}/{MANIFESTS}") or []]
+    path = f"{base.rstrip('/')}/{MANIFESTS}/{max(last, default=0) + 1:012d}-{uuid.uuid4().hex[:8]}"
+    spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("errorifexists").json(path)
+    return path
+
+
+def read_table(spark: SparkSession, rows: list[tuple], table: str, parts: set[str] | None = None) -> DataFrame:
+    """One table of a manifest; ``parts`` restricts a fact to those months."""
+    schema = schemas.WAREHOUSE_SCHEMAS.get(table, REJECTS_SCHEMA)
+    paths = [p for t, part, p in rows if t == table and (parts is None or part in parts)]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def read_current(spark: SparkSession, base: str) -> dict[str, DataFrame] | None:
-    out = {}
-    for t in TABLES:
-        path = current_snapshot(spark, base, t)
-        if path is None:
-            return None
-        out[t] = spark.read.parquet(path)
-    return out
-
-
-def publish(spark: SparkSession, base: str, table: str, df: DataFrame, sort: bool = True) -> str:
-    """Write ``df`` to a new snapshot folder, then switch the table pointer to it."""
-    snap = f"{base.rstrip('/')}/{table}/v-{uuid.uuid4().hex[:12]}"
-    if table == "fact_production":
-        out = layout.sorted_fact(df) if sort else df
-    else:
-        out = single_file_if_bounded(df)
-    out.write.mode("errorifexists").parquet(snap)
-    spark.createDataFrame([(snap,)], "path string").coalesce(1).write.mode("overwrite").text(
-        _pointer_path(base, table)
-    )
-    return snap
-
-
-def run(spark: SparkSession, processed_base: str, warehouse_base: str) -> dict:
-    """Load the processed zone into the warehouse snapshots; returns counts."""
-    base = processed_base.rstrip("/")
-    lake_fact = spark.read.parquet(f"{base}/fact_production")
-    lake_dims = {n: spark.read.parquet(f"{base}/{n}") for n in ["dim_machine", "dim_shift", "dim_product", "dim_date"]}
-    # Snapshots are immutable folders, so the current version can be read
-    # lazily while the next one is written elsewhere.
-    current = read_current(spark, warehouse_base)
-    tables = load(spark, lake_fact, lake_dims, current)
-    for t in TABLES:
-        publish(spark, warehouse_base, t, tables[t])
-    rejected = tables["rejects"].count()
-    published = read_current(spark, warehouse_base)
-    verification = wh.load_verification(published)
-    return {"rejected": rejected, "verification": verification}
-
-
-def compact(spark: SparkSession, warehouse_base: str, table: str = "fact_production") -> str:
-    """Rewrite the table's current snapshot with the sorted layout (new snapshot)."""
-    path = current_snapshot(spark, warehouse_base, table)
-    if path is None:
-        raise FileNotFoundError(f"{table} has no published snapshot under {warehouse_base}")
-    return publish(spark, warehouse_base, table, spark.read.parquet(path), sort=True)
+    """All tables of the newest manifest (without rejects), or None for a new warehouse."""
+    rows = read_manifest(spark, base)
+    return None if rows is None else {t: read_table(spark, rows, t) for t in TABLES}
+
+
+def read_rejects(spark: SparkSession, base: str) -> DataFrame:
+    return read_table(spark, read_manifest(spark, base) or [], REJECTS)
+
 
+def write_dim(df: DataFrame, base: str, table: str, load_id: str) -> tuple:
+    path = f"{base.rstrip('/')}/{table}/v-{load_id}"
+    rebalanced(df).write.mode("errorifexists").parquet(path)
+    return (table, None, path)
+
+
+def write_fact(df: DataFrame, base: str, load_id: str, sort: bool = True) -> list[tuple]:
+    """Write fact rows into one new folder per month; returns their manifest rows."""
+    spark, path = df.sparkSession, f"{base.rstrip('/')}/{FACT}/v-{load_id}"
+    out = layout.sorted_fact(df) if sort else layout.with_month(df)
+    out.write.mode("errorifexists").partitionBy("month_key").parquet(path)
+    return [(FACT, name.split("=")[1], f"{path}/{name}") for name in _list(spark, path) or [] if name.startswith("month_key=")]
+
+
+def publish(spark: SparkSession, base: str, tables: dict[str, DataFrame], sort: bool = True) -> list[tuple]:
+    """Write whole tables to new folders and make them the warehouse, next to the current others."""
+    load_id = uuid.uuid4().hex[:12]
+    rows = [r for r in read_manifest(spark, base) or [] if r[0] not in tables]
+    for name, df in tables.items():
+        rows += write_fact(df, base, load_id, sort) if name == FACT else [write_dim(df, base, name, load_id)]
+    write_manifest(spark, base, rows)
+    return rows
+
+
+def run(spark: SparkSession, processed_base: str, warehouse_base: str, start: str | None = None,
+        end: str | None = None, load_ts: Column | None = None) -> dict:
+    """Load the processed zone, or its runs dated within [start, end], into the warehouse.
+
+    Dimensions are written once and read back for the key lookup.  Of the fact,
+    only the months of the staged rows, and those that hold an older version of
+    a staged run, are read and rewritten.
+    """
+    base, load_id = processed_base.rstrip("/"), uuid.uuid4().hex[:12]
+    staged = sinks.read_fact(spark, f"{base}/{FACT}", start, end)
+    lake = {n: stage_from_parquet(spark, f"{base}/{n}", spark.read.parquet(f"{base}/{n}").schema) for n in DIMS}
+    before = read_manifest(spark, warehouse_base) or []
+    old = {t: read_table(spark, before, t) for t in TABLES} if before else {}
+    new = [
+        write_dim(wh.insert_dim_date(lake["dim_date"], old.get("dim_date")), warehouse_base, "dim_date", load_id),
+        write_dim(wh.upsert_dim_machine(lake["dim_machine"], old.get("dim_machine"), load_ts), warehouse_base,
+                  "dim_machine", load_id),
+        write_dim(wh.seed_dim_shift(spark, old.get("dim_shift")), warehouse_base, "dim_shift", load_id),
+        write_dim(wh.insert_dim_product(lake["dim_product"], old.get("dim_product")), warehouse_base, "dim_product",
+                  load_id),
+    ]
+    dims = {t: read_table(spark, new, t) for t in DIMS}
+    resolved = wh.resolve_fact(staged, dims["dim_machine"], dims["dim_shift"], dims["dim_product"])
+    month = (F.year("d") * 100 + F.month("d")).cast("string").alias("m")
+    dates = staged.select(F.col("production_date").alias("d"))
+    if old:
+        ids = staged.select("production_id").where("production_id IS NOT NULL")
+        dates = dates.union(old[FACT].join(ids, "production_id", "left_semi").select("date_key"))
+    touched = {r["m"] for r in dates.select(month).distinct().collect() if r["m"]}  # a row per calendar month
+    part = read_table(spark, before, FACT, touched) if old else None
+    key = wh._next_key(old.get(FACT), "production_sk")
+    facts = wh.upsert_fact(resolved, staged, part, load_ts, start=key)
+    new += write_fact(facts, warehouse_base, load_id)
+    rejects = wh.fact_rejects(resolved).select(F.lit(load_id).alias("load_id"), "*")
+    rejects_path = f"{warehouse_base.rstrip('/')}/{REJECTS}/v-{load_id}"
+    rebalanced(rejects).write.mode("errorifexists").parquet(rejects_path)
+    new.append((REJECTS, load_id, rejects_path))
+    kept = [r for r in before if (r[0] == FACT and r[1] not in touched) or r[0] == REJECTS]
+    write_manifest(spark, warehouse_base, kept + new)
+    return {"load_id": load_id, "rejected": spark.read.parquet(rejects_path).count(),
+            "verification": wh.load_verification(read_current(spark, warehouse_base))}
+
+
+def compact(spark: SparkSession, warehouse_base: str) -> list[tuple]:
+    """Rewrite the fact with the sorted layout and publish it."""
+    rows = read_manifest(spark, warehouse_base)
+    if rows is None:
+        raise FileNotFoundError(f"no published warehouse under {warehouse_base}")
+    return publish(spark, warehouse_base, {FACT: read_table(spark, rows, FACT)})
+
+
+def reclaim(spark: SparkSession, warehouse_base: str, keep: int = 2) -> list[str]:
+    """Delete data folders that none of the ``keep`` newest manifests lists, and older manifests; returns the paths.
+
+    Run it when no reader still uses an older manifest and no load is under way.
+    """
+    base, found = warehouse_base.rstrip("/"), manifests(spark, warehouse_base)
+    used = {r["path"] for m in found[-keep:] for r in spark.read.schema(MANIFEST_SCHEMA).json(m).collect()}
+    dropped = list(found[:-keep])
+    for table in [*TABLES, REJECTS]:
+        for version in _list(spark, f"{base}/{table}") or []:
+            path = f"{base}/{table}/{version}"
+            if path in used:
+                continue
+            months = [f"{path}/{m}" for m in _list(spark, path) if m.startswith("month_key=")]
+            unused = [m for m in months if m not in used]
+            dropped += unused if len(unused) < len(months) else [path]
+    for path in dropped:
+        sinks.drop_folder(spark, path)
+    return dropped

@@ -387,19 +387,21 @@ def q_catalog_schema_drift(spark, sf_dir):
 
 
 def q_layout_fact_sorted(spark, sf_dir):
-    return _no_clock(_layout.sorted_fact(warehouse(spark, sf_dir)["fact_production"]))
+    return _no_clock(_layout.sorted_fact(warehouse(spark, sf_dir)["fact_production"])).drop("month_key")
 
 
 def q_maint_compact(spark, sf_dir):
     base = _sinks.scratch_folder(spark, "wh")
-    _load.publish(spark, base, "fact_production", warehouse(spark, sf_dir)["fact_production"], sort=False)
+    w = warehouse(spark, sf_dir)
+    _load.publish(spark, base, {t: w[t] for t in _load.TABLES}, sort=False)
     _load.compact(spark, base)
-    return _no_clock(spark.read.parquet(_load.current_snapshot(spark, base, "fact_production")))
+    return _no_clock(_load.read_current(spark, base)["fact_production"])
 
 
 def q_maint_analyze(spark, sf_dir):
     base = _sinks.scratch_folder(spark, "wh-analyze")
-    snap = _load.publish(spark, base, "fact_production", warehouse(spark, sf_dir)["fact_production"])
+    snap = f"{base}/fact_production"
+    _sinks.write_parquet(_layout.sorted_fact(warehouse(spark, sf_dir)["fact_production"]), snap)
     db = _fresh_db("shopfloor_stats")
     _catalog.ensure_database(spark, db)
     spark.catalog.createTable(f"{db}.fact_production", path=snap, source="parquet")

@@ -58,8 +58,9 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder of the cluster (``spark.checkpoint.dir``).
 
-    When the session has none (local mode, tests) a scratch folder is created
-    and registered, so ``DataFrame.checkpoint()`` works everywhere.
+    When a local session has none, a scratch folder is created and registered.
+    On a cluster a missing setting is an error: executors on different machines
+    would each write to their own disk and could not read each other's parts.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -67,6 +68,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="shopfloor-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

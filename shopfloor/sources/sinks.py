@@ -1,11 +1,11 @@
 """Parquet sinks of the processed zone.
 
 The fact is written partitioned by (year, month).  Before writing it is
-range-partitioned on (year, month, production_id): each task then writes into
-one or few partition folders (no small-file explosion), a month holding a
-third of all rows is still split across many tasks, and files come out sorted
-so Parquet row-group statistics skip well.  Row counts are taken with
-``observe`` during the write instead of a separate counting job.
+rebalanced on (year, month): adaptive execution merges small months and cuts
+large ones by bytes, so each task writes into one or few partition folders and
+a month holding a third of all rows still spreads over many tasks.  Files are
+sorted so that Parquet row-group statistics skip well.  Row counts are taken
+with ``observe`` during the write instead of a separate counting job.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.operators.joins import single_file_if_bounded
+from shopfloor.operators.joins import rebalanced
 from shopfloor.session import scratch_path
 
 FACT_PARTITIONS = ["year", "month"]
@@ -32,30 +32,71 @@ def write_parquet(df: DataFrame, path: str, partition_cols: list[str] | None = N
     writer.parquet(path)
 
 
-def cluster_fact(fact: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    n = num_partitions or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return fact.repartitionByRange(n, "year", "month", "production_id").sortWithinPartitions(
-        "year", "month", "machine_id", "production_date"
-    )
+def cluster_fact(fact: DataFrame) -> DataFrame:
+    return rebalanced(fact, "year", "month").sortWithinPartitions("year", "month", "machine_id", "production_date")
 
 
-def write_fact(fact: DataFrame, path: str, incremental: bool = False, num_partitions: int | None = None) -> int:
-    """Write the lake fact partitioned by year/month; returns the row count (observed).
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path exists; any other problem (permissions, storage) is raised."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
-    ``incremental=True`` replaces only the (year, month) partitions present in
-    ``fact``; otherwise the whole folder is replaced.  Rows with a NULL date
-    land in the default partition.
+
+def merge_months(spark: SparkSession, batch: DataFrame, path: str) -> tuple[DataFrame, list[str]]:
+    """The batch plus all rows kept of the (year, month) partitions that it changes.
+
+    Those are the months of its rows and the months that hold an older version
+    of one of its ids (a corrected date moves a run).  Rows of the batch replace
+    rows with their production_id; every other row of a changed month stays.
+    The result is written to the shared folder first: the months are read
+    before any of them is replaced.  Also returned are the folders of months
+    that all rows leave, to be dropped after the write.
+    """
+    old = spark.read.schema(batch.schema).parquet(path)
+    ids = batch.select("production_id").where("production_id IS NOT NULL")
+    months = batch.select("year", "month").union(old.join(ids, "production_id", "left_semi").select("year", "month"))
+    changed = [(r["year"], r["month"]) for r in months.distinct().collect()]  # a row per calendar month
+    here = F.lit(False)
+    for year, month in changed:
+        here = here | (F.col("year").eqNullSafe(F.lit(year)) & F.col("month").eqNullSafe(F.lit(month)))
+    merged = old.where(here).join(ids, "production_id", "left_anti").unionByName(batch)
+    staged = scratch_folder(spark, "merged-months")
+    merged.write.parquet(staged)
+    emptied = [m for m in changed if not spark.read.parquet(staged).where(
+        F.col("year").eqNullSafe(F.lit(m[0])) & F.col("month").eqNullSafe(F.lit(m[1]))).limit(1).count()]
+    folder = lambda v: "__HIVE_DEFAULT_PARTITION__" if v is None else v
+    return spark.read.schema(batch.schema).parquet(staged), [
+        f"{path.rstrip('/')}/year={folder(y)}/month={folder(m)}" for y, m in emptied]
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def write_fact(fact: DataFrame, path: str, incremental: bool = False) -> int:
+    """Write the lake fact partitioned by year/month; returns the number of rows written (observed).
+
+    ``incremental=True`` merges ``fact`` into the (year, month) partitions that
+    it changes (see :func:`merge_months`) and leaves all others alone;
+    otherwise the whole folder is replaced.  Rows with a NULL date land in the
+    default partition.
     """
+    spark, emptied = fact.sparkSession, []
+    if incremental and exists(spark, path):
+        fact, emptied = merge_months(spark, fact, path)
     obs = Observation("fact_rows")
-    observed = cluster_fact(fact, num_partitions).observe(obs, F.count(F.lit(1)).alias("rows"))
+    observed = cluster_fact(fact).observe(obs, F.count(F.lit(1)).alias("rows"))
     write_parquet(observed, path, FACT_PARTITIONS, dynamic=incremental)
+    for folder in emptied:  # a dynamic overwrite leaves months without rows as they were
+        drop_folder(spark, folder)
     return int(obs.get["rows"])
 
 
 def write_dims(dims: dict[str, DataFrame], base: str) -> None:
-    """One file per dimension when its member count is checked small, else as partitioned."""
+    """Every dimension in files of the advisory size (a small one is one file)."""
     for name, df in dims.items():
-        write_parquet(single_file_if_bounded(df), f"{base.rstrip('/')}/{name}")
+        write_parquet(rebalanced(df), f"{base.rstrip('/')}/{name}")
 
 
 def read_fact(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:

@@ -2,8 +2,9 @@
 
 The benchmark and correctness data are TPC-H-like parquet tables; the three
 raw tables of the plant model are projections of ``lineitem`` and ``events``.
-The mapping is pure projection + filter, so the scans keep column pruning and
-(for quality) the ``l_returnflag`` predicate pushed into the parquet reader.
+The mapping is a pure projection of every row, so the scans keep column
+pruning.  Machines, products and dates come from the tables' own keys and dates:
+their numbers grow with the scale, and runs span seven years.
 
 Fixed values: the modulus constants, offsets and labels below define the
 mapping and must stay exactly as they are so every engine derives the same rows.
@@ -16,30 +17,15 @@ from pyspark.sql import functions as F
 
 from shopfloor import schemas
 
-# Fixed values of the mapping.
-BASE_DATE = "2024-01-01"
-DAYS = 30
+# Fixed values of the mapping.  Events lie in one month; they are moved back by
+# a number of days from their id, so that downtime spreads over the runs' years.
+EVENT_SHIFT_DAYS, EVENT_SPREAD_DAYS = 8100, 2500
 BAD_DATE_EVERY = 97
 BAD_DATE_TEXT = "bad-date"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
-
-
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores.
-
-    A Parquet file with a single row group is read by one task, which would
-    then also run all per-row work before the first shuffle.  Large inputs
-    (many files / row groups) already have enough splits and pass unchanged,
-    so no shuffle is added at scale.  Column pruning and filters still push
-    below the repartition into the scan.
-    """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _s(col: Column) -> Column:
@@ -47,7 +33,7 @@ def _s(col: Column) -> Column:
 
 
 def _run_date(orderkey: Column) -> Column:
-    day = F.date_add(F.lit(BASE_DATE).cast("date"), (orderkey % DAYS).cast("int"))
+    day = F.col("l_shipdate").cast("date")
     return F.when(orderkey % BAD_DATE_EVERY == 0, F.lit(BAD_DATE_TEXT)).otherwise(_s(day))
 
 
@@ -61,11 +47,11 @@ def raw_production(spark: SparkSession, sf_dir: str) -> DataFrame:
     qty10 = F.col("l_quantity").cast("int") * 10
     return li.select(
         F.concat(F.lit("P"), _s(ok), F.lit("-"), _s(ln)).alias("production_id"),
-        F.concat(F.lit("PLT"), _s(sk % 5 % 2)).alias("plant_id"),
-        F.concat(F.lit("L"), _s(sk % 5)).alias("line_id"),
-        F.concat(F.lit("M"), _s(sk % 20)).alias("machine_id"),
+        F.concat(F.lit("PLT"), _s(F.floor(sk / 40))).alias("plant_id"),
+        F.concat(F.lit("L"), _s(F.floor(sk / 8))).alias("line_id"),
+        F.concat(F.lit("M"), _s(sk)).alias("machine_id"),
         F.concat(F.lit("S"), _s(ln % 4)).alias("shift_id"),
-        F.concat(F.lit("PRD"), _s(pk % 40)).alias("product_id"),
+        F.concat(F.lit("PRD"), _s(pk)).alias("product_id"),
         _run_date(ok).alias("production_date"),
         F.when(pk % 53 == 0, F.lit(0)).otherwise(qty10).alias("planned_qty"),
         F.when(pk % 59 == 0, F.lit(-5))
@@ -85,8 +71,9 @@ def raw_downtime(spark: SparkSession, sf_dir: str) -> DataFrame:
     et = F.col("event_type")
     return ev.select(
         F.concat(F.lit("D"), _s(F.col("event_id"))).alias("downtime_id"),
-        F.concat(F.lit("M"), _s(F.col("user_id") % 20)).alias("machine_id"),
-        _s(F.col("ts").cast("date")).alias("production_date"),
+        F.concat(F.lit("M"), _s(F.col("user_id"))).alias("machine_id"),
+        _s(F.date_sub(F.col("ts").cast("date"), (F.col("event_id") % EVENT_SPREAD_DAYS + EVENT_SHIFT_DAYS).cast("int"))
+           ).alias("production_date"),
         F.when((hour >= 6) & (hour < 14), F.lit("S1"))
         .when((hour >= 14) & (hour < 22), F.lit("S2"))
         .otherwise(F.lit("S3"))
@@ -102,12 +89,12 @@ def raw_downtime(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
+    li = table(spark, sf_dir, "lineitem")
     ok, pk, sk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     return li.select(
         F.concat(F.lit("Q"), _s(ok), F.lit("-"), _s(ln)).alias("inspection_id"),
-        F.concat(F.lit("M"), _s(sk % 20)).alias("machine_id"),
-        F.concat(F.lit("PRD"), _s(pk % 40)).alias("product_id"),
+        F.concat(F.lit("M"), _s(sk)).alias("machine_id"),
+        F.concat(F.lit("PRD"), _s(pk)).alias("product_id"),
         _run_date(ok).alias("production_date"),
         F.concat(F.lit("S"), _s(ln % 4)).alias("shift_id"),
         F.when(pk % 71 == 0, F.lit(0)).otherwise(F.col("l_quantity").cast("int")).alias("inspected_qty"),

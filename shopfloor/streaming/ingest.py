@@ -4,7 +4,7 @@ The raw zone receives text files (CSV / JSON) every day.  Scanning text is
 row-oriented: every run re-parses every column of every file.  This stream
 picks up only files it has not seen (the file source keeps the processed-file
 log in the checkpoint), parses them once with the declared schema and appends
-them as Parquet partitioned by the production-date text.  The batch job then
+them as Parquet partitioned by the month of the production date.  The batch job then
 reads the Parquet copy with column pruning and predicate pushdown.
 
 ``trigger(availableNow=True)`` processes everything available and stops, so
@@ -16,11 +16,14 @@ restarted or retried run neither skips nor duplicates a file.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 from shopfloor import schemas
 
-PARTITION_COLUMN = "production_date"
+PARTITION_COLUMN = "ingest_month"
+UNDATED = "undated"  # folder of rows whose date text is no date
 
 
 def raw_stream(spark: SparkSession, path: str, table: str, fmt: str = "csv",
@@ -35,6 +38,12 @@ def raw_stream(spark: SparkSession, path: str, table: str, fmt: str = "csv",
     raise ValueError(f"unsupported raw format: {fmt}")
 
 
+def by_month(stream: DataFrame) -> DataFrame:
+    """Adds the month folder of each row; a month's rows of one trigger meet before the write, so files stay few."""
+    month = F.date_format(F.try_to_timestamp("production_date", F.lit("yyyy-MM-dd")), "yyyy-MM")
+    return stream.withColumn(PARTITION_COLUMN, F.coalesce(month, F.lit(UNDATED))).repartition(PARTITION_COLUMN)
+
+
 def start_ingest(
     spark: SparkSession,
     source_path: str,
@@ -48,7 +57,7 @@ def start_ingest(
     """Start the file → Parquet stream for one raw table."""
     stream = raw_stream(spark, source_path, table, fmt)
     writer = (
-        stream.writeStream.format("parquet")
+        by_month(stream).writeStream.format("parquet")
         .option("checkpointLocation", checkpoint_location)
         .partitionBy(PARTITION_COLUMN)
         .outputMode("append")
@@ -73,4 +82,5 @@ def ingest_available(spark: SparkSession, raw_base: str, parquet_base: str, chec
 def read_parquet_copy(spark: SparkSession, path: str, table: str) -> DataFrame:
     """Read a converted table back with the declared column order."""
     cols = [f.name for f in schemas.RAW_SCHEMAS[table].fields]
-    return spark.read.parquet(path).select(*cols)
+    schema = StructType([*schemas.RAW_SCHEMAS[table].fields, StructField(PARTITION_COLUMN, StringType())])
+    return spark.read.schema(schema).parquet(path).select(*cols)

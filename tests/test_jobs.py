@@ -31,15 +31,15 @@ def raw_zone(tmp_path):
 
 def test_batch_job_and_load(spark, raw_zone):
     out = etl.run(spark, str(raw_zone / "raw"), str(raw_zone / "processed"))
-    assert out["fact_rows"] == 4
+    assert out["fact_rows"] == 5
     raw_failed = {(r.table_name, r.check_name) for r in dq.summary(out["raw_quality"]).collect()}
     assert ("production", "duplicates") in raw_failed  # reported, not raised
     lake = spark.read.parquet(str(raw_zone / "processed" / "fact_production"))
-    assert sorted(r.production_id for r in lake.collect()) == ["P001", "P002", "P003", "P004"]
+    assert sorted(r.production_id for r in lake.collect()) == ["W7-a", "late", "w7-a", "w7-a ", "w8"]
     res = load.run(spark, str(raw_zone / "processed"), str(raw_zone / "wh"))
     assert res["rejected"] == 0
     ver = {r.table_name: r.row_count for r in res["verification"].collect()}
-    assert ver["fact_production"] == 4 and ver["dim_shift"] == 3
+    assert ver["fact_production"] == 5 and ver["dim_shift"] == 3
     # a second load of the same lake changes nothing but load times
     load.run(spark, str(raw_zone / "processed"), str(raw_zone / "wh"))
     current = load.read_current(spark, str(raw_zone / "wh"))
@@ -59,7 +59,7 @@ def test_empty_raw_zone_stops_the_job(spark, tmp_path):
         etl.run(spark, str(tmp_path / "raw"), str(tmp_path / "processed"))
 
 
-def test_incremental_fact_write_replaces_only_given_months(spark, raw_zone):
+def test_incremental_fact_write_keeps_all_other_rows(spark, raw_zone):
     lake = etl.build_lake({
         "production": spark.read.schema(schemas.PRODUCTION).option("header", "true").csv(str(raw_zone / "raw" / "production")),
         "downtime": spark.read.schema(schemas.DOWNTIME).option("header", "true").csv(str(raw_zone / "raw" / "downtime")),
@@ -67,11 +67,25 @@ def test_incremental_fact_write_replaces_only_given_months(spark, raw_zone):
     })
     path = str(raw_zone / "fact")
     sinks.write_fact(lake.fact, path)
-    other_month = lake.fact.filter("production_id = 'P001'").withColumn("month", F.lit(2)) \
-        .withColumn("production_id", F.lit("P100"))
-    sinks.write_fact(other_month, path, incremental=True)
-    got = sorted(r.production_id for r in spark.read.parquet(path).collect())
-    assert got == ["P001", "P002", "P003", "P004", "P100"]  # January kept, February added
+    february = {r.production_id for r in spark.read.parquet(path).where("month = 2").collect()}
+    assert february == {"w7-a ", "w8"}
+    # A late one-row batch: a new run in February.  All other rows stay.
+    late = lake.fact.filter("production_id = 'w8'").withColumn("production_id", F.lit("w9"))
+    sinks.write_fact(late, path, incremental=True)
+    assert spark.read.parquet(path).count() == 6
+    # A corrected row replaces its old version, also when its date moves it to another month.
+    fixed = lake.fact.filter("production_id = 'late'").withColumn("production_date", F.lit("2024-02-01").cast("date")) \
+        .withColumn("year", F.lit(2024)).withColumn("month", F.lit(2))
+    sinks.write_fact(fixed, path, incremental=True)
+    rows = {r.production_id: (r.year, r.month) for r in spark.read.parquet(path).collect()}
+    assert len(rows) == 6 and rows["late"] == (2024, 2)
+    # A row without a date joins the others in the undated folder.
+    for name in ("bad1", "bad2"):
+        undated = fixed.withColumn("production_id", F.lit(name)).withColumns(
+            {"production_date": F.lit(None).cast("date"), "year": F.lit(None).cast("int"), "month": F.lit(None).cast("int")})
+        sinks.write_fact(undated, path, incremental=True)
+    got = spark.read.parquet(path)
+    assert got.count() == 8 and got.where("year IS NULL").count() == 2
 
 
 def test_job_reads_the_streamed_parquet_copy(spark, raw_zone):
@@ -80,7 +94,7 @@ def test_job_reads_the_streamed_parquet_copy(spark, raw_zone):
     ingest.ingest_available(spark, str(raw_zone / "raw"), str(raw_zone / "raw_pq"), str(raw_zone / "ckpt"))
     from_csv = etl.run(spark, str(raw_zone / "raw"), str(raw_zone / "p_csv"))
     from_pq = etl.run(spark, str(raw_zone / "raw_pq"), str(raw_zone / "p_pq"), fmt="parquet")
-    assert from_csv["fact_rows"] == from_pq["fact_rows"] == 4
+    assert from_csv["fact_rows"] == from_pq["fact_rows"] == 5
     cols = [c for c in schemas.FACT_COLUMNS]
     a = sorted(map(tuple, spark.read.parquet(str(raw_zone / "p_csv" / "fact_production")).select(*cols).collect()))
     b = sorted(map(tuple, spark.read.parquet(str(raw_zone / "p_pq" / "fact_production")).select(*cols).collect()))

@@ -13,6 +13,8 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from shopfloor import oracle_sql
+from shopfloor.plans import registry
 from tools.oracle_check import TABLES, canon, digest
 
 SUBSET = [
@@ -20,7 +22,7 @@ SUBSET = [
     "load_upsert_fact", "load_fact_rejects", "vw_daily_oee", "vw_downtime_pareto", "drilldown_plant_line_machine",
     "dq_suite_production", "dq_suite_fact", "dq_summary", "scan_csv_production", "sink_fact_partitioned",
 ]
-NAMES = sorted(entry.oracle_sql()) if os.environ.get("SHOPFLOOR_ORACLE_ALL") else SUBSET
+NAMES = sorted(oracle_sql.statements()) if os.environ.get("SHOPFLOOR_ORACLE_ALL") else SUBSET
 
 
 @pytest.fixture(scope="module")
@@ -34,7 +36,7 @@ def duck():
 
 
 def test_every_query_has_sql_or_is_declared_rows_only():
-    rows_only = set(entry.queries()) - set(entry.oracle_sql())
+    rows_only = set(registry.queries()) - set(oracle_sql.statements())
     assert rows_only == {"catalog_schema_drift"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
 

@@ -51,13 +51,13 @@ def test_not_empty_on_empty_table(spark):
 
 
 def test_null_ratio_and_range_bounds(spark, downtime_df):
-    df = downtime_df.withColumn("downtime_reason", F.when(F.col("downtime_id") == "D001", None)
+    df = downtime_df.withColumn("downtime_reason", F.when(F.col("downtime_id") == "stop1", None)
                                 .otherwise(F.col("downtime_reason")))
     res = _by_check(dq.run_suite(df, "downtime", dq.downtime_suite()))
     nr = res[("null_ratio", "downtime_reason")]
-    assert nr.ratio == pytest.approx(0.2) and not nr.passed
-    assert nr.message == "[downtime] Column 'downtime_reason' NULL ratio 20.0% exceeds threshold 10.0%."
-    assert res[("value_range", "downtime_minutes")].failed_count == 1  # -10 < 0 (bounds inclusive)
+    assert nr.ratio == pytest.approx(1 / 6) and not nr.passed
+    assert nr.message == "[downtime] Column 'downtime_reason' NULL ratio 16.7% exceeds threshold 10.0%."
+    assert res[("value_range", "downtime_minutes")].failed_count == 1  # -6 < 0 (bounds inclusive)
 
 
 def test_fact_suite_skips_absent_metrics(spark):
@@ -71,4 +71,4 @@ def test_fact_suite_skips_absent_metrics(spark):
 def test_config_adds_duplicate_ratio(production_df):
     res = _by_check(dq.run_suite(production_df, "production", dq.production_suite(dq.PROD)))
     r = res[("duplicate_ratio", "production_id")]
-    assert r.ratio == pytest.approx(0.2) and r.threshold == 0.001 and not r.passed and r.severity == "warning"
+    assert r.ratio == pytest.approx(1 / 6) and r.threshold == 0.001 and not r.passed and r.severity == "warning"

@@ -62,8 +62,8 @@ def test_partitioned_fact_sink_and_pruning(spark, production_df, downtime_df, qu
                              aggregate.agg_downtime(clean.clean_downtime(downtime_df)),
                              aggregate.agg_quality(clean.clean_quality(quality_df)))
     path = str(tmp_path / "fact")
-    assert sinks.write_fact(f, path) == 4
-    df = sinks.read_fact(spark, path, "2024-01-16", "2024-01-31")
+    assert sinks.write_fact(f, path) == 5
+    df = sinks.read_fact(spark, path, "2024-01-16", "2024-02-29")
     assert df.count() == 2
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
@@ -71,7 +71,7 @@ def test_partitioned_fact_sink_and_pruning(spark, production_df, downtime_df, qu
     scan = [line for line in buf.getvalue().splitlines() if "FileScan parquet" in line][0]
     assert "PartitionFilters: [" in scan and "year" in scan.split("PartitionFilters:")[1]
     table = catalog.register_fact(spark, "sf_test_processed", path)
-    assert spark.table(table).count() == 4
+    assert spark.table(table).count() == 5
 
 
 def test_schema_drift_report(spark):

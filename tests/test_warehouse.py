@@ -2,11 +2,13 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from shopfloor.operators import aggregate, clean, dims, fact
 from shopfloor.operators import warehouse as wh
 from shopfloor.plans import load
+from shopfloor.sources import sinks
 
 
 def _ts(month):
@@ -24,14 +26,14 @@ def test_dim_machine_upsert_keeps_keys(spark, production_df, downtime_df, qualit
     _, d = _lake(production_df, downtime_df, quality_df)
     first = wh.upsert_dim_machine(d["dim_machine"], None, _ts(1)).checkpoint()
     keys1 = {r.machine_id: r.machine_key for r in first.collect()}
-    assert sorted(keys1.values()) == [1, 2, 3]
-    extra = spark.createDataFrame([("M000", "L9", "PLT1", "Machine-M000", "Line-L9", "Plant 001", "CNC", True)],
+    assert keys1 == {"lt-1": 1, "mx-2": 2, "ov-9": 3}
+    extra = spark.createDataFrame([("aa-0", "saw", "west", "Machine-aa-0", "Line-saw", "Plant 001", "CNC", True)],
                                   d["dim_machine"].schema)
     second = wh.upsert_dim_machine(d["dim_machine"].unionByName(extra), first, _ts(2))
     rows = {r.machine_id: r for r in second.collect()}
     assert {k: rows[k].machine_key for k in keys1} == keys1  # existing members keep their key
-    assert rows["M000"].machine_key == 4  # new member continues after the largest key
-    assert rows["M001"].created_at == dt.datetime(2024, 1, 1) and rows["M001"].updated_at == dt.datetime(2024, 2, 1)
+    assert rows["aa-0"].machine_key == 4  # new member continues after the largest key
+    assert rows["mx-2"].created_at == dt.datetime(2024, 1, 1) and rows["mx-2"].updated_at == dt.datetime(2024, 2, 1)
 
 
 def test_upsert_twice_equals_once(spark, production_df, downtime_df, quality_df):
@@ -58,10 +60,10 @@ def test_loaded_plus_rejected_equals_staged(spark, production_df, downtime_df, q
 
 
 def test_unknown_shift_rejected(spark, production_df, downtime_df, quality_df):
-    p = production_df.withColumn("shift_id", F.when(F.col("production_id") == "P002", "S9").otherwise(F.col("shift_id")))
+    p = production_df.withColumn("shift_id", F.when(F.col("production_id") == "late", "S9").otherwise(F.col("shift_id")))
     f, d = _lake(p, downtime_df, quality_df)
     rejects = {r.production_id: r.reject_reason for r in load.load(spark, f, d)["rejects"].collect()}
-    assert rejects == {"P002": "unknown shift_id"}
+    assert rejects == {"late": "unknown shift_id"}
 
 
 def test_dim_shift_seed_idempotent(spark):
@@ -73,40 +75,123 @@ def test_dim_shift_seed_idempotent(spark):
 
 def test_conform_overflow_is_rejected(spark, production_df, downtime_df, quality_df):
     f, d = _lake(production_df, downtime_df, quality_df)
-    big = f.withColumn("actual_runtime_min", F.when(F.col("production_id") == "P001", F.lit(1e12))
+    big = f.withColumn("actual_runtime_min", F.when(F.col("production_id") == "w8", F.lit(1e12))
                        .otherwise(F.col("actual_runtime_min")))
     rejects = {r.production_id: r.reject_reason for r in load.load(spark, big, d)["rejects"].collect()}
-    assert rejects == {"P001": "measure out of warehouse range"}
+    assert rejects == {"w8": "measure out of warehouse range"}
 
 
-def test_snapshot_publish_and_compact(spark, production_df, downtime_df, quality_df, tmp_path):
-    f, d = _lake(production_df, downtime_df, quality_df)
-    tables = load.load(spark, f, d)
+def _files(base):
+    return {str(p.relative_to(base)): p.stat().st_mtime_ns for p in base.rglob("*.parquet")}
+
+
+def _write_lake(f, d, path):
+    sinks.write_fact(f, str(path / "fact_production"))
+    sinks.write_dims(d, str(path))
+    return str(path)
+
+
+def test_load_publishes_all_tables_and_rejects(spark, production_df, downtime_df, quality_df, tmp_path):
+    p = production_df.withColumn("shift_id", F.when(F.col("production_id") == "late", "S9").otherwise(F.col("shift_id")))
+    lake = _write_lake(*_lake(p, downtime_df, quality_df), tmp_path / "lake")
     base = str(tmp_path / "wh")
-    for t in load.TABLES:
-        load.publish(spark, base, t, tables[t])
-    first = load.current_snapshot(spark, base, "fact_production")
+    assert load.read_current(spark, base) is None
+    out = load.run(spark, lake, base)
+    ver = {r.table_name: r.row_count for r in out["verification"].collect()}
+    assert ver == {"dim_date": 4, "dim_machine": 3, "dim_product": 3, "dim_shift": 3, "fact_production": 4}
+    rejects = load.read_rejects(spark, base).collect()
+    assert [(r.load_id, r.production_id, r.reject_reason) for r in rejects] == [
+        (out["load_id"], "late", "unknown shift_id")]
     load.compact(spark, base)
-    second = load.current_snapshot(spark, base, "fact_production")
-    assert first != second
-    assert spark.read.parquet(second).count() == spark.read.parquet(first).count() == 4
-    ver = {r.table_name: r.row_count for r in wh.load_verification(load.read_current(spark, base)).collect()}
-    assert ver == {"dim_date": 3, "dim_machine": 3, "dim_product": 2, "dim_shift": 3, "fact_production": 4}
-
-
-def test_bound_check_is_exact_and_distributed(spark):
-    from shopfloor.operators import joins
-
-    df = spark.range(0, 1000, numPartitions=4)
-    assert joins.is_bounded(df, 1000)
-    assert not joins.is_bounded(df, 999)
-    assert joins.is_bounded(df.filter("id < 0"), 0)
-    # Hinted only when bounded; the hint shows up as a broadcast in the join plan.
-    other = spark.range(0, 1000, numPartitions=4).withColumnRenamed("id", "k")
-    hinted = other.join(joins.broadcast_if_bounded(df, 1000), F.col("k") == F.col("id"))
-    assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
-    assert joins.broadcast_if_bounded(df, 10) is df
-    # The check's count is partial per task + final: only one number per task
-    # moves, no limit pulls rows into a single partition.
-    plan = df.groupBy().count()._jdf.queryExecution().executedPlan().toString()
-    assert "partial_count" in plan and "Limit" not in plan
+    assert load.read_current(spark, base)["fact_production"].count() == 4
+    assert load.read_rejects(spark, base).count() == 1
+
+
+def test_a_period_load_leaves_other_months_alone_and_reclaim_keeps_them(spark, production_df, downtime_df, quality_df, tmp_path):
+    f, d = _lake(production_df, downtime_df, quality_df)
+    lake, base = _write_lake(f, d, tmp_path / "lake"), tmp_path / "wh"
+    load.run(spark, lake, str(base))
+    before = _files(base / "fact_production")
+    keys = {r.production_id: r.production_sk for r in load.read_current(spark, str(base))["fact_production"].collect()}
+    changed = f.withColumn("actual_qty", F.when(F.col("production_id") == "w8", 73).otherwise(F.col("actual_qty")))
+    # "w7-a " moves from February to March
+    moved = changed.withColumn("production_date", F.when(F.col("production_id") == "w7-a ", F.lit("2024-03-01").cast("date"))
+                               .otherwise(F.col("production_date"))).withColumn("month", F.month("production_date"))
+    lake2 = _write_lake(moved, dims.all_dims(moved), tmp_path / "lake2")
+    load.run(spark, lake2, str(base), start="2024-02-01", end="2024-03-31")
+    after = _files(base / "fact_production")
+    assert all(after[k] == v for k, v in before.items())
+    rows = {r.production_id: r for r in load.read_current(spark, str(base))["fact_production"].collect()}
+    assert sorted(rows) == sorted(keys)
+    assert {k: rows[k].production_sk for k in ("W7-a", "late", "w7-a")} == {k: keys[k] for k in ("W7-a", "late", "w7-a")}
+    assert rows["w8"].actual_qty == 73 and rows["w8"].production_sk > max(keys.values())
+    assert str(rows["w7-a "].date_key) == "2024-03-01"
+    months = [m for t, m, _ in load.read_manifest(spark, str(base)) if t == "fact_production"]
+    assert sorted(months) == ["202206", "202312", "202401", "202402", "202403"]
+    assert load.reclaim(spark, str(base), keep=2) == []
+    dropped = load.reclaim(spark, str(base), keep=1)
+    assert any("month_key=202402" in p for p in dropped) and not any("month_key=202312" in p for p in dropped)
+    assert load.read_current(spark, str(base))["fact_production"].count() == 5
+
+
+def test_a_crash_before_the_manifest_leaves_the_old_warehouse(spark, production_df, downtime_df, quality_df, tmp_path, monkeypatch):
+    lake, base = _write_lake(*_lake(production_df, downtime_df, quality_df), tmp_path / "lake"), str(tmp_path / "wh")
+    load.run(spark, lake, base)
+    before = load.read_manifest(spark, base)
+
+    def crash(*args, **kw):
+        raise OSError("lost connection")
+
+    for step in ("write_fact", "write_manifest"):
+        with monkeypatch.context() as m:
+            m.setattr(load, step, crash)
+            with pytest.raises(OSError):
+                load.run(spark, lake, base)
+        assert load.read_manifest(spark, base) == before
+    # a manifest without _SUCCESS was not finished: the last complete one stays in force
+    (tmp_path / "wh" / "_manifests" / "999999999999-x").mkdir()
+    assert load.read_manifest(spark, base) == before
+    load.run(spark, lake, base)
+    assert load.read_current(spark, base)["fact_production"].count() == 5
+
+
+def test_a_damaged_manifest_is_an_error_not_an_empty_warehouse(spark, production_df, downtime_df, quality_df, tmp_path, monkeypatch):
+    lake, base = _write_lake(*_lake(production_df, downtime_df, quality_df), tmp_path / "lake"), str(tmp_path / "wh")
+    load.run(spark, lake, base)
+    rows = load.read_manifest(spark, base)
+    load.write_manifest(spark, base, [r for r in rows if r[0] != "dim_shift"])
+    with pytest.raises(RuntimeError, match="dim_shift"):
+        load.run(spark, lake, base)
+    load.write_manifest(spark, base, [(t, p, path + "-gone" if t == "dim_date" else path) for t, p, path in rows])
+    with pytest.raises(RuntimeError, match="do not exist"):
+        load.read_current(spark, base)
+
+    def denied(*args):
+        raise PermissionError("denied")
+
+    monkeypatch.setattr(load.sinks, "exists", denied)
+    with pytest.raises(PermissionError):
+        load.run(spark, lake, base)
+
+
+def test_a_dimension_value_that_does_not_fit_stops_the_load(spark):
+    stage = spark.createDataFrame([(dt.date(2024, 1, 1), 70000, 1, 1, "January", 1, 2, "Monday", False)],
+                                  "date_key date, year int, quarter int, month int, month_name string, week int, "
+                                  "day_of_week int, day_name string, is_weekend boolean")
+    with pytest.raises(Exception, match="year: value does not fit smallint: 70000"):
+        wh.insert_dim_date(stage).collect()
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster():
+    from shopfloor.session import checkpoint_dir
+
+    class Cluster:
+        class sparkContext:
+            master = "yarn"
+            getCheckpointDir = staticmethod(lambda: None)
+
+        class conf:
+            get = staticmethod(lambda *a: None)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Cluster)
