@@ -632,13 +632,107 @@ FROM (
 """
 
 
+# ── two loads, one after the other ───────────────────────────────────────────
+
+BATCHES = (
+    "(plant_id = 'PLT0' OR (plant_id <> 'PLT1' AND production_date < date '1999-01-01'))",
+    "(plant_id <> 'PLT0' AND (plant_id = 'PLT1' OR production_date >= date '1998-07-01' OR production_date IS NULL))",
+)
+_T1, _T2 = "timestamp '2024-01-01 00:00:00'", "timestamp '2024-02-01 00:00:00'"
+
+
+def _of_batch(dim: str, n: int) -> str:
+    return dim.replace(CLEAN_PRODUCTION, f"SELECT * FROM ({CLEAN_PRODUCTION}) z WHERE {BATCHES[n]}")
+
+
+_MACHINE_COLS = "machine_id, machine_name, machine_type, is_active, line_id, line_name, plant_id, plant_name"
+
+TWO_DIM_MACHINE = f"""
+WITH d1 AS (SELECT row_number() OVER (ORDER BY machine_id) AS machine_key, * FROM ({_of_batch(DIM_MACHINE, 0)}) a),
+d2 AS ({_of_batch(DIM_MACHINE, 1)}),
+nw AS (
+  SELECT (SELECT count(*) FROM d1) + row_number() OVER (ORDER BY machine_id) AS machine_key, *
+  FROM d2 WHERE machine_id NOT IN (SELECT machine_id FROM d1)),
+allm AS (
+  SELECT machine_key, {_MACHINE_COLS}, {_T1} AS created_at, {_T1} AS updated_at
+  FROM d1 WHERE machine_id NOT IN (SELECT machine_id FROM d2)
+  UNION ALL
+  SELECT k.machine_key, {', '.join('d2.' + c for c in _MACHINE_COLS.split(', '))}, {_T1}, {_T2}
+  FROM d2 JOIN (SELECT machine_id, machine_key FROM d1) k ON d2.machine_id = k.machine_id
+  UNION ALL
+  SELECT machine_key, {_MACHINE_COLS}, {_T2}, {_T2} FROM nw)
+SELECT cast(machine_key AS int) AS machine_key, {_MACHINE_COLS}, cast(NULL AS varchar) AS plant_location,
+  created_at, updated_at
+FROM allm
+"""
+
+TWO_DIM_PRODUCT = f"""
+WITH d1 AS (SELECT * FROM ({_of_batch(DIM_PRODUCT, 0)}) a WHERE product_id IS NOT NULL),
+d2 AS (SELECT * FROM ({_of_batch(DIM_PRODUCT, 1)}) a WHERE product_id NOT IN (SELECT product_id FROM d1))
+SELECT cast(row_number() OVER (ORDER BY product_id) AS int) AS product_key, * FROM d1
+UNION ALL
+SELECT cast((SELECT count(*) FROM d1) + row_number() OVER (ORDER BY product_id) AS int), * FROM d2
+"""
+
+
+def _resolved_batch(n: int, machine: str, product: str) -> str:
+    return (RESOLVED_FACT.replace(WH_DIM_MACHINE, machine).replace(WH_DIM_PRODUCT, product)
+            .replace(FACT_PRODUCTION, f"SELECT * FROM fact z WHERE {BATCHES[n]}"))
+
+
+_FACT_REST = f"""production_id, date_key, machine_key, shift_key, product_key, planned_qty, actual_qty, good_qty,
+  {', '.join(_MINUTES)}, downtime_events, total_inspected_qty, total_defect_qty, {', '.join(_PERCENT)}"""
+
+TWO_FACT = f"""
+WITH fact AS MATERIALIZED ({FACT_PRODUCTION}),
+m1 AS MATERIALIZED ({_of_batch(WH_DIM_MACHINE, 0)}), p1 AS MATERIALIZED ({_of_batch(WH_DIM_PRODUCT, 0)}),
+m2 AS MATERIALIZED ({TWO_DIM_MACHINE}), p2 AS MATERIALIZED ({TWO_DIM_PRODUCT}),
+f1 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY production_id) AS production_sk, {_FACT_REST}
+  FROM ({_resolved_batch(0, 'SELECT * FROM m1', 'SELECT * FROM p1')}) r WHERE reject_reason IS NULL),
+f2 AS (
+  SELECT (SELECT count(*) FROM f1) + row_number() OVER (ORDER BY production_id) AS production_sk, {_FACT_REST}
+  FROM ({_resolved_batch(1, 'SELECT * FROM m2', 'SELECT * FROM p2')}) r WHERE reject_reason IS NULL)
+SELECT *, {_T1} AS loaded_at FROM f1
+WHERE production_id NOT IN (SELECT production_id FROM fact WHERE {BATCHES[1]} AND production_id IS NOT NULL)
+UNION ALL SELECT *, {_T2} FROM f2
+"""
+
+TWO_VERIFICATION = f"""
+SELECT 'fact_production' AS table_name, count(*) AS row_count, max(loaded_at) AS last_loaded FROM ({TWO_FACT}) a
+UNION ALL SELECT 'dim_machine', count(*), max(updated_at) FROM ({TWO_DIM_MACHINE}) b
+UNION ALL SELECT 'dim_date', count(*), NULL FROM ({WH_DIM_DATE}) c
+UNION ALL SELECT 'dim_shift', count(*), NULL FROM ({WH_DIM_SHIFT}) d
+UNION ALL SELECT 'dim_product', count(*), NULL FROM ({TWO_DIM_PRODUCT}) e
+"""
+
+DRIFTED_RUNS = f"""
+SELECT * REPLACE (CASE WHEN shift_id IN ('S1', 'S3') THEN NULL ELSE actual_runtime_min END AS actual_runtime_min)
+FROM ({RAW_PRODUCTION}) r
+"""
+
+
+def _written_dim(name: str, sql: str, columns: str) -> str:
+    text = ", ".join(f"coalesce(cast({c} AS varchar), '-')" for c in columns.split())
+    return f"SELECT '{name}' AS table_name, concat_ws('|', {text}) AS member FROM ({sql}) d"
+
+
+WRITTEN_DIMS = _union([
+    _written_dim("dim_machine", DIM_MACHINE,
+                 "is_active line_id line_name machine_id machine_name machine_type plant_id plant_name"),
+    _written_dim("dim_shift", DIM_SHIFT, "shift_hours shift_id shift_name shift_start"),
+    _written_dim("dim_product", DIM_PRODUCT, "product_family product_id product_name unit_of_measure"),
+    _written_dim("dim_date", DIM_DATE, "date_key day_name day_of_week is_weekend month month_name quarter week year"),
+])
+
+
 # ── scans, sinks, catalog, layout, streaming (identity of their source) ──────
 
 _WH_FACT_NO_CLOCK = WH_FACT
 
 
 def statements() -> dict[str, str]:
-    """DuckDB statement per registered query (``catalog_schema_drift`` is metadata: none)."""
+    """DuckDB statement per registered query."""
     return {
         "dedup_production": DEDUP_PRODUCTION,
         "dedup_downtime": DEDUP_DOWNTIME,
@@ -664,6 +758,12 @@ def statements() -> dict[str, str]:
         "load_upsert_fact": WH_FACT,
         "load_surrogate_keys": LOAD_SURROGATE_KEYS,
         "load_verification": LOAD_VERIFICATION,
+        "load_two_dim_machine": TWO_DIM_MACHINE,
+        "load_two_dim_product": TWO_DIM_PRODUCT,
+        "load_two_dim_date": WH_DIM_DATE,
+        "load_two_fact": TWO_FACT,
+        "load_two_verification": TWO_VERIFICATION,
+        "catalog_schema_drift": DRIFTED_RUNS,
         "vw_daily_oee": VW_DAILY_OEE,
         "vw_monthly_summary": VW_MONTHLY_SUMMARY,
         "vw_downtime_pareto": VW_DOWNTIME_PARETO,
@@ -691,12 +791,7 @@ def statements() -> dict[str, str]:
         "sink_parquet": RAW_PRODUCTION,
         "sink_fact_partitioned": FACT_PRODUCTION,
         "fact_rowcount": f"SELECT count(*) AS fact_rows FROM ({FACT_PRODUCTION}) f",
-        "sink_dims": f"""
-SELECT 'dim_machine' AS table_name, count(*) AS row_count FROM ({DIM_MACHINE}) a
-UNION ALL SELECT 'dim_shift', count(*) FROM ({DIM_SHIFT}) b
-UNION ALL SELECT 'dim_product', count(*) FROM ({DIM_PRODUCT}) c
-UNION ALL SELECT 'dim_date', count(*) FROM ({DIM_DATE}) d
-""",
+        "sink_dims": WRITTEN_DIMS,
         "load_copy_parquet": f"""
 SELECT machine_id, machine_name, machine_type, is_active, line_id, line_name, plant_id, plant_name,
   cast(NULL AS varchar) AS plant_location

@@ -189,24 +189,28 @@ def q_load_verification(spark, sf_dir):
     return _no_clock(_wh.load_verification({k: v for k, v in w.items() if k != "rejects"}))
 
 
-def q_vw_daily_oee(spark, sf_dir):
+def view_by_name(spark, sf_dir, name: str) -> DataFrame:
+    """The view as a dashboard asks for it."""
     w = warehouse(spark, sf_dir)
-    return _views.daily_oee(w["fact_production"], w["dim_date"], w["dim_machine"], w["dim_shift"])
+    w.pop("rejects")
+    _views.create_views(w, [name])
+    return spark.sql(f"SELECT * FROM {name}")
+
+
+def q_vw_daily_oee(spark, sf_dir):
+    return view_by_name(spark, sf_dir, "vw_daily_oee")
 
 
 def q_vw_monthly_summary(spark, sf_dir):
-    w = warehouse(spark, sf_dir)
-    return _views.monthly_summary(w["fact_production"], w["dim_date"], w["dim_machine"], w["dim_product"])
+    return view_by_name(spark, sf_dir, "vw_monthly_summary")
 
 
 def q_vw_downtime_pareto(spark, sf_dir):
-    w = warehouse(spark, sf_dir)
-    return _views.downtime_pareto(w["fact_production"], w["dim_machine"])
+    return view_by_name(spark, sf_dir, "vw_downtime_pareto")
 
 
 def q_vw_shift_performance(spark, sf_dir):
-    w = warehouse(spark, sf_dir)
-    return _views.shift_performance(w["fact_production"], w["dim_shift"], w["dim_machine"])
+    return view_by_name(spark, sf_dir, "vw_shift_performance")
 
 
 def q_drilldown_plant_line_machine(spark, sf_dir):
@@ -257,7 +261,7 @@ def q_dq_value_range(spark, sf_dir):
 
 
 def q_dq_null_ratio(spark, sf_dir):
-    check = _dq.null_ratio("downtime_reason", threshold=0.10)
+    check = _dq.null_ratio("downtime_reason", threshold=_dq.DEV.max_null_ratio)
     return _dq.run_suite(raw_one(spark, sf_dir, "downtime"), "downtime", [check])
 
 
@@ -334,8 +338,14 @@ def q_fact_rowcount(spark, sf_dir):
 def q_sink_dims(spark, sf_dir):
     base = _sinks.scratch_folder(spark, "sink-dims")
     _sinks.write_dims(lake_dims(spark, sf_dir), base)
-    parts = [spark.read.parquet(f"{base}/{n}").agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
-             for n in ["dim_machine", "dim_shift", "dim_product", "dim_date"]]
+
+    def members(name: str) -> DataFrame:
+        """Whole rows as text, columns by name, so that the four tables fit one result."""
+        df = spark.read.parquet(f"{base}/{name}")
+        text = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in sorted(df.columns)]
+        return df.select(F.lit(name).alias("table_name"), F.concat_ws("|", *text).alias("member"))
+
+    parts = [members(n) for n in ["dim_machine", "dim_shift", "dim_product", "dim_date"]]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -380,10 +390,69 @@ def q_catalog_star_schema(spark, sf_dir):
 
 
 def q_catalog_schema_drift(spark, sf_dir):
-    """Declared raw production schema vs the schema of the written lake fact."""
-    path = _sinks.scratch_folder(spark, "drift")
-    _sinks.write_fact(lake_fact(spark, sf_dir), path)
-    return _catalog.schema_drift(spark, _schemas.PRODUCTION, spark.read.parquet(path).schema)
+    """All raw runs read through a table whose later files have one column more than it was registered with."""
+    path = f"{_sinks.scratch_folder(spark, 'drift')}/production"
+    rows = raw_one(spark, sf_dir, "production")
+    early = F.col("shift_id").isin("S1", "S3")
+    rows.where(early).drop("actual_runtime_min").write.parquet(path)
+    db = _fresh_db("shopfloor_drift")
+    _catalog.ensure_database(spark, db)
+    spark.catalog.createTable(f"{db}.runs", path=path, source="parquet")
+    rows.where(~early).write.mode("append").parquet(path)
+    _catalog.update_from_files(spark, f"{db}.runs", path)
+    return spark.table(f"{db}.runs")
+
+
+# ── two loads, one after the other ───────────────────────────────────────────
+# All runs, in two overlapping batches: some members are in the first only, some
+# in both, some in the second only, and half a year of runs is loaded twice.
+
+FIRST_BATCH = "plant_id = 'PLT0' OR (plant_id <> 'PLT1' AND production_date < date '1999-01-01')"
+SECOND_BATCH = ("plant_id <> 'PLT0' AND (plant_id = 'PLT1' OR production_date >= date '1998-07-01' "
+                "OR production_date IS NULL)")
+LOAD_TIMES = ("2024-01-01 00:00:00", "2024-02-01 00:00:00")
+
+
+def two_loads(spark, sf_dir) -> dict[str, DataFrame]:
+    """The warehouse after both batches went through the load job, read back from its manifest."""
+    fact_rows = _etl.materialize(lake_fact(spark, sf_dir))
+    base = _sinks.scratch_folder(spark, "two-loads")
+    for n, (batch, at) in enumerate(zip((FIRST_BATCH, SECOND_BATCH), LOAD_TIMES)):
+        part = fact_rows.where(batch)
+        _sinks.write_fact(part, f"{base}/lake{n}/fact_production")
+        _sinks.write_dims(_dims.all_dims(part), f"{base}/lake{n}")
+        _load.run(spark, f"{base}/lake{n}", f"{base}/wh", load_ts=F.lit(at).cast("timestamp"))
+    return _load.read_current(spark, f"{base}/wh")
+
+
+def two_dims(spark, sf_dir, name: str, upsert) -> DataFrame:
+    """One dimension through both batches; the first version is written before the second reads it."""
+    runs = cleaned_one(spark, sf_dir, "production")
+    version = None
+    for batch, at in zip((FIRST_BATCH, SECOND_BATCH), LOAD_TIMES):
+        stage = _dims.all_dims(runs.where(batch))[name]
+        version = _etl.materialize(upsert(stage, version, F.lit(at).cast("timestamp")))
+    return version
+
+
+def q_load_two_dim_machine(spark, sf_dir):
+    return two_dims(spark, sf_dir, "dim_machine", _wh.upsert_dim_machine)
+
+
+def q_load_two_dim_product(spark, sf_dir):
+    return two_dims(spark, sf_dir, "dim_product", lambda stage, old, _: _wh.insert_dim_product(stage, old))
+
+
+def q_load_two_dim_date(spark, sf_dir):
+    return two_dims(spark, sf_dir, "dim_date", lambda stage, old, _: _wh.insert_dim_date(stage, old))
+
+
+def q_load_two_fact(spark, sf_dir):
+    return two_loads(spark, sf_dir)["fact_production"]
+
+
+def q_load_two_verification(spark, sf_dir):
+    return _wh.load_verification(two_loads(spark, sf_dir))
 
 
 def q_layout_fact_sorted(spark, sf_dir):
@@ -444,6 +513,11 @@ def queries() -> dict[str, Query]:
         "load_upsert_fact": q_load_upsert_fact,
         "load_surrogate_keys": q_load_surrogate_keys,
         "load_verification": q_load_verification,
+        "load_two_dim_machine": q_load_two_dim_machine,
+        "load_two_dim_product": q_load_two_dim_product,
+        "load_two_dim_date": q_load_two_dim_date,
+        "load_two_fact": q_load_two_fact,
+        "load_two_verification": q_load_two_verification,
         "vw_daily_oee": q_vw_daily_oee,
         "vw_monthly_summary": q_vw_monthly_summary,
         "vw_downtime_pareto": q_vw_downtime_pareto,

@@ -101,3 +101,12 @@ def apply_drift(spark: SparkSession, table: str, drift: DataFrame) -> list[str]:
         cols = ", ".join(f"{n} {t}" for n, t in added)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({cols})")
     return [n for n, _ in added]
+
+
+def update_from_files(spark: SparkSession, table: str, path: str) -> DataFrame:
+    """Compare a table with the files in its folder, add the columns they have more, and return the drift."""
+    observed = spark.read.option("mergeSchema", "true").parquet(path).schema
+    drift = schema_drift(spark, spark.table(table).schema, observed)
+    apply_drift(spark, table, drift)
+    spark.catalog.refreshTable(table)
+    return drift
