@@ -66,7 +66,7 @@ def gapless_rank(scratch: Scratch, df: DataFrame, group: str, order: list[str],
     twice and should be a written table.  Null groups are a group.
     """
     spark = scratch.spark
-    slices = 16 * max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    slices = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     key = F.pmod(F.xxhash64(*order), F.lit(slices))
     sliced = df.withColumn("_slice", key).withColumn("_group", F.coalesce(F.hash(group), F.lit(0)))
     counts = sliced.groupBy(group, "_slice").agg(F.count("*").alias("_n"))
