@@ -73,7 +73,7 @@ def gapless_rank(scratch: Scratch, df: DataFrame, group: str, order: list[str],
     before = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(F.col(group).alias("_g"), F.col("_slice").alias("_s"),
                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    starts = scratch.save(starts, "slice_starts")
+    starts = scratch.save(starts, "slice_starts").hint("merge")  # grows with groups and slices: never broadcast
     inside = Window.partitionBy(group, "_slice").orderBy(*order)
     numbered = sliced.withColumn("_row", F.row_number().over(inside) - 1)
     joined = numbered.join(starts, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_slice") == F.col("_s")))

@@ -33,6 +33,23 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component AS component_id, d.do
 FROM documents d LEFT JOIN n USING (doc_id) JOIN component c ON c.id = d.doc_id
 """
 
+OP2 = rf"""
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+good AS (
+  SELECT vec_id, e FROM v
+  WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (
+  SELECT x.vec_id AS a, y.vec_id AS b
+  FROM good x JOIN good y ON x.vec_id < y.vec_id AND len(x.e) = len(y.e)
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.9),
+edges AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+nodes AS (SELECT vec_id AS id FROM v),{_COMPONENTS}
+SELECT v.vec_id, (SELECT count(*) FROM edges e WHERE e.a = v.vec_id) AS n_links, c.component AS component_id,
+  v.vec_id = c.component AS kept
+FROM v JOIN component c ON c.id = v.vec_id
+"""
+
 OP3 = r"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (
@@ -124,6 +141,7 @@ FROM t GROUP BY conv_id
 
 SQL = {
     "op1_minhash_dedup": OP1,
+    "op2_embedding_dedup": OP2,
     "op3_quality_rules": OP3,
     "op4_mix_sources": OP4,
     "op9_chat_format": OP9,
