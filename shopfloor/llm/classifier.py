@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm.common import table, text_chunks, uniform
+from shopfloor.llm.common import table, text_chunks, uniform, whole_texts
 from shopfloor.llm.langid import remainder
 
 FIT_ROWS = 2000
@@ -172,7 +172,7 @@ def _scorer(model: Model):
 
 def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, score`` for every row; a null text scores as an empty one; ids may be null or repeated."""
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
+    return whole_texts(docs, id_col, text_col).mapInArrow(
         _scorer(model), f"id {docs.schema[id_col].dataType.simpleString()}, score double")
 
 

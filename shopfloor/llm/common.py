@@ -16,6 +16,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 # Arrow batches are cut into chunks of about this many text bytes (one longer
 # text is a chunk of its own), so that a worker's arrays stay bounded.
 CHUNK_BYTES = 1 << 20
+TEXT_ROWS = 500  # rows of an Arrow batch of texts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +82,24 @@ def gapless_rank(scratch: Scratch, df: DataFrame, group: str, order: list[str],
         "_slice", "_group", "_g", "_s", "_row", "_start")
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """The same rows; texts reach Python in batches of at most TEXT_ROWS rows.
+
+    Spark's default of 10,000 rows a batch is meant for numbers.  With long texts
+    such a batch is held several times over, in the JVM and in each worker.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(conf.get(key, "10000"))
+    if now <= 0 or now > TEXT_ROWS:
+        conf.set(key, str(TEXT_ROWS))
+    return df
+
+
+def whole_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(id, text)`` of every row, for operators that work on texts in Python."""
+    return small_batches(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")))
+
+
 def text_chunks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of the batches with their texts' bytes (null: none) and byte offsets, about a chunk each."""
     for batch in batches:

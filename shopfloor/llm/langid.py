@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm.common import CHUNK_BYTES, table, uniform
+from shopfloor.llm.common import CHUNK_BYTES, small_batches, table, uniform, whole_texts
 from shopfloor.llm.wordhash import U, mix
 
 FIT_ROWS = 4000
@@ -222,7 +222,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     languages, are ``und`` with score 0.  Null and repeated ids are scored row
     by row; other columns are not read.
     """
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
+    return whole_texts(docs, id_col, text_col).mapInArrow(
         _scorer(model), f"id {docs.schema[id_col].dataType.simpleString()}, lang_pred string, score double")
 
 
@@ -252,4 +252,4 @@ def _keeper(model: Model, text_col: str, least: float):
 
 def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.0) -> DataFrame:
     """The rows of ``docs``, all columns, whose text has a language with at least the given score."""
-    return docs.mapInArrow(_keeper(model, text_col, least), docs.schema)
+    return small_batches(docs).mapInArrow(_keeper(model, text_col, least), docs.schema)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopfloor.llm.buckets import bucket_components, bucket_members
-from shopfloor.llm.common import Scratch, table, text_chunks
+from shopfloor.llm.common import Scratch, table, text_chunks, whole_texts
 from shopfloor.llm.wordhash import U, mix, shingles
 
 SHINGLE = 5
@@ -104,7 +104,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "minhash")
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    texts = whole_texts(docs, id_col, text_col).withColumn("id", F.col("id").cast("long"))
     sketch = scratch.save(texts.mapInArrow(_sketch(shingle, bands, rows),
                                            "id long, n long, k1 long, k2 long, bands array<long>"), "sketch")
     linkable = sketch.where("n > 0 AND id IS NOT NULL")

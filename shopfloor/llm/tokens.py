@@ -25,9 +25,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from shopfloor.llm.common import table
+from shopfloor.llm.common import table, whole_texts
 
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 512
@@ -165,7 +164,7 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     empty result.  ``tokenizer`` is the path of the vocabulary file.
     """
     path = tokenizer or public_tokenizers.path(TOKENIZER)
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
+    return whole_texts(docs, id_col, text_col).mapInArrow(
         _counter(str(path), limit),
         f"id {docs.schema[id_col].dataType.simpleString()}, n_bytes long, n_tokens long, over_limit boolean")
 
