@@ -159,6 +159,7 @@ def _extra(config: SuiteConfig | None, key: str) -> list[Check]:
 
 
 def production_suite(config: SuiteConfig | None = None) -> list[Check]:
+    ratio = config.max_null_ratio if config and config.max_null_ratio is not None else 0.01
     return [
         not_empty(),
         *null_keys(["production_id", "machine_id", "production_date"]),
@@ -167,7 +168,7 @@ def production_suite(config: SuiteConfig | None = None) -> list[Check]:
         value_range("planned_qty", min_val=0),
         value_range("actual_qty", min_val=0),
         value_range("good_qty", min_val=0),
-        null_ratio("shift_id", threshold=0.01),
+        null_ratio("shift_id", threshold=ratio),
         *_extra(config, "production_id"),
     ]
 

@@ -800,6 +800,7 @@ FROM ({DIM_MACHINE}) m
         "catalog_register_raw": RAW_PRODUCTION,
         "catalog_register_fact": FACT_PRODUCTION,
         "catalog_star_schema": WH_DIM_DATE,
+        "catalog_column_defaults": WH_DIM_PRODUCT,
         "layout_fact_sorted": _WH_FACT_NO_CLOCK,
         "maint_compact": _WH_FACT_NO_CLOCK,
         "maint_analyze": f"SELECT 'fact_production' AS table_name, count(*) AS row_count FROM ({WH_FACT}) f",

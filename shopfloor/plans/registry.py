@@ -267,7 +267,7 @@ def q_dq_null_ratio(spark, sf_dir):
 
 def q_dq_oee_bounds(spark, sf_dir):
     f = lake_fact(spark, sf_dir)
-    return _dq.run_suite(f, "fact_production", _dq.oee_bounds(f.columns))
+    return _dq.run_suite(f, "fact_production", _dq.oee_bounds(f.columns, _dq.DEV.oee_min, _dq.DEV.oee_max))
 
 
 def q_dq_duplicate_ratio(spark, sf_dir):
@@ -389,6 +389,16 @@ def q_catalog_star_schema(spark, sf_dir):
     return spark.table(f"{db}.dim_date")
 
 
+def q_catalog_column_defaults(spark, sf_dir):
+    """All products inserted into the catalog table without their unit: the column's default fills it in."""
+    db = _fresh_db("shopfloor_defaults")
+    _catalog.create_star_schema(spark, db, _sinks.scratch_folder(spark, "defaults"))
+    _wh.insert_dim_product(lake_dims(spark, sf_dir)["dim_product"]).createOrReplaceTempView("new_products")
+    columns = "product_key, product_id, product_name, product_family"
+    spark.sql(f"INSERT INTO {db}.dim_product ({columns}) SELECT {columns} FROM new_products")
+    return spark.table(f"{db}.dim_product")
+
+
 def q_catalog_schema_drift(spark, sf_dir):
     """All raw runs read through a table whose later files have one column more than it was registered with."""
     path = f"{_sinks.scratch_folder(spark, 'drift')}/production"
@@ -548,6 +558,7 @@ def queries() -> dict[str, Query]:
         "catalog_register_raw": q_catalog_register_raw,
         "catalog_register_fact": q_catalog_register_fact,
         "catalog_star_schema": q_catalog_star_schema,
+        "catalog_column_defaults": q_catalog_column_defaults,
         "catalog_schema_drift": q_catalog_schema_drift,
         "layout_fact_sorted": q_layout_fact_sorted,
         "maint_compact": q_maint_compact,

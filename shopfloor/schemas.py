@@ -163,3 +163,21 @@ WAREHOUSE_SCHEMAS = {
     "dim_product": DIM_PRODUCT,
     "fact_production": FACT_PRODUCTION,
 }
+
+# Text lengths of the warehouse columns (others are unbounded) and column defaults.
+TEXT_LENGTHS = {
+    "dim_date": {"month_name": 10, "day_name": 10},
+    "dim_machine": {"machine_id": 50, "machine_name": 100, "machine_type": 50, "line_id": 50, "line_name": 100,
+                    "plant_id": 50, "plant_name": 100, "plant_location": 200},
+    "dim_shift": {"shift_id": 10, "shift_name": 50, "shift_start": 5},
+    "dim_product": {"product_id": 50, "product_name": 200, "product_family": 100, "unit_of_measure": 20},
+    "fact_production": {"production_id": 100},
+}
+COLUMN_DEFAULTS = {
+    "dim_date": {"is_weekend": "false"},
+    "dim_machine": {"is_active": "true", "created_at": "current_timestamp()", "updated_at": "current_timestamp()"},
+    "dim_product": {"unit_of_measure": "'PCS'"},
+    "fact_production": {"total_downtime_min": "0", "planned_downtime_min": "0", "unplanned_downtime_min": "0",
+                        "downtime_events": "0", "total_inspected_qty": "0", "total_defect_qty": "0",
+                        "loaded_at": "current_timestamp()"},
+}

@@ -58,6 +58,17 @@ def _ddl(schema: StructType, nullable: bool = False) -> str:
     )
 
 
+def warehouse_ddl(name: str) -> str:
+    """Columns of a warehouse table with text lengths (checked on insert) and defaults (used by inserts that omit them)."""
+    lengths, defaults = schemas.TEXT_LENGTHS.get(name, {}), schemas.COLUMN_DEFAULTS.get(name, {})
+    columns = []
+    for f in schemas.WAREHOUSE_SCHEMAS[name].fields:
+        kind = f"VARCHAR({lengths[f.name]})" if f.name in lengths else f.dataType.simpleString()
+        default = f" DEFAULT {defaults[f.name]}" if f.name in defaults else ""
+        columns.append(f"{f.name} {kind}{'' if f.nullable else ' NOT NULL'}{default}")
+    return ", ".join(columns)
+
+
 STAGING = {"stg_fact_production": "fact_production", "stg_dim_machine": "dim_machine"}
 
 
@@ -65,9 +76,9 @@ def create_star_schema(spark: SparkSession, database: str, location: str | None
     """Idempotent DDL for the four dimensions, the fact and two staging tables."""
     ensure_database(spark, database)
     created = []
-    for name, schema in schemas.WAREHOUSE_SCHEMAS.items():
+    for name in schemas.WAREHOUSE_SCHEMAS:
         loc = f" LOCATION '{location.rstrip('/')}/{name}'" if location else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({_ddl(schema)}) USING parquet{loc}")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({warehouse_ddl(name)}) USING parquet{loc}")
         created.append(f"{database}.{name}")
     for stg, target in STAGING.items():
         loc = f" LOCATION '{location.rstrip('/')}/{stg}'" if location else ""

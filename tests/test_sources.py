@@ -109,3 +109,39 @@ def test_full_overwrite_drops_stale_partitions(spark, tmp_path):
         assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1, 2, 3]
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_star_schema_checks_lengths_and_fills_defaults(spark, tmp_path):
+    catalog.create_star_schema(spark, "sf_test_star", str(tmp_path / "star"))
+    spark.sql("INSERT INTO sf_test_star.dim_product (product_key, product_id, product_name, product_family) "
+              "VALUES (1, 'bolt', 'Bolt', 'steel')")
+    assert spark.table("sf_test_star.dim_product").first().unit_of_measure == "PCS"
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH|exceeds"):
+        spark.sql("INSERT INTO sf_test_star.dim_product (product_key, product_id) VALUES (2, repeat('x', 51))")
+    for t in ("dim_date", "dim_machine", "dim_shift", "dim_product", "fact_production"):
+        spark.sql(f"DROP TABLE sf_test_star.{t}")
+
+
+def test_new_columns_in_files_reach_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a")], "id int, x string").write.parquet(path)
+    catalog.ensure_database(spark, "sf_test_drift")
+    spark.sql("DROP TABLE IF EXISTS sf_test_drift.t")
+    spark.catalog.createTable("sf_test_drift.t", path=path, source="parquet")
+    spark.createDataFrame([(2, "b", 2.5)], "id int, x string, y double").write.mode("append").parquet(path)
+    drift = catalog.update_from_files(spark, "sf_test_drift.t", path)
+    assert [(r.column_name, r.change) for r in drift.collect()] == [("y", "added")]
+    assert sorted(map(tuple, spark.table("sf_test_drift.t").collect())) == [(1, "a", None), (2, "b", 2.5)]
+    assert catalog.update_from_files(spark, "sf_test_drift.t", path).count() == 0
+
+
+def test_streamed_copy_keeps_declared_types_and_month_folders(spark, tmp_path):
+    src = tmp_path / "raw"
+    src.mkdir()
+    (src / "a.csv").write_text(HEADER + "\nD1,M1,2024-01-15,S1,r,1.0,Y\nD2,M1,2024-01-16,S1,r,1.0,Y\nD3,M1,nonsense,S1,r,1.0,Y\n")
+    out = tmp_path / "pq"
+    ingest.start_ingest(spark, str(src), str(out), str(tmp_path / "ck"), "downtime").awaitTermination()
+    got = ingest.read_parquet_copy(spark, str(out), "downtime")
+    assert got.schema["production_date"].dataType.simpleString() == "string"
+    assert sorted(r.production_date for r in got.collect()) == ["2024-01-15", "2024-01-16", "nonsense"]
+    assert sorted(p.name for p in out.glob("ingest_month=*")) == ["ingest_month=2024-01", "ingest_month=undated"]
