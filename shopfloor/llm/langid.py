@@ -48,14 +48,16 @@ class Model:
     gram_logs: dict[int, np.ndarray]
 
 
-_letters: list[np.ndarray] = []
+_kinds: list[np.ndarray] = []
 
 
-def letters() -> np.ndarray:
-    """For every code point, whether it is a letter or a mark."""
-    if not _letters:
-        _letters.append(np.array([unicodedata.category(chr(c))[0] in "LM" for c in range(sys.maxunicode + 1)]))
-    return _letters[0]
+def kinds() -> np.ndarray:
+    """For every code point: 2 for a letter, 1 for a mark (it continues a word), 0 for all others."""
+    if not _kinds:
+        value = {"L": 2, "M": 1}
+        _kinds.append(np.array([value.get(unicodedata.category(chr(c))[0], 0) for c in range(sys.maxunicode + 1)],
+                               np.uint8))
+    return _kinds[0]
 
 
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -66,8 +68,8 @@ def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def split_words(points: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end (exclusive) and text of every run of letters."""
-    inside = letters()[points]
+    """Start, end (exclusive) and text of every run of letters and marks."""
+    inside = kinds()[points] > 0
     change = np.diff(np.concatenate([[0], inside.view(np.int8), [0]]))
     start, end = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
     return start, end, np.searchsorted(ends, start)
@@ -176,7 +178,9 @@ def score(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.nd
     p = np.exp(evidence)
     p /= p.sum(axis=1, keepdims=True)
     best = p.argmax(axis=1)
-    return best, p[np.arange(n), best], count > 0
+    letters = np.concatenate([[0], np.cumsum(kinds()[points] == 2)])
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    return best, p[np.arange(n), best], letters[ends] > letters[starts]
 
 
 def _scorer(model: Model):
