@@ -83,6 +83,10 @@ FACT_COLUMNS = [
     "availability", "performance", "quality_rate", "oee_pct",
 ]
 
+# Their types, so that a lake without rows (and so without files) can be read.
+LAKE_FACT = ", ".join(f"{c} {kind}" for c, kind in zip(FACT_COLUMNS, [
+    *["string"] * 6, "date", *["int"] * 5, *["double"] * 5, *["bigint"] * 3, *["double"] * 5]))
+
 # ── warehouse (star schema) ──────────────────────────────────────────────────
 MINUTES = DecimalType(10, 2)
 PERCENT = DecimalType(6, 2)

@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from shopfloor import schemas
 from shopfloor.operators.joins import rebalanced
 from shopfloor.session import scratch_path
 
@@ -105,7 +106,7 @@ def read_fact(spark: SparkSession, path: str, start: str | None = None, end: str
     A date predicate alone does not prune (year, month) folders, so the
     matching year/month bounds are added for partition pruning.
     """
-    df = spark.read.parquet(path)
+    df = spark.read.schema(schemas.LAKE_FACT).parquet(path)
     if start is None and end is None:
         return df
     d = F.col("production_date")

@@ -99,3 +99,23 @@ def test_job_reads_the_streamed_parquet_copy(spark, raw_zone):
     a = sorted(map(tuple, spark.read.parquet(str(raw_zone / "p_csv" / "fact_production")).select(*cols).collect()))
     b = sorted(map(tuple, spark.read.parquet(str(raw_zone / "p_pq" / "fact_production")).select(*cols).collect()))
     assert a == b
+
+
+def test_declared_lake_types_are_those_of_the_fact(spark, raw_zone):
+    etl.run(spark, str(raw_zone / "raw"), str(raw_zone / "processed"))
+    written = spark.read.parquet(str(raw_zone / "processed" / "fact_production"))
+    read = sinks.read_fact(spark, str(raw_zone / "processed" / "fact_production"))
+    assert dict(read.dtypes) == dict(written.dtypes)
+    assert read.count() == 5
+
+
+def test_a_load_of_nothing_keeps_the_warehouse(spark, raw_zone):
+    lake, base = str(raw_zone / "processed"), str(raw_zone / "wh")
+    etl.run(spark, str(raw_zone / "raw"), lake)
+    load.run(spark, lake, base)
+    none = etl.build_lake({n: spark.createDataFrame([], s) for n, s in schemas.RAW_SCHEMAS.items()}, enforce="off")
+    etl.write_lake(none, str(raw_zone / "none"))
+    assert load.run(spark, str(raw_zone / "none"), base)["rejected"] == 0
+    assert load.read_current(spark, base)["fact_production"].count() == 5
+    assert load.run(spark, lake, base, start="1990-01-01", end="1990-12-31")["rejected"] == 0
+    assert load.read_current(spark, base)["fact_production"].count() == 5
