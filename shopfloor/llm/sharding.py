@@ -1,13 +1,14 @@
 """Operator 10: balanced label propagation into shards of nearly equal bytes.
 
-Documents are linked by a group (equal texts).  They start in shards by hash.
-In every round each group looks at its bytes per shard (pre-aggregated) and its
-members elsewhere want to join the shard that holds most of it among those with
-room.  A shard admits what its quota allows: where more bytes want to come
-than there is room, a seeded share of them moves.  Small groups move as one,
-groups that are large against the quota document by document, so one that
-exceeds a shard fills as few shards as it can.  The rounds are joins on written
-tables and end when nothing wants to move.
+Documents are linked by a group (equal texts).  Large groups (at most shards / LUMP
+of them) are placed first, whole where a shard has room, else over as few shards
+as can be.  All other linked documents start in shards by hash.  In every round
+each group looks at its bytes per shard (pre-aggregated) and its members
+elsewhere want to join the shard that holds most of it, its home.  A shard admits
+what its quota allows: where more bytes want to come than there is room, a
+seeded share of the parts moves.  A group whose home stays without room
+moves as a whole to shards with room, also ones it did not touch, so no group
+that a shard can hold stays cut.  The rounds are joins on written tables.
 
 Documents without a link have no edge to cut.  They fill the shards up to equal
 bytes in a hash order; slice totals place each slice, and only rows of one
@@ -16,64 +17,89 @@ slice are ordered together.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shopfloor.llm.common import Scratch, gapless_rank, table, uniform
 
 SHARDS = 8
 ROUNDS = 12
-LUMP = 0.02  # groups above this share of a shard move document by document
+LUMP = 0.02  # groups above this share of a shard are placed before the others
+KEY = ["id", "size", "text_crc32"]
 SLICES = 4096
 
 
-def propagate(scratch: Scratch, linked: DataFrame, shards: int, capacity: float, rounds: int = ROUNDS) -> DataFrame:
-    """Move the rows ``(id, size, group, shard, ...)`` towards their groups' shards under the capacity."""
-    for turn in range(rounds):
-        held = scratch.save(linked.groupBy("group", "shard").agg(F.sum("size").alias("bytes")), "held")
+def place_large(large: list[tuple[str, int, int]], shards: int, capacity: float) -> tuple[list[tuple], list[float]]:
+    """Runs ``(group, first, end, shard)`` of the rows of groups ``(group, rows, bytes of a row)``, and the room left.
+
+    The largest come first, each whole into the fullest shard that has room for
+    it.  A group that no shard can take whole is cut, over as few shards as can be.
+    """
+    room = [float(capacity)] * shards
+    runs = []
+    for group, rows, each in sorted(large, key=lambda g: (-g[1] * g[2], g[0])):
+        at = 0
+        while at < rows:
+            whole = [s for s in range(shards) if room[s] >= (rows - at) * each]
+            to = min(whole, key=lambda s: (room[s], s)) if whole else max(range(shards), key=lambda s: (room[s], -s))
+            end = rows if whole else min(rows, at + max(1, int(room[to] // each)))
+            runs.append((group, at, end, to))
+            room[to] -= (end - at) * each
+            at = end
+    return runs, room
+
+
+def propagate(scratch: Scratch, held: DataFrame, room: list[float], rounds: int = ROUNDS) -> DataFrame:
+    """``(group, shard)`` of every group of ``held`` rows ``(group, shard, bytes)``, whole, under the room of each shard.
+
+    A group's home is the shard that holds most of it; ties go by a hash of the
+    group.  When the rounds are over, a group whose home had no room moves with
+    its home part: what is still cut fills the shards with room in a hash order.
+    """
+    def left() -> list[float]:
         load = {r["shard"]: r["b"] for r in held.groupBy("shard").agg(F.sum("bytes").alias("b")).collect()}
-        room = [max(0.0, capacity - load.get(s, 0)) for s in range(shards)]
-        free = [s for s in range(shards) if room[s] > LUMP * capacity]
-        # The fullest shard of a group stays put even without room; the others head for the fullest with room.
-        best = held.groupBy("group").agg(
-            F.max(F.struct("bytes", (-F.col("shard")).alias("s"))).alias("most"),
-            F.max(F.when(F.col("shard").isin(free), F.struct("bytes", (-F.col("shard")).alias("s")))).alias("open"))
-        best = best.select("group", (-F.col("most.s")).alias("home"), (-F.col("open.s")).alias("target"),
-                           F.col("open.bytes").alias("there"))
-        wish = held.join(best, "group").where(  # smaller parts move to larger ones, never the other way
-            F.col("target").isNotNull() & (F.col("shard") != F.col("home")) & (F.col("shard") != F.col("target"))
-            & (F.col("bytes") <= F.col("there")))
-        wish = scratch.save(wish.groupBy("group", "target").agg(
-            F.sum("bytes").alias("moving"), F.collect_set("shard").alias("from")), "wishes")
-        wanted = {r["target"]: r["b"] for r in wish.groupBy("target").agg(F.sum("moving").alias("b")).collect()}
+        return [room[s] - load.get(s, 0) for s in range(len(room))]
+
+    capacity = max(room, default=0.0)
+    for turn in range(rounds):
+        free = left()
+        open_ = [s for s, b in enumerate(free) if b > LUMP * capacity]
+        best = held.groupBy("group").agg(F.count("*").alias("parts"), F.max(
+            F.struct("bytes", F.xxhash64("group", "shard").alias("tie"), "shard")).alias("most")).where("parts > 1")
+        wish = held.join(best.select("group", F.col("most.shard").alias("home")), "group").where("shard <> home")
+        wish = scratch.save(wish.where(F.col("home").isin(open_)), "wishes")
+        wanted = {r["home"]: r["b"] for r in wish.groupBy("home").agg(F.sum("bytes").alias("b")).collect()}
         if not wanted:
-            scratch.drop(held, wish)
+            scratch.drop(wish)
             break
-        share = F.element_at(F.array(*[F.lit(min(1.0, 0.98 * room[s] / wanted[s]) if wanted.get(s) else 0.0)
-                                       for s in range(shards)]), (F.col("target") + 1).cast("int"))
-        admitted = wish.withColumn("share", share).withColumn("lump", F.col("moving") > LUMP * capacity).where(
-            F.col("lump") | (uniform("group", seed=turn) < F.col("share")))
-        moved = linked.join(admitted.select("group", "target", "share", "lump", "from"), "group", "left")
-        goes = F.array_contains("from", F.col("shard")) & (
-            ~F.col("lump") | (uniform("id", "size", seed=100 + turn) < F.col("share")))
-        new = moved.withColumn("shard", F.when(F.coalesce(goes, F.lit(False)), F.col("target")).otherwise(
-            F.col("shard"))).select(*linked.columns)
-        new = scratch.save(new, "linked")
-        scratch.drop(held, wish)
-        linked = new
-    return linked
-
-
-def fill(scratch: Scratch, alone: DataFrame, room: list[float]) -> DataFrame:
-    """Give rows ``(id, size, ...)`` a ``shard`` so that shards receive bytes in proportion to ``room``."""
-    keyed = alone.withColumn("draw", uniform("id", "size", "text_crc32")).withColumn(
+        share = F.element_at(F.array(*[F.lit(min(1.0, 0.98 * free[s] / wanted[s]) if wanted.get(s) else 0.0)
+                                       for s in range(len(room))]), (F.col("home") + 1).cast("int"))
+        goes = wish.where(uniform("group", "shard", seed=turn) < share).select("group", "shard", "home")
+        moved = held.join(goes, ["group", "shard"], "left").select(
+            "group", F.coalesce("home", "shard").alias("shard"), "bytes")
+        new = scratch.save(moved.groupBy("group", "shard").agg(F.sum("bytes").alias("bytes")), "held")
+        scratch.drop(wish, held)
+        held = new
+    groups = scratch.save(held.groupBy("group").agg(
+        F.min("shard").alias("shard"), F.max("shard").alias("last"), F.sum("bytes").alias("size")), "groups")
+    scratch.drop(held)
+    whole = groups.where("shard = last")
+    load = {r["shard"]: r["b"] for r in whole.groupBy("shard").agg(F.sum("size").alias("b")).collect()}
+    cut = fill(scratch, groups.where("shard < last").select("group", "size"),
+               [max(0.0, room[s] - load.get(s, 0)) for s in range(len(room))], ["group"])
+    return scratch.save(whole.select("group", "shard").unionByName(cut.select("group", "shard")), "homes")
+
+
+def fill(scratch: Scratch, alone: DataFrame, room: list[float], key: list[str]) -> DataFrame:
+    """Give rows ``(*key, size)`` a ``shard`` so that shards receive bytes in proportion to ``room``."""
+    keyed = alone.withColumn("draw", uniform(*key)).withColumn(
         "slice", F.floor(F.col("draw") * SLICES).cast("int"))
     before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)  # at most SLICES rows
     starts = keyed.groupBy("slice").agg(F.sum("size").alias("b")).withColumn(
         "start", F.coalesce(F.sum("b").over(before), F.lit(0)))
     starts = scratch.save(starts, "starts")
     total = starts.agg(F.sum("b")).first()[0] or 0
-    inside = Window.partitionBy("slice").orderBy("draw", "id", "size", "text_crc32")
+    inside = Window.partitionBy("slice").orderBy("draw", *key)
     place = (F.col("start") + F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0))
              - F.col("size") / F.lit(2.0))
     open_ = sum(room) or 1.0
@@ -85,6 +111,31 @@ def fill(scratch: Scratch, alone: DataFrame, room: list[float]) -> DataFrame:
         *alone.columns, "shard")
 
 
+def start_shard(room: list[float]) -> Column:
+    """A shard by hash, as likely as it has room."""
+    draw, total, edge = uniform("id", "size", seed=1), sum(max(0.0, b) for b in room) or 1.0, 1.0
+    shard = F.lit(len(room) - 1)
+    for s in range(len(room) - 1, 0, -1):
+        edge -= max(0.0, room[s]) / total
+        shard = F.when(draw < edge, F.lit(s - 1)).otherwise(shard)
+    return shard.cast("int")
+
+
+def large_rows(scratch: Scratch, rows: DataFrame, runs: list[tuple]) -> DataFrame:
+    """The rows of the placed groups with their ``shard``; a cut group's rows are numbered in a hash order."""
+    cut = {group for group, first, _, _ in runs if first}
+    placed = scratch.spark.createDataFrame(runs, "group string, first long, end long, shard int")
+    whole = rows.join(F.broadcast(placed.where(~F.col("group").isin(cut))), "group").select(*KEY, "shard")
+    if not cut:
+        return whole
+    pieces = placed.where(F.col("group").isin(cut))
+    parts = scratch.save(rows.join(F.broadcast(pieces.select("group").distinct()), "group"), "cut")
+    numbered = gapless_rank(scratch, parts, "group", KEY, "number")
+    inside = (F.col("number") >= F.col("first")) & (F.col("number") < F.col("end"))
+    numbered = numbered.join(F.broadcast(pieces), "group").where(inside)
+    return whole.unionByName(numbered.select(*KEY, "shard"))
+
+
 def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS,
                     rounds: int = ROUNDS) -> DataFrame:
     """``id, size, text_crc32, law, shard, slot`` for every row; equal texts are linked.
@@ -101,18 +152,26 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col(id_col).alias("id"), (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
         F.coalesce(F.crc32(text), F.lit(0).cast("long")).alias("text_crc32"), F.sha2(text, 256).alias("group"))
     rows = scratch.save(rows, "rows")
-    groups = scratch.save(rows.where("group IS NOT NULL").groupBy("group").agg(F.count("*").alias("n"))
-                          .where("n > 1").select("group"), "groups")
-    start = F.pmod(F.xxhash64("id", "size"), F.lit(shards)).cast("int")
-    linked = scratch.save(rows.join(groups, "group").select("id", "size", "text_crc32", "group", start.alias("shard")),
-                          "linked")
-    alone = rows.join(groups, "group", "left_anti").select("id", "size", "text_crc32")
+    groups = scratch.save(rows.where("group IS NOT NULL").groupBy("group").agg(
+        F.count("*").alias("n"), F.max("size").alias("each")).where("n > 1"), "groups")  # equal texts, equal sizes
+    alone = rows.join(groups.select("group"), "group", "left_anti").select(*KEY)
     total = rows.agg(F.sum("size")).first()[0] or 0
-    linked = propagate(scratch, linked, shards, total / shards, rounds)
+    is_large = F.col("n") * F.col("each") > F.lit(LUMP * total / shards)
+    large = [tuple(r) for r in groups.where(is_large).select("group", "n", "each").collect()]  # at most shards / LUMP
+    runs, room = place_large(large, shards, total / shards)
+    linked = rows.join(groups.where(~is_large).select("group"), "group")
+    linked = scratch.save(linked.select(*KEY, "group", start_shard(room).alias("start")), "linked")
+    held = scratch.save(linked.groupBy("group", F.col("start").alias("shard")).agg(F.sum("size").alias("bytes")), "held")
+    homes = propagate(scratch, held, room, rounds)
+    linked = linked.join(homes, "group").select(*KEY, "shard")
+    if runs:
+        linked = scratch.save(linked.unionByName(large_rows(scratch, rows, runs)), "placed")
+    else:
+        linked = scratch.save(linked, "placed")
     load = {r["shard"]: r["b"] for r in linked.groupBy("shard").agg(F.sum("size").alias("b")).collect()}
-    filled = fill(scratch, alone, [max(0.0, total / shards - load.get(s, 0)) for s in range(shards)])
-    whole = scratch.save(linked.select("id", "size", "text_crc32", "shard").unionByName(filled), "shards")
-    numbered = gapless_rank(scratch, whole, "shard", ["id", "size", "text_crc32"], "slot")
+    filled = fill(scratch, alone, [max(0.0, total / shards - load.get(s, 0)) for s in range(shards)], KEY)
+    whole = scratch.save(linked.unionByName(filled), "shards")
+    numbered = gapless_rank(scratch, whole, "shard", KEY, "slot")
     return numbered.select("id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot")
 
 

@@ -152,6 +152,26 @@ def test_sharding_splits_a_group_that_exceeds_shards(spark):
     assert len(held) < 8  # filled shard by shard, not spread evenly
 
 
+def split_groups(out, rows):
+    """Shards and rows of every text that several rows hold, and the bytes of every shard."""
+    text, where = dict(rows), defaultdict(Counter)
+    for r in out:
+        where[text[r["id"]]][r["shard"]] += 1
+    return {t: (len(c), sum(c.values())) for t, c in where.items() if sum(c.values()) > 1}, check_shards(out, rows)
+
+
+@pytest.mark.parametrize("hot", [0, 1000])
+def test_sharding_cuts_no_pair_and_spreads_a_hot_group_over_few_shards(spark, hot):
+    rows = [(i, f"pair {i // 2:06d}") for i in range(1600)] + [(10000 + i, f"lone {i:06d}") for i in range(400)]
+    rows += [(20000 + i, "hot  000000") for i in range(hot)]
+    out = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    groups, load = split_groups(out, rows)
+    assert {n for n, size in groups.values() if size == 2} == {1}
+    assert max(load.values()) < 1.02 * sum(load.values()) / 8 and min(load.values()) > 0.98 * sum(load.values()) / 8
+    if hot:
+        assert groups["hot  000000"] == (3, hot)  # 2.7 shards
+
+
 def test_sharding_awkward_and_empty(spark):
     out = sharding.shard_documents(awkward(spark)).collect()
     check_shards(out, [(r[0], r[1]) for r in awkward_rows()])
