@@ -5,10 +5,11 @@ of them) are placed first, whole where a shard has room, else over as few shards
 as can be.  All other linked documents start in shards by hash.  In every round
 each group looks at its bytes per shard (pre-aggregated) and its members
 elsewhere want to join the shard that holds most of it, its home.  A shard admits
-what its quota allows: where more bytes want to come than there is room, a
+its room and what leaves it in the same round; where more bytes want to come, a
 seeded share of the parts moves.  A group whose home stays without room
 moves as a whole to shards with room, also ones it did not touch, so no group
-that a shard can hold stays cut.  The rounds are joins on written tables.
+that a shard can hold stays cut.  The rounds are joins on written tables and end
+when no move is admitted.
 
 Documents without a link have no edge to cut.  They fill the shards up to equal
 bytes in a hash order; slice totals place each slice, and only rows of one
@@ -17,13 +18,13 @@ slice are ordered together.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shopfloor.llm.common import Scratch, gapless_rank, table, uniform
 
 SHARDS = 8
-ROUNDS = 12
 LUMP = 0.02  # groups above this share of a shard are placed before the others
 KEY = ["id", "size", "text_crc32"]
 SLICES = 4096
@@ -49,44 +50,59 @@ def place_large(large: list[tuple[str, int, int]], shards: int, capacity: float)
     return runs, room
 
 
-def propagate(scratch: Scratch, held: DataFrame, room: list[float], rounds: int = ROUNDS) -> DataFrame:
+def admitted_shares(wanted: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """The share of ``wanted[from, to]`` bytes that may move at once.
+
+    A shard admits its room and what leaves it in the same round.  Starting from
+    all wishes, shards that would overflow admit less until none does.
+    """
+    flow = wanted.astype(float)
+    for _ in range(10_000):
+        comes, most = flow.sum(axis=0), np.maximum(room + flow.sum(axis=1), 0.0)
+        if (comes <= most * (1 + 1e-9) + 1e-9).all():
+            break
+        flow *= np.minimum(1.0, most / np.maximum(comes, 1e-9))[None, :]
+    return np.divide(flow, wanted, out=np.zeros_like(flow), where=wanted > 0)
+
+
+def propagate(scratch: Scratch, held: DataFrame, room: list[float]) -> DataFrame:
     """``(group, shard)`` of every group of ``held`` rows ``(group, shard, bytes)``, whole, under the room of each shard.
 
     A group's home is the shard that holds most of it; ties go by a hash of the
-    group.  When the rounds are over, a group whose home had no room moves with
-    its home part: what is still cut fills the shards with room in a hash order.
+    group.  Every move joins two parts of a group, so the rounds end.  Then a
+    group whose home had no room moves with its home part: what is still cut
+    fills the shards with room in a hash order.
     """
-    def left() -> list[float]:
+    shards, turn = len(room), 0
+    while True:
         load = {r["shard"]: r["b"] for r in held.groupBy("shard").agg(F.sum("bytes").alias("b")).collect()}
-        return [room[s] - load.get(s, 0) for s in range(len(room))]
-
-    capacity = max(room, default=0.0)
-    for turn in range(rounds):
-        free = left()
-        open_ = [s for s, b in enumerate(free) if b > LUMP * capacity]
         best = held.groupBy("group").agg(F.count("*").alias("parts"), F.max(
             F.struct("bytes", F.xxhash64("group", "shard").alias("tie"), "shard")).alias("most")).where("parts > 1")
         wish = held.join(best.select("group", F.col("most.shard").alias("home")), "group").where("shard <> home")
-        wish = scratch.save(wish.where(F.col("home").isin(open_)), "wishes")
-        wanted = {r["home"]: r["b"] for r in wish.groupBy("home").agg(F.sum("bytes").alias("b")).collect()}
-        if not wanted:
-            scratch.drop(wish)
+        wish = scratch.save(wish.select("group", "shard", "home", "bytes"), "wishes")
+        wanted = np.zeros((shards, shards))
+        for r in wish.groupBy("shard", "home").agg(F.sum("bytes").alias("b")).collect():
+            wanted[r["shard"], r["home"]] = r["b"]
+        share = admitted_shares(wanted, np.array([room[s] - load.get(s, 0) for s in range(shards)]))
+        at = (F.col("shard") * shards + F.col("home") + 1).cast("int")
+        goes = wish.where(uniform("group", "shard", seed=turn) < F.element_at(F.lit(share.ravel()), at))
+        goes = scratch.save(goes.select("group", "shard", "home"), "moves")
+        scratch.drop(wish)
+        if not goes.limit(1).count():
+            scratch.drop(goes)
             break
-        share = F.element_at(F.array(*[F.lit(min(1.0, 0.98 * free[s] / wanted[s]) if wanted.get(s) else 0.0)
-                                       for s in range(len(room))]), (F.col("home") + 1).cast("int"))
-        goes = wish.where(uniform("group", "shard", seed=turn) < share).select("group", "shard", "home")
         moved = held.join(goes, ["group", "shard"], "left").select(
             "group", F.coalesce("home", "shard").alias("shard"), "bytes")
         new = scratch.save(moved.groupBy("group", "shard").agg(F.sum("bytes").alias("bytes")), "held")
-        scratch.drop(wish, held)
-        held = new
+        scratch.drop(goes, held)
+        held, turn = new, turn + 1
     groups = scratch.save(held.groupBy("group").agg(
         F.min("shard").alias("shard"), F.max("shard").alias("last"), F.sum("bytes").alias("size")), "groups")
     scratch.drop(held)
     whole = groups.where("shard = last")
     load = {r["shard"]: r["b"] for r in whole.groupBy("shard").agg(F.sum("size").alias("b")).collect()}
     cut = fill(scratch, groups.where("shard < last").select("group", "size"),
-               [max(0.0, room[s] - load.get(s, 0)) for s in range(len(room))], ["group"])
+               [max(0.0, room[s] - load.get(s, 0)) for s in range(shards)], ["group"])
     return scratch.save(whole.select("group", "shard").unionByName(cut.select("group", "shard")), "homes")
 
 
@@ -136,8 +152,8 @@ def large_rows(scratch: Scratch, rows: DataFrame, runs: list[tuple]) -> DataFram
     return whole.unionByName(numbered.select(*KEY, "shard"))
 
 
-def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS,
-                    rounds: int = ROUNDS) -> DataFrame:
+def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    shards: int = SHARDS) -> DataFrame:
     """``id, size, text_crc32, law, shard, slot`` for every row; equal texts are linked.
 
     The law is ``bytes``.  A size is the text's UTF-8 bytes plus one; a null text
@@ -162,7 +178,7 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = rows.join(groups.where(~is_large).select("group"), "group")
     linked = scratch.save(linked.select(*KEY, "group", start_shard(room).alias("start")), "linked")
     held = scratch.save(linked.groupBy("group", F.col("start").alias("shard")).agg(F.sum("size").alias("bytes")), "held")
-    homes = propagate(scratch, held, room, rounds)
+    homes = propagate(scratch, held, room)
     linked = linked.join(homes, "group").select(*KEY, "shard")
     if runs:
         linked = scratch.save(linked.unionByName(large_rows(scratch, rows, runs)), "placed")

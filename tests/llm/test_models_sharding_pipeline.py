@@ -172,6 +172,25 @@ def test_sharding_cuts_no_pair_and_spreads_a_hot_group_over_few_shards(spark, ho
         assert groups["hot  000000"] == (3, hot)  # 2.7 shards
 
 
+def test_admission_exchanges_between_full_shards():
+    swap = np.array([[0.0, 40], [40, 0]])
+    assert (sharding.admitted_shares(swap, np.zeros(2))[swap > 0] == 1).all()  # without room, what leaves is room
+    wanted = np.array([[0.0, 40, 0], [40, 0, 10], [0, 30, 0]])
+    share = sharding.admitted_shares(wanted, np.zeros(3))
+    flow = share * wanted
+    assert (flow.sum(axis=0) <= flow.sum(axis=1) + 1e-6).all() and flow[0, 1] > 0
+    assert (sharding.admitted_shares(wanted, np.full(3, 99.0))[wanted > 0] == 1).all()
+
+
+def test_propagation_joins_copies_without_room_or_lone_texts(spark):
+    """99 % of the bytes are linked: every shard starts nearly full."""
+    rows = [(i, f"copy {i // 5:06d}") for i in range(3500)] + [(10000 + i, f"lone {i:06d}") for i in range(35)]
+    out = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    groups, load = split_groups(out, rows)
+    assert {n for n, _ in groups.values()} == {1}
+    assert max(load.values()) < 1.02 * sum(load.values()) / 8 and min(load.values()) > 0.98 * sum(load.values()) / 8
+
+
 def test_sharding_awkward_and_empty(spark):
     out = sharding.shard_documents(awkward(spark)).collect()
     check_shards(out, [(r[0], r[1]) for r in awkward_rows()])
