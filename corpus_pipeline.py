@@ -31,16 +31,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the smallest id, and one row of it.
+    """One row of each group stays: the one with the smallest id (no id comes last), among its rows by a hash.
 
-    Rows without an id belong to no group and stay.
+    Every row is a document with a key of its own, whatever its id.  Texts
+    without words belong to no group and stay.
     """
-    found = minhash.near_duplicates(docs)
-    stay = found.where(F.col("id") == F.col("component")).select(F.col("id").alias("_stay")).distinct()
-    kept = docs.join(stay, docs["doc_id"] == stay["_stay"])
-    place = F.row_number().over(Window.partitionBy("_stay").orderBy("text", "source", "lang"))
-    kept = kept.withColumn("_place", place).where("_place = 1").select(*docs.columns)
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    scratch = Scratch(spark, "near")
+    # The keys are numbers of written rows: unique, and read back by all that follows.
+    rows = scratch.save(docs.withColumn("_key", F.monotonically_increasing_id()), "rows")
+    found = minhash.near_duplicates(rows.select("_key", "text"), id_col="_key")
+    others = [F.col(c) for c, kind in docs.dtypes if c != "doc_id" and "map<" not in kind]
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*others), "_key")
+    first = rows.select("_key", order.alias("_order")).join(
+        found.select(F.col("id").alias("_key"), "component"), "_key").groupBy("component").agg(
+        F.min("_order").getField("_key").alias("_key"))
+    return rows.join(scratch.save(first.select("_key"), "kept"), "_key", "left_semi").select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

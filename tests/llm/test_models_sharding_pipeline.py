@@ -223,6 +223,20 @@ def test_every_stage_takes_awkward_and_empty_documents(spark, make):
             out.collect()
 
 
+def test_near_duplicates_judges_rows_not_ids(spark):
+    a, b, c, d = (prose(700 + i, 40) for i in range(4))
+    rows = [(3, a, "en", "x", 1), (5, a, "en", "x", 1), (5, b, "en", "x", 1),  # one id, a copy and a unique text
+            (7, c, "en", "x", 1), (7, d, "en", "y", 1), (9, d, "en", "x", 1),
+            (None, a, "en", "x", 1), (None, prose(800, 40), "en", "x", 1), (None, prose(800, 40) + " end", "en", "x", 1),
+            (8, None, "en", "x", 0), (8, "", "en", "x", 0)]
+    out = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA).repartition(3), "").collect()
+    kept = Counter((r["doc_id"], r["text"]) for r in out)
+    loose = {k for k in kept if k[0] is None}
+    assert len(loose) == 1 and loose.pop()[1].startswith(prose(800, 40))
+    assert {k: n for k, n in kept.items() if k[0] is not None} == {
+        (3, a): 1, (5, b): 1, (7, c): 1, (7, d): 1, (8, None): 1, (8, ""): 1}
+
+
 def test_mixture_shares_copies_among_repeated_rows(spark):
     docs = spark.createDataFrame([(1, "a b c", "en", "x", 1)] * 3 + [(2, "d e f g", "en", "x", 1)], SCHEMA)
     out = corpus_pipeline.mixture(spark, docs, "").collect()
