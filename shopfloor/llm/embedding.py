@@ -2,9 +2,11 @@
 
 A vector is rotated by three rounds of random signs and the fast Hadamard
 transform; the signed axis nearest to it is its hash.  A table's key joins
-``k`` such hashes, and every vector enters its best ``2**k`` keys (multiprobe),
-so that ``TABLES`` tables find a pair at cosine 0.9 with a chance above 0.9999.
-``k`` follows from the number of vectors: keys are to outnumber them.
+``k`` such hashes, and every vector enters its best ``2**k`` keys (multiprobe).
+``k`` follows from the number of vectors: keys are to outnumber them.  The number
+of tables follows from ``k`` and the dimension: trial pairs at the limit, hashed
+by the same code, give a table's chance to find one, and there are so many tables
+(``TABLES`` at least) that all miss it with an estimated chance of at most ``MISS``.
 
 Bucket rows carry the id and 128 random-projection sign bits, not the vector;
 bits that differ far more than a cosine of 0.9 allows (six standard deviations) stop a
@@ -17,6 +19,7 @@ written for them.
 
 from __future__ import annotations
 
+import functools
 import itertools
 from collections.abc import Iterator
 
@@ -30,7 +33,9 @@ from shopfloor.llm.common import Scratch, table
 from shopfloor.llm.wordhash import U, mix
 
 COSINE = 0.9
-TABLES = 8
+TABLES = 8  # at least
+MISS = 1e-4  # chance that a pair at the limit shares no key, at every size and dimension
+TRIALS = 1000  # pairs, in each of the first TABLES tables
 SKETCH = 128
 ROUNDS = 3
 BLOCK = 1024
@@ -90,6 +95,27 @@ def probe_keys(unit: np.ndarray, table_no: int, k: int) -> np.ndarray:
     return np.take_along_axis(np.stack(keys, axis=1), kept, axis=1).view(np.int64)
 
 
+@functools.cache
+def table_count(dim: int, k: int, least: float = COSINE, tables: int = TABLES) -> int:
+    """Tables for which a pair at ``least`` is missed with a chance of at most ``MISS``, and ``tables`` at least.
+
+    The chance of one table is taken three standard errors below its share of the trials.
+    """
+    if dim < 2:
+        return tables
+    rng = np.random.default_rng([SEED, dim, k])
+    x, z = rng.normal(size=(2, TRIALS, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    cosine = min(max(least, -1.0), 1.0)
+    x, y = unit_rows(x, dim), unit_rows(cosine * x + np.sqrt(1 - cosine ** 2) * z, dim)
+    both = (np.sort(np.concatenate([probe_keys(x, t, k), probe_keys(y, t, k)], axis=1)) for t in range(TABLES))
+    met = np.concatenate([(keys[:, 1:] == keys[:, :-1]).any(axis=1) for keys in both])
+    found = max(met.mean() - 3 * np.sqrt(met.mean() * (1 - met.mean()) / len(met)), 1 / len(met))
+    return tables if found >= 1 else max(tables, int(np.ceil(np.log(MISS) / np.log1p(-found))))
+
+
 def sketches(unit: np.ndarray) -> np.ndarray:
     """128 random-projection signs of each row as two longs."""
     planes = np.random.default_rng([SEED, unit.shape[1]]).normal(size=(unit.shape[1], SKETCH))
@@ -111,7 +137,7 @@ def unit_rows(x: np.ndarray, dim: int) -> np.ndarray:
     return np.pad(x, ((0, 0), (0, wide - dim)))
 
 
-def _keys(tables: int, vectors: int):
+def _keys(tables: dict[int, int], vectors: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, BLOCK):
@@ -123,7 +149,7 @@ def _keys(tables: int, vectors: int):
                     unit = unit_rows(flat[starts[rows][:, None] + np.arange(dim)], dim)
                     s = sketches(unit)
                     k = hash_count(vectors, dim)
-                    keys = np.concatenate([probe_keys(unit, t, k) for t in range(tables)], axis=1)
+                    keys = np.concatenate([probe_keys(unit, t, k) for t in range(tables[dim])], axis=1)
                     each = pa.array(np.arange(len(rows) + 1) * keys.shape[1], pa.int32())
                     yield pa.RecordBatch.from_arrays(
                         [part.column(0).take(pa.array(rows)), pa.array(s[:, 0]), pa.array(s[:, 1]),
@@ -202,7 +228,11 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     reps = (usable.join(classes.withColumnRenamed("rep", "id"), ["id", "k1", "k2"])
             .dropDuplicates(["id", "k1", "k2"]).select(F.col("id").alias("rep"), "v", "copies"))
     reps = scratch.save(reps, "reps")
-    hashed = reps.select("rep", "v").mapInArrow(_keys(tables, classes.count()),
+    count = classes.count()
+    dims = [r["d"] for r in reps.select(F.size("v").alias("d")).distinct().collect()]  # one row per vector length
+    per_dim = {d: table_count(1 << max(d - 1, 0).bit_length(), hash_count(count, d), least, tables)
+               for d in dims}  # vectors are filled to a power of two before they are hashed
+    hashed = reps.select("rep", "v").mapInArrow(_keys(per_dim, count),
                                                 "rep long, s0 long, s1 long, keys array<long>")
     keyed = scratch.save(hashed.select("rep", "s0", "s1", F.explode("keys").alias("key")), "keyed")
     members = bucket_members(scratch, keyed)
