@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 # text is a chunk of its own), so that a worker's arrays stay bounded.
 CHUNK_BYTES = 1 << 20
 TEXT_ROWS = 500  # rows of an Arrow batch of texts
+RANGE_ROWS = 2_000_000  # narrow rows that a task sorts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,22 +84,44 @@ def gapless_rank(scratch: Scratch, df: DataFrame, group: str, order: list[str],
         "_slice", "_group", "_g", "_s", "_row", "_start")
 
 
-def small_batches(df: DataFrame) -> DataFrame:
-    """The same rows; texts reach Python in batches of at most TEXT_ROWS rows.
+def sorted_rank(scratch: Scratch, df: DataFrame, order: list[Column], out: str) -> DataFrame:
+    """Number all rows from 0 without gaps in a sort order, in range partitions of about RANGE_ROWS rows.
 
-    Spark's default of 10,000 rows a batch is meant for numbers.  With long texts
-    such a batch is held several times over, in the JVM and in each worker.
+    ``order`` must be total (end it with a unique key, which also cuts a value
+    that many rows share).  Partition numbers and places are fixed by one write;
+    the partitions' counts, a row each, become their starts.
     """
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(conf.get(key, "10000"))
-    if now <= 0 or now > TEXT_ROWS:
-        conf.set(key, str(TEXT_ROWS))
-    return df
+    parts = max(1, -(-df.count() // RANGE_ROWS))
+    number = F.spark_partition_id()
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = scratch.save(df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+                          .withColumn("_part", number).withColumn("_place", place), "sorted")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("_part").agg(F.count("*").alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return placed.join(starts, "_part").withColumn(out, (F.col("_start") + F.col("_place")).cast("long")).drop(
+        "_part", "_place", "_start")
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int = TEXT_ROWS):
+    """Arrow batches of at most ``rows`` rows for what is written inside the block; the session's setting comes back after it.
+
+    For tasks that hold a batch several times over.  All others keep the session's setting (64 MB a batch by default).
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, None)
+    if before is None or not 0 < int(before) <= rows:
+        spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def whole_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(id, text)`` of every row, for operators that work on texts in Python."""
-    return small_batches(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")))
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
 
 def text_chunks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm.common import CHUNK_BYTES, small_batches, table, uniform, whole_texts
+from shopfloor.llm.common import CHUNK_BYTES, table, uniform, whole_texts
 from shopfloor.llm.wordhash import U, mix
 
 FIT_ROWS = 4000
@@ -256,4 +256,4 @@ def _keeper(model: Model, text_col: str, least: float):
 
 def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.0) -> DataFrame:
     """The rows of ``docs``, all columns, whose text has a language with at least the given score."""
-    return small_batches(docs).mapInArrow(_keeper(model, text_col, least), docs.schema)
+    return docs.mapInArrow(_keeper(model, text_col, least), docs.schema)

@@ -29,7 +29,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 
-from shopfloor.llm.common import Scratch, gapless_rank, table, whole_texts
+from shopfloor.llm.common import Scratch, arrow_batches, gapless_rank, table, whole_texts
 from shopfloor.llm.tokens import TOKENIZER, byte_symbols
 
 TIERS = (256, 512, 1024, 2048)
@@ -186,8 +186,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tiers:
     path = str(tokenizer or public_tokenizers.path(TOKENIZER))
     kind = f"id {docs.schema[id_col].dataType.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long"
     kind += ", ids binary" if with_ids else ""
-    pieces = scratch.save(whole_texts(docs, id_col, text_col).mapInArrow(
-        _cut(path, tiers[-1], end_id, with_ids), kind), "pieces")
+    with arrow_batches(spark):
+        pieces = scratch.save(whole_texts(docs, id_col, text_col).mapInArrow(
+            _cut(path, tiers[-1], end_id, with_ids), kind), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # a row per length
     slots = layout(plan(counts, tiers), step_tokens)
     numbered = gapless_rank(scratch, pieces, "length", ["id", "start", "ids_crc32", "doc_tokens"], "number")

@@ -6,11 +6,14 @@ from shopfloor.llm import (
     chat,
     classifier,
     embedding,
+    fingerprints,
     langid,
     minhash,
     mixing,
+    negatives,
     packing,
     quality_rules,
+    resampling,
     sharding,
     statements,
     tokens,
@@ -29,6 +32,9 @@ def queries() -> dict:
         "op8_language_id": langid.op8_language_id,
         "op9_chat_format": chat.op9_chat_format,
         "op10_shard_documents": sharding.op10_shard_documents,
+        "op11_hard_negatives": negatives.op11_hard_negatives,
+        "op12_importance_resampling": resampling.op12_importance_resampling,
+        "op13_document_fingerprints": fingerprints.op13_document_fingerprints,
     }
 
 

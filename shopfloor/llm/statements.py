@@ -139,10 +139,32 @@ SELECT conv_id, count(*) AS n_turns,
 FROM t GROUP BY conv_id
 """
 
+OP11 = r"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e, row_number() OVER () AS k
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS MATERIALIZED (
+  SELECT a.k AS a, a.vec_id AS anchor_id, y.vec_id, a.label = y.label AS same,
+         CASE WHEN len(a.e) > 0 THEN list_dot_product(a.e, y.e) ELSE 0 END::BIGINT AS score
+  FROM v a JOIN v y ON a.vec_id % 50 = 0 AND a.k <> y.k AND len(a.e) = len(y.e)),
+p AS (
+  SELECT a, anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY a ORDER BY vec_id) AS n
+  FROM (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) <= 5))
+SELECT p.anchor_id, positive_id,
+  row_number() OVER (PARTITION BY p.a, n ORDER BY score DESC, vec_id)::INT AS rank, vec_id AS negative_id,
+  positive_score, score AS negative_score
+FROM p JOIN s ON s.a = p.a AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.a, n ORDER BY score DESC, vec_id) <= 3
+"""
+
 SQL = {
     "op1_minhash_dedup": OP1,
     "op2_embedding_dedup": OP2,
     "op3_quality_rules": OP3,
     "op4_mix_sources": OP4,
     "op9_chat_format": OP9,
+    "op11_hard_negatives": OP11,
 }
