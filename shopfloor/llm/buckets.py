@@ -14,15 +14,25 @@ FIRST_CENTRES = 32
 
 
 def bucket_members(scratch: Scratch, keyed: DataFrame) -> DataFrame:
-    """Rows ``(rep, key, ...)`` of buckets with two or more different reps, with the bucket's ``hub`` and ``size``."""
-    buckets = keyed.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("_last"),
-                                       F.count("*").alias("size"))
-    buckets = scratch.save(buckets.where("hub < _last").drop("_last"), "buckets")
-    members = scratch.save(keyed.join(buckets, "key"), "members")
-    scratch.drop(buckets)
+    """Rows ``(rep, key, ...)`` of buckets with two or more different reps, with the bucket's ``hub`` and ``size``.
+
+    ``keyed`` is a written table with each rep once a bucket.  Most buckets hold one rep, so
+    keys are counted alone first; the members that are left are few.
+    """
+    shared = scratch.save(keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "shared")
+    some = scratch.save(keyed.join(shared, "key"), "some")
+    hubs = some.groupBy("key").agg(F.min("rep").alias("hub"))
+    members = scratch.save(some.join(hubs, "key"), "members")
+    scratch.drop(shared, some)
     return members
 
 
+def one_node(named: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` that join all nodes of an id, from rows ``(id, node)`` of ids with several nodes."""
+    least = named.groupBy("id").agg(F.min("node").alias("a"))
+    return named.join(least, "id").where("node > a").select("a", F.col("node").alias("b")).distinct()
+
+
 def split_buckets(scratch: Scratch, members: DataFrame, labels: DataFrame) -> DataFrame:
     """The members of buckets that still span several components, with their component ``c``."""
     named = (members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
@@ -37,8 +47,8 @@ def split_buckets(scratch: Scratch, members: DataFrame, labels: DataFrame) -> Da
 def bucket_components(scratch: Scratch, members: DataFrame, attrs: list[str], plausible: Callable[[], Column],
                       confirmed: Callable[[DataFrame], DataFrame],
                       refine: Callable[[DataFrame], tuple[DataFrame, list[str], Callable[[], Column], DataFrame]]
-                      | None = None) -> DataFrame:
-    """``(node, component)`` of all reps that a confirmed pair of some bucket links.
+                      | None = None, known: DataFrame | None = None) -> DataFrame:
+    """``(node, component)`` of all reps that a confirmed pair of some bucket, or a pair ``(a, b)`` of ``known``, links.
 
     ``plausible()`` compares a pair's ``attrs`` (``x_`` + name at the centre) and
     may refuse only pairs that cannot be links; ``confirmed`` keeps the true
@@ -55,10 +65,11 @@ def bucket_components(scratch: Scratch, members: DataFrame, attrs: list[str], pl
     def at_centre(names: list[str]) -> list[Column]:
         return [F.col(c).alias(f"x_{c}") for c in names]
 
-    hubs = members.where("rep = hub").select("key", *at_centre(attrs)).dropDuplicates(["key"])
+    hubs = members.where("rep = hub").select("key", *at_centre(attrs))
     star = (members.where("rep > hub").join(hubs, "key").where(plausible())
             .select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
     links = scratch.save(confirmed(star), "links")
+    links = links if known is None else links.unionByName(known)
     labels = connected_components(scratch, links)
     rest = split_buckets(scratch, members.select("key", "rep", "size", *attrs), labels)
     if refine is not None and rest.limit(1).count():

@@ -24,6 +24,7 @@ from shopfloor.llm.common import table, text_chunks, uniform, whole_texts
 from shopfloor.llm.langid import remainder
 
 FIT_ROWS = 2000
+FIT_BYTES = 32 << 20  # UTF-8 bytes of the fitted texts together
 WIDTH, STRIDE = 8, 4
 PLACES = 64  # windows in a chunk
 FILTERS, DEPTH = 24, 4
@@ -142,8 +143,11 @@ def fit(rows: list[tuple[str, int]], steps: int = STEPS, seed: int = SEED) -> Mo
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "quality", fold=None, fit_rows: int = FIT_ROWS) -> Model:
-    """Fit on at most ``fit_rows`` labelled rows of the fold, the first ids in a hash order.
+          label_col: str = "quality", fold=None, fit_rows: int = FIT_ROWS, fit_bytes: int = FIT_BYTES) -> Model:
+    """Fit on at most ``fit_rows`` labelled rows of the fold and ``fit_bytes`` bytes, the first ids in a hash order.
+
+    Sizes are read first, so the driver gets no more texts than that; a text beyond
+    ``fit_bytes`` is passed over, never cut.
 
     Unlabelled rows, null ids and null texts are not learned from; of
     contradicting labels of one id the smallest counts.  The sampled ids are at
@@ -157,8 +161,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
            .agg(F.min(label_col).cast("int").alias("_y")).withColumn("_h", uniform(F.col("_id")))
            .orderBy("_h", "_id").limit(fit_rows))
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
-    rows = (texts.join(F.broadcast(ids), "_id").select("_h", "_id", "_t", "_y")
-            .orderBy("_h", "_id", "_t").limit(fit_rows).collect())
+    rows = texts.join(F.broadcast(ids), "_id").withColumn("_b", F.octet_length("_t"))
+    rows = rows.where(F.col("_b") <= fit_bytes)
+    order = ["_h", "_id", F.xxhash64("_t")]
+    sizes = [r["_b"] for r in rows.orderBy(*order).limit(fit_rows).select("_b").collect()]
+    within = int(np.searchsorted(np.cumsum(sizes), fit_bytes, side="right"))
+    rows = rows.orderBy(*order).limit(within).select("_t", "_y").collect() if within else []
     return fit([(r["_t"], r["_y"]) for r in rows])
 
 
@@ -171,7 +179,10 @@ def _scorer(model: Model):
 
 
 def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, score`` for every row; a null text scores as an empty one; ids may be null or repeated."""
+    """``id, score`` for every row; a null text scores as an empty one; ids may be null or repeated.
+
+    Other columns are not read; an empty table gives an empty result.
+    """
     return whole_texts(docs, id_col, text_col).mapInArrow(
         _scorer(model), f"id {docs.schema[id_col].dataType.simpleString()}, score double")
 

@@ -18,13 +18,30 @@ WORD = r"[^\x20\x09-\x0D]+"
 # text is a chunk of its own), so that a worker's arrays stay bounded.
 CHUNK_BYTES = 1 << 20
 TEXT_ROWS = 500  # rows of an Arrow batch of texts
-RANGE_ROWS = 2_000_000  # narrow rows that a task sorts
+RANGE_ROWS = 2_000_000  # narrow rows that a task sorts at most
+LEAST_RANGE = 50_000  # and at least, where there are idle tasks
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_watched: list[list[Scratch]] = []
+
+
+@contextmanager
+def scratch_removed():
+    """Removes every scratch table made inside the block when it ends (what is lazy must be written by then)."""
+    made: list[Scratch] = []
+    _watched.append(made)
+    try:
+        yield
+    finally:
+        _watched.remove(made)
+        for scratch in made:
+            scratch.clear([])
+
+
 class Scratch:
     """Intermediate tables as Parquet below the cluster's shared checkpoint folder.
 
@@ -37,21 +54,33 @@ class Scratch:
         self.spark = spark
         self.base = scratch_path(spark, f"{label}-{uuid.uuid4().hex[:12]}")
         self._n = 0
+        self.paths: list[str] = []
+        for made in _watched:
+            made.append(self)
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         self._n += 1
         path = f"{self.base}/{name}-{self._n}"
         df.write.parquet(path)
+        self.paths.append(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
 
     def drop(self, *dfs: DataFrame | None) -> None:
+        self._delete([df._scratch_path for df in dfs if df is not None])
+
+    def clear(self, keep: list[DataFrame]) -> None:
+        """Remove all tables of this scratch but those."""
+        kept = {df._scratch_path for df in keep}
+        self._delete([path for path in self.paths if path not in kept])
+
+    def _delete(self, paths: list[str]) -> None:
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        for df in dfs:
-            if df is not None:
-                path = jvm.org.apache.hadoop.fs.Path(df._scratch_path)
-                path.getFileSystem(conf).delete(path, True)
+        for name in paths:
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+        self.paths = [path for path in self.paths if path not in set(paths)]
 
 
 def uniform(*cols: Column, seed: int = 0) -> Column:
@@ -59,50 +88,61 @@ def uniform(*cols: Column, seed: int = 0) -> Column:
     return F.pmod(F.xxhash64(*cols, F.lit(seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
 
 
-def gapless_rank(scratch: Scratch, df: DataFrame, group: str, order: list[str], out: str) -> DataFrame:
-    """Number the rows of each group from 0 without gaps, without one task per group.
+def ranged(scratch: Scratch, df: DataFrame, order: list[Column]) -> DataFrame:
+    """A written copy of narrow rows in range partitions of ``order``, with partition ``_part`` and place ``_place`` in it.
 
-    Rows fall into hash slices of a group; slice counts (pre-aggregated, one row
-    per group and slice) give each slice its start, and only rows of one slice
-    are sorted together.  The slice of a row depends on the ``order`` columns
-    alone, so reruns agree; full ties get distinct numbers.  ``df`` is read
-    twice and should be a written table.  Null groups are a group.
+    ``df`` is a written table.  A number of its rows ends the order, so that it is
+    total and no value, however common, is one task: a partition has about
+    RANGE_ROWS rows, fewer while there are idle tasks.
     """
-    spark = scratch.spark
-    slices = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    key = F.pmod(F.xxhash64(*order), F.lit(slices))
-    sliced = df.withColumn("_slice", key).withColumn("_group", F.coalesce(F.hash(group), F.lit(0)))
-    counts = sliced.groupBy(group, "_slice").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(F.col(group).alias("_g"), F.col("_slice").alias("_s"),
-                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    starts = scratch.save(starts, "slice_starts").hint("merge")  # grows with groups and slices: never broadcast
-    inside = Window.partitionBy(group, "_slice").orderBy(*order)
-    numbered = sliced.withColumn("_row", F.row_number().over(inside) - 1)
-    joined = numbered.join(starts, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_slice") == F.col("_s")))
-    return joined.withColumn(out, (F.col("_row") + F.col("_start")).cast("long")).drop(
-        "_slice", "_group", "_g", "_s", "_row", "_start")
+    n, at_once = df.count(), int(scratch.spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, -(-n // RANGE_ROWS), min(at_once, n // LEAST_RANGE))
+    order = [*order, F.col("_number").asc()]
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = df.withColumn("_number", F.monotonically_increasing_id())
+    return scratch.save(numbered.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("_number")
+                        .withColumn("_part", F.spark_partition_id()).withColumn("_place", place), "ranged")
 
 
-def sorted_rank(scratch: Scratch, df: DataFrame, order: list[Column], out: str) -> DataFrame:
-    """Number all rows from 0 without gaps in a sort order, in range partitions of about RANGE_ROWS rows.
+def _before(scratch: Scratch, placed: DataFrame, group: list[str], value: Column) -> DataFrame:
+    """``(*group, _part, _start, _first)``: the total of earlier partitions in the group, and its first place in this one."""
+    parts = placed.groupBy(*group, "_part").agg(value.alias("_n"), F.min("_place").alias("_first"))
+    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return scratch.save(parts.withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n"), "starts")
+
 
-    ``order`` must be total (end it with a unique key, which also cuts a value
-    that many rows share).  Partition numbers and places are fixed by one write;
-    the partitions' counts, a row each, become their starts.
+def gapless_rank(scratch: Scratch, df: DataFrame, group: str, order: list[str], out: str) -> DataFrame:
+    """Number the rows of each group from 0 without gaps in ``order``, without one task per group.
+
+    Reruns agree; full ties get distinct numbers.  ``df`` is read several times
+    and should be a written table.  Null groups are a group.
     """
-    parts = max(1, -(-df.count() // RANGE_ROWS))
-    number = F.spark_partition_id()
-    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    placed = scratch.save(df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-                          .withColumn("_part", number).withColumn("_place", place), "sorted")
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = placed.groupBy("_part").agg(F.count("*").alias("_n")).select(
-        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    placed = ranged(scratch, df, [F.col(group).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in order]])
+    starts = _before(scratch, placed, [group], F.count("*")).select(
+        F.col(group).alias("_g"), F.col("_part").alias("_p"), "_start", "_first")
+    joined = placed.join(starts, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_part") == F.col("_p")))
+    return joined.withColumn(out, (F.col("_start") + F.col("_place") - F.col("_first")).cast("long")).drop(
+        "_g", "_p", "_start", "_first", "_part", "_place")
+
+
+def sorted_rank(scratch: Scratch, df: DataFrame, order: list[Column], out: str) -> DataFrame:
+    """Number all rows from 0 without gaps in a sort order; ``df`` is a written table."""
+    placed = ranged(scratch, df, order)
+    starts = _before(scratch, placed, [], F.count("*")).select("_part", "_start")
     return placed.join(starts, "_part").withColumn(out, (F.col("_start") + F.col("_place")).cast("long")).drop(
         "_part", "_place", "_start")
 
 
+def sums_before(scratch: Scratch, df: DataFrame, group: list[str], order: list[Column], value: str, out: str) -> DataFrame:
+    """The sum of ``value`` over all earlier rows of the group in ``order``; groups are not null, ``df`` is a written table."""
+    placed = ranged(scratch, df, [*[F.col(g).asc() for g in group], *order])
+    starts = _before(scratch, placed, group, F.sum(value)).drop("_first")
+    inside = Window.partitionBy("_part", *group).orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    summed = placed.withColumn("_in", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    return summed.join(starts, ["_part", *group]).withColumn(out, F.col("_start") + F.col("_in")).drop(
+        "_part", "_place", "_start", "_in")
+
+
 @contextmanager
 def arrow_batches(spark: SparkSession, rows: int = TEXT_ROWS):
     """Arrow batches of at most ``rows`` rows for what is written inside the block; the session's setting comes back after it.

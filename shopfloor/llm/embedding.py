@@ -13,8 +13,8 @@ bits that differ far more than a cosine of 0.9 allows (six standard deviations)
 candidate, all others are confirmed on the full vectors in double precision.
 Equal vectors are one class before hashing.  Links lie within the components
 that the confirmed candidates span, so the numbers of links are then counted exactly
-inside each component, block against block by matrix products; no pairs are
-written for them.
+inside each component by matrix products: a task holds a stripe of the component, the
+others stream past it, and no pairs are written.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm.buckets import bucket_components, bucket_members
-from shopfloor.llm.common import Scratch, table
+from shopfloor.llm.buckets import bucket_components, bucket_members, one_node
+from shopfloor.llm.common import Scratch, arrow_batches, table
 from shopfloor.llm.wordhash import U, mix
 
 COSINE = 0.9
@@ -39,6 +39,7 @@ TRIALS = 1000  # pairs, in each of the first TABLES tables
 SKETCH = 128
 ROUNDS = 3
 BLOCK = 1024
+STRIPE_BYTES = 64 << 20  # vectors that a task holds
 SEED = 11
 
 
@@ -182,26 +183,65 @@ def scaled(x: np.ndarray) -> np.ndarray:
 
 
 def _count_links(least: float):
-    def run(block: pa.Table) -> pa.Table:
-        side = block.column("side").to_numpy()
-        weight = block.column("copies").to_numpy()
-        lengths, flat = _matrix(block.column("v").combine_chunks())
-        starts = np.cumsum(lengths) - lengths
-        found = np.zeros(block.num_rows, np.int64)
-        for dim in np.unique(lengths).tolist():
-            rows = np.flatnonzero(lengths == dim)
-            x = scaled(flat[starts[rows][:, None] + np.arange(dim)])
-            norm = np.sqrt(np.einsum("ij,ij->i", x, x))
-            alike = (x @ x.T) / (norm[:, None] * norm[None, :]) >= least
-            if block.column("same")[0].as_py():
-                np.fill_diagonal(alike, False)
-            else:
-                alike &= side[rows][:, None] != side[rows][None, :]
-            found[rows] = alike @ weight[rows]
-        return pa.table({"rep": block.column("rep"), "links": pa.array(found)})
+    """Links of rows with the vectors of a stripe: a stripe's own rows come first, then all rows of its component."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, {}
+        for batch in batches:
+            component, stripe = batch.column("component").to_numpy(), batch.column("stripe").to_numpy()
+            asked = batch.column("asked").to_numpy(zero_copy_only=False).astype(np.int8)
+            new = (np.diff(component) != 0) | (np.diff(stripe) != 0) | (np.diff(asked) != 0)
+            cuts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                if a == b:
+                    continue
+                part = batch.slice(a, b - a)
+                if at != (component[a], stripe[a]):
+                    at, held = (component[a], stripe[a]), {}
+                lengths, flat = _matrix(part.column("v"))
+                starts = np.cumsum(lengths) - lengths
+                rep, copies = part.column("rep").to_numpy(), part.column("copies").to_numpy()
+                found = np.zeros(part.num_rows, np.int64)
+                for dim in np.unique(lengths).tolist():
+                    rows = np.flatnonzero(lengths == dim)
+                    x = scaled(flat[starts[rows][:, None] + np.arange(dim)])
+                    norm = np.sqrt(np.einsum("ij,ij->i", x, x))
+                    if not asked[a]:
+                        held.setdefault(dim, []).extend(
+                            (x[i:i + BLOCK], norm[i:i + BLOCK], rep[rows[i:i + BLOCK]], copies[rows[i:i + BLOCK]])
+                            for i in range(0, len(rows), BLOCK))
+                        continue
+                    for y, y_norm, y_rep, weight in held.get(dim, []):
+                        alike = (x @ y.T) / (norm[:, None] * y_norm[None, :]) >= least
+                        alike &= rep[rows][:, None] != y_rep[None, :]
+                        found[rows] += alike @ weight
+                if asked[a]:
+                    yield pa.RecordBatch.from_arrays([part.column("rep"), pa.array(found)], names=["rep", "links"])
     return run
 
 
+def counted_links(scratch: Scratch, reps: DataFrame, labels: DataFrame, least: float) -> DataFrame:
+    """``(rep, links)``: linked vectors, copies counted, of every vector of a component.
+
+    A component is cut into stripes of at most STRIPE_BYTES, and into more while
+    there are idle tasks; a task holds one stripe and the component streams past it.
+    """
+    at_once = int(scratch.spark.conf.get("spark.sql.shuffle.partitions"))
+    inside = scratch.save(reps.join(labels.withColumnRenamed("node", "rep"), "rep"), "inside")
+    size = inside.groupBy("component").agg(F.sum(8 * F.size("v")).alias("b"), F.count("*").alias("n"))
+    stripes = F.greatest(F.ceil(F.col("b") / F.lit(STRIPE_BYTES)), F.least(F.ceil(F.col("n") / F.lit(4 * BLOCK)), F.lit(at_once)))
+    striped = inside.join(size.select("component", stripes.cast("long").alias("stripes")), "component")
+    own = striped.select("component", F.pmod(F.xxhash64("rep"), "stripes").alias("stripe"), F.lit(False).alias("asked"),
+                         "rep", "copies", "v")
+    asked = striped.select("component", F.explode(F.sequence(F.lit(0).cast("long"), F.col("stripes") - 1)).alias("stripe"),
+                           F.lit(True).alias("asked"), "rep", "copies", "v")
+    both = own.unionByName(asked).repartition("component", "stripe").sortWithinPartitions("component", "stripe", "asked")
+    with arrow_batches(scratch.spark, BLOCK):
+        found = scratch.save(both.mapInArrow(_count_links(least), "rep long, links long"), "counted")
+    links = scratch.save(found.groupBy("rep").agg(F.sum("links").alias("links")), "counts")
+    scratch.drop(inside, found)
+    return links
+
+
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = COSINE,
                  tables: int = TABLES) -> DataFrame:
     """``(id, links, component)`` for every row of ``vectors``.
@@ -209,8 +249,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     Vectors that are null, empty, zero or hold null or non-finite components
     are linked with nothing, and so are rows with a null id (their component
     is null).  Vectors of different lengths are never linked.  Rows that repeat
-    an id are one node: each further row counts as a copy.  Other columns are
-    not read; an empty table gives an empty result.
+    an id are vectors of their own in one component, whatever their values.
+    Other columns are not read; an empty table gives an empty result.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark, "vectors")
@@ -221,13 +261,19 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         & F.exists("v", lambda x: x != 0), F.lit(False))
     rows = scratch.save(rows.select("id", F.when(good, F.col("v")).alias("v"),
                                     F.when(good, F.xxhash64("v", F.lit(1))).alias("k1"),
-                                    F.when(good, F.xxhash64("v", F.lit(2))).alias("k2")), "rows")
+                                    F.when(good, F.xxhash64("v", F.lit(2))).alias("k2"),
+                                    F.monotonically_increasing_id().alias("node")), "rows")
     usable = rows.where("v IS NOT NULL")
-    classes = scratch.save(usable.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.count("*").alias("copies")),
+    # One class per distinct vector, named by its first row.
+    classes = usable.groupBy("k1", "k2").agg(F.min(F.struct("id", "node")).alias("first"), F.count("*").alias("copies"))
+    classes = scratch.save(classes.select("k1", "k2", F.col("first.id").alias("id"), F.col("first.node").alias("rep"), "copies"),
                            "classes")
-    reps = (usable.join(classes.withColumnRenamed("rep", "id"), ["id", "k1", "k2"])
-            .dropDuplicates(["id", "k1", "k2"]).select(F.col("id").alias("rep"), "v", "copies"))
+    reps = usable.select(F.col("node").alias("rep"), "v").join(classes.select("rep", "copies"), "rep")
     reps = scratch.save(reps, "reps")
+    several = usable.groupBy("id").agg(F.min("k1").alias("a1"), F.max("k1").alias("z1"), F.min("k2").alias("a2"),
+                                       F.max("k2").alias("z2")).where("a1 < z1 OR a2 < z2").select("id")
+    known = scratch.save(one_node(usable.select("id", "k1", "k2").join(several, "id").join(
+        classes.select("k1", "k2", F.col("rep").alias("node")), ["k1", "k2"]).select("id", "node")), "one_id")
     count = classes.count()
     dims = [r["d"] for r in reps.select(F.size("v").alias("d")).distinct().collect()]  # one row per vector length
     per_dim = {d: table_count(1 << max(d - 1, 0).bit_length(), hash_count(count, d), least, tables)
@@ -249,22 +295,21 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         both = at_b.join(reps.select(F.col("rep").alias("a"), F.col("v").alias("va")), "a")
         return both.select("a", "b", "va", "vb").mapInArrow(_confirm(least), "a long, b long")
 
-    labels = bucket_components(scratch, members, ["s0", "s1"], plausible, confirmed)
-    inside = reps.join(labels.withColumnRenamed("node", "rep"), "rep")
-    parts = labels.groupBy("component").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("parts"))
-    blocks = inside.join(parts, "component").withColumn("side", F.pmod(F.xxhash64("rep"), F.col("parts")))
-    blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    blocks = blocks.select("component", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"),
-                           (F.col("side") == F.col("other")).alias("same"), "side", "rep", "copies", "v")
-    counted = blocks.groupBy("component", "x", "y").applyInArrow(_count_links(least), "rep long, links long")
-    links = scratch.save(counted.groupBy("rep").agg(F.sum("links").alias("links")), "counts")
+    labels = bucket_components(scratch, members, ["s0", "s1"], plausible, confirmed, known=known)
+    links = counted_links(scratch, reps, labels, least)
     named = classes.join(links, "rep", "left").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
-        F.coalesce("component", "rep").alias("component"))
+        "k1", "k2", "id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
+        F.coalesce("component", "rep").alias("part"))
     named = scratch.save(named, "components")
+    least_id = named.groupBy("part").agg(F.min("id").alias("component"))
+    named = scratch.save(named.drop("id").join(least_id, "part").drop("part"), "named")
     scratch.drop(members, labels, links, reps)
     linked = usable.select("id", "k1", "k2").join(named, ["k1", "k2"]).select("id", "links", "component")
-    alone = rows.where("v IS NULL").select("id", F.lit(0).cast("long").alias("links"), F.col("id").alias("component"))
+    bare = rows.where("v IS NULL").select("id")
+    others = linked.join(bare.distinct(), "id", "left_semi").groupBy(F.col("id").alias("_id")).agg(
+        F.min("component").alias("_other"))  # vectors without links, in the component of their id's other rows
+    alone = bare.join(others, F.col("id") == F.col("_id"), "left").select(
+        "id", F.lit(0).cast("long").alias("links"), F.coalesce("_other", "id").alias("component"))
     return linked.unionByName(alone)
 
 

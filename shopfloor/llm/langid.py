@@ -1,16 +1,17 @@
 """Operator 8: language identification, known words first, then backoff to character n-grams.
 
-The model is fitted on a bounded sample of labelled texts (``FIT_ROWS`` rows in
-a hash order): counts of words per language and counts of character n-grams
-of those words.  A word of the model scores by its log frequency in each
+The model is fitted on a bounded sample of the labelled texts of each language
+(``FIT_ROWS`` different texts in a hash order, ``FIT_BYTES`` bytes): counts of words per
+language and counts of character n-grams of those words.  All bounds are a language's
+own, so a rare language is learned from what it has.  A word of the model scores by its log frequency in each
 language.  Any other word backs off: its longest n-grams score where the model
 knows them, and a place whose n-gram is unknown falls back to the next
 shorter one, each step at a penalty that is the same for all languages.  The
 text's score is the softmax of the summed, length-damped evidence.
 
 Scoring runs in tasks on whole texts, vectorised over code points.  The model
-is bounded by its parameters (``MAX_WORDS``, ``MAX_GRAMS``) and travels with the
-task closure.
+is bounded by its parameters (``MAX_WORDS``, ``MAX_GRAMS`` of each language) and travels
+with the task closure.
 """
 
 from __future__ import annotations
@@ -24,15 +25,16 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shopfloor.llm.common import CHUNK_BYTES, table, uniform, whole_texts
 from shopfloor.llm.wordhash import U, mix
 
-FIT_ROWS = 4000
-MAX_WORDS = 60_000  # kept by count over all languages
-MAX_GRAMS = 200_000
+FIT_ROWS = 1000  # different texts of a language
+FIT_BYTES = 4 << 20  # and their UTF-8 bytes together
+MAX_WORDS = 20_000  # of a language, kept by count
+MAX_GRAMS = 60_000
 SIZES = (5, 4, 3, 2, 1)
 UNDETERMINED = "und"
 LONG = 64  # longer runs of letters are hashed one by one
@@ -107,10 +109,7 @@ def padded(points: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.n
 
 
 def _log_table(counts: dict[str, Counter], langs: list[str], most: int) -> tuple[np.ndarray, np.ndarray]:
-    total = Counter()
-    for c in counts.values():
-        total.update(c)
-    kept = [k for k, _ in sorted(total.items(), key=lambda kv: (-kv[1], kv[0]))[:most]]
+    kept = {k for c in counts.values() for k, _ in sorted(c.items(), key=lambda kv: (-kv[1], kv[0]))[:most]}
     keys = np.array(sorted(kept), U)
     rows = np.array([[counts[g].get(int(k), 0) for g in langs] for k in keys], np.float64).reshape(len(keys), len(langs))
     sums = np.array([max(sum(counts[g].values()), 1) for g in langs], np.float64)
@@ -205,18 +204,24 @@ def _scorer(model: Model):
 
 
 def train(docs: DataFrame, fold, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          fit_rows: int = FIT_ROWS) -> Model:
-    """Fit on at most ``fit_rows`` labelled rows of the fold, the first in a hash order of the ids.
+          fit_rows: int = FIT_ROWS, fit_bytes: int = FIT_BYTES) -> Model:
+    """Fit on at most ``fit_rows`` different labelled texts of the fold a language, the first in a hash order.
 
-    A count over id and language narrows the hash range first, so that tasks
-    send little more than the sample.
+    Of these, the first whose bytes together stay within ``fit_bytes`` are learned
+    whole; a longer text is passed over, never cut.  Copies count once, null texts
+    not at all.  ``id_col`` is not read: the order is of the texts.  Counts a language
+    narrow the hash range first, so that tasks send little more than the sample.
     """
-    labelled = docs.where(fold & F.col(lang_col).isNotNull())
-    share = 1.5 * fit_rows / max(labelled.count(), 1)
-    rows = (labelled.where((uniform(F.col(id_col)) < share) & F.col(text_col).isNotNull())
-            .select(F.col(text_col).alias("t"), F.col(lang_col).alias("g"), uniform(F.col(id_col)).alias("h"))
-            .orderBy("h", "t", "g").limit(fit_rows).select("t", "g").collect())
-    return fit([(r[0], r[1]) for r in rows])
+    text = F.col(text_col).cast("string")
+    rows = docs.where(fold & F.col(lang_col).isNotNull() & text.isNotNull()).select(
+        F.col(lang_col).cast("string").alias("g"), text.alias("t"), F.xxhash64(text, F.lit(8)).alias("h"))
+    count = rows.groupBy(F.col("g").alias("_g")).agg(F.count("*").alias("n"))  # a row a language
+    near = rows.join(count, F.col("g") == F.col("_g")).where(uniform("h") * F.col("n") < 3.0 * fit_rows)
+    found = near.groupBy("g", "h").agg(F.first("t").alias("t")).withColumn("b", F.octet_length("t")).where(F.col("b") <= fit_bytes)
+    order = Window.partitionBy("g").orderBy(uniform("h"), "h")
+    found = found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= fit_rows)
+    found = found.withColumn("sum", F.sum("b").over(order)).where(F.col("sum") <= fit_bytes)
+    return fit([(r["t"], r["g"]) for r in found.select("t", "g", "h").orderBy("g", "h").collect()])
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -224,7 +229,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
     Null texts and texts without a letter, and all texts under a model without
     languages, are ``und`` with score 0.  Null and repeated ids are scored row
-    by row; other columns are not read.
+    by row; other columns are not read.  An empty table gives an empty result.
     """
     return whole_texts(docs, id_col, text_col).mapInArrow(
         _scorer(model), f"id {docs.schema[id_col].dataType.simpleString()}, lang_pred string, score double")

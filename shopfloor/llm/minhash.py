@@ -22,8 +22,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm.buckets import bucket_components, bucket_members
-from shopfloor.llm.common import Scratch, table, text_chunks, whole_texts
+from shopfloor.llm.buckets import bucket_components, bucket_members, one_node
+from shopfloor.llm.common import Scratch, arrow_batches, table, text_chunks
+from shopfloor.llm.places import Places
 from shopfloor.llm.wordhash import U, mix, shingles
 
 SHINGLE = 5
@@ -77,8 +78,8 @@ def _sketch(size: int, bands: int, rows: int):
             lists = pa.ListArray.from_arrays(
                 pa.array(np.concatenate([[0], np.cumsum(some) * bands]), pa.int32()), pa.array(key[some].ravel()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(count.astype(np.int64)), pa.array(keys[0].view(np.int64)),
-                 pa.array(keys[1].view(np.int64)), lists], names=["id", "n", "k1", "k2", "bands"])
+                [*batch.drop_columns(["text"]).columns, pa.array(count.astype(np.int64)), pa.array(keys[0].view(np.int64)),
+                 pa.array(keys[1].view(np.int64)), lists], names=["id", "file", "row", "n", "k1", "k2", "bands"])
     return run
 
 
@@ -92,31 +93,44 @@ def _sets(size: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                    similarity: int = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``(id, n, component)`` for every row of ``docs``.
+def near_duplicate_rows(places: Places, id_col: Column, text_col: Column, shingle: int = SHINGLE,
+                        similarity: int = SIMILARITY, bands: int = BANDS, rows: int = ROWS,
+                        merge_ids: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``(id, file, row, node, n, k1, k2)`` of every row, and ``(k1, k2, id, node)``: each linked set's first row.
 
-    * Null, empty or wordless texts have ``n`` = 0 and are linked with nothing.
-    * A text with fewer than ``shingle`` words has one shingle, its whole word sequence.
-    * Rows that repeat an id stay separate rows of one node: links of any of them count for it.
-    * Rows with a null id are returned with a null component and link nothing.
-    * Other columns are ignored, whatever their names; an empty table gives an empty result.
+    Every row is a document of its own, numbered by ``node``.  A set is named by
+    the row of its component that is first by ``(id, node)``; the ids are of any
+    type that has an order.  With ``merge_ids`` rows with one id belong together.
+    Rows with a null id or without words have no set.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "minhash")
-    texts = whole_texts(docs, id_col, text_col).withColumn("id", F.col("id").cast("long"))
-    sketch = scratch.save(texts.mapInArrow(_sketch(shingle, bands, rows),
-                                           "id long, n long, k1 long, k2 long, bands array<long>"), "sketch")
+    scratch = places.scratch
+    texts = places.narrow(id_col.alias("id"), text_col.cast("string").alias("text")).select("id", "file", "row", "text")
+    kind = texts.schema["id"].dataType.simpleString()
+    with arrow_batches(scratch.spark):
+        sketch = scratch.save(texts.mapInArrow(_sketch(shingle, bands, rows), (
+            f"id {kind}, file string, row long, n long, k1 long, k2 long, bands array<long>"))
+            .withColumn("node", F.monotonically_increasing_id()), "sketch")
     linkable = sketch.where("n > 0 AND id IS NOT NULL")
-    # One class per distinct set, named by its smallest id.
-    classes = scratch.save(linkable.groupBy("k1", "k2", "n").agg(F.min("id").alias("rep")), "classes")
-    reps = linkable.select("id", "k1", "k2", "n", "bands").join(
-        classes.select(F.col("rep").alias("id"), "k1", "k2"), ["id", "k1", "k2"]).dropDuplicates(["id", "k1", "k2"])
-    keyed = reps.select(F.col("id").alias("rep"), "n", F.explode("bands").alias("key"))
+    # One class per distinct set, named by its first row.
+    first = F.min(F.struct("id", "node")).alias("first")
+    classes = scratch.save(linkable.groupBy("k1", "k2", "n").agg(first).select(
+        "k1", "k2", "n", F.col("first.id").alias("id"), F.col("first.node").alias("node")), "classes")
+    reps = sketch.select("node", "n", "bands").join(classes.select("node"), "node", "left_semi")
+    keyed = scratch.save(reps.select(F.col("node").alias("rep"), "n", F.explode("bands").alias("key")), "keyed")
     members = bucket_members(scratch, keyed)
-    ids = members.select(F.col("rep").alias("id")).distinct()
-    full = scratch.save(texts.join(ids, "id").mapInArrow(_sets(shingle), "rep long, s array<long>")
-                        .where(F.size("s") > 0), "sets")
+    scratch.drop(keyed)
+    ids = scratch.save(members.select("rep").distinct(), "ids")
+    wanted = scratch.save(sketch.select("file", "row", F.col("node").alias("rep")).join(ids, "rep", "left_semi"), "wanted")
+    with arrow_batches(scratch.spark):
+        full = scratch.save(places.attach(wanted, text_col.cast("string").alias("text")).select("rep", "text")
+                            .mapInArrow(_sets(shingle), "rep long, s array<long>"), "sets")
+    scratch.drop(ids, wanted)
+    known = None
+    if merge_ids:
+        span = [F.min("k1").alias("a1"), F.max("k1").alias("z1"), F.min("k2").alias("a2"), F.max("k2").alias("z2")]
+        several = linkable.groupBy("id").agg(*span).where("a1 < z1 OR a2 < z2").select("id")
+        known = scratch.save(one_node(linkable.select("id", "k1", "k2").join(several, "id").join(
+            classes.select("k1", "k2", "node"), ["k1", "k2"]).select("id", "node")), "one_id")
 
     def compared(pairs: DataFrame) -> DataFrame:
         """Both set sizes together and the shingles in common of pairs (a, b)."""
@@ -142,39 +156,57 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         compared with all members; then two members can share at most the
         smaller part inside the hub plus the smaller shared part outside it.
         """
-        some = full.join(rest.select("rep").distinct(), "rep")
+        some = full.join(rest.select("rep").distinct(), "rep", "left_semi")
         lone = (some.select("rep", F.explode("s").alias("x")).groupBy("x")
                 .agg(F.count("*").alias("c"), F.min("rep").alias("rep")).where("c = 1")
                 .groupBy("rep").agg(F.count("*").alias("lone")))
-        many = some.groupBy("rep").agg((F.count("*") > 1).alias("many"))  # ids with several texts are never refused
-        known = scratch.save(many.join(lone, "rep", "left").select("rep", "many", F.coalesce("lone", F.lit(0)).alias("lone")),
-                             "lone")
-        members = scratch.save(rest.drop("c").join(known, "rep"), "members")
+        members = scratch.save(rest.drop("c").join(lone, "rep", "left").withColumn("lone", F.coalesce("lone", F.lit(0))), "members")
         hubs = members.groupBy("key").agg(F.min(F.struct((F.col("lone") / F.col("n")).alias("share"), "rep")).alias("h"))
         with_hub = scratch.save(members.join(hubs.select("key", F.col("h.rep").alias("hub")), "key"), "hubs")
         named = with_hub.withColumn("a", F.least("rep", "hub")).withColumn("b", F.greatest("rep", "hub"))
         counted = scratch.save(compared(named.where("a < b").select("a", "b").distinct()), "counted")
-        at_hub = counted.groupBy("a", "b").agg(F.max("both").alias("in_hub"))
-        out = named.join(at_hub, ["a", "b"], "left").withColumn("in_hub", F.coalesce("in_hub", "n"))
+        out = named.join(counted.select("a", "b", F.col("both").alias("in_hub")), ["a", "b"], "left").withColumn("in_hub", F.coalesce("in_hub", "n"))
 
         def possible() -> Column:
             most = F.least("in_hub", "x_in_hub") + F.least(
                 F.col("n") - F.col("lone") - F.col("in_hub"), F.col("x_n") - F.col("x_lone") - F.col("x_in_hub"))
-            return F.col("many") | F.col("x_many") | (sizes_fit() & similar(most, F.col("n") + F.col("x_n")))
+            return sizes_fit() & similar(most, F.col("n") + F.col("x_n"))
 
-        return (scratch.save(out.select("key", "rep", "size", "n", "lone", "many", "in_hub"), "members"),
-                ["n", "lone", "many", "in_hub"], possible,
+        return (scratch.save(out.select("key", "rep", "size", "n", "lone", "in_hub"), "members"),
+                ["n", "lone", "in_hub"], possible,
                 counted.where(similar(F.col("both"), F.col("sum"))).select("a", "b"))
 
-    labels = bucket_components(scratch, members, ["n"], sizes_fit, confirmed, refine)
-
-    named = (classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-             .select("k1", "k2", F.coalesce("component", "rep").alias("component")))
+    labels = bucket_components(scratch, members, ["n"], sizes_fit, confirmed, refine, known)
+    named = classes.join(labels.select(F.col("node"), "component"), "node", "left").select(
+        "k1", "k2", "id", "node", F.coalesce("component", "node").alias("component"))
     named = scratch.save(named, "components")
-    scratch.drop(full, members, classes, labels)
-    linked = linkable.select("id", "n", "k1", "k2").join(named, ["k1", "k2"]).select("id", "n", "component")
-    alone = sketch.where("n = 0 OR id IS NULL").select(
-        "id", "n", F.when(F.col("id").isNotNull(), F.col("id")).alias("component"))
+    least = named.groupBy("component").agg(F.min(F.struct("id", "node")).alias("first"))
+    found = scratch.save(named.select("k1", "k2", "component").join(least, "component").select(
+        "k1", "k2", F.col("first.id").alias("id"), F.col("first.node").alias("node")), "found")
+    scratch.drop(full, members, classes, labels, named)
+    return sketch.drop("bands"), found
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                    similarity: int = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``(id, n, component)`` for every row of ``docs``.
+
+    * Null, empty or wordless texts have ``n`` = 0 and are linked with nothing.
+    * A text with fewer than ``shingle`` words has one shingle, its whole word sequence.
+    * Rows that repeat an id are in one component, whatever their texts: links of any of them count for the id.
+    * Rows with a null id are returned with a null component and link nothing.
+    * Other columns are ignored, whatever their names; an empty table gives an empty result.
+    """
+    places = Places(Scratch(docs.sparkSession, "minhash"), docs.select(F.col(id_col).cast("long").alias("id"),
+                                                                       F.col(text_col).alias("text")))
+    every, found = near_duplicate_rows(places, F.col("id"), F.col("text"), shingle, similarity, bands, rows, merge_ids=True)
+    linked = every.where("n > 0 AND id IS NOT NULL").select("id", "n", "k1", "k2").join(
+        found.select("k1", "k2", F.col("id").alias("component")), ["k1", "k2"]).select("id", "n", "component")
+    # Rows without words belong to the component of their id's other rows, if there are any.
+    bare = every.where("n = 0 OR id IS NULL").select("id", "n")
+    others = linked.join(bare.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min("component").alias("_other")).withColumnRenamed("id", "_id")
+    alone = bare.join(others, F.col("id") == F.col("_id"), "left").select(
+        "id", "n", F.coalesce("_other", "id").alias("component"))
     return linked.unionByName(alone)
 
 

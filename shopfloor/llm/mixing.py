@@ -5,22 +5,22 @@ whose share is above their largest number of epochs are clamped there, and the
 rest of the budget is shared again by weight until none is above.  A source's
 target is then met by whole repetitions of all its documents and by a seeded
 sample for the fraction: documents in a hash order, until their words reach
-the rest.  The order is cut into hash slices, so no source, however hot, is sorted
-in one task: slice totals place each slice, and only a slice's rows are ordered.
+the rest.  The order is cut into range partitions of narrow rows, each place being
+unique, so no source and no repeated id, however hot, is sorted in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shopfloor.llm.common import WORD, Scratch, table
+from shopfloor.llm.common import WORD, Scratch, sums_before, table
+from shopfloor.llm.places import Places
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MAX_EPOCHS = 2
 SEED = "mix"
-SLICES = 4096
 
 
 def targets(scratch: Scratch, sized: DataFrame, weights=WEIGHTS, share=SHARE, max_epochs=MAX_EPOCHS) -> DataFrame:
@@ -47,6 +47,31 @@ def targets(scratch: Scratch, sized: DataFrame, weights=WEIGHTS, share=SHARE, ma
                                                 F.lit(float(max_epochs)) * F.col("source_size")))
 
 
+def sized(id_col: Column, text_col: Column, source_col: Column, seed: str = SEED) -> list[Column]:
+    """Columns ``id, source, size, draw`` of documents, for :func:`with_copies`."""
+    text_id = F.coalesce(id_col.cast("string"), F.lit(""))
+    draw = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), text_id)), 1, 15), 16, 10).cast("long")
+    words = F.regexp_count(F.coalesce(text_col.cast("string"), F.lit("")), F.lit(WORD)).cast("long")
+    return [id_col.alias("id"), source_col.cast("string").alias("source"), words.alias("size"), draw.alias("draw")]
+
+
+def with_copies(scratch: Scratch, rows: DataFrame, weights=WEIGHTS, share: float = SHARE,
+                max_epochs: int = MAX_EPOCHS) -> DataFrame:
+    """A written table of :func:`sized` columns (and any others) with ``source_size, target, copies``."""
+    aims = targets(scratch, rows, weights, share, max_epochs)
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
+    aims = scratch.save(aims.select(
+        F.coalesce("source", F.lit("")).alias("_s"), F.col("source").isNull().alias("_none"), "source_size", "target",
+        whole.cast("int").alias("_whole")).withColumn("_rest", F.col("target") - F.col("_whole") * F.col("source_size")),
+        "aims")
+    keyed = rows.withColumns({"_s": F.coalesce("source", F.lit("")), "_none": F.col("source").isNull()})
+    at = sums_before(scratch, keyed, ["_s", "_none"], [F.col("draw"), F.col("id"), F.col("size")], "size", "_at")
+    placed = at.join(aims, ["_s", "_none"])
+    copies = F.col("_whole") + F.when(2 * F.col("_at") + F.col("size") <= 2 * F.col("_rest"), 1).otherwise(0)
+    copies = F.when(F.col("_whole") >= max_epochs, F.lit(max_epochs)).otherwise(copies)
+    return placed.withColumn("copies", copies.cast("int")).drop("_s", "_none", "_whole", "_rest", "_at")
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights=WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """``id, source, size, source_size, target, copies, taken`` for every row of ``docs``.
@@ -58,35 +83,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     the document that brings the source nearest its target.  Other columns are
     not read; an empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "mix")
-    text_id = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    draw = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), text_id)), 1, 15), 16, 10).cast("long")
-    words = F.regexp_count(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(WORD)).cast("long")
-    sized = scratch.save(docs.select(
-        F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), words.alias("size"),
-        draw.alias("draw")), "sizes")
-    aims = targets(scratch, sized, weights, share, max_epochs)
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    aims = aims.select(
-        F.coalesce("source", F.lit("")).alias("s"), F.col("source").isNull().alias("s_null"), "source_size", "target",
-        whole.cast("int").alias("whole")).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
-    keyed = sized.select("id", "size", "draw", F.coalesce("source", F.lit("")).alias("s"),
-                         F.col("source").isNull().alias("s_null"),
-                         F.floor(F.col("draw") / F.lit((1 << 60) // SLICES)).cast("int").alias("slice"))
-    before = Window.partitionBy("s", "s_null").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    slices = (keyed.groupBy("s", "s_null", "slice").agg(F.sum("size").alias("words"))
-              .withColumn("start", F.coalesce(F.sum("words").over(before), F.lit(0))).drop("words")
-              .join(aims, ["s", "s_null"]))
-    slices = scratch.save(slices, "slices")
-    inside = Window.partitionBy("s", "s_null", "slice").orderBy("draw", "id", "size")
-    placed = keyed.join(slices, ["s", "s_null", "slice"]).withColumn(
-        "at", F.col("start") + F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-    copies = F.col("whole") + F.when(2 * F.col("at") + F.col("size") <= 2 * F.col("rest"), 1).otherwise(0)
-    copies = F.when(F.col("whole") >= max_epochs, F.lit(max_epochs)).otherwise(copies)
-    return placed.select("id", F.when(~F.col("s_null"), F.col("s")).alias("source"), "size", "source_size", "target",
-                         copies.cast("int").alias("copies"),
-                         (copies * F.col("size")).cast("long").alias("taken"))
+    scratch = Scratch(docs.sparkSession, "mix")
+    rows = scratch.save(docs.select(*sized(F.col(id_col), F.col(text_col), F.col(source_col), seed)), "sizes")
+    return with_copies(scratch, rows, weights, share, max_epochs).select(
+        "id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+
+
+def mixed_rows(places: Places, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows themselves, all columns, each as often as the mix holds it."""
+    scratch = places.scratch
+    rows = scratch.save(places.narrow(*sized(F.col(id_col), F.col(text_col), F.col(source_col))), "sizes")
+    out = places.repeat(with_copies(scratch, rows).select("file", "row", F.col("copies").alias("times")), MAX_EPOCHS)
+    scratch.clear(places.needed)
+    return out
 
 
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -126,15 +126,14 @@ def resample(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_co
     draw = F.conv(F.substring(F.sha2(name, 256), 1, 8), 16, 10).cast("long")
     noise = F.floor(F.lit(-1000.0) * F.log(-F.log((draw + F.lit(0.5)) / F.lit(4294967296.0)))).cast("long")
     with arrow_batches(spark):
-        rows = scratch.save(weighed.withColumn("score", F.col("weight") + noise)
-                            .withColumn("key", F.monotonically_increasing_id()), "weights")
+        rows = scratch.save(weighed.withColumn("score", F.col("weight") + noise), "weights")
     able = rows.where(F.col("n_words") >= least_words)
     drawn = able.count() * percent // 100
-    order = [F.col("score").desc(), F.col("id").asc_nulls_last(), F.col("key").asc()]
+    order = [F.col("score").desc(), F.col("id").asc_nulls_last(), F.col("n_features").asc()]
     ranked = sorted_rank(scratch, able, order, "rank").withColumn(
         "rank", F.when(F.col("rank") < drawn, F.col("rank") + 1))
     others = rows.where(F.col("n_words") < least_words).withColumn("rank", F.lit(None).cast("long"))
-    return ranked.unionByName(others).drop("key")
+    return ranked.unionByName(others)
 
 
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:

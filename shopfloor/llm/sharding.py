@@ -19,15 +19,14 @@ slice are ordered together.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm.common import Scratch, gapless_rank, table, uniform
+from shopfloor.llm.common import Scratch, gapless_rank, sums_before, table, uniform
 
 SHARDS = 8
 LUMP = 0.02  # groups above this share of a shard are placed before the others
 KEY = ["id", "size", "text_crc32"]
-SLICES = 4096
 
 
 def place_large(large: list[tuple[str, int, int]], shards: int, capacity: float) -> tuple[list[tuple], list[float]]:
@@ -108,23 +107,16 @@ def propagate(scratch: Scratch, held: DataFrame, room: list[float]) -> DataFrame
 
 def fill(scratch: Scratch, alone: DataFrame, room: list[float], key: list[str]) -> DataFrame:
     """Give rows ``(*key, size)`` a ``shard`` so that shards receive bytes in proportion to ``room``."""
-    keyed = alone.withColumn("draw", uniform(*key)).withColumn(
-        "slice", F.floor(F.col("draw") * SLICES).cast("int"))
-    before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)  # at most SLICES rows
-    starts = keyed.groupBy("slice").agg(F.sum("size").alias("b")).withColumn(
-        "start", F.coalesce(F.sum("b").over(before), F.lit(0)))
-    starts = scratch.save(starts, "starts")
-    total = starts.agg(F.sum("b")).first()[0] or 0
-    inside = Window.partitionBy("slice").orderBy("draw", *key)
-    place = (F.col("start") + F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-             - F.col("size") / F.lit(2.0))
+    keyed = scratch.save(alone.withColumn("draw", uniform(*key)), "alone")
+    total = keyed.agg(F.sum("size")).first()[0] or 0
+    placed = sums_before(scratch, keyed, [], [F.col(c) for c in ("draw", *key)], "size", "before")
+    place = F.col("before") + F.col("size") / F.lit(2.0)
     open_ = sum(room) or 1.0
     shard, edge = F.lit(len(room) - 1), total
     for s in range(len(room) - 1, 0, -1):
         edge -= total * room[s] / open_
         shard = F.when(place < edge, F.lit(s - 1)).otherwise(shard)  # the lowest edge ends up tested first
-    return keyed.join(starts.select("slice", "start"), "slice").withColumn("shard", shard.cast("int")).select(
-        *alone.columns, "shard")
+    return placed.withColumn("shard", shard.cast("int")).select(*alone.columns, "shard")
 
 
 def start_shard(room: list[float]) -> Column:

@@ -104,3 +104,23 @@ def test_block_counts_equal_one_block(spark, monkeypatch):
     vectors = [(k, centre + 0.2 * rng.normal(size=8)) for k in range(90)]
     monkeypatch.setattr(embedding, "BLOCK", 16)
     check(spark, vectors)
+
+
+def test_rows_of_one_id_and_many_stripes(spark, monkeypatch):
+    """Different vectors under one id are one component; counts are exact however a component is cut."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(3, 16))
+    rows = [(100 + i, (base[i % 3] + 0.12 * rng.normal(size=16)).tolist()) for i in range(90)]
+    rows += [(7, rows[0][1]), (7, rows[1][1]), (7, rows[1][1]), (8, None), (150, None), (9, (-base[0]).tolist())]
+    monkeypatch.setattr(embedding, "STRIPE_BYTES", 8 * 16 * 10)
+    monkeypatch.setattr(embedding, "BLOCK", 4)
+    df = spark.createDataFrame(rows_of(rows), SCHEMA).repartition(3)
+    out = embedding.near_vectors(df).collect()
+    good = [(i, np.array(v, np.float32).astype(float)) for i, v in rows if v is not None]
+    edges = [(i, j) for a, (i, x) in enumerate(good) for j, y in good[a + 1:]
+             if x @ y / np.sqrt((x @ x) * (y @ y)) >= 0.9]
+    links = [sum(x @ y / np.sqrt((x @ x) * (y @ y)) >= 0.9 for _, y in good) - 1 for _, x in good]
+    comp = components({i for i, _ in rows}, edges)
+    assert comp[100] == comp[101] == comp[7] == 7
+    want = sorted([(i, n, comp[i]) for (i, _), n in zip(good, links)] + [(8, 0, 8), (150, 0, comp[150])])
+    assert sorted((r["id"], r["links"], r["component"]) for r in out) == want

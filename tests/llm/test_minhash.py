@@ -4,7 +4,7 @@ import itertools
 
 import numpy as np
 
-from helpers import awkward, awkward_rows, components, empty, shingle_set
+from helpers import awkward, awkward_rows, components, empty, prose, shingle_set
 from shopfloor.llm import minhash
 from shopfloor.llm.common import Scratch
 from shopfloor.llm.graph import connected_components
@@ -96,3 +96,16 @@ def test_components_of_a_long_path_and_a_hub(spark):
     df = spark.createDataFrame(edges, "a long, b long")
     out = {r["node"]: r["component"] for r in connected_components(Scratch(spark, "t"), df).collect()}
     assert out == {i: 200 for i in range(200, 301)} | {i: 7 for i in range(7, 60)}
+
+
+def test_rows_of_one_id_with_different_texts_are_one_component(spark):
+    a, b, c = (prose(60 + i, 40) for i in range(3))
+    rows = [(3, a), (5, a), (5, b), (9, b + " end"), (7, c), (7, ""), (11, c), (11, a + " x"), (12, None), (12, " "),
+            (13, prose(90, 30)), (13, prose(91, 30)), (14, prose(91, 30)), (2, prose(92, 30)), (2, prose(93, 30)),
+            (None, a), (None, b)]
+    out = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    sets = [(i, shingle_set(t)) for i, t in rows if i is not None]
+    links = [(i, j) for (i, x), (j, y) in itertools.combinations(sets, 2) if x and y and 100 * len(x & y) >= 75 * len(x | y)]
+    comp = components({i for i, _ in sets}, links)
+    assert len(out) == len(rows) and comp[9] == 3 and comp[11] == 3
+    assert all(r["component"] == (None if r["id"] is None else comp[r["id"]]) for r in out)

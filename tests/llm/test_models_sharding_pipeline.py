@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import math
 import os
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -9,6 +11,8 @@ import pytest
 
 import corpus_pipeline
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
+
 from helpers import SCHEMA, awkward, awkward_rows, empty, prose
 from shopfloor.llm import classifier, langid, registry, sharding
 from shopfloor.llm.common import Scratch, gapless_rank
@@ -32,6 +36,66 @@ def test_language_known_words_and_backoff():
     assert np.allclose(alone, p)
 
 
+def plain_scores(rows, texts):
+    """The definition with dictionaries: words, else the longest known n-gram at every place of the word."""
+    def words(text):
+        kept = "".join(c if unicodedata.category(c)[0] in "LM" else " " for c in text.lower())
+        return kept.split()
+
+    langs = sorted({g for _, g in rows})
+    word = {g: Counter(w for t, h in rows if h == g for w in words(t)) for g in langs}
+    gram = {n: {g: Counter(p[i:i + n] for t, h in rows if h == g for w in words(t) for p in [f"^{w}^"]
+                           for i in range(len(p) - n + 1)) for g in langs} for n in (5, 4, 3, 2, 1)}
+
+    def logs(counts, key):
+        keys = len(set().union(*counts.values()))
+        return [math.log((counts[g][key] + 0.5) / (sum(counts[g].values()) + 0.5 * keys)) for g in langs]
+
+    out = []
+    for text in texts:
+        found = words(text)
+        evidence = np.zeros(len(langs))
+        for w in found:
+            if any(word[g][w] for g in langs):
+                evidence += logs(word, w)
+                continue
+            p, backed = f"^{w}^", np.zeros(len(langs))
+            for i in range(len(p)):
+                for n in (5, 4, 3, 2, 1):
+                    if i + n <= len(p) and any(gram[n][g][p[i:i + n]] for g in langs):
+                        backed += logs(gram[n], p[i:i + n])
+                        break
+            evidence += 2 * backed / len(p)
+        odds = np.exp((evidence - evidence.max()) / math.sqrt(max(len(found), 1)))
+        out.append((int(odds.argmax()), odds.max() / odds.sum()))
+    return out
+
+
+def test_language_scores_match_brute_force():
+    rows = [(sentence(DE, i, 12), "de") for i in range(6)] + [(sentence(EN, i, 12), "en") for i in range(6)]
+    rows += [("le chat est là, l\u2019été", "fr")]
+    texts = ["Der hören über", "this house", "überhörenschön", "thathouse withthis chats", "x", "été 12 was-not!", "ÜBER\nand",
+             sentence(DE + " " + EN, 5, 400), "lä̀ chatte", "zzz qqq", "a" * 100]
+    best, p, _ = langid.score(langid.fit(rows), texts)
+    for (b, q), c, r in zip(plain_scores(rows, texts), best, p):
+        assert r == pytest.approx(q, rel=1e-3) and (b == c or r < 0.51)
+
+
+def test_a_rare_language_is_learned(spark):
+    """One row in 4,000, among many copies and null ids, with small bounds."""
+    rows = [(i if i % 3 else None, sentence(EN, i % 1500, 20), "en") for i in range(4000)]
+    rows += [(9001, sentence(DE, 1, 60), "de"), (9002, "x " * 5000, "de"), (9003, None, "de"), (9004, "y", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = langid.train(docs, F.lit(True), fit_rows=50, fit_bytes=6000)
+    assert model.langs == ["de", "en"]
+    best, p, _ = langid.score(model, ["die straße hören", "the house with"])
+    assert [model.langs[b] for b in best] == ["de", "en"]
+    again = langid.train(docs.repartition(2), F.lit(True), fit_rows=50, fit_bytes=6000)
+    assert (model.word_keys == again.word_keys).all() and (model.word_logs == again.word_logs).all()
+    small = langid.fit([(r[1], r[2]) for r in rows[:500] + rows[4000:4001]], max_words=3, max_grams=10)
+    assert len(small.word_keys) == 6  # three words of each language
+
+
 def test_language_of_awkward_rows(spark):
     model = langid.fit([(sentence(DE, 1, 50), "de"), (sentence(EN, 1, 50), "en")])
     out = langid.identify(awkward(spark), model).collect()
@@ -237,10 +301,42 @@ def test_near_duplicates_judges_rows_not_ids(spark):
         (3, a): 1, (5, b): 1, (7, c): 1, (7, d): 1, (8, None): 1, (8, ""): 1}
 
 
-def test_mixture_shares_copies_among_repeated_rows(spark):
-    docs = spark.createDataFrame([(1, "a b c", "en", "x", 1)] * 3 + [(2, "d e f g", "en", "x", 1)], SCHEMA)
-    out = corpus_pipeline.mixture(spark, docs, "").collect()
-    assert 16 <= len(out) * 3.25 <= 26  # one source takes 150 per cent of its words
+def test_mixture_takes_whole_rows_near_the_target(spark, tmp_path):
+    """Rows of one id with different texts, many null ids and one repeated row: exact totals, from files and from memory."""
+    rows = [(1, "a b c", "en", "x", 1)] * 3 + [(1, "d e f g h i j", "en", "x", 1), (2, "d e f g", "en", "x", 1)]
+    rows += [(None, f"w{i} " * (1 + i % 5), "en", "x", i) for i in range(100)] + [(None, "k l", "en", None, 1)] * 60
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    docs.write.parquet(str(tmp_path / "docs"))
+    words = {s: sum(len(r[1].split()) for r in rows if r[3] == s) for s in ("x", None)}
+    total = 1.5 * sum(words.values())
+    aims = {"x": min(2 * words["x"], total * 5 / 7), None: min(2 * words[None], total * 2 / 7)}
+    aims = {s: min(2 * words[s], total - aims[o] if aims[o] == 2 * words[o] else a) for (s, a), o in zip(aims.items(), (None, "x"))}
+    for given in (docs, spark.read.parquet(str(tmp_path / "docs"))):
+        out = corpus_pipeline.mixture(spark, given, "").collect()
+        taken = Counter(r["source"] for r in out for _ in r["text"].split())
+        assert all(abs(taken[s] - aims[s]) <= 3.5 for s in aims), (taken, aims)
+        times = Counter((r["doc_id"], r["text"], r["n_chars"]) for r in out)
+        assert all(n <= 2 * rows.count((*k[:2], "en", s, k[2])) for k, n in times.items()
+                   for s in ["x" if k[1] != "k l" else None])
+
+
+def test_places_come_from_files_without_a_copy(spark, tmp_path):
+    from shopfloor.llm.places import Places
+    df = spark.range(100_000).withColumn("file", F.lit("clash")).withColumn("_metadata", F.lit(1))
+    df.repartition(3).write.parquet(str(tmp_path / "t"))
+    read = spark.read.parquet(str(tmp_path / "t"))
+    for docs in (read, read.select("id", "file").where("id > 5")):
+        places = Places(Scratch(spark, "t"), docs)
+        assert not places.needed and places.docs is docs
+        wanted = places.narrow(F.col("id")).where("id % 3 = 0 OR id = 99999")
+        assert sorted(r["id"] for r in places.keep(wanted).collect()) == sorted(
+            r["id"] for r in docs.collect() if r["id"] % 3 == 0 or r["id"] == 99999)
+        assert {r["i"] - r["id"] for r in places.attach(wanted, F.col("id").alias("i")).collect()} == {0}
+        twice = places.repeat(places.narrow(F.col("id")).selectExpr("file", "row", "id % 3 AS times"), 2).groupBy("id").count()
+        assert {r["id"] % 3 - r["count"] for r in twice.collect()} == {0}
+    doubled = read.select("id", F.explode(F.array(F.lit(1), F.lit(2))).alias("x"))
+    assert Places(Scratch(spark, "t"), doubled).needed  # a place would name two rows
+    assert Places(Scratch(spark, "t"), spark.range(5)).needed
 
 
 @pytest.mark.skipif(not os.path.exists(SF_SMALL), reason="needs the test tables")
