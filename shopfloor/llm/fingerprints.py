@@ -2,7 +2,7 @@
 
 Every shingle of a text is hashed once; the hash names a bin and the smallest hash
 of each bin stays.  Empty bins copy from filled ones by optimal densification.
-Of each bin the lowest ``BITS`` bits are stored, packed and written in hex.  Two
+Of each bin the lowest ``BITS`` bits are stored, packed, and shown in hex.  Two
 unequal bins agree in these bits by chance once in ``2 ** BITS``, so the share of
 equal bins is corrected by that before it is a likeness.
 
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shopfloor.llm.common import Scratch, arrow_batches, table, text_chunks, whole_texts
@@ -32,26 +32,26 @@ BINS, BITS = 512, 4
 PART_BYTES = 32 << 20  # text of a range partition
 
 
-def pack(signature: np.ndarray, filled: np.ndarray, bits: int = BITS) -> list[str]:
-    """The low bits of each bin, most significant first, as hex; an empty string without shingles."""
+def pack(signature: np.ndarray, filled: np.ndarray, bits: int = BITS) -> list[bytes]:
+    """The low bits of each bin, most significant first; no bytes without shingles."""
     low = mix(signature) & U((1 << bits) - 1)
     spread = ((low[:, :, None] >> np.arange(bits - 1, -1, -1, dtype=U)) & U(1)).astype(np.uint8)
     packed = np.packbits(spread.reshape(len(low), -1), axis=1)
-    return [row.tobytes().hex() if some else "" for row, some in zip(packed, filled)]
+    return [row.tobytes() if some else b"" for row, some in zip(packed, filled)]
 
 
-def of_texts(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE, bins: int = BINS, bits: int = BITS) -> list[str]:
+def of_texts(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE, bins: int = BINS, bits: int = BITS) -> list[bytes]:
     n = len(offsets) - 1
     sets, doc = shingles(data, offsets, size)
     return pack(signatures(sets, doc, n, bins), np.bincount(doc, minlength=n) > 0, bits)
 
 
-def likeness(a: list[str], b: list[str], bins: int = BINS, bits: int = BITS) -> np.ndarray:
+def likeness(a: list[bytes], b: list[bytes], bins: int = BINS, bits: int = BITS) -> np.ndarray:
     """Estimated share of common shingles, 0 to 1; two texts without words are alike, one without is unlike any other."""
     out = np.array([float(x == y) for x, y in zip(a, b)])
     both = [i for i, (x, y) in enumerate(zip(a, b)) if x and y]
     if both:
-        x, y = (np.unpackbits(np.frombuffer(bytes.fromhex("".join(s[i] for i in both)), np.uint8)
+        x, y = (np.unpackbits(np.frombuffer(b"".join(s[i] for i in both), np.uint8)
                               .reshape(len(both), -1), axis=1)[:, :bins * bits] for s in (a, b))
         equal = (x == y).reshape(len(both), bins, bits).all(axis=2).mean(axis=1)
         chance = 0.5 ** bits
@@ -66,7 +66,7 @@ def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def _fingerprints(size: int, bins: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in text_chunks(batches, "text"):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(of_texts(data, offsets, size, bins, bits), pa.string())],
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(of_texts(data, offsets, size, bins, bits), pa.binary())],
                                              names=["id", "fingerprint"])
     return run
 
@@ -81,8 +81,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     columns are not read, an empty table gives an empty result.
     """
     texts = whole_texts(docs, id_col, text_col)
-    return texts.mapInArrow(_fingerprints(size, bins, bits),
-                            f"id {texts.schema['id'].dataType.simpleString()}, fingerprint string")
+    made = texts.mapInArrow(_fingerprints(size, bins, bits),
+                            f"id {texts.schema['id'].dataType.simpleString()}, fingerprint binary")
+    return made.select("id", in_hex("fingerprint"))
 
 
 def edited(text: str, successor: str) -> str:
@@ -91,7 +92,14 @@ def edited(text: str, successor: str) -> str:
     return text[:len(text) - cut] + successor[:cut]
 
 
-RESULT = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+# Bytes until the end: text in hex would take twice the room in the written rows.
+RESULT = "n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
+NAMES = ["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+IN_BYTES = NAMES[1:4]
+
+
+def in_hex(name: str) -> Column:
+    return F.lower(F.hex(name)).alias(name)
 
 
 class Judge:
@@ -101,15 +109,14 @@ class Judge:
         self.made = lambda data: of_texts(*_joined(data), size, bins, bits)
         self.alike = lambda a, b: likeness(a, b, bins, bits)
 
-    def columns(self, texts: list[str], successors: list[str], own: list[str], following: list[str]) -> list[pa.Array]:
+    def columns(self, texts: list[str], successors: list[str], own: list[bytes], following: list[bytes]) -> list[pa.Array]:
         changed = [edited(t, s).encode() for t, s in zip(texts, successors)]
         other = self.made(changed)
         return [pa.array([len(t) for t in texts], pa.int64()),
-                pa.array([hashlib.sha256(c).hexdigest() for c in changed], pa.string()), pa.array(own, pa.string()),
-                pa.array(other, pa.string()), pa.array(self.alike(own, other)), pa.array(self.alike(own, following))]
+                pa.array([hashlib.sha256(c).digest() for c in changed], pa.binary()), pa.array(own, pa.binary()),
+                pa.array(other, pa.binary()), pa.array(self.alike(own, other)), pa.array(self.alike(own, following))]
 
 
-NAMES = ["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 FIRST, LAST = 1, 2  # ends of a partition; a row can be both
 
 
@@ -122,7 +129,7 @@ def _chain(size: int, bins: int, bits: int):
         def ends(ids: pa.Array, number: int, end: int, text: str) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
                 [ids, pa.array([number], pa.int32()), pa.array([end], pa.int32()), pa.array([text], pa.string()),
-                 *[pa.nulls(1, pa.string() if "sha" in c or "finger" in c else pa.int64() if c == "n_chars" else pa.float64())
+                 *[pa.nulls(1, pa.binary() if c in IN_BYTES else pa.int64() if c == "n_chars" else pa.float64())
                    for c in NAMES]], names=["id", "part", "end", "text", *NAMES])
 
         for batch, data, offsets in text_chunks(batches, "text"):
@@ -164,7 +171,7 @@ def _close(size: int, bins: int, bits: int):
 
 def neighbour_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
                     bins: int = BINS, bits: int = BITS) -> DataFrame:
-    """``id`` and the columns of ``RESULT`` for every row.
+    """``id`` and the columns of ``RESULT``, bytes in lowercase hex, for every row.
 
     Successors follow in descending id, null ids last; the last row's is the
     first.  Rows with one id are ordered by a hash of their texts.  A null text
@@ -194,7 +201,8 @@ def neighbour_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         starts.withColumnRenamed("part", "_next"), "_next").select("id", "text", "successor")
     with arrow_batches(spark, 8):
         closed = scratch.save(waiting.mapInArrow(_close(size, bins, bits), f"id {kind}, {RESULT}"), "ends")
-    return rows.where(F.col("end") == 0).select("id", *NAMES).unionByName(closed)
+    every = rows.where(F.col("end") == 0).select("id", *NAMES).unionByName(closed)
+    return every.select("id", *[in_hex(c) if c in IN_BYTES else F.col(c) for c in NAMES])
 
 
 def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

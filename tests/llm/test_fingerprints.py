@@ -8,7 +8,13 @@ from helpers import SCHEMA, awkward, awkward_rows, empty, prose, shingle_set
 from pyspark.sql import functions as F
 
 from shopfloor.llm import fingerprints as fp
-from shopfloor.llm.wordhash import U, mix, shingles
+from shopfloor.llm.wordhash import shingles
+
+
+def mix(x: int) -> int:
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % (1 << 64)
+    x = (x ^ x >> 27) * 0x94D049BB133111EB % (1 << 64)
+    return x ^ x >> 31
 
 
 def plain(text: str, bins=fp.BINS, bits=fp.BITS) -> str:
@@ -26,9 +32,8 @@ def plain(text: str, bins=fp.BINS, bits=fp.BITS) -> str:
         attempt, donor = 0, at
         while donor not in kept:
             attempt += 1
-            walk = np.array([attempt * bins + at], U) * U(0x9E3779B97F4A7C15)
-            donor = int(mix(walk)[0]) % bins
-        out.append(int(mix(np.array([kept[donor]], U))[0]) % (1 << bits))
+            donor = mix((attempt * bins + at) * 0x9E3779B97F4A7C15 % (1 << 64)) % bins
+        out.append(mix(kept[donor]) % (1 << bits))
     return f"{sum(v << bits * (bins - 1 - i) for i, v in enumerate(out)):0{bins * bits // 4}x}"
 
 
