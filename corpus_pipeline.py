@@ -8,24 +8,33 @@ stages the rows are written as Parquet in the shared folder and read again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopfloor.llm import langid, minhash, mixing, packing, quality_rules
-from shopfloor.llm.common import Scratch, table
+from shopfloor.llm.common import Scratch, scratch_removed, table
+from shopfloor.llm.places import Places
 
 #: Texts whose best language is less likely than this are rejected (four languages start at 0.25).
 LEAST_LANGUAGE = 0.4
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects null texts, texts without a letter, and texts of no clear language."""
+    """Rejects null and empty texts, texts without a letter, and texts of no clear language.
+
+    Ids may be null or repeated; each row is judged by its text alone.  Without
+    labelled rows nothing is learned and every text is rejected; an empty table stays empty.
+    """
     model = langid.train(docs, langid.remainder("doc_id", 4) != 2)
     return langid.keep_identified(docs, model, least=LEAST_LANGUAGE)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects what the base test or any rule of the cascade refuses; rows are judged one by one."""
+    """Rejects what the base test or any rule of the cascade refuses; rows are judged one by one.
+
+    A null or empty text has no words and is rejected; ids may be null or
+    repeated; an empty table stays empty.
+    """
     whole = docs.select(F.struct(*docs.columns).alias("row"), "text")
     return quality_rules.judge(whole, "row", "text").where("kept").select("id.*")
 
@@ -33,39 +42,37 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group stays: the one with the smallest id (no id comes last), among its rows by a hash.
 
-    Every row is a document with a key of its own, whatever its id.  Texts
-    without words belong to no group and stay.
+    Every row is a document of its own, whatever its id, which may be null or
+    repeated.  Null, empty and wordless texts belong to no group and stay.  An
+    empty table stays empty.  Texts are read in place and never copied or shuffled
+    to decide which rows stay.
     """
-    scratch = Scratch(spark, "near")
-    # The keys are numbers of written rows: unique, and read back by all that follows.
-    rows = scratch.save(docs.withColumn("_key", F.monotonically_increasing_id()), "rows")
-    found = minhash.near_duplicates(rows.select("_key", "text"), id_col="_key")
+    places = Places(Scratch(spark, "near"), docs)
     others = [F.col(c) for c, kind in docs.dtypes if c != "doc_id" and "map<" not in kind]
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*others), "_key")
-    first = rows.select("_key", order.alias("_order")).join(
-        found.select(F.col("id").alias("_key"), "component"), "_key").groupBy("component").agg(
-        F.min("_order").getField("_key").alias("_key"))
-    return rows.join(scratch.save(first.select("_key"), "kept"), "_key", "left_semi").select(*docs.columns)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64(*others).alias("hash"))
+    every, found = minhash.near_duplicate_rows(places, order, F.col("text"))
+    first = every.join(found.select("node").distinct(), "node", "left_semi")
+    kept = places.keep(first.unionByName(every.where("n = 0")).select("file", "row"))
+    places.scratch.clear(places.needed)
+    return kept
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix holds it; copies of one id and source share their number evenly."""
-    def keyed(df: DataFrame, id_col: str) -> DataFrame:
-        return df.withColumns({"_i": F.coalesce(F.col(id_col).cast("string"), F.lit("")),
-                               "_j": F.col(id_col).isNull(), "_s": F.coalesce("source", F.lit("")),
-                               "_t": F.col("source").isNull()})
-
-    key = ["_i", "_j", "_s", "_t"]
-    mixed = keyed(mixing.mix(docs), "id").groupBy(*key).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    rows = keyed(docs, "doc_id").join(mixed.where("_copies > 0"), key)
-    place = F.row_number().over(Window.partitionBy(*key).orderBy("text", "lang"))
-    each = F.floor(F.col("_copies") / F.col("_rows")) + F.when(
-        place <= F.col("_copies") % F.col("_rows"), 1).otherwise(0)
-    times = rows.withColumn("_times", each.cast("int")).where("_times > 0")
-    return times.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), F.col("_times"))).alias("_n")).select(*docs.columns)
+    """Every row as often as the mix holds it (0, 1 or 2 times); rows that repeat an id are documents of their own.
+
+    A null source is a source, a null id is hashed as an empty one, a null text
+    has no words.  An empty table stays empty.
+    """
+    return mixing.mixed_rows(Places(Scratch(spark, "mixture"), docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a document, as operator 7 packs them.
+
+    Every row is packed on its own: a repeated id gives each row its pieces, a
+    null id is kept, a null or empty text is the end id alone.  Other columns are
+    not read; an empty table has no pieces.
+    """
     return packing.pack(docs).withColumnRenamed("id", "doc_id")
 
 
@@ -85,7 +92,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "pipeline")
     docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        made = scratch.save(stage(spark, docs, sf_dir), name)
+        with scratch_removed():  # what the stage wrote for itself goes with its end
+            made = scratch.save(stage(spark, docs, sf_dir), name)
         scratch.drop(last)
         docs = last = made
     return STAGES[-1][1](spark, docs, sf_dir)
