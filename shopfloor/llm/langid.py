@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shopfloor.llm.common import CHUNK_BYTES, table, uniform, whole_texts
+from shopfloor.llm.common import CHUNK_BYTES, Scratch, table, uniform, whole_texts
 from shopfloor.llm.wordhash import U, mix
 
 FIT_ROWS = 1000  # different texts of a language
@@ -215,13 +215,18 @@ def train(docs: DataFrame, fold, id_col: str = "doc_id", text_col: str = "text",
     text = F.col(text_col).cast("string")
     rows = docs.where(fold & F.col(lang_col).isNotNull() & text.isNotNull()).select(
         F.col(lang_col).cast("string").alias("g"), text.alias("t"), F.xxhash64(text, F.lit(8)).alias("h"))
-    count = rows.groupBy(F.col("g").alias("_g")).agg(F.count("*").alias("n"))  # a row a language
-    near = rows.join(count, F.col("g") == F.col("_g")).where(uniform("h") * F.col("n") < 3.0 * fit_rows)
-    found = near.groupBy("g", "h").agg(F.first("t").alias("t")).withColumn("b", F.octet_length("t")).where(F.col("b") <= fit_bytes)
+    # Narrow rows choose the sample; small written tables let the planner see their size, so no text is shuffled for it.
+    scratch = Scratch(docs.sparkSession, "languages")
+    narrow = rows.select("g", "h", F.octet_length("t").alias("b"))
+    count = scratch.save(narrow.groupBy("g").agg(F.count("*").alias("n")), "counts")
+    near = narrow.join(count, "g").where((uniform("h") * F.col("n") < 3.0 * fit_rows) & (F.col("b") <= fit_bytes))
     order = Window.partitionBy("g").orderBy(uniform("h"), "h")
-    found = found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= fit_rows)
-    found = found.withColumn("sum", F.sum("b").over(order)).where(F.col("sum") <= fit_bytes)
-    return fit([(r["t"], r["g"]) for r in found.select("t", "g", "h").orderBy("g", "h").collect()])
+    first = near.select("g", "h", "b").distinct().withColumn("place", F.row_number().over(order)).where(F.col("place") <= fit_rows)
+    first = first.withColumn("sum", F.sum("b").over(order)).where(F.col("sum") <= fit_bytes)
+    first = scratch.save(first.select("g", "h"), "sample")
+    found = rows.join(first, ["g", "h"]).groupBy("g", "h").agg(F.first("t").alias("t")).orderBy("g", "h").collect()
+    scratch.clear([])
+    return fit([(r["t"], r["g"]) for r in found])
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
