@@ -58,8 +58,13 @@ def dedup_quality(raw: DataFrame) -> DataFrame:
 
 
 def clean_production(raw: DataFrame) -> DataFrame:
+    return parse_production(dedup_production(raw))
+
+
+def parse_production(records: DataFrame) -> DataFrame:
+    """Unique records → dates parsed, quantities not below zero."""
     return (
-        dedup_production(raw)
+        records
         .withColumn("production_date", parse_date(F.col("production_date")))
         .withColumn("planned_qty", clamp_negative(F.col("planned_qty")))
         .withColumn("actual_qty", clamp_negative(F.col("actual_qty")))
@@ -73,8 +78,12 @@ def planned_flag(col) -> "F.Column":
 
 
 def clean_downtime(raw: DataFrame) -> DataFrame:
+    return parse_downtime(dedup_downtime(raw))
+
+
+def parse_downtime(records: DataFrame) -> DataFrame:
     return (
-        dedup_downtime(raw)
+        records
         .withColumn("production_date", parse_date(F.col("production_date")))
         .withColumn("is_planned_flag", planned_flag(F.col("is_planned")))
         .withColumn("downtime_minutes", clamp_negative(F.col("downtime_minutes")).cast("double"))
@@ -82,10 +91,14 @@ def clean_downtime(raw: DataFrame) -> DataFrame:
 
 
 def clean_quality(raw: DataFrame) -> DataFrame:
+    return parse_quality(dedup_quality(raw))
+
+
+def parse_quality(records: DataFrame) -> DataFrame:
     # least() skips NULL: a NULL defect count becomes the inspected count;
     # negative defect counts are left as they are.
     return (
-        dedup_quality(raw)
+        records
         .withColumn("production_date", parse_date(F.col("production_date")))
         .withColumn("defect_qty", F.least(F.col("defect_qty"), F.col("inspected_qty")))
     )

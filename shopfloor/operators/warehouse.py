@@ -77,9 +77,10 @@ def upsert_dim_machine(stage: DataFrame, target: DataFrame | None = None, load_t
     start = _next_key(target, "machine_key")
     target = target if target is not None else empty(spark, "dim_machine")
     now = _now(load_ts)
+    location = F.col("plant_location") if "plant_location" in stage.columns else F.lit(None).cast("string")
     staged = stage.select(
         "machine_id", "machine_name", "machine_type", "is_active", "line_id", "line_name",
-        "plant_id", "plant_name", F.lit(None).cast("string").alias("plant_location"),
+        "plant_id", "plant_name", location.alias("plant_location"),
     )
     ids = staged.select("machine_id")
     kept = target.join(ids, "machine_id", "left_anti")

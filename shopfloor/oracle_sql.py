@@ -762,6 +762,15 @@ def statements() -> dict[str, str]:
         "load_two_dim_product": TWO_DIM_PRODUCT,
         "load_two_dim_date": WH_DIM_DATE,
         "load_two_fact": TWO_FACT,
+        # Two batches with late, corrected and repeated records give what one run over all of them gives.
+        "lake_update_fact": FACT_PRODUCTION,
+        "catalog_vw_daily_oee": VW_DAILY_OEE,
+        "catalog_vw_monthly_summary": VW_MONTHLY_SUMMARY,
+        "catalog_vw_downtime_pareto": VW_DOWNTIME_PARETO,
+        "catalog_vw_shift_performance": VW_SHIFT_PERFORMANCE,
+        "lake_update_dims": WRITTEN_DIMS,
+        "lake_update_load": f"SELECT count(*) FILTER (reject_reason IS NULL) AS loaded, "
+                            f"count(*) FILTER (reject_reason IS NOT NULL) AS rejected FROM ({RESOLVED_FACT}) r",
         "load_two_verification": TWO_VERIFICATION,
         "catalog_schema_drift": DRIFTED_RUNS,
         "vw_daily_oee": VW_DAILY_OEE,

@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from shopfloor.operators import aggregate, clean, dims, fact, quality
+from shopfloor.plans import lake as published
 from shopfloor.sources import raw as raw_sources
 from shopfloor.sources import sinks
 
@@ -41,19 +42,7 @@ class Lake:
     fact_quality: DataFrame | None
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """A Parquet copy in the cluster's shared folder: it cuts the lineage, and readers take only the columns they use."""
-    spark = df.sparkSession
-    path = sinks.scratch_folder(spark, "stage")
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._stage_path = path
-    return out
-
-
-def discard(df: DataFrame) -> None:
-    """Remove the copy behind a materialised table."""
-    sinks.drop_folder(df.sparkSession, df._stage_path)
+materialize, discard = sinks.stage, sinks.discard
 
 
 def build_fact(raw: dict[str, DataFrame]) -> DataFrame:
@@ -85,9 +74,9 @@ def build_lake(
     return Lake(fact_df, dims.all_dims(fact_df), raw_results, fact_results)
 
 
-def write_lake(lake: Lake, processed_base: str, incremental: bool = False) -> int:
+def write_lake(lake: Lake, processed_base: str) -> int:
     base = processed_base.rstrip("/")
-    rows = sinks.write_fact(lake.fact, f"{base}/fact_production", incremental=incremental)
+    rows = sinks.write_fact(lake.fact, f"{base}/fact_production")
     sinks.write_dims(lake.dims, base)
     return rows
 
@@ -101,10 +90,25 @@ def run(
     enforce: str = "default",
     incremental: bool = False,
 ) -> dict:
-    """The whole job; returns the fact row count and the quality results."""
+    """The whole job; returns the number of facts written and the quality results.
+
+    ``incremental=True`` brings the published zone under ``processed_base`` up to
+    date with the records of ``raw_base`` (see :mod:`shopfloor.plans.lake`); the first
+    such run makes it.  Otherwise plain folders are written and replaced.
+    """
     raw = raw_sources.read_raw_zone(spark, raw_base, fmt)
+    if incremental:
+        if not published.manifest.manifests(spark, processed_base) and sinks.exists(spark, f"{processed_base}/fact_production"):
+            raise ValueError(f"{processed_base} holds plain folders without the raw records that a batch is merged with")
+        raw_results = quality.run_suites(raw, config)
+        raw_results = spark.createDataFrame(raw_results.collect(), raw_results.schema)  # a row per check
+        quality.enforce(raw_results, gate=None if enforce == "strict" else set())
+        gate = {"strict": None, "off": set()}.get(enforce, DEFAULT_GATE)
+        made = published.update(spark, raw, processed_base, config, gate)
+        return {"fact_rows": made["fact_rows"], "raw_quality": raw_results, "fact_quality": made["fact_quality"]}
     lake = build_lake(raw, config, enforce)
-    rows = write_lake(lake, processed_base, incremental)
-    fact_results = lake.fact_quality.sparkSession.createDataFrame(lake.fact_quality.collect(), lake.fact_quality.schema)
+    rows = write_lake(lake, processed_base)
+    checks = {name: spark.createDataFrame(df.collect(), df.schema)  # a row per check; no later reader scans again
+              for name, df in (("raw_quality", lake.raw_quality), ("fact_quality", lake.fact_quality))}
     discard(lake.fact)
-    return {"fact_rows": rows, "raw_quality": lake.raw_quality, "fact_quality": fact_results}
+    return {"fact_rows": rows, **checks}

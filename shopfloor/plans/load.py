@@ -1,11 +1,8 @@
 """Warehouse load: processed zone → star schema snapshots.
 
-Data folders are immutable.  A load writes every new folder first and then one
-manifest that lists the folders of all tables; the newest complete manifest is
-the warehouse.  Nothing is ever overwritten: a crash at any point leaves the
-previous manifest in force, and readers see all tables of one load or all of
-another, never a mix.  A missing manifest folder means a new warehouse; an
-unreadable or incomplete manifest is an error and never an empty warehouse.
+Data folders are immutable and published by manifest (:mod:`shopfloor.sources.manifest`):
+a crash at any point leaves the previous load in force, and readers see all tables
+of one load or all of another, never a mix.
 
 The fact is kept by month.  A load rewrites only the months that its rows change
 and carries the folders of all other months over.  Rows that cannot be loaded
@@ -27,13 +24,12 @@ from shopfloor import schemas
 from shopfloor.operators import layout
 from shopfloor.operators import warehouse as wh
 from shopfloor.operators.joins import rebalanced
-from shopfloor.sources import sinks
+from shopfloor.plans import lake
+from shopfloor.sources import manifest, sinks
 
 DIMS = ["dim_date", "dim_machine", "dim_shift", "dim_product"]
 TABLES = [*DIMS, "fact_production"]
 FACT, REJECTS = "fact_production", "rejects"
-MANIFESTS = "_manifests"
-MANIFEST_SCHEMA = "table string, part string, path string"
 REJECTS_SCHEMA = ("load_id string, production_id string, machine_id string, shift_id string, product_id string, "
                   "production_date date, reject_reason string")
 
@@ -84,50 +80,21 @@ def load(
 # ── manifests ────────────────────────────────────────────────────────────────
 
 
-def _list(spark: SparkSession, path: str) -> list[str] | None:
-    """Names in a folder, or None if there is no such folder; any other problem is raised."""
-    if not sinks.exists(spark, path):
-        return None
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    return sorted(f.getPath().getName() for f in fs.listStatus(target))
-
-
 def manifests(spark: SparkSession, base: str) -> list[str]:
-    """Complete manifests, oldest first."""
-    folder = f"{base.rstrip('/')}/{MANIFESTS}"
-    return [f"{folder}/{name}" for name in _list(spark, folder) or []
-            if "_SUCCESS" in (_list(spark, f"{folder}/{name}") or [])]
+    return manifest.manifests(spark, base)
 
 
 def read_manifest(spark: SparkSession, base: str) -> list[tuple] | None:
-    """Rows of the newest manifest, or None for a new warehouse."""
-    found = manifests(spark, base)
-    if not found:
-        return None
-    rows = [tuple(r) for r in spark.read.schema(MANIFEST_SCHEMA).json(found[-1]).collect()]
-    missing = set(DIMS) - {r[0] for r in rows}
-    if missing:
-        raise RuntimeError(f"manifest {found[-1]} does not list {sorted(missing)}")
-    gone = [path for _, _, path in rows if not sinks.exists(spark, path)]
-    if gone:
-        raise RuntimeError(f"manifest {found[-1]} lists folders that do not exist: {gone[:5]}")
-    return rows
+    return manifest.read_rows(spark, base, DIMS)
 
 
 def write_manifest(spark: SparkSession, base: str, rows: list[tuple]) -> str:
-    """Publish the rows as the newest manifest (a new folder, complete once it holds _SUCCESS)."""
-    last = [int(name.split("-")[0]) for name in _list(spark, f"{base.rstrip('/')}/{MANIFESTS}") or []]
-    path = f"{base.rstrip('/')}/{MANIFESTS}/{max(last, default=0) + 1:012d}-{uuid.uuid4().hex[:8]}"
-    spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("errorifexists").json(path)
-    return path
+    return manifest.write_rows(spark, base, rows)
 
 
 def read_table(spark: SparkSession, rows: list[tuple], table: str, parts: set[str] | None = None) -> DataFrame:
     """One table of a manifest; ``parts`` restricts a fact to those months."""
-    schema = schemas.WAREHOUSE_SCHEMAS.get(table, REJECTS_SCHEMA)
-    paths = [p for t, part, p in rows if t == table and (parts is None or part in parts)]
-    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+    return manifest.read_part(spark, rows, table, schemas.WAREHOUSE_SCHEMAS.get(table, REJECTS_SCHEMA), parts)
 
 
 def read_current(spark: SparkSession, base: str) -> dict[str, DataFrame] | None:
@@ -141,17 +108,12 @@ def read_rejects(spark: SparkSession, base: str) -> DataFrame:
 
 
 def write_dim(df: DataFrame, base: str, table: str, load_id: str) -> tuple:
-    path = f"{base.rstrip('/')}/{table}/v-{load_id}"
-    rebalanced(df).write.mode("errorifexists").parquet(path)
-    return (table, None, path)
+    return manifest.write_whole(df, base, table, load_id)
 
 
 def write_fact(df: DataFrame, base: str, load_id: str, sort: bool = True) -> list[tuple]:
     """Write fact rows into one new folder per month; returns their manifest rows."""
-    spark, path = df.sparkSession, f"{base.rstrip('/')}/{FACT}/v-{load_id}"
-    out = layout.sorted_fact(df) if sort else layout.with_month(df)
-    out.write.mode("errorifexists").partitionBy("month_key").parquet(path)
-    return [(FACT, name.split("=")[1], f"{path}/{name}") for name in _list(spark, path) or [] if name.startswith("month_key=")]
+    return manifest.write_months(layout.sorted_fact(df) if sort else layout.with_month(df), base, FACT, load_id)
 
 
 def publish(spark: SparkSession, base: str, tables: dict[str, DataFrame], sort: bool = True) -> list[tuple]:
@@ -164,6 +126,43 @@ def publish(spark: SparkSession, base: str, tables: dict[str, DataFrame], sort:
     return rows
 
 
+#: Columns that a load takes from the processed zone for each dimension; any other is not of its files.
+STAGED = {
+    "dim_date": ["date_key", "year", "quarter", "month", "month_name", "week", "day_of_week", "day_name", "is_weekend"],
+    "dim_machine": ["machine_id", "machine_name", "machine_type", "is_active", "line_id", "line_name", "plant_id",
+                    "plant_name", "plant_location"],
+    "dim_shift": ["shift_id", "shift_name", "shift_start", "shift_hours"],
+    "dim_product": ["product_id", "product_name", "product_family", "unit_of_measure"],
+}
+
+
+def stage_dim(files: DataFrame, name: str) -> DataFrame:
+    """A dimension's columns by name in the warehouse's types; an absent column has its declared default, else NULL."""
+    defaults = schemas.COLUMN_DEFAULTS.get(name, {})
+    schema = schemas.WAREHOUSE_SCHEMAS[name]
+
+    def column(c: str) -> Column:
+        value = F.col(c) if c in files.columns else F.expr(defaults.get(c, "NULL"))
+        return value.cast(schema[c].dataType).alias(c)
+
+    return files.select(*[column(c) for c in STAGED[name]])
+
+
+def read_lake(spark: SparkSession, base: str, start: str | None = None,
+              end: str | None = None) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Facts dated within [start, end] and staged dimensions, of a published lake or of plain folders."""
+    rows = lake.read_manifest(spark, base)
+    if rows is None:
+        facts = sinks.read_fact(spark, f"{base}/{FACT}", start, end)
+        files = {n: spark.read.parquet(f"{base}/{n}") for n in DIMS}
+    else:
+        facts = lake.read_rows(spark, rows, FACT, lake.months_within(rows, start, end))
+        facts = facts.where(F.lit(True) if start is None else F.col("production_date") >= F.lit(start).cast("date"))
+        facts = facts.where(F.lit(True) if end is None else F.col("production_date") <= F.lit(end).cast("date"))
+        files = {n: lake.read_rows(spark, rows, n) for n in DIMS}
+    return facts, {n: stage_dim(files[n], n) for n in DIMS}
+
+
 def run(spark: SparkSession, processed_base: str, warehouse_base: str, start: str | None = None,
         end: str | None = None, load_ts: Column | None = None) -> dict:
     """Load the processed zone, or its runs dated within [start, end], into the warehouse.
@@ -173,16 +172,15 @@ def run(spark: SparkSession, processed_base: str, warehouse_base: str, start: st
     a staged run, are read and rewritten.
     """
     base, load_id = processed_base.rstrip("/"), uuid.uuid4().hex[:12]
-    staged = sinks.read_fact(spark, f"{base}/{FACT}", start, end)
-    lake = {n: stage_from_parquet(spark, f"{base}/{n}", spark.read.parquet(f"{base}/{n}").schema) for n in DIMS}
+    staged, stage = read_lake(spark, base, start, end)
     before = read_manifest(spark, warehouse_base) or []
     old = {t: read_table(spark, before, t) for t in TABLES} if before else {}
     new = [
-        write_dim(wh.insert_dim_date(lake["dim_date"], old.get("dim_date")), warehouse_base, "dim_date", load_id),
-        write_dim(wh.upsert_dim_machine(lake["dim_machine"], old.get("dim_machine"), load_ts), warehouse_base,
+        write_dim(wh.insert_dim_date(stage["dim_date"], old.get("dim_date")), warehouse_base, "dim_date", load_id),
+        write_dim(wh.upsert_dim_machine(stage["dim_machine"], old.get("dim_machine"), load_ts), warehouse_base,
                   "dim_machine", load_id),
         write_dim(wh.seed_dim_shift(spark, old.get("dim_shift")), warehouse_base, "dim_shift", load_id),
-        write_dim(wh.insert_dim_product(lake["dim_product"], old.get("dim_product")), warehouse_base, "dim_product",
+        write_dim(wh.insert_dim_product(stage["dim_product"], old.get("dim_product")), warehouse_base, "dim_product",
                   load_id),
     ]
     dims = {t: read_table(spark, new, t) for t in DIMS}
@@ -220,17 +218,4 @@ def reclaim(spark: SparkSession, warehouse_base: str, keep: int = 2) -> list[str
 
     Run it when no reader still uses an older manifest and no load is under way.
     """
-    base, found = warehouse_base.rstrip("/"), manifests(spark, warehouse_base)
-    used = {r["path"] for m in found[-keep:] for r in spark.read.schema(MANIFEST_SCHEMA).json(m).collect()}
-    dropped = list(found[:-keep])
-    for table in [*TABLES, REJECTS]:
-        for version in _list(spark, f"{base}/{table}") or []:
-            path = f"{base}/{table}/{version}"
-            if path in used:
-                continue
-            months = [f"{path}/{m}" for m in _list(spark, path) if m.startswith("month_key=")]
-            unused = [m for m in months if m not in used]
-            dropped += unused if len(unused) < len(months) else [path]
-    for path in dropped:
-        sinks.drop_folder(spark, path)
-    return dropped
+    return manifest.reclaim(spark, warehouse_base, [*TABLES, REJECTS], keep)

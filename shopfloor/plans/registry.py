@@ -7,6 +7,7 @@ through the raw-table mapping, so its work grows with the data.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from shopfloor.operators import quality as _dq
 from shopfloor.operators import views as _views
 from shopfloor.operators import warehouse as _wh
 from shopfloor.plans import etl as _etl
+from shopfloor.plans import lake as _lake
 from shopfloor.plans import load as _load
 from shopfloor.sources import catalog as _catalog
 from shopfloor.sources import raw as _raw
@@ -338,18 +340,63 @@ def q_fact_rowcount(spark, sf_dir):
 def q_sink_dims(spark, sf_dir):
     base = _sinks.scratch_folder(spark, "sink-dims")
     _sinks.write_dims(lake_dims(spark, sf_dir), base)
+    return _members_as_text({n: spark.read.parquet(f"{base}/{n}") for n in _lake.DIMS})
 
-    def members(name: str) -> DataFrame:
-        """Whole rows as text, columns by name, so that the four tables fit one result."""
-        df = spark.read.parquet(f"{base}/{name}")
+
+def _members_as_text(tables: dict[str, DataFrame]) -> DataFrame:
+    """Whole rows as text, columns by name, so that the four tables fit one result."""
+    def members(name: str, df: DataFrame) -> DataFrame:
         text = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in sorted(df.columns)]
         return df.select(F.lit(name).alias("table_name"), F.concat_ws("|", *text).alias("member"))
 
-    parts = [members(n) for n in ["dim_machine", "dim_shift", "dim_product", "dim_date"]]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, [members(n, df) for n, df in tables.items()])
+
+
+# ── a published lake, kept up to date by two batches ─────────────────────────
+# All raw records, by hashes of their ids.  The first batch lacks three tenths of
+# the runs and four of the downtime and inspections, which arrive late, and has a
+# tenth of the records in versions that the second batch corrects (other days,
+# machines, quantities).  The second batch also sends a tenth again unchanged.
+
+
+def _tenth(key: str):
+    return F.pmod(F.crc32(F.col(key).cast("binary")), F.lit(10))
+
+
+def two_batches(spark, sf_dir) -> list[dict[str, DataFrame]]:
+    first, second = {}, {}
+    late = {"production": 7, "downtime": 6, "quality": 6}
+    for name, df in raw(spark, sf_dir).items():
+        key = _schemas.RAW_KEYS[name]
+        stale = df.where(_tenth(key) == 0).withColumn("production_date", F.lit("1997-03-14"))
+        stale = stale.withColumn("machine_id", F.concat("machine_id", F.lit("-old")))
+        first[name] = df.where((_tenth(key) >= 1) & (_tenth(key) < late[name])).unionByName(stale)
+        second[name] = df.where((_tenth(key) <= 1) | (_tenth(key) >= late[name]))
+    return [first, second]
+
+
+def updated_lake(spark, sf_dir) -> str:
+    base = _sinks.scratch_folder(spark, "lake")
+    for batch in two_batches(spark, sf_dir):
+        _lake.update(spark, batch, base)
+    return base
+
+
+def q_lake_update_fact(spark, sf_dir):
+    return _lake.read(spark, updated_lake(spark, sf_dir), "fact_production").select(*_schemas.FACT_COLUMNS)
+
+
+def q_lake_update_dims(spark, sf_dir):
+    base = updated_lake(spark, sf_dir)
+    return _members_as_text({n: _lake.read(spark, base, n) for n in _lake.DIMS})
+
+
+def q_lake_update_load(spark, sf_dir):
+    """Rows loaded and rejected when a new warehouse takes the twice updated zone."""
+    base, wh = updated_lake(spark, sf_dir), _sinks.scratch_folder(spark, "lake-wh")
+    out = _load.run(spark, base, wh)
+    loaded = _load.read_current(spark, wh)["fact_production"]
+    return loaded.agg(F.count("*").alias("loaded"), F.lit(out["rejected"]).cast("long").alias("rejected"))
 
 
 def q_load_copy_parquet(spark, sf_dir):
@@ -399,6 +446,30 @@ def q_catalog_column_defaults(spark, sf_dir):
     return spark.table(f"{db}.dim_product")
 
 
+def published_view(spark, sf_dir, name: str) -> DataFrame:
+    """A permanent view over catalog tables that follow the manifest, queried in SQL by another session."""
+    base, db = _sinks.scratch_folder(spark, "published"), _fresh_db("shopfloor_published")
+    _load.publish(spark, base, warehouse(spark, sf_dir))
+    _catalog.publish_warehouse(spark, db, base)
+    return spark.newSession().sql(f"SELECT * FROM {db}.{name}")
+
+
+def q_catalog_vw_daily_oee(spark, sf_dir):
+    return published_view(spark, sf_dir, "vw_daily_oee")
+
+
+def q_catalog_vw_monthly_summary(spark, sf_dir):
+    return published_view(spark, sf_dir, "vw_monthly_summary")
+
+
+def q_catalog_vw_downtime_pareto(spark, sf_dir):
+    return published_view(spark, sf_dir, "vw_downtime_pareto")
+
+
+def q_catalog_vw_shift_performance(spark, sf_dir):
+    return published_view(spark, sf_dir, "vw_shift_performance")
+
+
 def q_catalog_schema_drift(spark, sf_dir):
     """All raw runs read through a table whose later files have one column more than it was registered with."""
     path = f"{_sinks.scratch_folder(spark, 'drift')}/production"
@@ -527,6 +598,13 @@ def queries() -> dict[str, Query]:
         "load_two_dim_product": q_load_two_dim_product,
         "load_two_dim_date": q_load_two_dim_date,
         "load_two_fact": q_load_two_fact,
+        "catalog_vw_daily_oee": q_catalog_vw_daily_oee,
+        "catalog_vw_monthly_summary": q_catalog_vw_monthly_summary,
+        "catalog_vw_downtime_pareto": q_catalog_vw_downtime_pareto,
+        "catalog_vw_shift_performance": q_catalog_vw_shift_performance,
+        "lake_update_fact": q_lake_update_fact,
+        "lake_update_dims": q_lake_update_dims,
+        "lake_update_load": q_lake_update_load,
         "load_two_verification": q_load_two_verification,
         "vw_daily_oee": q_vw_daily_oee,
         "vw_monthly_summary": q_vw_monthly_summary,

@@ -87,6 +87,15 @@ FACT_COLUMNS = [
 LAKE_FACT = ", ".join(f"{c} {kind}" for c, kind in zip(FACT_COLUMNS, [
     *["string"] * 6, "date", *["int"] * 5, *["double"] * 5, *["bigint"] * 3, *["double"] * 5]))
 
+LAKE_DIMS = {
+    "dim_machine": "machine_id string, line_id string, plant_id string, machine_name string, line_name string, "
+                   "plant_name string, machine_type string, is_active boolean",
+    "dim_shift": "shift_id string, shift_name string, shift_start string, shift_hours int",
+    "dim_product": "product_id string, product_name string, product_family string, unit_of_measure string",
+    "dim_date": "date_key date, year int, quarter int, month int, month_name string, week int, day_of_week int, "
+                "day_name string, is_weekend boolean",
+}
+
 # ── warehouse (star schema) ──────────────────────────────────────────────────
 MINUTES = DecimalType(10, 2)
 PERCENT = DecimalType(6, 2)

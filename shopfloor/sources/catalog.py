@@ -7,7 +7,9 @@
 * warehouse star schema ``CREATE TABLE IF NOT EXISTS … USING parquet``, plus
   staging tables created ``LIKE`` their targets;
 * schema drift: compare a table's current schema with what the files hold now
-  — added columns are applied, removed / retyped columns are only reported.
+  — added columns are applied, removed / retyped columns are only reported;
+* the published warehouse: external tables whose locations follow the newest
+  manifest, and the four views as permanent SQL views.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from shopfloor import schemas
+from shopfloor.sources import manifest, sinks, sql_views
 
 RAW_PREFIX = "raw_"
 PROCESSED_PREFIX = "processed_"
@@ -121,3 +124,58 @@ def update_from_files(spark: SparkSession, table: str, path: str) -> DataFrame:
     apply_drift(spark, table, drift)
     spark.catalog.refreshTable(table)
     return drift
+
+
+# ── the published warehouse as catalog tables ────────────────────────────────
+
+PARTITIONS_AT_ONCE = 500  # in one ALTER TABLE
+PUBLISHED = "shopfloor.manifest"  # table property: the manifest that the partitions follow
+
+
+def publish_warehouse(spark: SparkSession, database: str, base: str) -> list[str]:
+    """Let catalog tables and permanent views follow the newest manifest of a warehouse; returns their names.
+
+    They point at the manifest's folders and own no data: the dimensions are views
+    of theirs, the fact is an external table whose partitions are months; of these
+    only the ones whose folder changed since the last publication are touched.  Any session of the catalog
+    can then query the tables and ``vw_*`` views in SQL, after each load anew.
+    """
+    ensure_database(spark, database)
+    newest = manifest.manifests(spark, base)[-1]
+    rows = [tuple(r) for r in spark.read.schema(manifest.MANIFEST_SCHEMA).json(newest).collect()]
+    names = []
+    for name, schema in schemas.WAREHOUSE_SCHEMAS.items():
+        table = f"{database}.{name}"
+        if name == "fact_production":
+            _publish_fact(spark, table, schema, base, newest, {part: path for t, part, path in rows if t == name})
+        else:
+            # A view, as other sessions keep a table's old location in their cache but resolve views each time.
+            (path,) = (p for t, _, p in rows if t == name)
+            columns = ", ".join(f.name for f in schema.fields)
+            spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {columns} FROM parquet.`{path}`")
+        names.append(table)
+    for name, text in sql_views.VIEWS.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {text(database)}")
+        names.append(f"{database}.{name}")
+    return names
+
+
+def _publish_fact(spark: SparkSession, table: str, schema: StructType, base: str, newest: str, months: dict[str, str]) -> None:
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({_ddl(schema, nullable=True)}, {manifest.MONTH} int) USING parquet "
+              f"PARTITIONED BY ({manifest.MONTH}) LOCATION '{base.rstrip('/')}/fact_production'")
+    shown = {r[0].split("=")[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}  # a row per month
+    properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    last, old = properties.get(PUBLISHED), {}
+    if last and sinks.exists(spark, last):
+        old = {r["part"]: r["path"] for r in spark.read.schema(manifest.MANIFEST_SCHEMA).json(last)
+               .where("table = 'fact_production'").collect()}
+    gone = sorted(m for m in shown if old.get(m) is None or old[m] != months.get(m))
+    new = sorted(m for m in months if m not in shown or m in gone)
+    for at in range(0, len(gone), PARTITIONS_AT_ONCE):
+        parts = ", ".join(f"PARTITION ({manifest.MONTH} = {m})" for m in gone[at:at + PARTITIONS_AT_ONCE])
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
+    for at in range(0, len(new), PARTITIONS_AT_ONCE):
+        parts = " ".join(f"PARTITION ({manifest.MONTH} = {m}) LOCATION '{months[m]}'" for m in new[at:at + PARTITIONS_AT_ONCE])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{PUBLISHED}' = '{newest}')")
+    spark.catalog.refreshTable(table)

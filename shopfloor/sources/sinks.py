@@ -43,54 +43,20 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def merge_months(spark: SparkSession, batch: DataFrame, path: str) -> tuple[DataFrame, list[str]]:
-    """The batch plus all rows kept of the (year, month) partitions that it changes.
-
-    Those are the months of its rows and the months that hold an older version
-    of one of its ids (a corrected date moves a run).  Rows of the batch replace
-    rows with their production_id; every other row of a changed month stays.
-    The result is written to the shared folder first: the months are read
-    before any of them is replaced.  Also returned are the folders of months
-    that all rows leave, to be dropped after the write.
-    """
-    old = spark.read.schema(batch.schema).parquet(path)
-    ids = batch.select("production_id").where("production_id IS NOT NULL")
-    months = batch.select("year", "month").union(old.join(ids, "production_id", "left_semi").select("year", "month"))
-    changed = [(r["year"], r["month"]) for r in months.distinct().collect()]  # a row per calendar month
-    here = F.lit(False)
-    for year, month in changed:
-        here = here | (F.col("year").eqNullSafe(F.lit(year)) & F.col("month").eqNullSafe(F.lit(month)))
-    merged = old.where(here).join(ids, "production_id", "left_anti").unionByName(batch)
-    staged = scratch_folder(spark, "merged-months")
-    merged.write.parquet(staged)
-    emptied = [m for m in changed if not spark.read.parquet(staged).where(
-        F.col("year").eqNullSafe(F.lit(m[0])) & F.col("month").eqNullSafe(F.lit(m[1]))).limit(1).count()]
-    folder = lambda v: "__HIVE_DEFAULT_PARTITION__" if v is None else v
-    return spark.read.schema(batch.schema).parquet(staged), [
-        f"{path.rstrip('/')}/year={folder(y)}/month={folder(m)}" for y, m in emptied]
-
-
 def drop_folder(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def write_fact(fact: DataFrame, path: str, incremental: bool = False) -> int:
-    """Write the lake fact partitioned by year/month; returns the number of rows written (observed).
+def write_fact(fact: DataFrame, path: str) -> int:
+    """Write the lake fact partitioned by year/month, replacing the folder; returns the number of rows written (observed).
 
-    ``incremental=True`` merges ``fact`` into the (year, month) partitions that
-    it changes (see :func:`merge_months`) and leaves all others alone;
-    otherwise the whole folder is replaced.  Rows with a NULL date land in the
-    default partition.
+    Rows with a NULL date land in the default partition.  Batches are merged
+    into a published zone by ``plans.lake``, never into a folder that readers use.
     """
-    spark, emptied = fact.sparkSession, []
-    if incremental and exists(spark, path):
-        fact, emptied = merge_months(spark, fact, path)
     obs = Observation("fact_rows")
     observed = cluster_fact(fact).observe(obs, F.count(F.lit(1)).alias("rows"))
-    write_parquet(observed, path, FACT_PARTITIONS, dynamic=incremental)
-    for folder in emptied:  # a dynamic overwrite leaves months without rows as they were
-        drop_folder(spark, folder)
+    write_parquet(observed, path, FACT_PARTITIONS)
     return int(obs.get["rows"])
 
 
@@ -123,3 +89,19 @@ def read_fact(spark: SparkSession, path: str, start: str | None = None, end: str
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared checkpoint directory."""
     return scratch_path(spark, f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """A Parquet copy in the cluster's shared folder: it cuts the lineage, and readers take only the columns they use."""
+    spark = df.sparkSession
+    path = scratch_folder(spark, "stage")
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stage_path = path
+    return out
+
+
+def discard(*staged: DataFrame) -> None:
+    """Remove the copies behind staged tables."""
+    for df in staged:
+        drop_folder(df.sparkSession, df._stage_path)
