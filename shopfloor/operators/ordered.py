@@ -16,11 +16,12 @@ No step holds more than one range partition in a task, whatever the table size.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from shopfloor.session import checkpoint_dir
+from shopfloor.session import scratch_path
 
 ROW_INDEX_BITS = 33  # monotonically_increasing_id = partition_id << 33 | row index
 
@@ -41,19 +42,21 @@ def _partitions(num_partitions: int | None, rows: int) -> int:
 def sorted_checkpoint(df: DataFrame, order: list[Column], num_partitions: int | None = None) -> DataFrame:
     """Range-partitioned, sorted and materialised copy of ``df`` (stable partition ids).
 
-    Range partitioning samples its input in a separate job before the
-    shuffle; the input is cached for the duration so its lineage runs once
-    (a lost cached block is recomputed from the deterministic lineage).  The
-    partition count follows the row count (see :func:`_partitions`).
+    The rows are written once to the shared folder first: counting them, the
+    range sampling and the shuffle read these files, not the lineage, and no
+    executor's disk holds the only copy.  The partition count follows the row
+    count (see :func:`_partitions`).
     """
-    checkpoint_dir(df.sparkSession)
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        # Counting fills the cache that the range sampling and the shuffle read.
-        n = _partitions(num_partitions, src.count())
-        return src.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
-    finally:
-        src.unpersist()
+    spark = df.sparkSession
+    path = scratch_path(spark, f"ordered-{uuid.uuid4().hex[:12]}")
+    rows = Observation()
+    df.observe(rows, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    src = spark.read.schema(df.schema).parquet(path)
+    out = src.repartitionByRange(_partitions(num_partitions, rows.get["n"]), *order).sortWithinPartitions(*order)
+    out = out.checkpoint(eager=True)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return out
 
 
 def _offsets(totals: DataFrame, value: str) -> DataFrame:

@@ -9,7 +9,8 @@ and carries the folders of all other months over.  Rows that cannot be loaded
 are published with the load's id.
 
 Manifest rows: ``(table, part, path)``; ``part`` is the month (yyyymm) of a fact
-folder, the load id of a rejects folder, and null for a dimension.
+folder, the load id of a rejects folder, and null for a dimension; one row without
+a path holds the largest surrogate key of the fact.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from shopfloor.sources import manifest, sinks
 DIMS = ["dim_date", "dim_machine", "dim_shift", "dim_product"]
 TABLES = [*DIMS, "fact_production"]
 FACT, REJECTS = "fact_production", "rejects"
+LARGEST_KEY = "largest_production_sk"  # manifest row; its part is the key, so that a load need not look for it
 REJECTS_SCHEMA = ("load_id string, production_id string, machine_id string, shift_id string, product_id string, "
                   "production_date date, reject_reason string")
 
@@ -192,9 +194,12 @@ def run(spark: SparkSession, processed_base: str, warehouse_base: str, start: st
         dates = dates.union(old[FACT].join(ids, "production_id", "left_semi").select("date_key"))
     touched = {r["m"] for r in dates.select(month).distinct().collect() if r["m"]}  # a row per calendar month
     part = read_table(spark, before, FACT, touched) if old else None
-    key = wh._next_key(old.get(FACT), "production_sk")
+    known = [int(part) for t, part, _ in before if t == LARGEST_KEY]
+    key = max(known) if known else wh._next_key(old.get(FACT), "production_sk")
     facts = wh.upsert_fact(resolved, staged, part, load_ts, start=key)
-    new += write_fact(facts, warehouse_base, load_id)
+    written = write_fact(facts, warehouse_base, load_id)
+    largest = wh._next_key(read_table(spark, written, FACT), "production_sk") if written else 0
+    new += [*written, (LARGEST_KEY, str(max(key, largest)), None)]
     rejects = wh.fact_rejects(resolved).select(F.lit(load_id).alias("load_id"), "*")
     rejects_path = f"{warehouse_base.rstrip('/')}/{REJECTS}/v-{load_id}"
     rebalanced(rejects).write.mode("errorifexists").parquet(rejects_path)

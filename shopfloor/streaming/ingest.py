@@ -24,6 +24,7 @@ from shopfloor import schemas
 
 PARTITION_COLUMN = "ingest_month"
 UNDATED = "undated"  # folder of rows whose date text is no date
+SPLITS_TOGETHER = 16  # input splits whose rows of one month meet in one task
 
 
 def raw_stream(spark: SparkSession, path: str, table: str, fmt: str = "csv",
@@ -39,9 +40,15 @@ def raw_stream(spark: SparkSession, path: str, table: str, fmt: str = "csv",
 
 
 def by_month(stream: DataFrame) -> DataFrame:
-    """Adds the month folder of each row; a month's rows of one trigger meet before the write, so files stay few."""
+    """Adds the month folder of each row; a month's rows of a few input splits meet before the write, so files stay few.
+
+    A month, or the undated rows, of a large trigger go to as many tasks as the
+    trigger has groups of splits, so no task grows with the trigger.
+    """
     month = F.date_format(F.try_to_timestamp("production_date", F.lit("yyyy-MM-dd")), "yyyy-MM")
-    return stream.withColumn(PARTITION_COLUMN, F.coalesce(month, F.lit(UNDATED))).repartition(PARTITION_COLUMN)
+    group = F.floor(F.spark_partition_id() / F.lit(SPLITS_TOGETHER)).alias("_group")
+    dealt = stream.select("*", F.coalesce(month, F.lit(UNDATED)).alias(PARTITION_COLUMN), group)
+    return dealt.repartition(PARTITION_COLUMN, "_group").drop("_group")
 
 
 def start_ingest(
