@@ -21,7 +21,7 @@ SUBSET = [
     "clean_production", "agg_downtime", "agg_quality", "fact_production", "dim_date", "dim_machine",
     "load_upsert_fact", "load_fact_rejects", "vw_daily_oee", "vw_downtime_pareto", "drilldown_plant_line_machine",
     "dq_suite_production", "dq_suite_fact", "dq_summary", "scan_csv_production", "sink_fact_partitioned",
-    "load_two_dim_machine", "load_two_fact", "catalog_schema_drift", "sink_dims",
+    "load_two_dim_machine", "load_two_fact", "catalog_schema_drift", "sink_dims", "lake_update_load", "catalog_vw_daily_oee",
 ]
 NAMES = sorted(oracle_sql.statements()) if os.environ.get("SHOPFLOOR_ORACLE_ALL") else SUBSET
 
