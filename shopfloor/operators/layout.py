@@ -5,8 +5,10 @@
   (date_key, machine_key, shift_key), so Parquet min/max statistics skip row
   groups for date / machine predicates, the role a sort key plays in a
   columnar warehouse.
-* ``compact``: rewrite a table with that layout into a new snapshot.
-* ``analyze``: catalog statistics for the cost-based optimizer.
+* ``files_needed`` and ``packed``: the files that a month's small files fit into, and
+  the month rewritten as that many files of the same layout.
+* ``analyze``: catalog statistics for the cost-based optimizer; ``column_statistics``
+  those of single columns.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from shopfloor.operators.joins import rebalanced
 
 FACT_SORT = ["date_key", "machine_key", "shift_key"]
+FILE_BYTES = 128 << 20  # a file that one task reads
 
 
 def with_month(fact: DataFrame) -> DataFrame:
@@ -28,6 +31,27 @@ def sorted_fact(fact: DataFrame) -> DataFrame:
     return rebalanced(with_month(fact), "month_key").sortWithinPartitions("month_key", *FACT_SORT)
 
 
+def files_needed(sizes: list[int], target: int = FILE_BYTES) -> int:
+    """Number of files of at most ``target`` bytes that files of these sizes fit into, largest first into the first with room.
+
+    A file above the target stays one.  Fewer than there are means that the
+    folder is fragmented: some of its files fit into one.
+    """
+    room: list[int] = []
+    for size in sorted(sizes, reverse=True):
+        at = next((i for i, free in enumerate(room) if free >= size), None)
+        if at is None:
+            room.append(max(target - size, 0))
+        else:
+            room[at] -= size
+    return len(room)
+
+
+def packed(fact: DataFrame, files: int) -> DataFrame:
+    """A month's rows as at most ``files`` sorted ranges; the run id splits rows of one date, machine and shift."""
+    return fact.repartitionByRange(files, *FACT_SORT, "production_id").sortWithinPartitions(*FACT_SORT)
+
+
 def analyze(spark: SparkSession, table: str, columns: list[str] | None = None) -> DataFrame:
     """``ANALYZE TABLE`` then report (table_name, row_count, size_in_bytes) from the catalog."""
     if columns:
@@ -41,3 +65,19 @@ def analyze(spark: SparkSession, table: str, columns: list[str] | None = None) -
         F.regexp_extract(text, r"(\d+) rows", 1).cast("long").alias("row_count"),
         F.regexp_extract(text, r"(\d+) bytes", 1).cast("long").alias("size_in_bytes"),
     )
+
+
+def column_statistics(spark: SparkSession, table: str, columns: list[str]) -> DataFrame:
+    """``ANALYZE TABLE … FOR COLUMNS``, then ``column_name, min_value, max_value, null_count, distinct_count`` of each.
+
+    The planner uses them to estimate filters and joins where
+    ``spark.sql.cbo.enabled`` is set; ``distinct_count`` is approximate.
+    """
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {', '.join(columns)}")
+    rows = []
+    for column in columns:  # one catalog entry each
+        seen = {r["info_name"]: r["info_value"] for r in spark.sql(f"DESCRIBE EXTENDED {table} {column}").collect()}
+        value = {k: None if seen.get(k) in (None, "NULL") else seen[k] for k in ("min", "max", "num_nulls", "distinct_count")}
+        rows.append((column, value["min"], value["max"], int(value["num_nulls"] or 0), int(value["distinct_count"] or 0)))
+    return spark.createDataFrame(
+        rows, "column_name string, min_value string, max_value string, null_count long, distinct_count long")

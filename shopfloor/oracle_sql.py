@@ -797,6 +797,16 @@ def statements() -> dict[str, str]:
         "scan_csv_downtime": RAW_DOWNTIME,
         "scan_csv_quality": RAW_QUALITY,
         "scan_json_production": RAW_PRODUCTION,
+        "scan_csv_quarantine": f"""
+SELECT production_id, CASE WHEN damaged THEN 'damaged' ELSE 'kept' END AS state, CASE WHEN NOT damaged THEN planned_qty END AS planned_qty,
+  CASE WHEN damaged THEN concat(production_id, ',', plant_id, ',', line_id, ',', machine_id, ',', shift_id, ',', product_id, ',',
+    production_date, ',', planned_qty, 'x,', actual_qty, ',', good_qty, ',', planned_runtime_min, ',', actual_runtime_min) END AS line
+FROM (SELECT *, cast(substr(machine_id, 2) AS bigint) % 89 = 1 AS damaged FROM ({RAW_PRODUCTION}) r) d
+""",
+        "scan_json_quarantine": f"""
+SELECT production_id, CASE WHEN damaged THEN 'damaged' ELSE 'kept' END AS state, CASE WHEN NOT damaged THEN planned_qty END AS planned_qty
+FROM (SELECT *, cast(substr(machine_id, 2) AS bigint) % 89 = 1 AS damaged FROM ({RAW_PRODUCTION}) r) d
+""",
         "sink_parquet": RAW_PRODUCTION,
         "sink_fact_partitioned": FACT_PRODUCTION,
         "fact_rowcount": f"SELECT count(*) AS fact_rows FROM ({FACT_PRODUCTION}) f",
@@ -812,6 +822,15 @@ FROM ({DIM_MACHINE}) m
         "catalog_column_defaults": WH_DIM_PRODUCT,
         "layout_fact_sorted": _WH_FACT_NO_CLOCK,
         "maint_compact": _WH_FACT_NO_CLOCK,
+        "maint_compact_months": f"""
+SELECT cast(year(date_key) * 100 + month(date_key) AS int) AS month_key, count(*) AS fact_rows,
+  cast(sum(actual_qty) AS bigint) AS actual_qty, true AS is_packed
+FROM ({WH_FACT}) f GROUP BY year(date_key) * 100 + month(date_key)
+""",
+        "maint_column_statistics": _union([f"""
+SELECT '{c}' AS column_name, cast(min({c}) AS varchar) AS min_value, cast(max({c}) AS varchar) AS max_value,
+  count(*) - count({c}) AS null_count FROM ({WH_FACT}) f
+""" for c in ["date_key", "planned_qty", "actual_qty", "first_pass_yield", "oee_pct"]]),
         "maint_analyze": f"SELECT 'fact_production' AS table_name, count(*) AS row_count FROM ({WH_FACT}) f",
         "stream_raw_to_parquet": RAW_PRODUCTION,
     }

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shopfloor.operators import aggregate, clean, dims, fact, quality
 from shopfloor.plans import lake as published
+from shopfloor.sources import quarantine as raw_quarantine
 from shopfloor.sources import raw as raw_sources
 from shopfloor.sources import sinks
 
@@ -89,14 +90,25 @@ def run(
     config: quality.SuiteConfig | None = None,
     enforce: str = "default",
     incremental: bool = False,
+    quarantine: str | None = None,
 ) -> dict:
     """The whole job; returns the number of facts written and the quality results.
 
+    With ``quarantine``, a new folder of the shared file system, text is parsed
+    once into it: damaged records stay there and take no part, their numbers are
+    returned as ``damaged``.  Without it, values that do not fit become NULL.
+
     ``incremental=True`` brings the published zone under ``processed_base`` up to
     date with the records of ``raw_base`` (see :mod:`shopfloor.plans.lake`); the first
     such run makes it.  Otherwise plain folders are written and replaced.
     """
-    raw = raw_sources.read_raw_zone(spark, raw_base, fmt)
+    damaged = {}
+    if quarantine:
+        parts = raw_quarantine.split_zone(spark, raw_base, quarantine, fmt)
+        raw = {name: part.kept for name, part in parts.items()}
+        damaged = {"damaged": {name: part.damaged.count() for name, part in parts.items()}}
+    else:
+        raw = raw_sources.read_raw_zone(spark, raw_base, fmt)
     if incremental:
         if not published.manifest.manifests(spark, processed_base) and sinks.exists(spark, f"{processed_base}/fact_production"):
             raise ValueError(f"{processed_base} holds plain folders without the raw records that a batch is merged with")
@@ -105,10 +117,10 @@ def run(
         quality.enforce(raw_results, gate=None if enforce == "strict" else set())
         gate = {"strict": None, "off": set()}.get(enforce, DEFAULT_GATE)
         made = published.update(spark, raw, processed_base, config, gate)
-        return {"fact_rows": made["fact_rows"], "raw_quality": raw_results, "fact_quality": made["fact_quality"]}
+        return {"fact_rows": made["fact_rows"], "raw_quality": raw_results, "fact_quality": made["fact_quality"], **damaged}
     lake = build_lake(raw, config, enforce)
     rows = write_lake(lake, processed_base)
     checks = {name: spark.createDataFrame(df.collect(), df.schema)  # a row per check; no later reader scans again
               for name, df in (("raw_quality", lake.raw_quality), ("fact_quality", lake.fact_quality))}
     discard(lake.fact)
-    return {"fact_rows": rows, **checks}
+    return {"fact_rows": rows, **checks, **damaged}

@@ -210,12 +210,31 @@ def run(spark: SparkSession, processed_base: str, warehouse_base: str, start: st
             "verification": wh.load_verification(read_current(spark, warehouse_base))}
 
 
-def compact(spark: SparkSession, warehouse_base: str) -> list[tuple]:
-    """Rewrite the fact with the sorted layout and publish it."""
+def compact(spark: SparkSession, warehouse_base: str, target_bytes: int = layout.FILE_BYTES) -> list[tuple]:
+    """Rewrite the fragmented months of the fact, sorted, and publish them; returns the manifest rows in force.
+
+    A month is fragmented if its files, packed by their sizes in the listing, fit
+    into fewer files of ``target_bytes``.  It is rewritten into that many; all
+    other months keep their files and are not read.  Each rewrite leaves a month
+    with fewer files, so repeated runs come to rest; a run that finds nothing to
+    pack publishes nothing.
+    """
     rows = read_manifest(spark, warehouse_base)
     if rows is None:
         raise FileNotFoundError(f"no published warehouse under {warehouse_base}")
-    return publish(spark, warehouse_base, {FACT: read_table(spark, rows, FACT)})
+    version = f"{warehouse_base.rstrip('/')}/{FACT}/v-{uuid.uuid4().hex[:12]}"
+    out = []
+    for table, part, path in rows:  # a listing per calendar month
+        sizes = sinks.file_sizes(spark, path) if table == FACT else []
+        files = layout.files_needed(sizes, target_bytes)
+        if files < len(sizes):
+            facts = spark.read.schema(schemas.WAREHOUSE_SCHEMAS[FACT]).parquet(path)
+            path = f"{version}/{manifest.MONTH}={part}"
+            layout.packed(facts, files).write.mode("errorifexists").parquet(path)
+        out.append((table, part, path))
+    if out != rows:
+        write_manifest(spark, warehouse_base, out)
+    return out
 
 
 def reclaim(spark: SparkSession, warehouse_base: str, keep: int = 2) -> list[str]:

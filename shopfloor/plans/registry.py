@@ -23,6 +23,8 @@ from shopfloor.plans import etl as _etl
 from shopfloor.plans import lake as _lake
 from shopfloor.plans import load as _load
 from shopfloor.sources import catalog as _catalog
+from shopfloor.sources import manifest as _manifest
+from shopfloor.sources import quarantine as _quarantine
 from shopfloor.sources import raw as _raw
 from shopfloor.sources import sinks as _sinks
 from shopfloor.sources import testdata
@@ -319,6 +321,39 @@ def q_scan_json_production(spark, sf_dir):
     return _raw.read_production(spark, f"{base}/production", fmt="json")
 
 
+def _damaged_runs(spark, sf_dir) -> DataFrame:
+    """Raw runs as text fields; every run of every 89th machine has a planned quantity that is no number."""
+    text = raw_one(spark, sf_dir, "production").select(*[F.col(f.name).cast("string") for f in _schemas.PRODUCTION])
+    broken = F.substring("machine_id", 2, 20).cast("long") % 89 == 1
+    return text.withColumn("planned_qty", F.when(broken, F.concat("planned_qty", F.lit("x"))).otherwise(F.col("planned_qty")))
+
+
+def _states(parts: _quarantine.Split, id_pattern: str) -> DataFrame:
+    """Kept and damaged records in one table; a damaged one is its line, from which the id is taken."""
+    kept = parts.kept.select("production_id", F.lit("kept").alias("state"), "planned_qty", F.lit(None).cast("string").alias("line"))
+    return kept.unionByName(parts.damaged.select(
+        F.regexp_extract("line", id_pattern, 1).alias("production_id"), F.lit("damaged").alias("state"),
+        F.lit(None).cast("int").alias("planned_qty"), "line"))
+
+
+def q_scan_csv_quarantine(spark, sf_dir):
+    base = _sinks.scratch_folder(spark, "damaged-csv")
+    _damaged_runs(spark, sf_dir).write.option("header", "true").option("nullValue", "").csv(f"{base}/raw")
+    return _states(_quarantine.split(spark, f"{base}/raw", _schemas.PRODUCTION, f"{base}/split"), r"^([^,]*),")
+
+
+def q_scan_json_quarantine(spark, sf_dir):
+    """Runs as JSON lines, those of every 89th machine cut short before their last brace."""
+    base = _sinks.scratch_folder(spark, "damaged-json")
+    runs = raw_one(spark, sf_dir, "production")
+    whole = F.to_json(F.struct(*runs.columns))
+    broken = F.substring("machine_id", 2, 20).cast("long") % 89 == 1
+    cut = F.when(broken, F.substring(whole, F.lit(1), F.length(whole) - 1)).otherwise(whole)
+    runs.select(cut.alias("value")).write.text(f"{base}/raw")
+    parts = _quarantine.split(spark, f"{base}/raw", _schemas.PRODUCTION, f"{base}/split", "json")
+    return _states(parts, '"production_id":"([^"]*)"').drop("line")
+
+
 def q_sink_parquet(spark, sf_dir):
     path = _sinks.scratch_folder(spark, "sink-parquet")
     _sinks.write_parquet(raw_one(spark, sf_dir, "production"), path)
@@ -548,6 +583,40 @@ def q_maint_compact(spark, sf_dir):
     return _no_clock(_load.read_current(spark, base)["fact_production"])
 
 
+def q_maint_compact_months(spark, sf_dir):
+    """Rows of each month after a compaction of the months with an even number, whose files had been cut up before."""
+    base = _sinks.scratch_folder(spark, "wh-months")
+    rows = _load.publish(spark, base, {t: df for t, df in warehouse(spark, sf_dir).items() if t in _load.TABLES})
+    even = {part for t, part, _ in rows if t == _load.FACT and int(part) % 2 == 0}
+    cut = _layout.with_month(_load.read_table(spark, rows, _load.FACT, even)).repartition(4)
+    parts = _manifest.write_months(cut, base, _load.FACT, "cut")
+    _load.write_manifest(spark, base, [r for r in rows if r[1] not in even] + parts)
+    after = _load.compact(spark, base)
+    months = spark.createDataFrame(
+        [(int(part), _layout.files_needed(sizes := _sinks.file_sizes(spark, path)) == len(sizes))
+         for t, part, path in after if t == _load.FACT], "month_key int, is_packed boolean")
+    counts = _layout.with_month(_load.read_current(spark, base)[_load.FACT]).groupBy("month_key").agg(
+        F.count(F.lit(1)).alias("fact_rows"), F.sum("actual_qty").alias("actual_qty"))
+    return counts.join(months, "month_key")
+
+
+STATISTICS = ["date_key", "planned_qty", "actual_qty", "first_pass_yield", "oee_pct"]
+
+
+def _fact_table(spark, sf_dir) -> str:
+    path = _sinks.scratch_folder(spark, "wh-columns")
+    _sinks.write_parquet(_layout.sorted_fact(warehouse(spark, sf_dir)["fact_production"]), path)
+    db = _fresh_db("shopfloor_columns")
+    _catalog.ensure_database(spark, db)
+    spark.catalog.createTable(f"{db}.fact_production", path=path, source="parquet")
+    return f"{db}.fact_production"
+
+
+def q_maint_column_statistics(spark, sf_dir):
+    # The number of distinct values is approximate, so it is not compared.
+    return _layout.column_statistics(spark, _fact_table(spark, sf_dir), STATISTICS).drop("distinct_count")
+
+
 def q_maint_analyze(spark, sf_dir):
     base = _sinks.scratch_folder(spark, "wh-analyze")
     snap = f"{base}/fact_production"
@@ -628,6 +697,8 @@ def queries() -> dict[str, Query]:
         "scan_csv_downtime": q_scan_csv_downtime,
         "scan_csv_quality": q_scan_csv_quality,
         "scan_json_production": q_scan_json_production,
+        "scan_csv_quarantine": q_scan_csv_quarantine,
+        "scan_json_quarantine": q_scan_json_quarantine,
         "sink_parquet": q_sink_parquet,
         "sink_fact_partitioned": q_sink_fact_partitioned,
         "fact_rowcount": q_fact_rowcount,
@@ -640,6 +711,8 @@ def queries() -> dict[str, Query]:
         "catalog_schema_drift": q_catalog_schema_drift,
         "layout_fact_sorted": q_layout_fact_sorted,
         "maint_compact": q_maint_compact,
+        "maint_compact_months": q_maint_compact_months,
+        "maint_column_statistics": q_maint_column_statistics,
         "maint_analyze": q_maint_analyze,
         "stream_raw_to_parquet": q_stream_raw_to_parquet,
     }

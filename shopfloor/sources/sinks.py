@@ -48,6 +48,13 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def file_sizes(spark: SparkSession, path: str) -> list[int]:
+    """Bytes of the data files in a folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
+    return [f.getLen() for f in listed if f.isFile() and not f.getPath().getName().startswith(("_", "."))]
+
+
 def write_fact(fact: DataFrame, path: str) -> int:
     """Write the lake fact partitioned by year/month, replacing the folder; returns the number of rows written (observed).
 
