@@ -46,6 +46,7 @@ MEMBER_KEYS = {
 }
 MEMBERS_SCHEMA = "dim string, machine_id string, line_id string, plant_id string, shift_id string, product_id string, production_date date"
 DEDUP = {"production": clean.dedup_production, "downtime": clean.dedup_downtime, "quality": clean.dedup_quality}
+GENERATION = "generation"  # manifest row; its part names the zone from its first batch on, and changes if it is replaced
 TABLES = [FACT, MEMBERS, *DIMS, *[KEPT + n for n in schemas.RAW_SCHEMAS]]
 
 
@@ -151,6 +152,7 @@ def update(spark: SparkSession, raw: dict[str, DataFrame], base: str, config: qu
     new += [r for r in before if r[0] in (FACT, MEMBERS) and r[1] not in every]
     for name, df in dims_of(read_rows(spark, new, MEMBERS)).items():
         new.append(manifest.write_whole(df, base, name, run_id))
+    new += [r for r in before if r[0] == GENERATION] or [(GENERATION, run_id, None)]
     rows = made.count()
     manifest.write_rows(spark, base, new)
     sinks.discard(*staged)

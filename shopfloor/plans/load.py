@@ -6,11 +6,20 @@ of one load or all of another, never a mix.
 
 The fact is kept by month.  A load rewrites only the months that its rows change
 and carries the folders of all other months over.  Rows that cannot be loaded
-are published with the load's id.
-
-Manifest rows: ``(table, part, path)``; ``part`` is the month (yyyymm) of a fact
-folder, the load id of a rejects folder, and null for a dimension; one row without
-a path holds the largest surrogate key of the fact.
+are published with the load's id.  Beside the facts lie their additive partials
+(:mod:`shopfloor.operators.rollups`), made anew for the same months only.
+
+A warehouse that only ever took one published lake mirrors it, and remembers for
+each month the lake folder it was loaded from.  A run is in one month of the lake,
+which loses no run, and both months of a run that moves get new folders; so the
+months whose folders differ hold every new run and every older version of one: a
+whole load reads those months of both sides and no other, and needs no look-up of
+ids.  A lake that was replaced is another lake.
+
+Manifest rows: ``(table, part, path)``; ``part`` is the month (yyyymm) of a fact or
+partials folder, the load id of a rejects folder, and null for a dimension.  Rows
+without a path hold the largest surrogate key of the fact, the lake that the
+warehouse mirrors, and of each month the folder it was loaded from.
 """
 
 from __future__ import annotations
@@ -22,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shopfloor import schemas
-from shopfloor.operators import layout
+from shopfloor.operators import layout, rollups
 from shopfloor.operators import warehouse as wh
 from shopfloor.operators.joins import rebalanced
 from shopfloor.plans import lake
@@ -32,6 +41,8 @@ DIMS = ["dim_date", "dim_machine", "dim_shift", "dim_product"]
 TABLES = [*DIMS, "fact_production"]
 FACT, REJECTS = "fact_production", "rejects"
 LARGEST_KEY = "largest_production_sk"  # manifest row; its part is the key, so that a load need not look for it
+MIRROR = "mirror_of"  # manifest row; its part is the lake that all rows came from, and its generation
+LOADED = "loaded_month"  # manifest rows; their part is a month and the lake folder it was last loaded from
 REJECTS_SCHEMA = ("load_id string, production_id string, machine_id string, shift_id string, product_id string, "
                   "production_date date, reject_reason string")
 
@@ -95,8 +106,9 @@ def write_manifest(spark: SparkSession, base: str, rows: list[tuple]) -> str:
 
 
 def read_table(spark: SparkSession, rows: list[tuple], table: str, parts: set[str] | None = None) -> DataFrame:
-    """One table of a manifest; ``parts`` restricts a fact to those months."""
-    return manifest.read_part(spark, rows, table, schemas.WAREHOUSE_SCHEMAS.get(table, REJECTS_SCHEMA), parts)
+    """One table of a manifest; ``parts`` restricts a fact or its partials to those months."""
+    known = {**schemas.WAREHOUSE_SCHEMAS, **rollups.SCHEMAS, REJECTS: REJECTS_SCHEMA}
+    return manifest.read_part(spark, rows, table, known[table], parts)
 
 
 def read_current(spark: SparkSession, base: str) -> dict[str, DataFrame] | None:
@@ -118,12 +130,48 @@ def write_fact(df: DataFrame, base: str, load_id: str, sort: bool = True) -> lis
     return manifest.write_months(layout.sorted_fact(df) if sort else layout.with_month(df), base, FACT, load_id)
 
 
+def with_rollups(spark: SparkSession, base: str, rows: list[tuple], made_before: list[tuple], load_id: str) -> list[tuple]:
+    """Manifest rows plus those of the partials: the ones made before, and new ones of all fact months that lack them."""
+    months = {part for t, part, _ in rows if t == FACT}
+    out = list(rows)
+    for name in rollups.KEYS:
+        old = [r for r in made_before if r[0] == name and r[1] in months]
+        lack = months - {part for _, part, _ in old}
+        if lack:
+            made = rollups.partials(read_table(spark, rows, FACT, lack), name)
+            old += manifest.write_months(rebalanced(made, manifest.MONTH), base, name, load_id)
+        out += old
+    return out
+
+
+def read_views(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    """The four views and the drilldown, merged from the partials of all months; the facts are not read.
+
+    Of a warehouse that was published without partials, those of its months are
+    made while it is read; the next load writes them.
+    """
+    rows = read_manifest(spark, base)
+    if rows is None:
+        raise FileNotFoundError(f"no published warehouse under {base}")
+    tables = {t: read_table(spark, rows, t) for t in DIMS}
+    for name in rollups.KEYS:
+        tables[name] = read_table(spark, rows, name)
+        lack = {part for t, part, _ in rows if t == FACT} - {part for t, part, _ in rows if t == name}
+        if lack:
+            made = rollups.partials(read_table(spark, rows, FACT, lack), name)
+            tables[name] = tables[name].unionByName(made.drop(manifest.MONTH))
+    return {name: view(tables) for name, view in rollups.VIEWS.items()}
+
+
 def publish(spark: SparkSession, base: str, tables: dict[str, DataFrame], sort: bool = True) -> list[tuple]:
     """Write whole tables to new folders and make them the warehouse, next to the current others."""
     load_id = uuid.uuid4().hex[:12]
-    rows = [r for r in read_manifest(spark, base) or [] if r[0] not in tables]
+    of_fact = {*rollups.KEYS, LARGEST_KEY, MIRROR, LOADED} if FACT in tables else set()
+    rows = [r for r in read_manifest(spark, base) or [] if r[0] not in tables and r[0] not in of_fact]
     for name, df in tables.items():
         rows += write_fact(df, base, load_id, sort) if name == FACT else [write_dim(df, base, name, load_id)]
+    if FACT in tables:
+        rows = with_rollups(spark, base, rows, [], load_id)
     write_manifest(spark, base, rows)
     return rows
 
@@ -150,32 +198,50 @@ def stage_dim(files: DataFrame, name: str) -> DataFrame:
     return files.select(*[column(c) for c in STAGED[name]])
 
 
-def read_lake(spark: SparkSession, base: str, start: str | None = None,
-              end: str | None = None) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Facts dated within [start, end] and staged dimensions, of a published lake or of plain folders."""
-    rows = lake.read_manifest(spark, base)
+def read_lake(spark: SparkSession, base: str, rows: list[tuple] | None, start: str | None = None, end: str | None = None,
+              months: set[str] | None = None) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Facts dated within [start, end] and staged dimensions, of a published lake (its manifest ``rows``) or of plain folders.
+
+    ``months`` restricts a published lake to some of its months.
+    """
     if rows is None:
         facts = sinks.read_fact(spark, f"{base}/{FACT}", start, end)
         files = {n: spark.read.parquet(f"{base}/{n}") for n in DIMS}
     else:
-        facts = lake.read_rows(spark, rows, FACT, lake.months_within(rows, start, end))
+        within = lake.months_within(rows, start, end)
+        facts = lake.read_rows(spark, rows, FACT, within if months is None else within & months)
         facts = facts.where(F.lit(True) if start is None else F.col("production_date") >= F.lit(start).cast("date"))
         facts = facts.where(F.lit(True) if end is None else F.col("production_date") <= F.lit(end).cast("date"))
         files = {n: lake.read_rows(spark, rows, n) for n in DIMS}
     return facts, {n: stage_dim(files[n], n) for n in DIMS}
 
 
+def changed_months(before: list[tuple], lake_rows: list[tuple]) -> set[str]:
+    """Months of a mirrored lake whose folders are not the ones last loaded, and loaded months of no known folder."""
+    loaded = dict(part.split(" ", 1) for t, part, _ in before if t == LOADED)
+    now = {part: path for t, part, path in lake_rows if t == FACT}
+    months = loaded.keys() | now.keys() | {part for t, part, _ in before if t == FACT}
+    return {m for m in months if m not in loaded or loaded[m] != now.get(m)}
+
+
 def run(spark: SparkSession, processed_base: str, warehouse_base: str, start: str | None = None,
         end: str | None = None, load_ts: Column | None = None) -> dict:
     """Load the processed zone, or its runs dated within [start, end], into the warehouse.
 
     Dimensions are written once and read back for the key lookup.  Of the fact,
     only the months of the staged rows, and those that hold an older version of
-    a staged run, are read and rewritten.
+    a staged run, are read and rewritten.  They are known from the folders that
+    changed where the warehouse mirrors a published lake and all of it is asked for; all
+    runs of unchanged months keep their keys and load times then.  Otherwise, the
+    older versions are found by a scan of the fact's ids.
     """
     base, load_id = processed_base.rstrip("/"), uuid.uuid4().hex[:12]
-    staged, stage = read_lake(spark, base, start, end)
+    lake_rows = lake.read_manifest(spark, base)
     before = read_manifest(spark, warehouse_base) or []
+    mirror = next(((MIRROR, f"{base} {part}", None) for t, part, _ in lake_rows or [] if t == lake.GENERATION), None)
+    mirrors = mirror is not None and (not before or mirror in before)
+    changed = changed_months(before, lake_rows) if mirrors and start is None and end is None else None
+    staged, stage = read_lake(spark, base, lake_rows, start, end, changed)
     old = {t: read_table(spark, before, t) for t in TABLES} if before else {}
     new = [
         write_dim(wh.insert_dim_date(stage["dim_date"], old.get("dim_date")), warehouse_base, "dim_date", load_id),
@@ -187,29 +253,41 @@ def run(spark: SparkSession, processed_base: str, warehouse_base: str, start: st
     ]
     dims = {t: read_table(spark, new, t) for t in DIMS}
     resolved = wh.resolve_fact(staged, dims["dim_machine"], dims["dim_shift"], dims["dim_product"])
-    month = (F.year("d") * 100 + F.month("d")).cast("string").alias("m")
-    dates = staged.select(F.col("production_date").alias("d"))
-    if old:
-        ids = staged.select("production_id").where("production_id IS NOT NULL")
-        dates = dates.union(old[FACT].join(ids, "production_id", "left_semi").select("date_key"))
-    touched = {r["m"] for r in dates.select(month).distinct().collect() if r["m"]}  # a row per calendar month
+    touched = changed if changed is not None else months_of_runs(staged, old.get(FACT))
     part = read_table(spark, before, FACT, touched) if old else None
     known = [int(part) for t, part, _ in before if t == LARGEST_KEY]
     key = max(known) if known else wh._next_key(old.get(FACT), "production_sk")
     facts = wh.upsert_fact(resolved, staged, part, load_ts, start=key)
     written = write_fact(facts, warehouse_base, load_id)
     largest = wh._next_key(read_table(spark, written, FACT), "production_sk") if written else 0
-    new += [*written, (LARGEST_KEY, str(max(key, largest)), None)]
     rejects = wh.fact_rejects(resolved).select(F.lit(load_id).alias("load_id"), "*")
     rejects_path = f"{warehouse_base.rstrip('/')}/{REJECTS}/v-{load_id}"
     rebalanced(rejects).write.mode("errorifexists").parquet(rejects_path)
-    new.append((REJECTS, load_id, rejects_path))
-    kept = [r for r in before if (r[0] == FACT and r[1] not in touched) or r[0] == REJECTS]
-    write_manifest(spark, warehouse_base, kept + new)
-    return {"load_id": load_id, "rejected": spark.read.parquet(rejects_path).count(),
+    untouched = [r for r in before if r[1] not in touched]
+    new += [r for r in untouched if r[0] in (FACT, REJECTS)] + written
+    new = with_rollups(spark, warehouse_base, new, untouched, load_id)
+    new += [(LARGEST_KEY, str(max(key, largest)), None), (REJECTS, load_id, rejects_path)]
+    if mirrors:
+        new.append(mirror)
+        if changed is None:  # a period: months that it touched may hold other runs in older versions
+            new += [r for r in before if r[0] == LOADED and r[1].split(" ")[0] not in touched]
+        else:
+            new += [(LOADED, f"{month} {path}", None) for t, month, path in lake_rows if t == FACT]
+    write_manifest(spark, warehouse_base, new)
+    return {"load_id": load_id, "rejected": spark.read.parquet(rejects_path).count(), "months": touched,
             "verification": wh.load_verification(read_current(spark, warehouse_base))}
 
 
+def months_of_runs(staged: DataFrame, fact: DataFrame | None) -> set[str]:
+    """Months of the staged runs and, by a scan of the fact's ids, of their older versions."""
+    month = (F.year("d") * 100 + F.month("d")).cast("string").alias("m")
+    dates = staged.select(F.col("production_date").alias("d"))
+    if fact is not None:
+        ids = staged.select("production_id").where("production_id IS NOT NULL")
+        dates = dates.union(fact.join(ids, "production_id", "left_semi").select("date_key"))
+    return {r["m"] for r in dates.select(month).distinct().collect() if r["m"]}  # a row per calendar month
+
+
 def compact(spark: SparkSession, warehouse_base: str, target_bytes: int = layout.FILE_BYTES) -> list[tuple]:
     """Rewrite the fragmented months of the fact, sorted, and publish them; returns the manifest rows in force.
 
@@ -242,4 +320,4 @@ def reclaim(spark: SparkSession, warehouse_base: str, keep: int = 2) -> list[str
 
     Run it when no reader still uses an older manifest and no load is under way.
     """
-    return manifest.reclaim(spark, warehouse_base, [*TABLES, REJECTS], keep)
+    return manifest.reclaim(spark, warehouse_base, [*TABLES, *rollups.KEYS, REJECTS], keep)

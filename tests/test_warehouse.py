@@ -5,8 +5,11 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from shopfloor.operators import aggregate, clean, dims, fact
+from conftest import DOWNTIME_ROWS, PRODUCTION_ROWS, QUALITY_ROWS
+from shopfloor import schemas
+from shopfloor.operators import aggregate, clean, dims, fact, rollups, views
 from shopfloor.operators import warehouse as wh
+from shopfloor.plans import lake as published
 from shopfloor.plans import load
 from shopfloor.sources import sinks
 
@@ -195,3 +198,110 @@ def test_checkpoint_folder_must_be_shared_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_dir(Cluster)
+
+
+def _batch(spark, production=(), downtime=(), quality=()):
+    rows = {"production": production, "downtime": downtime, "quality": quality}
+    return {n: spark.createDataFrame(list(rows[n]), s) for n, s in schemas.RAW_SCHEMAS.items()}
+
+
+def _same_views(spark, base):
+    """The views merged from partials equal those of the facts; returns the facts by id."""
+    tables = load.read_current(spark, base)
+    whole = {**{n: v(tables) for n, v in views.VIEWS.items()},
+             "drilldown": views.drilldown(tables["fact_production"], tables["dim_machine"])}
+    merged = load.read_views(spark, base)
+    assert merged.keys() == whole.keys()
+    for name, want in whole.items():
+        assert merged[name].dtypes == want.dtypes, name
+        assert sorted(map(repr, merged[name].collect())) == sorted(map(repr, want.collect())), name
+    rows = tables["fact_production"].collect()
+    assert len({r.production_sk for r in rows}) == len(rows) == len({r.production_id for r in rows})
+    return {r.production_id: r for r in rows}
+
+
+def _damage(base, *months):
+    """Overwrite the data files of all months of a table but these."""
+    files = [p for p in base.rglob("*.parquet") if p.parent.name.split("=")[1] not in months]
+    assert files
+    for p in files:
+        p.write_bytes(b"not a parquet file")
+
+
+def _moved(row, day, qty=72):
+    return (*row[:6], day, row[7], qty, *row[9:])
+
+
+def test_a_whole_load_reads_changed_months_alone(spark, tmp_path):
+    base, wh_base = str(tmp_path / "lake"), str(tmp_path / "wh")
+    published.update(spark, _batch(spark, PRODUCTION_ROWS, DOWNTIME_ROWS, QUALITY_ROWS), base)
+    load.run(spark, base, wh_base, load_ts=_ts(1))
+    first = _same_views(spark, wh_base)
+    # "w8" moves from February 2024 to January: two months change; the files of all others are destroyed.
+    published.update(spark, _batch(spark, [_moved(PRODUCTION_ROWS[3], "2024-01-31")]), base)
+    for table in (tmp_path / "lake" / "fact_production", *(tmp_path / "wh" / t for t in ("fact_production", *rollups.KEYS))):
+        _damage(table, "202401", "202402")
+    out = load.run(spark, base, wh_base, load_ts=_ts(2))
+    assert out["months"] == {"202401", "202402"} and out["rejected"] == 0
+    rows = load.read_manifest(spark, wh_base)
+    seen = {r.production_id: r for r in load.read_table(spark, rows, load.FACT, out["months"]).collect()}
+    assert sorted(seen) == ["W7-a", "w7-a ", "w8"] and str(seen["w8"].date_key) == "2024-01-31"
+    assert min(r.production_sk for r in seen.values()) > max(r.production_sk for r in first.values())
+    # Nothing new: no month is read or written.
+    assert load.run(spark, base, wh_base)["months"] == set()
+    assert [r for r in load.read_manifest(spark, wh_base) if r[0] == load.FACT] == [r for r in rows if r[0] == load.FACT]
+
+
+def test_views_of_partials_follow_moves_rejects_and_periods(spark, tmp_path):
+    base, wh_base = str(tmp_path / "lake"), str(tmp_path / "wh")
+    published.update(spark, _batch(spark, PRODUCTION_ROWS, DOWNTIME_ROWS[:2], QUALITY_ROWS), base)
+    load.run(spark, base, wh_base)
+    _same_views(spark, wh_base)
+    # "late" leaves its month empty; late downtime; "w8" now has a shift that the warehouse does not know.
+    unknown = (*PRODUCTION_ROWS[3][:4], "S9", *PRODUCTION_ROWS[3][5:])
+    published.update(spark, _batch(spark, [_moved(PRODUCTION_ROWS[5], "2024-01-05"), unknown], DOWNTIME_ROWS[2:]), base)
+    assert load.run(spark, base, wh_base)["rejected"] == 1
+    rows = _same_views(spark, wh_base)
+    assert sorted(rows) == ["W7-a", "late", "w7-a", "w7-a "]
+    assert {m for t, m, _ in load.read_manifest(spark, wh_base) if t == "rollup_shift"} == {"202312", "202401", "202402"}
+    # Two runs move; a load of a period takes one of them, the next whole load the other, each id once.
+    published.update(spark, _batch(spark, [_moved(PRODUCTION_ROWS[5], "2024-03-05"), _moved(PRODUCTION_ROWS[0], "2024-04-01"),
+                                           PRODUCTION_ROWS[3]]), base)
+    load.run(spark, base, wh_base, start="2024-03-01", end="2024-03-31")
+    rows = _same_views(spark, wh_base)
+    assert str(rows["late"].date_key) == "2024-03-05" and str(rows["w7-a"].date_key) == "2023-12-31" and "w8" not in rows
+    load.run(spark, base, wh_base)
+    rows = _same_views(spark, wh_base)
+    assert str(rows["w7-a"].date_key) == "2024-04-01" and sorted(rows) == ["W7-a", "late", "w7-a", "w7-a ", "w8"]
+    dropped = load.reclaim(spark, wh_base, keep=1)
+    assert any("/rollup_shift/" in p for p in dropped)
+    assert _same_views(spark, wh_base) == rows
+
+
+def test_a_warehouse_of_several_lakes_looks_for_older_versions_by_id(spark, production_df, downtime_df, quality_df, tmp_path):
+    base, wh_base = str(tmp_path / "lake"), str(tmp_path / "wh")
+    load.run(spark, _write_lake(*_lake(production_df, downtime_df, quality_df), tmp_path / "plain"), wh_base)
+    published.update(spark, _batch(spark, [_moved(PRODUCTION_ROWS[3], "2024-05-01")]), base)
+    load.run(spark, base, wh_base)
+    assert str(_same_views(spark, wh_base)["w8"].date_key) == "2024-05-01"
+    # A replaced lake is another one: the ids it no longer has may be anywhere in the warehouse.
+    other = str(tmp_path / "mirror")
+    load.run(spark, base, other)
+    published.update(spark, _batch(spark, [PRODUCTION_ROWS[0]]), base, replace=True)
+    load.run(spark, base, other)
+    published.update(spark, _batch(spark, [_moved(PRODUCTION_ROWS[3], "2024-06-01")]), base)
+    load.run(spark, base, other)
+    rows = _same_views(spark, other)
+    assert {k: str(r.date_key) for k, r in rows.items()} == {"w7-a": "2023-12-31", "w8": "2024-06-01"}
+
+
+def test_partials_are_made_for_a_warehouse_without_them(spark, production_df, downtime_df, quality_df, tmp_path):
+    lake, base = _write_lake(*_lake(production_df, downtime_df, quality_df), tmp_path / "lake"), str(tmp_path / "wh")
+    load.run(spark, lake, base)
+    load.write_manifest(spark, base, [r for r in load.read_manifest(spark, base) if r[0] not in rollups.KEYS])
+    _same_views(spark, base)
+    load.run(spark, lake, base, start="1990-01-01", end="1990-12-31")  # changes no month
+    assert {m for t, m, _ in load.read_manifest(spark, base) if t == "rollup_product"} == {"202206", "202312", "202401", "202402"}
+    _same_views(spark, base)
+    load.publish(spark, base, load.load(spark, *_lake(production_df, downtime_df, quality_df)))
+    _same_views(spark, base)
