@@ -771,6 +771,15 @@ def statements() -> dict[str, str]:
         "lake_update_dims": WRITTEN_DIMS,
         "lake_update_load": f"SELECT count(*) FILTER (reject_reason IS NULL) AS loaded, "
                             f"count(*) FILTER (reject_reason IS NOT NULL) AS rejected FROM ({RESOLVED_FACT}) r",
+        "load_changed_fact": f"""
+SELECT production_id, date_key, planned_qty, actual_qty, good_qty, {', '.join(_MINUTES)}, downtime_events,
+  total_inspected_qty, total_defect_qty, {', '.join(_PERCENT)} FROM ({WH_FACT}) f
+""",
+        "rollup_daily_oee": VW_DAILY_OEE,
+        "rollup_monthly_summary": VW_MONTHLY_SUMMARY,
+        "rollup_downtime_pareto": VW_DOWNTIME_PARETO,
+        "rollup_shift_performance": VW_SHIFT_PERFORMANCE,
+        "rollup_drilldown": DRILLDOWN,
         "load_two_verification": TWO_VERIFICATION,
         "catalog_schema_drift": DRIFTED_RUNS,
         "vw_daily_oee": VW_DAILY_OEE,

@@ -17,6 +17,7 @@ from shopfloor.operators import aggregate, clean, fact
 from shopfloor.operators import dims as _dims
 from shopfloor.operators import layout as _layout
 from shopfloor.operators import quality as _dq
+from shopfloor.operators import rollups as _rollups
 from shopfloor.operators import views as _views
 from shopfloor.operators import warehouse as _wh
 from shopfloor.plans import etl as _etl
@@ -434,6 +435,47 @@ def q_lake_update_load(spark, sf_dir):
     return loaded.agg(F.count("*").alias("loaded"), F.lit(out["rejected"]).cast("long").alias("rejected"))
 
 
+def mirrored_warehouse(spark, sf_dir) -> str:
+    """A warehouse loaded after each of the two batches; the second load reads the changed months of the lake."""
+    base, wh = _sinks.scratch_folder(spark, "lake"), _sinks.scratch_folder(spark, "mirror")
+    for batch in two_batches(spark, sf_dir):
+        _lake.update(spark, batch, base)
+        _load.run(spark, base, wh)
+    return wh
+
+
+def q_load_changed_fact(spark, sf_dir):
+    loaded = _load.read_current(spark, mirrored_warehouse(spark, sf_dir))["fact_production"]
+    return loaded.select("production_id", "date_key", *_rollups.MEASURES)
+
+
+def q_rollup_daily_oee(spark, sf_dir):
+    return _load.read_views(spark, mirrored_warehouse(spark, sf_dir))["vw_daily_oee"]
+
+
+def q_rollup_monthly_summary(spark, sf_dir):
+    return _load.read_views(spark, mirrored_warehouse(spark, sf_dir))["vw_monthly_summary"]
+
+
+def rollup_view(spark, sf_dir, name: str) -> DataFrame:
+    """A view merged from the partials of a warehouse that was published whole."""
+    base = _sinks.scratch_folder(spark, "partials")
+    _load.publish(spark, base, warehouse(spark, sf_dir))
+    return _load.read_views(spark, base)[name]
+
+
+def q_rollup_downtime_pareto(spark, sf_dir):
+    return rollup_view(spark, sf_dir, "vw_downtime_pareto")
+
+
+def q_rollup_shift_performance(spark, sf_dir):
+    return rollup_view(spark, sf_dir, "vw_shift_performance")
+
+
+def q_rollup_drilldown(spark, sf_dir):
+    return rollup_view(spark, sf_dir, "drilldown")
+
+
 def q_load_copy_parquet(spark, sf_dir):
     """Parquet → staging dim_machine by column name; plant_location is not in the files → NULL."""
     base = _sinks.scratch_folder(spark, "copy")
@@ -674,6 +716,12 @@ def queries() -> dict[str, Query]:
         "lake_update_fact": q_lake_update_fact,
         "lake_update_dims": q_lake_update_dims,
         "lake_update_load": q_lake_update_load,
+        "load_changed_fact": q_load_changed_fact,
+        "rollup_daily_oee": q_rollup_daily_oee,
+        "rollup_monthly_summary": q_rollup_monthly_summary,
+        "rollup_downtime_pareto": q_rollup_downtime_pareto,
+        "rollup_shift_performance": q_rollup_shift_performance,
+        "rollup_drilldown": q_rollup_drilldown,
         "load_two_verification": q_load_two_verification,
         "vw_daily_oee": q_vw_daily_oee,
         "vw_monthly_summary": q_vw_monthly_summary,
