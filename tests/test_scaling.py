@@ -42,11 +42,12 @@ def test_a_load_resolves_runs_once(spark, production_df, downtime_df, quality_df
 
 def test_partials_shuffle_facts_once(spark):
     days = ("date_key", "loaded_at")
-    rows = spark.range(3).select(*[F.lit("1997-01-05" if f.name in days else "1").cast(f.dataType).alias(f.name)
+    day, number = F.date_add(F.lit("1997-01-05"), F.col("id").cast("int")), F.col("id").cast("string")
+    rows = spark.range(3).select(*[(day if f.name in days else number).cast(f.dataType).alias(f.name)
                                    for f in schemas.FACT_PRODUCTION])
     for name in rollups.KEYS:
         plan = rollups.partials(rows, name)._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("Exchange ") == 1 and "rangepartitioning" in plan
+        assert plan.count("Exchange ") == 1 and "rangepartitioning" in plan, plan
 
 
 def test_round2_of_hundredths(spark):
