@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shopfloor import schemas
 from shopfloor.functions import round2
-from shopfloor.operators import aggregate, clean, dims, fact, rollups
+from shopfloor.operators import aggregate, clean, dims, fact, rollups, warehouse
 from shopfloor.operators.ordered import dense_key
 from shopfloor.plans import load
 
@@ -15,6 +15,15 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString() + df._jdf.queryExecution().executedPlan().toString()
 
 
+def _whole_plan(spark, df) -> str:
+    """The optimized plan with all columns of every step."""
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        return df._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+
+
 def test_dense_key_shuffles_only_for_readers_of_the_key(spark):
     ids = [f"r{i % 7}-{i}" for i in range(200)] + [None]
     keyed = dense_key(spark.createDataFrame([(v, 1) for v in ids], "id string, x int"), "k", "id", 5, num_partitions=9)
@@ -56,3 +65,40 @@ def test_round2_of_hundredths(spark):
     got = [r.r for r in df.select("i", round2(F.col("x")).alias("r")).orderBy("i").collect()]
     assert got == [0.0, 0.0, 0.29, 1.15, -2.68, 99.99, 12345678.9, 1e11, -1e11, 0.01, 1e300, float("inf"), None, None]
     assert str(got[1]) == "0.0"
+
+
+def test_measures_are_conformed_below_the_key_lookups(spark, production_df, downtime_df, quality_df):
+    """Above them, values, flag and reasons became one method, too large to be compiled."""
+    runs = clean.clean_production(production_df)
+    facts = fact.fact_production(runs, aggregate.agg_downtime(clean.clean_downtime(downtime_df)),
+                                 aggregate.agg_quality(clean.clean_quality(quality_df)))
+    dim = dims.all_dims(runs)
+    resolved = warehouse.resolve_fact(facts, warehouse.upsert_dim_machine(dim["dim_machine"]), warehouse.seed_dim_shift(spark),
+                                      warehouse.insert_dim_product(dim["dim_product"]))
+    plan = _whole_plan(spark, resolved)
+    assert -1 < plan.find("Join LeftOuter") < plan.find("AS _overflow"), plan
+
+
+def test_a_fact_is_keyed_and_staged_without_columns_of_the_lake_alone(spark, production_df, downtime_df, quality_df):
+    runs = clean.clean_production(production_df)
+    facts = fact.fact_production(runs, aggregate.agg_downtime(clean.clean_downtime(downtime_df)),
+                                 aggregate.agg_quality(clean.clean_quality(quality_df)))
+    made = load.load(spark, facts, dims.all_dims(runs))["fact_production"]
+    plan = _whole_plan(spark, made)
+    hashed = plan.split("xxhash64(")[1].split(")")[0]
+    assert "oee_pct" in hashed and "machine_id" not in hashed and "reject_reason" not in hashed, hashed
+    assert "production_sk" in plan and "plant_id" not in plan and "line_id" not in plan
+
+
+def test_conformed_measures_are_those_of_round2(spark):
+    values = [0.0, -0.0, 0.005, 1.015, -2.675, 94.2276875, 9999.994, 9999.995, 99999999.994, 99999999.995, 123456789.12,
+              1e11, 1e27, 1e29, 1e300, float("inf"), float("-inf"), float("nan"), None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double")
+    events = {"downtime_events": 1} | dict.fromkeys(warehouse.INT_COLS, 1)
+    rows = df.select("i", *[F.col("x").alias(c) for c in warehouse.MINUTE_COLS + warehouse.PERCENT_COLS],
+                     *[F.lit(v).alias(c) for c, v in events.items()])
+    got = warehouse.conform_measures(rows).orderBy("i").collect()
+    want = df.select(round2(F.col("x")).try_cast(schemas.MINUTES).alias("m"), round2(F.col("x")).try_cast(schemas.PERCENT).alias("p"),
+                     "i").orderBy("i").collect()
+    assert [(r.actual_runtime_min, r.oee_pct) for r in got] == [(r.m, r.p) for r in want]
+    assert [r._overflow for r in got] == [v is not None and (r.m is None or r.p is None) for v, r in zip(values, want)]
