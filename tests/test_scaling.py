@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shopfloor import schemas
 from shopfloor.functions import round2
-from shopfloor.operators import aggregate, clean, dims, fact, rollups, warehouse
+from shopfloor.operators import aggregate, clean, dims, fact, layout, rollups, warehouse
 from shopfloor.operators.ordered import dense_key
 from shopfloor.plans import load
 
@@ -102,3 +102,14 @@ def test_conformed_measures_are_those_of_round2(spark):
                      "i").orderBy("i").collect()
     assert [(r.actual_runtime_min, r.oee_pct) for r in got] == [(r.m, r.p) for r in want]
     assert [r._overflow for r in got] == [v is not None and (r.m is None or r.p is None) for v, r in zip(values, want)]
+
+
+def test_a_month_packed_into_one_file_is_not_shuffled(spark, tmp_path):
+    columns = [F.col("id").cast("string").cast(f.dataType).alias(f.name) if f.name not in ("date_key", "loaded_at")
+               else F.lit("1997-01-05").cast(f.dataType).alias(f.name) for f in schemas.FACT_PRODUCTION]
+    spark.range(40).repartition(5).select(*columns).write.parquet(f"{tmp_path}/month")
+    month = spark.read.parquet(f"{tmp_path}/month")
+    one, more = layout.packed(month, 1), layout.packed(month, 3)
+    assert "Exchange" not in _plan(one) and "Exchange" in _plan(more)
+    assert [r.machine_key for r in one.collect()] == list(range(40))
+    assert sorted(map(tuple, more.collect())) == sorted(map(tuple, month.collect()))
