@@ -113,3 +113,45 @@ def test_a_month_packed_into_one_file_is_not_shuffled(spark, tmp_path):
     assert "Exchange" not in _plan(one) and "Exchange" in _plan(more)
     assert [r.machine_key for r in one.collect()] == list(range(40))
     assert sorted(map(tuple, more.collect())) == sorted(map(tuple, month.collect()))
+
+
+def test_a_load_shuffles_its_facts_once_for_files_and_partials(spark, tmp_path, monkeypatch):
+    days = ("date_key", "loaded_at")
+    day, number = F.date_add(F.lit("1997-01-05"), (F.col("id") * 9).cast("int")), (F.col("id") % 40).cast("string")
+    facts = spark.range(200).select(*[(day if f.name in days else number).cast(f.dataType).alias(f.name)
+                                      for f in schemas.FACT_PRODUCTION])
+    asked, write_months = [], load.manifest.write_months
+
+    def noted(df, base, table, run_id):
+        df.count()  # so that the plan is the one after the rows were kept
+        plan = df.groupBy().count() if table == load.FACT else df
+        plan.collect()
+        asked.append((table, plan._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]))
+        return write_months(df, base, table, run_id)
+
+    monkeypatch.setattr(load.manifest, "write_months", noted)
+    rows = load.publish(spark, str(tmp_path), {"fact_production": facts})
+    assert [t for t, _ in asked] == ["fact_production", *rollups.KEYS]
+    for table, plan in asked[1:]:
+        assert "Aggregate" in plan and "InMemoryTableScan" in plan and "Exchange" not in plan, plan
+    for name in rollups.KEYS:
+        columns = [*rollups.SCHEMAS[name].names]
+        got = load.read_table(spark, rows, name).select(columns)
+        want = rollups.partials(facts, name).select(columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert load.read_table(spark, rows, "fact_production").count() == 200
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_staged_runs_keep_natural_keys_of_rejects_alone(spark, production_df, downtime_df, quality_df):
+    runs = clean.clean_production(production_df)
+    facts = fact.fact_production(runs, aggregate.agg_downtime(clean.clean_downtime(downtime_df)),
+                                 aggregate.agg_quality(clean.clean_quality(quality_df)))
+    dim = dims.all_dims(runs.where("product_id <> 'tile'"))  # so that runs of tiles are rejected
+    made = {"dim_machine": warehouse.upsert_dim_machine(dims.dim_machine(runs)), "dim_shift": warehouse.seed_dim_shift(spark),
+            "dim_product": warehouse.insert_dim_product(dim["dim_product"])}
+    staged = load.staged_runs(facts, made)
+    kept = {r.production_id: (r.machine_id, r.shift_id, r.product_id, str(r.production_date)) for r in staged.collect()}
+    assert kept == {"w7-a": (None, None, None, "None"), "W7-a": (None, None, None, "None"), "late": (None, None, None, "None"),
+                    "w7-a ": ("ov-9", "S2", "tile", "2024-02-29"), "w8": ("ov-9", "S1", "tile", "2024-02-29")}
+    assert {r.reject_reason for r in warehouse.fact_rejects(staged).collect()} == {"unknown product_id"}
